@@ -27,7 +27,7 @@ from glasslake.llm.common import crc_bucket
 PASSAGE_WORDS, SHAPES, RATIOS, HIDDEN = 64, 64, 8, 24
 #: Bound of the training sample: labelled documents, the first by a hash of their id.
 MAX_TRAIN_DOCS = 3000
-KEPT_WORDS = 400_000
+KEPT_WORDS = 150_000
 
 _shape_of: dict[str, tuple[int, int]] = {}
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glasslake.llm import binary, decontam, packing, quality, secrets, simhash
+from glasslake.llm import binary, decontam, embeddings, packing, pii, quality, secrets, simhash, substrings, toxicity
 from glasslake.llm.common import crc_bucket, work_dir
 
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_collision_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op2_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_dir(spark)}/token-binary-{uuid.uuid4().hex}"
     binary.write_tokens(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), "byte", 0)
@@ -29,6 +33,17 @@ def op3_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op4_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_spans(_table(spark, sf_dir, "documents"))
+
+
+def op5_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"), modulus=3, held_out=1)
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op6_token_efficiency_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return secrets.digest_columns(found)
@@ -47,5 +62,31 @@ def op9_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_binary, op3_quality_mil, op6_token_efficiency_secrets, op7_bm25_packing, op8_simhash_variants, op9_template_decontam)}
-ORACLE_SQL: dict[str, str] = {}
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replacements(_table(spark, sf_dir, "documents"), key="surrogate-key")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_collision_projections, op2_token_binary, op3_quality_mil, op4_unit_dedup, op5_weak_toxicity, op6_token_efficiency_secrets,
+        op7_bm25_packing, op8_simhash_variants, op9_template_decontam, op10_pii_surrogates,
+    )
+}
+
+#: Where plain SQL gives the same rows at the test sizes; the others are compared by brute force in tests/llm.
+ORACLE_SQL: dict[str, str] = {
+    "op1_collision_projections": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x)))
+              AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+        ),
+        link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+        comp AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT e.vec_id, (SELECT count(*) FROM link l WHERE l.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+        FROM embeddings e JOIN comp c ON c.vec_id = e.vec_id
+    """,
+}
