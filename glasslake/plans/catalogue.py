@@ -1,6 +1,603 @@
-"""All registered queries of the lakehouse operators and their SQL counterparts."""
+"""All registered queries of the lakehouse operators and their SQL counterparts.
+
+QUERIES maps a name to a function (spark, sf_dir) -> DataFrame; ORACLE_SQL gives the same rows as SQL over the given
+tables. Shared relations are common table expressions, put in front of a query as far as it names them.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import re
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from glasslake.functions import scalars
+from glasslake.operators import audit, contracts, erasure, fraud, gold, incremental, privacy, quality, reports, silver
+from glasslake.operators.suppression import not_suppressed, suppress
+from glasslake.sources import adapters, tables
+from glasslake.sources.adapters import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: Dates are whole days here, so the velocity window is 90 days.
+BUCKET = 90 * 86_400
+NOW = 1_735_689_600.0
+SALT = scalars.DEFAULT_SALT
+
+CTE = dict(adapters.SQL)
+CTE |= {
+    "order_kept": "SELECT * FROM order_ev o WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE r.customer_id = o.customer_id)",
+    "pay_kept": "SELECT * FROM pay_ev p WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE r.customer_id = p.customer_id)",
+    "order_new": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY occurred_at DESC) AS rn FROM order_kept) WHERE rn = 1",
+    "pay_new": "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY occurred_at DESC) AS rn FROM pay_kept) WHERE rn = 1",
+    "s_orders": f"""SELECT event_id, order_id, customer_id, sha256('{SALT}:' || email) AS email_hash, sha256('{SALT}:' || iban) AS iban_hash, country, amount_eur, currency, marketing_consent, occurred_at
+        FROM order_new WHERE iban_ok AND amount_eur >= 0""",
+    "s_customers": f"""SELECT customer_id, arg_max(country, (occurred_at, event_id)) FILTER (iban_ok AND amount_eur >= 0) AS country,
+        sha256('{SALT}:' || arg_max(email, (occurred_at, event_id)) FILTER (iban_ok AND amount_eur >= 0)) AS email_hash,
+        sha256('{SALT}:' || arg_max(iban, (occurred_at, event_id)) FILTER (iban_ok AND amount_eur >= 0)) AS iban_hash, bool_and(marketing_consent) AS marketing_consent
+        FROM order_new GROUP BY customer_id HAVING bool_or(iban_ok AND amount_eur >= 0)""",
+    "c360": """SELECT c.customer_id, c.country, c.email_hash, coalesce(t.n, 0) AS order_count, round(coalesce(t.spend, 0.0), 2) AS lifetime_spend_eur, t.first_order_at, t.last_order_at,
+        c.marketing_consent AND coalesce(t.gate, TRUE) AS consents_marketing, c.marketing_consent AND coalesce(t.gate, TRUE) AS marketing_consent
+        FROM s_customers c LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n, sum(amount_eur) AS spend, min(occurred_at) AS first_order_at, max(occurred_at) AS last_order_at, bool_and(marketing_consent) AS gate
+            FROM s_orders GROUP BY customer_id) t ON t.customer_id = c.customer_id""",
+    "velocity": f"""SELECT customer_id, 'VELOCITY' AS rule, CAST(rn AS DOUBLE) AS score, event_id, occurred_at AS alerted_at, b AS window_start, b + {BUCKET} AS window_end
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, b ORDER BY occurred_at, event_id) AS rn FROM (SELECT *, CAST(floor(occurred_at / {BUCKET}) * {BUCKET} AS BIGINT) AS b FROM pay_ev)) WHERE rn = 6""",
+    "zscore": """SELECT customer_id, 'AMOUNT_ZSCORE' AS rule, abs(amount_eur - mean) / sd AS score, event_id, occurred_at AS alerted_at, CAST(NULL AS BIGINT) AS window_start, CAST(NULL AS BIGINT) AS window_end
+        FROM (SELECT *, count(amount_eur) OVER w AS n, avg(amount_eur) OVER w AS mean, stddev_samp(amount_eur) OVER w AS sd FROM pay_ev
+              WINDOW w AS (PARTITION BY customer_id ORDER BY occurred_at, event_id ROWS BETWEEN 200 PRECEDING AND 1 PRECEDING))
+        WHERE n >= 3 AND sd > 0 AND abs(amount_eur - mean) / sd > 3""",
+    "geo_event": "SELECT customer_id, 'GEO_MISMATCH' AS rule, 1.0 AS score, event_id, occurred_at AS alerted_at, CAST(NULL AS BIGINT) AS window_start, CAST(NULL AS BIGINT) AS window_end FROM pay_ev WHERE country <> merchant_country",
+    "geo_window": f"""SELECT customer_id, 'GEO_MISMATCH' AS rule, 1.0 AS score, event_id, occurred_at AS alerted_at, b AS window_start, b + {BUCKET} AS window_end
+        FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, b ORDER BY occurred_at, event_id) AS rn FROM (SELECT *, CAST(floor(occurred_at / {BUCKET}) * {BUCKET} AS BIGINT) AS b FROM pay_ev WHERE region <> merchant_region)) WHERE rn = 1""",
+    "alert_raw": "SELECT * FROM velocity UNION ALL SELECT * FROM zscore UNION ALL SELECT * FROM geo_event",
+    "alerts": "SELECT *, sha256(concat_ws('|', rule, customer_id, event_id, coalesce(CAST(window_start AS VARCHAR), ''), coalesce(CAST(window_end AS VARCHAR), ''))) AS alert_id FROM alert_raw",
+    "alerts_kept": "SELECT * FROM alerts a WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE r.customer_id = a.customer_id)",
+    "fsum": """SELECT customer_id, count(DISTINCT CASE WHEN rule = 'VELOCITY' THEN alert_id END) AS velocity_alerts, count(DISTINCT CASE WHEN rule = 'AMOUNT_ZSCORE' THEN alert_id END) AS zscore_alerts,
+        count(DISTINCT CASE WHEN rule = 'GEO_MISMATCH' THEN alert_id END) AS geo_alerts, round(max(score), 3) AS max_score, max(alerted_at) AS last_alert_at FROM alerts_kept GROUP BY customer_id""",
+    "requests": "SELECT 'req-' || c_custkey AS request_id, 'cust_' || c_custkey AS customer_id, 1735689000.0 + c_custkey % 7 AS requested_at FROM customer WHERE c_custkey % 100 = 7",
+    "audit_log": f"""SELECT request_id, customer_id, requested_at, {NOW} AS completed_at, 'bronze.orders,gold.customer_360' AS layers_touched, 'completed' AS status,
+        substr(sha256(request_id || ':' || customer_id), 1, 16) AS confirmation_hash FROM requests""",
+    "runs": "SELECT o_orderkey AS run_no, 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS run_id, 'check-' || (o_orderkey % 17) AS check_name, o_orderkey % 5 <> 0 AS passed, o_orderpriority AS detail, epoch(o_orderdate) AS checked_at FROM orders",
+    "commands": f"""SELECT 'cmd-' || o_orderkey AS command_id, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'failed' ELSE 'running' END AS status, {NOW} - (o_orderkey % 60) * 86400 AS requested_at,
+        CAST(o_orderkey % 90 AS DOUBLE) AS latency_seconds FROM orders WHERE o_orderkey % 10 = 0""",
+}
+
+
+def with_ctes(body: str) -> str:
+    """The statement behind the common table expressions that it names, directly or through others."""
+    names = [n for n in CTE if re.search(rf"\b{n}\b", body)]
+    need: set[str] = set()
+    while names:
+        n = names.pop()
+        if n not in need:
+            need.add(n)
+            names += [m for m in CTE if m != n and re.search(rf"\b{m}\b", CTE[n])]
+    parts = [f"{n} AS ({CTE[n]})" for n in CTE if n in need]
+    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+
+
+def query(sql: str | None = None):
+    """Register a function under its name, with its SQL."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = with_ctes(sql)
+        return f
+
+    return put
+
+
+def _base(spark, d):
+    return adapters.orders_placed(spark, d), adapters.payments_processed(spark, d), adapters.suppression_registry(spark, d)
+
+
+def _gold(spark, d):
+    o, _, r = _base(spark, d)
+    return gold.customer_360(silver.silver_customers(o, r), silver.silver_orders(o, r), r)
+
+
+def _alerts(spark, d):
+    return fraud.all_alerts(adapters.payments_processed(spark, d), BUCKET)
+
+
+def _fraud_summary(spark, d):
+    return gold.fraud_summary(_alerts(spark, d), adapters.suppression_registry(spark, d))
+
+
+def _requests(spark, d):
+    c = table(spark, d, "customer").where("c_custkey % 100 = 7")
+    return c.select(F.concat(F.lit("req-"), "c_custkey").alias("request_id"), F.concat(F.lit("cust_"), "c_custkey").alias("customer_id"), (F.lit(1735689000.0) + F.col("c_custkey") % 7).alias("requested_at"))
+
+
+def _audit(spark, d):
+    return _requests(spark, d).select("request_id", "customer_id", "requested_at", F.lit(NOW).alias("completed_at"), F.lit("bronze.orders,gold.customer_360").alias("layers_touched"), F.lit("completed").alias("status"), scalars.confirmation_hash("request_id", "customer_id").alias("confirmation_hash"))
+
+
+def _runs(spark, d):
+    o = table(spark, d, "orders")
+    return o.select(
+        F.concat(F.lit("run-"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")).alias("run_id"), F.concat(F.lit("check-"), F.col("o_orderkey") % 17).alias("check_name"), (F.col("o_orderkey") % 5 != 0).alias("passed"),
+        F.col("o_orderpriority").alias("detail"), scalars.epoch_seconds("o_orderdate").alias("checked_at"),
+    )
+
+
+def _commands(spark, d):
+    o = table(spark, d, "orders").where("o_orderkey % 10 = 0")
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "failed").otherwise("running")
+    return o.select(F.concat(F.lit("cmd-"), "o_orderkey").alias("command_id"), status.alias("status"), (NOW - (F.col("o_orderkey") % 60) * 86400).alias("requested_at"), (F.col("o_orderkey") % 90).cast("double").alias("latency_seconds"))
+
+
+# ---------------------------------------------------------------- Silver and Gold
+
+
+@query("SELECT customer_id, country, email_hash, iban_hash, marketing_consent FROM s_customers")
+def silver_customers(spark, d):
+    o, _, r = _base(spark, d)
+    return silver.silver_customers(o, r)
+
+
+@query(f"""SELECT customer_id, sha256('{SALT}:' || arg_max(email, (occurred_at, event_id))) AS email_hash, sha256('{SALT}:' || arg_max(iban, (occurred_at, event_id))) AS iban_hash, min(country) AS country,
+    bool_and(marketing_consent) AS marketing_consent, min(occurred_at) AS first_seen, max(occurred_at) AS last_seen FROM order_kept GROUP BY customer_id""")
+def silver_customers_arg_max(spark, d):
+    o, _, r = _base(spark, d)
+    return silver.silver_customers_arg_max(o, r)
+
+
+@query("SELECT * FROM s_orders")
+def silver_orders(spark, d):
+    o, _, r = _base(spark, d)
+    return silver.silver_orders(o, r)
+
+
+@query("""SELECT order_id, customer_id, amount_eur, country, occurred_at, dedup_count FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at, event_id) AS rn, count(*) OVER (PARTITION BY order_id) AS dedup_count FROM order_kept) WHERE rn = 1""")
+def silver_orders_dedup(spark, d):
+    o, _, r = _base(spark, d)
+    return silver.dedup_first(not_suppressed(o, r), "order_id").select("order_id", "customer_id", "amount_eur", "country", "occurred_at", "dedup_count")
+
+
+@query("""SELECT payment_id, order_id, customer_id, round(amount_eur, 4) AS amount_eur, country, merchant_country, status, occurred_at, dedup_count FROM (SELECT *, row_number() OVER (PARTITION BY payment_id ORDER BY occurred_at, event_id) AS rn,
+    count(*) OVER (PARTITION BY payment_id) AS dedup_count FROM pay_kept) WHERE rn = 1""")
+def silver_payments(spark, d):
+    _, p, r = _base(spark, d)
+    first = silver.dedup_first(not_suppressed(p, r), "payment_id")
+    return first.select("payment_id", "order_id", "customer_id", F.round("amount_eur", 4).alias("amount_eur"), "country", "merchant_country", "status", "occurred_at", "dedup_count")
+
+
+@query(f"SELECT event_id, payment_id, order_id, customer_id, sha256('{SALT}:' || iban) AS iban_hash, country, merchant_country, round(amount_eur, 4) AS amount_eur, status, occurred_at FROM pay_new WHERE iban_ok AND amount_eur >= 0")
+def silver_payments_pseudonymised(spark, d):
+    _, p, r = _base(spark, d)
+    return silver.silver_payments(p, r).withColumn("amount_eur", F.round("amount_eur", 4))
+
+
+@query("SELECT sha256('event|' || event_id) AS quarantine_id, event_id, customer_id, 'IBAN_MOD97_FAILED' AS quarantine_reason, occurred_at FROM order_new WHERE NOT iban_ok")
+def orders_quarantine(spark, d):
+    o, _, r = _base(spark, d)
+    return silver.orders_quarantine(o, r)
+
+
+@query("SELECT sha256('event|' || event_id) AS quarantine_id, event_id, customer_id, 'IBAN_MOD97_FAILED' AS quarantine_reason, occurred_at FROM pay_new WHERE NOT iban_ok")
+def payments_quarantine(spark, d):
+    _, p, r = _base(spark, d)
+    return silver.payments_quarantine(p, r)
+
+
+@query("SELECT * FROM c360")
+def customer_360(spark, d):
+    return _gold(spark, d)
+
+
+@query(f"""SELECT c.customer_id, coalesce(t.n, 0) AS total_orders, round(coalesce(t.total, 0.0), 2) AS total_spend_eur, coalesce(round(t.total, 2) / t.n, 0.0) AS avg_order_value_eur, c.marketing_consent,
+    coalesce(f.flag, FALSE) AS fraud_flag, c.last_seen, c.marketing_consent AS consents_marketing
+    FROM (SELECT customer_id, bool_and(marketing_consent) AS marketing_consent, max(occurred_at) AS last_seen FROM order_kept GROUP BY customer_id) c
+    LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n, sum(amount_eur) AS total FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at, event_id) AS rn FROM order_kept) WHERE rn = 1 GROUP BY customer_id) t USING (customer_id)
+    LEFT JOIN (SELECT customer_id, count(*) > 0 AS flag FROM zscore GROUP BY customer_id) f USING (customer_id)""")
+def customer_360_local(spark, d):
+    o, p, r = _base(spark, d)
+    return gold.customer_360_local(silver.silver_customers_arg_max(o, r), silver.dedup_first(not_suppressed(o, r), "order_id"), fraud.zscore(p), r)
+
+
+@query("""SELECT o.order_id, o.customer_id, o.amount_eur, o.country, o.occurred_at, c.consents_marketing FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at DESC, event_id DESC) AS rk FROM s_orders) o JOIN c360 c USING (customer_id) WHERE rk = 1""")
+def order_facts(spark, d):
+    o, _, r = _base(spark, d)
+    orders = silver.silver_orders(o, r)
+    return gold.order_facts(orders, gold.customer_360(silver.silver_customers(o, r), orders, r), r)
+
+
+# ---------------------------------------------------------------- fraud
+
+
+@query("SELECT customer_id, rule, score, event_id, alerted_at, window_start, window_end FROM velocity")
+def fraud_velocity(spark, d):
+    return fraud.velocity(adapters.payments_processed(spark, d), BUCKET).drop("alert_id")
+
+
+@query("SELECT customer_id, rule, round(score, 3) AS score, event_id, alerted_at FROM zscore")
+def fraud_zscore(spark, d):
+    return fraud.zscore(adapters.payments_processed(spark, d)).select("customer_id", "rule", F.round("score", 3).alias("score"), "event_id", "alerted_at")
+
+
+@query("SELECT customer_id, rule, event_id, alerted_at FROM geo_event")
+def fraud_geo_event(spark, d):
+    return fraud.geo_mismatch(adapters.payments_processed(spark, d)).select("customer_id", "rule", "event_id", "alerted_at")
+
+
+@query("SELECT customer_id, rule, event_id, alerted_at, window_start, window_end FROM geo_window")
+def fraud_geo_window(spark, d):
+    found = fraud.geo_mismatch(adapters.payments_processed(spark, d), "window", BUCKET, "region", "merchant_region")
+    return found.select("customer_id", "rule", "event_id", "alerted_at", "window_start", "window_end")
+
+
+@query("SELECT alert_id, rule, event_id FROM alerts")
+def fraud_alert_ids(spark, d):
+    return _alerts(spark, d).select("alert_id", "rule", "event_id")
+
+
+@query("SELECT customer_id, rule, count(*) AS alert_count, max(alerted_at) AS last_alert FROM alerts_kept GROUP BY customer_id, rule")
+def fraud_summary_by_rule(spark, d):
+    return gold.fraud_summary_by_rule(_alerts(spark, d), adapters.suppression_registry(spark, d))
+
+
+@query("SELECT * FROM fsum")
+def fraud_summary_pivot(spark, d):
+    return _fraud_summary(spark, d)
+
+
+# ---------------------------------------------------------------- reports
+
+
+@query("""SELECT country, count(*) AS customer_count, count(*) FILTER (consents_marketing) AS opted_in_count, count(*) FILTER (NOT consents_marketing) AS opted_out_count,
+    round(100.0 * count(*) FILTER (consents_marketing) / nullif(count(*), 0), 1) AS consent_rate_pct FROM c360 GROUP BY country""")
+def consent_by_country(spark, d):
+    return reports.consent_by_country(_gold(spark, d))
+
+
+@query("""SELECT c.customer_id, c.country, c.order_count, c.lifetime_spend_eur, c.lifetime_spend_eur / nullif(c.order_count, 0) AS average_order_value_eur, c.consents_marketing AS marketing_consent,
+    coalesce(f.velocity_alerts, 0) AS velocity_alerts, coalesce(f.zscore_alerts, 0) AS zscore_alerts, coalesce(f.geo_alerts, 0) AS geo_alerts,
+    coalesce(f.velocity_alerts, 0) + coalesce(f.zscore_alerts, 0) + coalesce(f.geo_alerts, 0) AS fraud_alert_count, f.last_alert_at, FALSE AS suppressed, c.last_order_at
+    FROM c360 c LEFT JOIN fsum f USING (customer_id) WHERE contains(lower(c.customer_id), 'cust_1')""")
+def customers_report(spark, d):
+    return reports.customers_report(_gold(spark, d), _fraud_summary(spark, d), adapters.suppression_registry(spark, d), search="CUST_1")
+
+
+@query(f"""SELECT * FROM (SELECT count(*) AS customer_count, count(*) FILTER (consents_marketing) AS consented_customers, round(sum(lifetime_spend_eur), 2) AS lifetime_spend_eur, max(last_order_at) AS latest_order_at FROM c360),
+    (SELECT sum(velocity_alerts)::BIGINT AS velocity_alerts, sum(zscore_alerts)::BIGINT AS zscore_alerts, sum(geo_alerts)::BIGINT AS geo_alerts, max(last_alert_at) AS latest_alert_at, sum(velocity_alerts + zscore_alerts + geo_alerts)::BIGINT AS fraud_alert_count FROM fsum),
+    (SELECT round(avg(passed::INT), 4) AS quality_pass_rate, max(checked_at) AS last_quality_check_at FROM runs WHERE checked_at >= {NOW} - 86400 * 10000),
+    (SELECT count(*) AS erasure_requests, count(*) FILTER (status = 'completed') AS completed_erasures, count(*) FILTER (status = 'failed') AS failed_erasures, round(avg(latency_seconds), 3) AS average_latency_seconds FROM commands WHERE requested_at >= {NOW} - 30 * 86400),
+    (SELECT count(DISTINCT customer_id) AS suppressed_customers FROM registry)""")
+def overview_kpis(spark, d):
+    runs = _runs(spark, d).withColumn("checked_at", F.col("checked_at"))
+    shifted = runs.withColumn("checked_at", F.col("checked_at") + 86400 * 9999)  # the test runs are old: their day is moved near now
+    out = reports.overview_kpis(_gold(spark, d), _fraud_summary(spark, d), shifted, _commands(spark, d), adapters.suppression_registry(spark, d), NOW)
+    return out.withColumn("last_quality_check_at", F.col("last_quality_check_at") - 86400 * 9999)
+
+
+@query("SELECT *, velocity_alerts + zscore_alerts + geo_alerts AS total_alerts FROM fsum WHERE velocity_alerts + zscore_alerts + geo_alerts > 0 ORDER BY total_alerts DESC, last_alert_at DESC, customer_id LIMIT 100")
+def top_fraud_customers(spark, d):
+    return reports.top_fraud_customers(_fraud_summary(spark, d))
+
+
+@query("""SELECT customer_id, coalesce(max(n) FILTER (t = 'o'), 0) AS silver_orders_rows, coalesce(max(n) FILTER (t = 'p'), 0) AS silver_payments_rows, coalesce(max(n) FILTER (t = 'c'), 0) AS gold_customer_360_rows, FALSE AS already_suppressed
+    FROM (SELECT 'o' AS t, customer_id, count(*) AS n FROM s_orders GROUP BY customer_id UNION ALL SELECT 'p', customer_id, count(*) FROM pay_new WHERE iban_ok GROUP BY customer_id UNION ALL SELECT 'c', customer_id, 1 FROM c360) GROUP BY customer_id""")
+def erasure_impact(spark, d):
+    o, p, r = _base(spark, d)
+    t = {"silver.orders": silver.silver_orders(o, r), "silver.payments": silver.silver_payments(p, r), "gold.customer_360": _gold(spark, d)}
+    return reports.erasure_impact(reports.erasure_impact_counts(t), r, list(t))
+
+
+@query("SELECT check_name, passed, detail, checked_at FROM (SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY checked_at DESC, run_id DESC) AS r FROM runs) WHERE r = 1")
+def quality_latest(spark, d):
+    return reports.quality_latest(_runs(spark, d))
+
+
+@query("SELECT status, count(*) AS requests, round(avg(latency_seconds), 3) AS mean_latency_s, round(max(latency_seconds), 3) AS max_latency_s, count(*) FILTER (latency_seconds > 60) AS breaches FROM commands GROUP BY status")
+def erasure_sla(spark, d):
+    return reports.erasure_sla(_commands(spark, d).withColumn("completed_at", F.col("requested_at") + F.col("latency_seconds")))
+
+
+@query("""SELECT CAST(w AS BIGINT) AS window_start, count(*) AS requests, count(*) FILTER (status >= 500) AS errors, round(1 - count(*) FILTER (status >= 500) / count(*), 6) AS success_ratio, round(count(*) FILTER (status >= 500) / count(*) / (1 - 0.99::DOUBLE), 4) AS burn_rate,
+    round(greatest(0.0, least(1.0, 1 - count(*) FILTER (status >= 500) / count(*) / (1 - 0.99::DOUBLE))), 4) AS budget_left
+    FROM (SELECT *, floor(at_s / 43200) * 43200 - k * 43200 AS w FROM request_log, (VALUES (0), (1)) v(k)) GROUP BY w""")
+def slo_window(spark, d):
+    return reports.slo_windows(adapters.request_log(spark, d))
+
+
+@query("SELECT endpoint, round(avg(latency_ms), 4) AS mean, round(quantile_cont(latency_ms, 0.5), 4) AS median, round(quantile_cont(latency_ms, 0.95), 4) AS p95, min(latency_ms) AS least, max(latency_ms) AS most FROM request_log GROUP BY endpoint")
+def latency_percentiles(spark, d):
+    return reports.latency_percentiles(adapters.request_log(spark, d))
+
+
+@query("SELECT endpoint, count(*) AS requests, count(*) FILTER (status >= 500) AS server_errors, quantile_disc(latency_ms, 0.5) AS p50, quantile_disc(latency_ms, 0.95) AS p95, quantile_disc(latency_ms, 0.99) AS p99, max(latency_ms) AS most, count(*) FILTER (status >= 500) = 0 AS passed FROM request_log GROUP BY endpoint")
+def latency_nearest_rank(spark, d):
+    return reports.latency_nearest_rank(adapters.request_log(spark, d))
+
+
+@query("SELECT 'bronze.orders' AS table_name, count(*) AS row_count FROM order_ev UNION ALL SELECT 'bronze.payments', count(*) FROM pay_ev UNION ALL SELECT 'bronze.clicks', count(*) FROM click_ev UNION ALL SELECT 'silver.orders', count(*) FROM s_orders UNION ALL SELECT 'gold.customer_360', count(*) FROM c360")
+def table_counts(spark, d):
+    o, p, r = _base(spark, d)
+    return reports.table_counts({"bronze.orders": o, "bronze.payments": p, "bronze.clicks": adapters.page_clicks(spark, d), "silver.orders": silver.silver_orders(o, r), "gold.customer_360": _gold(spark, d)})
+
+
+@query("SELECT run_id, check_name, passed, detail, checked_at FROM runs ORDER BY checked_at DESC, run_id LIMIT 50")
+def most_recent_runs(spark, d):
+    return reports.most_recent(_runs(spark, d), "checked_at", "run_id", 50)
+
+
+# ---------------------------------------------------------------- quality
+
+
+@query("SELECT 'unique:bronze.orders.event_id' AS check_name, count(*) FILTER (n > 1) = 0 AS passed, count(*) FILTER (n > 1) || ' duplicate keys' AS detail FROM (SELECT count(*) AS n FROM order_ev GROUP BY event_id) UNION ALL SELECT 'unique:silver.orders.event_id', TRUE, '0 duplicate keys'")
+def dq_uniqueness(spark, d):
+    o, _, r = _base(spark, d)
+    return quality.uniqueness(o, "event_id", "bronze.orders").unionByName(quality.uniqueness(silver.silver_orders(o, r), "event_id", "silver.orders", allow_empty=False))
+
+
+@query("""SELECT 'pii_not_clear:silver.customers.email_hash' AS check_name, TRUE AS passed, '0 of ' || count(*) AS detail FROM s_customers UNION ALL SELECT 'pii_not_clear:silver.customers.iban_hash', TRUE, '0 of ' || count(*) FROM s_customers
+    UNION ALL SELECT 'pii_not_clear:bronze.orders.email', FALSE, count(*) || ' of ' || count(*) FROM order_ev""")
+def dq_pii_not_clear(spark, d):
+    o, _, r = _base(spark, d)
+    return quality.pii_not_clear(silver.silver_customers(o, r), ["email_hash", "iban_hash"], "silver.customers").unionByName(quality.pii_not_clear(o, ["email"], "bronze.orders"))
+
+
+@query("SELECT 'consent_mirror:gold.customer_360' AS check_name, TRUE AS passed, '0 rows differ' AS detail")
+def dq_consent(spark, d):
+    return quality.consent_mirror(_gold(spark, d), "gold.customer_360")
+
+
+@query("SELECT 'referential:silver.orders.customer_id' AS check_name, count(*) = 0 AS passed, count(*) || ' orphans' AS detail FROM order_kept o WHERE NOT EXISTS (SELECT 1 FROM s_customers c WHERE c.customer_id = o.customer_id)")
+def dq_referential(spark, d):
+    o, _, r = _base(spark, d)
+    return quality.referential(not_suppressed(o, r), silver.silver_customers(o, r), "customer_id", "silver.orders")
+
+
+@query("SELECT 'suppression:bronze.orders' AS check_name, count(*) = 0 AS passed, count(*) || ' suppressed rows' AS detail FROM order_ev JOIN registry USING (customer_id) UNION ALL SELECT 'suppression:silver.orders', TRUE, '0 suppressed rows'")
+def dq_suppression(spark, d):
+    o, _, r = _base(spark, d)
+    return quality.suppression_enforced({"bronze.orders": o, "silver.orders": silver.silver_orders(o, r)}, r)
+
+
+@query(f"SELECT 'freshness:bronze.orders' AS check_name, {NOW} - max(occurred_at) <= 3600 AS passed, CAST(floor({NOW} - max(occurred_at)) AS BIGINT) || ' s old' AS detail FROM order_ev UNION ALL SELECT 'freshness:bronze.clicks', {NOW} - max(occurred_at) <= 3600, CAST(floor({NOW} - max(occurred_at)) AS BIGINT) || ' s old' FROM click_ev")
+def dq_freshness(spark, d):
+    return quality.freshness({"bronze.orders": (adapters.orders_placed(spark, d), "occurred_at"), "bronze.clicks": (adapters.page_clicks(spark, d), "occurred_at")}, NOW)
+
+
+@query("""SELECT 'volume:' || t AS check_name, CASE WHEN b IS NULL OR b = 0 THEN TRUE WHEN n = 0 THEN FALSE ELSE (b - n) * 100.0 / b <= 50 END AS passed, coalesce(CAST(b AS VARCHAR), 'baseline') || ' -> ' || n AS detail
+    FROM (SELECT country AS t, count(*) AS n, any_value(b) AS b FROM order_ev LEFT JOIN (SELECT merchant_country AS country, count(*) AS b FROM pay_ev GROUP BY 1) USING (country) GROUP BY country)""")
+def dq_volume(spark, d):
+    now = adapters.orders_placed(spark, d).groupBy(F.col("country").alias("table_name")).agg(F.count("*").alias("row_count"))
+    before = adapters.payments_processed(spark, d).groupBy(F.col("merchant_country").alias("table_name")).agg(F.count("*").alias("row_count")).withColumn("checked_at", F.lit(1.0))
+    return quality.volume(now, before)
+
+
+@query("SELECT 'k_anonymity:silver.customers' AS check_name, min(n) >= 2 AS passed, 'least ' || min(n) || ' in ' || count(*) || ' groups' AS detail FROM (SELECT count(DISTINCT customer_id) AS n FROM s_customers GROUP BY country, marketing_consent)")
+def dq_k_anonymity(spark, d):
+    o, _, r = _base(spark, d)
+    return quality.k_anonymity(silver.silver_customers(o, r), ["country", "marketing_consent"], "silver.customers", 2)
+
+
+@query("SELECT 'expect:bronze.payments.positive' AS check_name, count(*) FILTER (NOT amount_eur > 1000) = 0 AS passed, count(*) FILTER (NOT amount_eur > 1000) || ' of ' || count(*) AS detail FROM pay_ev UNION ALL SELECT 'expect:bronze.payments.status', TRUE, '0 of ' || count(*) FROM pay_ev")
+def dq_expectations(spark, d):
+    return quality.expect(adapters.payments_processed(spark, d), {"positive": "amount_eur > 1000", "status": "status IN ('authorized', 'declined', 'captured')"}, "bronze.payments")
+
+
+# ---------------------------------------------------------------- functions, privacy, contracts
+
+
+@query("SELECT customer_id, iban, iban_ok AS valid FROM cust")
+def iban_valid(spark, d):
+    return adapters.customers(spark, d).select("customer_id", "iban", scalars.is_valid_iban("iban").alias("valid"))
+
+
+@query(f"SELECT customer_id, sha256('{SALT}:' || email) AS email_hash FROM cust")
+def hash_pii(spark, d):
+    return adapters.customers(spark, d).select("customer_id", scalars.hash_pii("email").alias("email_hash"))
+
+
+@query("SELECT 'bronze.orders' AS table_name, 'email' AS column_name, 'EMAIL' AS pii_tags UNION ALL SELECT 'bronze.orders', 'iban', 'IBAN'")
+def classify_columns(spark, d):
+    o = adapters.orders_placed(spark, d).select("email", "iban", "amount_eur", "order_id")
+    return privacy.classify_columns(o, "bronze.orders").withColumn("pii_tags", F.array_join("pii_tags", ","))
+
+
+@query(r"""SELECT * FROM (SELECT doc_id, len(regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})')) AS emails, len(regexp_extract_all(text, '\b([0-9]{1,3}(?:\.[0-9]{1,3}){3})\b')) AS ips,
+    len(regexp_extract_all(text, '(\+[0-9][0-9\s().-]{7,})')) AS phones, len(regexp_extract_all(text, '\b([A-Z]{2}[0-9]{2}[A-Z0-9]{11,30})\b')) AS ibans FROM documents) WHERE emails + ips + phones + ibans > 0""")
+def pii_free_text(spark, d):
+    return privacy.free_text_pii(table(spark, d, "documents"))
+
+
+def _json_orders(spark, d):
+    """Order events as JSON text, some of them broken on purpose."""
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    body = F.to_json(
+        F.struct(
+            F.when(k % 13 != 1, F.concat(F.lit("ord-"), k)).alias("event_id"), F.when(k % 13 == 2, "page_click").otherwise("order_placed").alias("event_type"), F.when(k % 13 == 3, 0.0).otherwise(scalars.epoch_seconds("o_orderdate")).alias("occurred_at"),
+            k.cast("string").alias("order_id"), F.concat(F.lit("cust_"), "o_custkey").alias("customer_id"), F.when(k % 13 != 4, "a@example.com").alias("email"), F.lit("DE00").alias("iban"), F.lit("DE").alias("country"),
+            F.when(k % 13 == 5, -1.0).otherwise(F.col("o_totalprice")).alias("amount_eur"), (k % 7 != 0).alias("marketing_consent"),
+        )
+    )
+    return o.select(k.alias("o_orderkey"), F.when(k % 13 == 6, F.concat(F.lit("{"), body)).otherwise(body).alias("value"))
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 13 WHEN 6 THEN 'JSON_PARSE_ERROR' WHEN 1 THEN 'EVENT_ID_MISSING' WHEN 2 THEN 'EVENT_TYPE_MISMATCH' WHEN 4 THEN 'REQUIRED_FIELD_MISSING' WHEN 5 THEN 'BUSINESS_RULE_FAILED' WHEN 3 THEN 'INVALID_OCCURRED_AT' END AS quarantine_reason,
+    o_orderkey % 13 BETWEEN 1 AND 6 AS _is_malformed, 'cust_' || o_custkey AS customer_id FROM orders""")
+def contract_status(spark, d):
+    parsed = contracts.parse(_json_orders(spark, d), "order_placed")
+    rows = contracts.contract_status(contracts.with_lineage(contracts.recover_ids(contracts.normalise(parsed)), "test"), "order_placed")
+    return rows.select("o_orderkey", "quarantine_reason", "_is_malformed", "customer_id")
+
+
+@query("""SELECT 'part' AS topic, p_partkey % 97 AS field, CASE WHEN p_partkey % 97 % 5 = 0 THEN 'REQUIRED_FIELD_REMOVED' WHEN p_partkey % 97 % 5 = 1 THEN 'TYPE_CHANGED' ELSE 'REQUIRED_MADE_OPTIONAL' END AS change FROM part WHERE p_partkey % 97 % 5 <= 2 GROUP BY ALL""")
+def contract_drift(spark, d):
+    base = table(spark, d, "part").select(F.lit("part").alias("topic"), (F.col("p_partkey") % 97).alias("field"), F.lit("string").alias("type"), F.lit(True).alias("required")).distinct()
+    case = F.col("field") % 5
+    now = base.where(case != 0).select("topic", "field", F.when(case == 1, "double").otherwise("string").alias("type"), (case != 2).alias("required"))
+    return contracts.contract_drift(base, now).withColumn("field", F.col("field").cast("long"))
+
+
+@query("SELECT customer_id, '<masked>' AS email, '<masked>' AS iban, country FROM cust WHERE country <> 'FRANCE'")
+def masked_view(spark, d):
+    return privacy.masked_view(adapters.customers(spark, d).select("customer_id", "email", "iban", "country"), ["email", "iban"], False, "country = 'FRANCE'")
+
+
+@query("SELECT event_id, customer_id FROM order_kept")
+def suppression_antijoin(spark, d):
+    o, _, r = _base(spark, d)
+    return not_suppressed(o, r).select("event_id", "customer_id")
+
+
+# ---------------------------------------------------------------- incremental
+
+#: Rows from here on count as new ones.
+CUT = 883_612_800.0  # 1998-01-01
+
+
+@query(f"SELECT customer_id FROM order_ev WHERE occurred_at > {CUT} UNION SELECT customer_id FROM zscore WHERE alerted_at > {CUT}")
+def affected_customers(spark, d):
+    o, p, _ = _base(spark, d)
+    return incremental.affected_customers(incremental.changed_since(o, CUT, "occurred_at"), incremental.changed_since(fraud.zscore(p), CUT, "alerted_at"))
+
+
+@query("SELECT customer_id, country, email_hash, iban_hash, marketing_consent FROM s_customers")
+def incremental_silver(spark, d):
+    """Silver customers as of the cut, brought up to date: equal to the full build."""
+    o, _, r = _base(spark, d)
+    old = silver.silver_customers(o.where(F.col("occurred_at") <= CUT), r)
+    affected = incremental.affected_customers(incremental.changed_since(o, CUT, "occurred_at"))
+    return incremental.rebuild(old, o, affected, lambda rows: silver.silver_customers(rows, r), r)
+
+
+@query("SELECT * FROM c360")
+def incremental_gold(spark, d):
+    o, _, r = _base(spark, d)
+    build = lambda rows: gold.customer_360(silver.silver_customers(rows, r), silver.silver_orders(rows, r), r)
+    affected = incremental.affected_customers(incremental.changed_since(o, CUT, "occurred_at"))
+    return incremental.rebuild(build(o.where(F.col("occurred_at") <= CUT)), o, affected, build, r)
+
+
+# ---------------------------------------------------------------- erasure, audit, tables
+
+
+@query("SELECT e.event_id, e.customer_id, CASE WHEN r.customer_id IS NULL THEN e.email ELSE '<anonymized>' END AS email, CASE WHEN r.customer_id IS NULL THEN e.iban ELSE '<anonymized>' END AS iban, e.occurred_at FROM order_ev e LEFT JOIN requests r USING (customer_id)")
+def erase_bronze_mask(spark, d):
+    return erasure.mask(adapters.orders_placed(spark, d), _requests(spark, d), ["email", "iban"]).select("event_id", "customer_id", "email", "iban", "occurred_at")
+
+
+@query("SELECT * FROM c360 WHERE customer_id NOT IN (SELECT customer_id FROM requests)")
+def erase_gold(spark, d):
+    return erasure.delete(_gold(spark, d), _requests(spark, d))
+
+
+@query("SELECT customer_id, min(added_at) AS added_at FROM (SELECT customer_id, added_at FROM registry UNION ALL SELECT customer_id, requested_at FROM requests) GROUP BY customer_id")
+def suppress_requests(spark, d):
+    return suppress(adapters.suppression_registry(spark, d), _requests(spark, d).select("customer_id", F.col("requested_at").alias("added_at")))
+
+
+@query("""SELECT q.customer_id, TRUE AS suppressed, 0 AS bronze_orders, coalesce(n, 0) AS gold_customer_360, 1 AS audits, coalesce(n, 0) = 0 AS passed FROM requests q LEFT JOIN (SELECT customer_id, count(*) AS n FROM c360 GROUP BY customer_id) USING (customer_id)""")
+def verify_erasure(spark, d):
+    """Bronze is masked and the registry written, but Gold is not yet rebuilt: the proof finds those rows."""
+    req, reg = _requests(spark, d), adapters.suppression_registry(spark, d)
+    after, registry, log = erasure.erase({"bronze.orders": adapters.orders_placed(spark, d)}, reg, req, NOW)
+    return erasure.verify_erasure(req, registry, {**after, "gold.customer_360": _gold(spark, d)}, log)
+
+
+@query("SELECT 'silver.orders' AS table_name, count(*) AS row_count, count(*) = 0 AS passed FROM s_orders JOIN requests USING (customer_id) UNION ALL SELECT 'gold.customer_360', 0, TRUE")
+def verify_refresh(spark, d):
+    o, _, r = _base(spark, d)
+    req = _requests(spark, d)
+    return erasure.verify_refresh(req, {"silver.orders": silver.silver_orders(o, r), "gold.customer_360": erasure.delete(_gold(spark, d), req)})
+
+
+@query("""SELECT alert_id, customer_id, rule, event_id, alerted_at + CASE WHEN rule = 'VELOCITY' THEN 5.0 ELSE 0.0 END AS alerted_at FROM alerts a WHERE rule IN ('VELOCITY', 'AMOUNT_ZSCORE') AND (rule = 'AMOUNT_ZSCORE' OR NOT EXISTS (SELECT 1 FROM registry r WHERE r.customer_id = a.customer_id))""")
+def merge_alerts(spark, d):
+    _, p, r = _base(spark, d)
+    cols = ["alert_id", "customer_id", "rule", "event_id", "alerted_at"]
+    old = fraud.zscore(p).select(*cols)
+    batch = fraud.velocity(p, BUCKET).withColumn("alerted_at", F.col("alerted_at") + 5.0).select(*cols)
+    older = fraud.zscore(p).withColumn("alerted_at", F.col("alerted_at") - 1.0).select(*cols)
+    return tables.merge_alerts(old, batch.unionByName(older).unionByName(batch), r)
+
+
+@query("SELECT 'orders' AS table_name, count(*) AS rows_primary, count(*) AS rows_copy, TRUE AS matches FROM orders UNION ALL SELECT 'customer', count(*), count(*) FILTER (c_custkey % 3 <> 0), FALSE FROM customer UNION ALL SELECT 'part', count(*), NULL, FALSE FROM part")
+def reconcile_tables(spark, d):
+    o, c, p = (table(spark, d, t) for t in ("orders", "customer", "part"))
+    return tables.reconcile({"orders": o, "customer": c, "part": p}, {"orders": o.repartition(3), "customer": c.where("c_custkey % 3 <> 0")})
+
+
+@query("SELECT request_id, 'status' AS difference FROM audit_log WHERE customer_id LIKE '%107' UNION ALL SELECT request_id, 'MISSING_IN_CHAIN' FROM audit_log WHERE customer_id LIKE '%207'")
+def audit_crosscheck(spark, d):
+    log = _audit(spark, d)
+    copy = log.where(~F.col("customer_id").like("%207")).withColumn("status", F.when(F.col("customer_id").like("%107"), "failed").otherwise(F.col("status")))
+    return audit.cross_check(log, copy)
+
+
+@query("""SELECT o_orderkey AS command_no, 'key-' || (o_orderkey // 3) AS idempotency_key, CASE WHEN n > 1 THEN 'conflict' WHEN kc IS NULL THEN 'new' WHEN kc <> o_custkey THEN 'conflict' ELSE 'replay' END AS outcome
+    FROM (SELECT o.*, count(DISTINCT o_custkey) OVER (PARTITION BY o_orderkey // 3) AS n FROM orders o) o LEFT JOIN (SELECT o_orderkey // 3 AS k, o_custkey + CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 0 END AS kc FROM orders WHERE o_orderkey % 6 = 0) s ON s.k = o.o_orderkey // 3""")
+def replay_identity(spark, d):
+    o = table(spark, d, "orders")
+    key = F.concat(F.lit("key-"), F.floor(F.col("o_orderkey") / 3).cast("long"))
+    incoming = o.select(F.col("o_orderkey").alias("command_no"), key.alias("idempotency_key"), F.col("o_custkey").alias("customer_id"), F.lit("t").alias("ticket_id"))
+    state = o.where("o_orderkey % 6 = 0").select(key.alias("idempotency_key"), (F.col("o_custkey") + F.when(F.col("o_orderkey") % 4 == 0, 1).otherwise(0)).alias("customer_id"), F.lit("t").alias("ticket_id"), F.lit("completed").alias("status"))
+    return erasure.replay_identity(incoming, state).select("command_no", "idempotency_key", "outcome")
+
+
+@query("SELECT request_id, customer_id, CASE WHEN customer_id LIKE '%7' THEN 'completed' ELSE 'pending' END AS status, requested_at FROM requests")
+def request_lifecycle(spark, d):
+    req = _requests(spark, d).withColumn("requested_by", F.lit("dpo")).withColumn("reason", F.lit("GDPR_ARTICLE_17"))
+    return erasure.request_lifecycle(req.unionByName(req.withColumn("requested_at", F.col("requested_at") - 5)), _audit(spark, d)).select("request_id", "customer_id", "status", "requested_at")
+
+
+# ---------------------------------------------------------------- rows only: stateful or chained
+
+
+@query()
+def audit_chain_verify(spark, d):
+    """Problems of a chain over all orders as audit records, with one record in 500 changed afterwards."""
+    o = table(spark, d, "orders")
+    log = o.select(F.concat(F.lit("req-"), "o_orderkey").alias("request_id"), F.concat(F.lit("cust_"), "o_custkey").alias("customer_id"), scalars.epoch_seconds("o_orderdate").alias("requested_at"), scalars.epoch_seconds("o_orderdate").alias("completed_at"), F.lit("gold.customer_360").alias("layers_touched"), F.lit("completed").alias("status"), F.lit("x").alias("confirmation_hash"))
+    chain = audit.build_chain(log)
+    changed = chain.withColumn("payload", F.when(F.crc32("request_id") % 500 == 0, F.replace("payload", F.lit("completed\""), F.lit("failed\""))).otherwise(F.col("payload")))
+    return audit.verify_chain(changed)
+
+
+@query()
+def fraud_stream(spark, d):
+    """Alerts of the stateful scorer over the whole events file as a stream."""
+    from glasslake.streaming import fraud as stream
+
+    root = f"{_work(spark)}/fraud-{uuid.uuid4().hex}"
+    store = tables.TableStore(spark, f"{root}/tables")
+    registry = adapters.suppression_registry(spark, d)
+    stream.run(stream.score(stream.event_payments(spark, d), registry, 86_400), store, lambda: registry, f"{root}/checkpoint").awaitTermination()
+    return store.read("bronze.fraud_alerts")
+
+
+@query()
+def export_verify(spark, d):
+    """Proof rows of a staged export of Silver orders and Gold customers."""
+    o, _, r = _base(spark, d)
+    store = tables.TableStore(spark, f"{_work(spark)}/export-{uuid.uuid4().hex}")
+    return tables.export_lake({"silver.orders": silver.silver_orders(o, r), "gold.customer_360": _gold(spark, d)}, store)
+
+
+@query()
+def dlq_requeue(spark, d):
+    """The erasure intake after its dead letters were put back from the cursor on."""
+    from glasslake.sources.topics import dead_letters, requeue
+
+    dead = table(spark, d, "events").where("event_type = 'error'").select(F.lit("erasure_requests").alias("topic"), F.col("event_id").alias("offset"), F.col("props").alias("value"))
+    cursor = dead.groupBy("topic").agg((F.max("offset") / 2).cast("long").alias("next_offset"))
+    return requeue(dead.limit(0), dead_letters(dead, cursor), cursor)[0]
+
+
+def _work(spark: SparkSession) -> str:
+    """The folder that driver and executors share, or a temporary one where none is named (tests)."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        import tempfile
+
+        named = tempfile.mkdtemp(prefix="glasslake-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    return f"{named.rstrip('/')}/lake"
