@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import texts
+from glasslake.llm.common import slices, texts
 from glasslake.llm.tokens import unit_encoder
 
 BLOCK_IDS = 65_536
@@ -62,8 +62,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, kind: str = "byte",
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=[c.split()[0] for c in _BLOCK.split(", ")])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, "text"):
                 flat, sizes = encoder.encode(part.column(1).to_pylist())
                 first = 0
                 for doc, size in zip(part.column(0).to_pylist(), sizes.tolist(), strict=True):

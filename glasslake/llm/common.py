@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +56,17 @@ def crc_bucket(id_col: str, modulus: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(modulus))
 
 
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20, most_rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about a megabyte of text each (one row at least), to bound what a step holds in memory."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)) if batch.num_rows else []
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = min(at + most_rows, max(at + 1, int(np.searchsorted(ends, before + most_bytes, side="right"))))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 # ---------------------------------------------------------------- forests
 
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import materialize, texts
+from glasslake.llm.common import materialize, slices, texts
 from glasslake.llm.wordhash import Words, mix, windows, words
 
 #: Words of a window, literal words that it must hold, share of an item's windows that makes a match.
@@ -80,8 +80,7 @@ def _window_rows(known: np.ndarray | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, "text"):
                 w, first, h = template_windows(part.column(1))
                 if known is not None:
                     hit = np.flatnonzero(sieve[(h & np.uint64((1 << 21) - 1)).astype(np.int64)])

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import materialize, texts
+from glasslake.llm.common import materialize, slices, texts
 from glasslake.llm.tokens import unit_encoder
 
 WINDOW, END_ID = 4096, 2
@@ -48,8 +48,7 @@ def tokenized(docs: DataFrame, path: str, kind: str = "word", end_id: int = END_
         names = [c.split()[0] for c in _TOKENS.split(", ")]
         types = [pa.int64()] * 5 + [pa.binary()] * 2
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, "text"):
                 flat, sizes = encoder.encode(part.column(1).to_pylist())
                 rows, first = [], 0
                 for doc, n in zip(part.column(0).to_pylist(), sizes.tolist(), strict=True):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import crc_bucket
+from glasslake.llm.common import crc_bucket, slices
 
 #: Words of a passage, hashed shape features, further ratios, hidden size.
 PASSAGE_WORDS, SHAPES, RATIOS, HIDDEN = 64, 64, 8, 24
@@ -144,8 +144,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out:
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, "text"):
                 x, sizes = passage_features(part.column(2).to_pylist())
                 ends = np.append(0, np.cumsum(sizes) * x.shape[1]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))], names=["doc_id", "y", "x"])
@@ -170,8 +169,8 @@ def score_quality(docs: DataFrame, model: GatedAttention | None, text_col: str =
     def score(column):
         for series in column:
             out = [np.array([], float)]
-            for at in range(0, len(series), 256):
-                x, sizes = passage_features([t or "" for t in series.iloc[at : at + 256]])
+            for at in range(0, len(series), 128):
+                x, sizes = passage_features(series.iloc[at : at + 128].tolist())
                 out.append(model.forward(x, sizes)["y"])
             yield pd.Series(np.concatenate(out))
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import components, forest, materialize, run_pairs, texts
+from glasslake.llm.common import components, forest, materialize, run_pairs, slices, texts
 
 SEED = 42
 #: Multipliers of the splitmix64 finaliser, which spreads one 64-bit hash to further words.
@@ -82,8 +82,7 @@ def fingerprint_table(docs: DataFrame, shingle: int = 3, bits: int = 64) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, "text"):
                 hashes = [shingle_hashes(t, shingle) for t in part.column(1).to_pylist()]
                 flat = fingerprints(hashes, words).view(np.int64).ravel()
                 fp = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, words, dtype=np.int32)), pa.array(flat))
@@ -163,8 +162,7 @@ def _list_array(rows: np.ndarray) -> pa.Array:
 def _shingle_sets(shingle: int, with_sets: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, "text"):
                 sets = [np.unique(shingle_hashes(t, shingle)) for t in part.column("text").to_pylist()]
                 fp = _list_array(fingerprints(sets, WIDE_WORDS))
                 if with_sets:

@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import materialize, texts
+from glasslake.llm.common import materialize, slices, texts
 from glasslake.llm.wordhash import mix, text_bytes, words
 
 #: Words that a run of repeated units must hold to be removed.
 LEAST_WORDS = 24
 #: Sentences are also cut behind one word in so many, chosen by the word itself, so that text without stops has units.
 CUT_EVERY = 32
-_UNITS = "doc_id long, unit int, d1 long, d2 int, start int, end int, n_words int"
+_UNITS = "doc_id long, unit int, d1 long, d2 int, start int, end int, n_words int, again boolean"
 _PRIMES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -38,11 +38,11 @@ def _powers(n: int, step: np.uint64) -> np.ndarray:
 
 
 def unit_rows(column: pa.Array, unit: str = "sentence") -> dict[str, np.ndarray]:
-    """doc (number of the text), unit (number in its text), digests, code point offsets and words of every unit."""
+    """doc (number of the text), unit (number in its text), digests, code point offsets, words, and whether the text has it before."""
     w = words(column)
     n = len(w.hash)
     if not n:
-        return {k: np.empty(0, np.int64) for k in ("doc", "unit", "d1", "d2", "start", "end", "n_words")}
+        return {k: np.empty(0, np.int64) for k in ("doc", "unit", "d1", "d2", "start", "end", "n_words", "again")}
     _, bounds = text_bytes(column)
     lines = np.cumsum(w.data == ord("\n"))
     new_line = np.append(True, lines[w.start[1:]] != lines[w.start[:-1]])
@@ -59,17 +59,19 @@ def unit_rows(column: pa.Array, unit: str = "sentence") -> dict[str, np.ndarray]
     doc = w.doc[first]
     base = lead[bounds[doc]]
     number = np.arange(len(first)) - np.searchsorted(doc, doc)
-    return {"doc": doc, "unit": number, "d1": d1.view(np.int64), "d2": (d2 >> np.uint64(32)).astype(np.uint32).view(np.int32), "start": lead[w.start[first]] - base, "end": lead[w.end[first + size - 1]] - base, "n_words": size}
+    order = np.lexsort((np.arange(len(first)), d1, doc))
+    again = np.zeros(len(first), bool)
+    again[order[1:]] = (doc[order[1:]] == doc[order[:-1]]) & (d1[order[1:]] == d1[order[:-1]]) & (d2[order[1:]] == d2[order[:-1]])
+    return {"again": again, "doc": doc, "unit": number, "d1": d1.view(np.int64), "d2": (d2 >> np.uint64(32)).astype(np.uint32).view(np.int32), "start": lead[w.start[first]] - base, "end": lead[w.end[first + size - 1]] - base, "n_words": size}
 
 
 def _units(unit: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for part in slices(batch, "text"):
                 u = unit_rows(part.column(1), unit)
                 ids = part.column(0).to_numpy()
-                small = [pa.array(u[k].astype(np.int32)) for k in ("start", "end", "n_words")]
+                small = [pa.array(u[k].astype(np.int32)) for k in ("start", "end", "n_words")] + [pa.array(u["again"].astype(bool))]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[u["doc"]]), pa.array(u["unit"].astype(np.int32)), pa.array(u["d1"].astype(np.int64)), pa.array(u["d2"].astype(np.int32)), *small], names=[c.split()[0] for c in _UNITS.split(", ")])
 
     return run
@@ -78,15 +80,17 @@ def _units(unit: str):
 def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, start, end (code points, end exclusive), n_words, kept_doc_id of every span to remove.
 
-    kept_doc_id is the document that keeps the first unit of the span.
+    kept_doc_id is the document that keeps the span's first unit (the document itself for a repeat inside it).
+    Repeats inside a document are found where its text is read, so a document joins with one row per digest.
     """
     found = texts(docs).where("doc_id is not null").mapInArrow(_units(unit), _UNITS)
     units = materialize(found, "units")
-    seen = units.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    again = units.join(seen, ["d1", "d2"]).drop("n")
-    # inside the keeping document the first of equal units stays
-    own = Window.partitionBy("doc_id", "d1", "d2").orderBy("unit")
-    extra = again.withColumn("nth", F.row_number().over(own)).where((F.col("doc_id") != F.col("kept_doc_id")) | (F.col("nth") > 1))
+    inside = units.where("again").withColumn("kept_doc_id", F.col("doc_id"))
+    first = units.where("NOT again")
+    seen = first.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    across = first.join(seen, ["d1", "d2"]).where("doc_id <> kept_doc_id")
+    columns = ["doc_id", "unit", "start", "end", "n_words", "kept_doc_id"]
+    extra = inside.select(columns).unionByName(across.select(columns))
     by_doc = Window.partitionBy("doc_id").orderBy("unit")
     runs = extra.withColumn("run", F.col("unit") - F.dense_rank().over(by_doc))
     spans = runs.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"), F.min_by("kept_doc_id", "unit").alias("kept_doc_id"))
