@@ -570,7 +570,7 @@ def fraud_stream(spark, d):
     root = f"{_work(spark)}/fraud-{uuid.uuid4().hex}"
     store = tables.TableStore(spark, f"{root}/tables")
     registry = adapters.suppression_registry(spark, d)
-    stream.run(stream.score(stream.event_payments(spark, d), registry, 86_400), store, lambda: registry, f"{root}/checkpoint").awaitTermination()
+    stream.run(stream.score(stream.event_payments(spark, d), registry, 86_400, expire=False), store, lambda: registry, f"{root}/checkpoint").awaitTermination()
     return store.read("bronze.fraud_alerts")
 
 

@@ -31,11 +31,11 @@ PAYMENT = ["customer_id", "event_id", "occurred_at", "amount_eur", "country", "m
 
 
 class FraudScorer(StatefulProcessor):
-    def __init__(self, size: int = WINDOW_S, geo_scope: str = "event") -> None:
-        self.size, self.geo_scope = size, geo_scope
+    def __init__(self, size: int = WINDOW_S, geo_scope: str = "event", ttl_ms: int | None = None) -> None:
+        self.size, self.geo_scope, self.ttl_ms = size, geo_scope, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("customer", _STATE, TTL_MS)
+        self.state = handle.getValueState("customer", _STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         held = self.state.get() if self.state.exists() else None
@@ -74,11 +74,15 @@ class FraudScorer(StatefulProcessor):
         pass
 
 
-def score(payments: DataFrame, registry: DataFrame, size: int = WINDOW_S, geo_scope: str = "event") -> DataFrame:
-    """Alerts of a payment stream; suppressed customers are dropped before they reach the state."""
+def score(payments: DataFrame, registry: DataFrame, size: int = WINDOW_S, geo_scope: str = "event", expire: bool = True) -> DataFrame:
+    """Alerts of a payment stream; suppressed customers are dropped before they reach the state.
+
+    expire drops a customer's state after a day without payments. That is for continuous runs: processing time keeps
+    asking for another micro-batch, so a run over the rows at hand (availableNow) would not end.
+    """
     payments.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     kept = not_suppressed(payments, registry).select(*PAYMENT)
-    scored = kept.groupBy("customer_id").transformWithState(FraudScorer(size, geo_scope), OUTPUT, "Append", "ProcessingTime")
+    scored = kept.groupBy("customer_id").transformWithState(FraudScorer(size, geo_scope, TTL_MS if expire else None), OUTPUT, "Append", "ProcessingTime" if expire else "None")
     return scored.withColumn("alert_id", alert_id("rule", "customer_id", "event_id", "window_start", "window_end")).select(*COLUMNS)
 
 
