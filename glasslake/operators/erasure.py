@@ -172,3 +172,12 @@ def request_lifecycle(intake: DataFrame, audit: DataFrame) -> DataFrame:
     a = audit.select("request_id", F.col("customer_id").alias("c"), F.col("status").alias("s"), "completed_at", F.col("requested_at").alias("t"))
     both = newest.join(a, "request_id", "full_outer")
     return both.select("request_id", F.coalesce("customer_id", "c").alias("customer_id"), F.coalesce("s", F.lit("pending")).alias("status"), F.coalesce("requested_at", "t").alias("requested_at"), "completed_at", "requested_by", "reason")
+
+
+def filter_requests(lifecycle: DataFrame, status: str | None = None, customer: str | None = None, limit: int = 50, offset: int = 0) -> DataFrame:
+    """A page of requests, newest first."""
+    if status is not None:
+        lifecycle = lifecycle.where(F.col("status") == status)
+    if customer is not None:
+        lifecycle = lifecycle.where(F.col("customer_id") == customer)
+    return lifecycle.orderBy(F.desc("requested_at"), "request_id").offset(offset).limit(limit)

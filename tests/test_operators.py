@@ -210,3 +210,29 @@ def test_replay_twice_is_once(spark):
     cursor = spark.createDataFrame([("t", 2)], "topic string, next_offset long")
     intake, moved = topics.requeue(dead.limit(0), topics.dead_letters(dead, cursor), cursor)
     assert intake.first().value == "b" and moved.first().next_offset == 6
+
+
+def test_sql_surface_and_pages(spark, tmp_path):
+    from glasslake.plans.sql import register_views, run_sql
+
+    store = tables.TableStore(spark, str(tmp_path / "lake"))
+    store.write("silver.customers", spark.createDataFrame([("a", "x@y.zz"), ("b", "b@y.zz")], "customer_id string, email string"))
+    assert register_views(store, ["silver.customers"], {"silver.customers": ["email"]}) == ["silver_customers"]
+    rows = run_sql(spark, "SELECT * FROM silver_customers WHERE customer_id = :id", {"id": "a' OR '1'='1"})
+    assert rows.isEmpty() and run_sql(spark, "SELECT email FROM silver_customers WHERE customer_id = :id", {"id": "a"}).first().email == "<masked>"
+    life = spark.createDataFrame([(f"r{k}", "a", "pending" if k % 2 else "completed", float(k)) for k in range(6)], "request_id string, customer_id string, status string, requested_at double")
+    assert [r.request_id for r in erasure.filter_requests(life, "pending", limit=2, offset=1).collect()] == ["r3", "r1"]
+
+
+def test_pipeline_runs_end_to_end(spark, tmp_path):
+    from glasslake.plans import jobs
+
+    store, out = tables.TableStore(spark, str(tmp_path / "lake")), tables.TableStore(spark, str(tmp_path / "out"))
+    store.write("bronze.orders", orders(spark, [(str(k), "abcd"[k % 4], "x@y.zz", GOOD, 1.0 + k, True, float(k)) for k in range(8)]))
+    store.write("bronze.payments", pays(spark, [("a", 100 + k, "DE", 1000 + k) for k in range(7)]).withColumn("order_id", F.lit("1")))
+    reg = registry(spark, "d")
+    assert jobs.run_pipeline(store, reg, out, now=1.0) == ["pii", "silver", "gold", "quality", "export"]
+    assert store.read("gold.customer_360").count() == 3 and out.read("gold.fraud_summary").first().velocity_alerts == 1
+    assert store.read("governance.run_log").count() == 5 and jobs.counts(store, ["silver.orders"]).first().row_count == 6
+    filled = tables.seed_from_lake(tables.TableStore(spark, str(tmp_path / "new")), out, ["silver.orders"], registry(spark, "a"))
+    assert filled == ["silver.orders"]
