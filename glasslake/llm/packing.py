@@ -5,8 +5,9 @@ document goes to a sharded BM25 index: shards of bounded size hold documents wit
 document retrieves its unused neighbours of the shard, and they fill the seed's window greedily. The piece that does
 not fit is cut and its rest becomes the next seed, so only the last sequence of a shard is padded.
 
-Document frequencies cover all documents (by token id, so they are bounded by the vocabulary). Shards are cut from a
-range order of (strongest term, doc_id): a term that half of the documents share just fills many shards.
+Document frequencies cover all documents (by token id, so they are bounded by the vocabulary). Documents meet by
+strongest term; a term that many documents hold is dealt to many partitions, and a partition is cut into shards as
+it streams by, so a term that half of the documents share just fills many shards.
 
 Defined results: null and empty texts are one token, the end id; repeated rows are packed once each; rows without an
 id are packed under a null id; an empty table gives no pieces; other columns are ignored.
@@ -151,13 +152,18 @@ def pack(docs: DataFrame, path: str, kind: str = "word", end_id: int = END_ID, w
     mean = float(rests.agg(F.avg("length")).first()[0] or 1.0)
     ids_type = "<u4" if len(frequency) > 65536 else "<u2"
 
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a term that many documents hold is dealt to so many places that each gets a partition's share at most
+    places = np.maximum(1, -(-frequency * parts // n_docs))
+
     def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            topic = []
-            for x in batch.column("ids"):
-                t, n = _terms(np.frombuffer(x.as_py(), ids_type))
+            topic, place = [], []
+            for x in batch.column("ids").to_pylist():
+                t, n = _terms(np.frombuffer(x, ids_type))
                 topic.append(int(t[np.argmax(idf[t] * n / (n + K1))]))
-            yield pa.RecordBatch.from_arrays([pa.array(topic, pa.int32()), *batch.columns], names=["topic", *batch.schema.names])
+                place.append(zlib.crc32(x) % int(places[topic[-1]]))
+            yield pa.RecordBatch.from_arrays([pa.array(topic, pa.int32()), pa.array(place, pa.int32()), *batch.columns], names=["topic", "place", *batch.schema.names])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space, used = TaskContext.get().partitionId() << 38, 0
@@ -184,9 +190,7 @@ def pack(docs: DataFrame, path: str, kind: str = "word", end_id: int = END_ID, w
         if held is not None and len(held):
             yield packed(held)
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed = rests.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(strongest, "topic int, doc_id long, start long, doc_tokens long, ids binary")
-    order = ["topic", "doc_id", "start"]
-    pieces = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(shards, _PIECES)
+    keyed = rests.select("doc_id", "start", "doc_tokens", "ids").mapInArrow(strongest, "topic int, place int, doc_id long, start long, doc_tokens long, ids binary")
+    pieces = keyed.repartition(parts, "topic", "place").sortWithinPartitions("topic", "place", "doc_id", "start").mapInArrow(shards, _PIECES)
     alone = table.where("ids_crc32 is not null").select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return pieces.unionByName(alone)
