@@ -24,7 +24,7 @@ from glasslake.llm.common import materialize, slices, texts
 from glasslake.llm.wordhash import mix, text_bytes, words
 
 #: Words that a run of repeated units must hold to be removed.
-LEAST_WORDS = 24
+LEAST_WORDS = 17
 #: Sentences are also cut behind one word in so many, chosen by the word itself, so that text without stops has units.
 CUT_EVERY = 32
 _UNITS = "doc_id long, unit int, d1 long, d2 int, start int, end int, n_words int, again boolean"
