@@ -30,7 +30,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of each group at a similarity of 0.8 of five-word shingles or more.
 
-    Documents without words stay, rows without an id too; repeated rows of one id are one document.
+    Texts without words (null, empty) are copies of one another; rows without an id stay; repeated rows of one id
+    are one document and stay or go together.
     """
     groups = similar_groups(docs)
     surplus = groups.where("doc_id <> component_id").select("doc_id").distinct()
