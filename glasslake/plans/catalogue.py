@@ -48,16 +48,16 @@ CTE |= {
         FROM (SELECT *, count(amount_eur) OVER w AS n, avg(amount_eur) OVER w AS mean, stddev_samp(amount_eur) OVER w AS sd FROM pay_ev
               WINDOW w AS (PARTITION BY customer_id ORDER BY occurred_at, event_id ROWS BETWEEN 200 PRECEDING AND 1 PRECEDING))
         WHERE n >= 3 AND sd > 0 AND abs(amount_eur - mean) / sd > 3""",
-    "geo_event": "SELECT customer_id, 'GEO_MISMATCH' AS rule, 1.0 AS score, event_id, occurred_at AS alerted_at, CAST(NULL AS BIGINT) AS window_start, CAST(NULL AS BIGINT) AS window_end FROM pay_ev WHERE country <> merchant_country",
-    "geo_window": f"""SELECT customer_id, 'GEO_MISMATCH' AS rule, 1.0 AS score, event_id, occurred_at AS alerted_at, b AS window_start, b + {BUCKET} AS window_end
+    "geo_event": "SELECT customer_id, 'GEO_MISMATCH' AS rule, 1.0::DOUBLE AS score, event_id, occurred_at AS alerted_at, CAST(NULL AS BIGINT) AS window_start, CAST(NULL AS BIGINT) AS window_end FROM pay_ev WHERE country <> merchant_country",
+    "geo_window": f"""SELECT customer_id, 'GEO_MISMATCH' AS rule, 1.0::DOUBLE AS score, event_id, occurred_at AS alerted_at, b AS window_start, b + {BUCKET} AS window_end
         FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, b ORDER BY occurred_at, event_id) AS rn FROM (SELECT *, CAST(floor(occurred_at / {BUCKET}) * {BUCKET} AS BIGINT) AS b FROM pay_ev WHERE region <> merchant_region)) WHERE rn = 1""",
     "alert_raw": "SELECT * FROM velocity UNION ALL SELECT * FROM zscore UNION ALL SELECT * FROM geo_event",
     "alerts": "SELECT *, sha256(concat_ws('|', rule, customer_id, event_id, coalesce(CAST(window_start AS VARCHAR), ''), coalesce(CAST(window_end AS VARCHAR), ''))) AS alert_id FROM alert_raw",
     "alerts_kept": "SELECT * FROM alerts a WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE r.customer_id = a.customer_id)",
     "fsum": """SELECT customer_id, count(DISTINCT CASE WHEN rule = 'VELOCITY' THEN alert_id END) AS velocity_alerts, count(DISTINCT CASE WHEN rule = 'AMOUNT_ZSCORE' THEN alert_id END) AS zscore_alerts,
         count(DISTINCT CASE WHEN rule = 'GEO_MISMATCH' THEN alert_id END) AS geo_alerts, round(max(score), 3) AS max_score, max(alerted_at) AS last_alert_at FROM alerts_kept GROUP BY customer_id""",
-    "requests": "SELECT 'req-' || c_custkey AS request_id, 'cust_' || c_custkey AS customer_id, 1735689000.0 + c_custkey % 7 AS requested_at FROM customer WHERE c_custkey % 100 = 7",
-    "audit_log": f"""SELECT request_id, customer_id, requested_at, {NOW} AS completed_at, 'bronze.orders,gold.customer_360' AS layers_touched, 'completed' AS status,
+    "requests": "SELECT 'req-' || c_custkey AS request_id, 'cust_' || c_custkey AS customer_id, 1735689000.0::DOUBLE + c_custkey % 7 AS requested_at FROM customer WHERE c_custkey % 100 = 7",
+    "audit_log": f"""SELECT request_id, customer_id, requested_at, {NOW}::DOUBLE AS completed_at, 'bronze.orders,gold.customer_360' AS layers_touched, 'completed' AS status,
         substr(sha256(request_id || ':' || customer_id), 1, 16) AS confirmation_hash FROM requests""",
     "runs": "SELECT o_orderkey AS run_no, 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS run_id, 'check-' || (o_orderkey % 17) AS check_name, o_orderkey % 5 <> 0 AS passed, o_orderpriority AS detail, epoch(o_orderdate) AS checked_at FROM orders",
     "commands": f"""SELECT 'cmd-' || o_orderkey AS command_id, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'failed' ELSE 'running' END AS status, {NOW} - (o_orderkey % 60) * 86400 AS requested_at,

@@ -108,6 +108,6 @@ SQL = {
         SELECT 'clk-' || event_id AS event_id, CAST(event_id AS VARCHAR) AS click_id, 'cust_' || user_id AS customer_id,
                concat_ws('.', '10', event_id % 250, (event_id // 250) % 250, user_id % 250) AS ip_address, event_type AS page, epoch(ts) AS occurred_at
         FROM events WHERE event_type IN ('click', 'view')""",
-    "registry": "SELECT 'cust_' || c_custkey AS customer_id, 0.0 AS added_at FROM customer WHERE c_custkey % 50 = 0",
+    "registry": "SELECT 'cust_' || c_custkey AS customer_id, 0.0::DOUBLE AS added_at FROM customer WHERE c_custkey % 50 = 0",
     "request_log": "SELECT event_id, epoch(ts) AS at_s, CASE WHEN event_type = 'error' THEN 503 ELSE 200 END AS status, event_type AS endpoint, value AS latency_ms FROM events",
 }
