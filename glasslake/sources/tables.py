@@ -1,6 +1,8 @@
 """Versioned Parquet tables: each commit writes a new version directory, then moves a pointer file.
 
-Readers never see a half-written version and a path being read is never overwritten. All file work goes through the
+The pointer names the directories that make up the table: a rewrite leaves one, an append adds one, so appends and
+insert-or-ignore never rewrite what is stored. Readers never see a half-written version and a path being read is
+never overwritten. All file work goes through the
 Hadoop file system of the path, so local, HDFS and object-store roots behave alike.
 """
 
@@ -69,13 +71,13 @@ class TableStore:
         at = self.pointer(name)
         if at is None:
             raise FileNotFoundError(name)
-        return self.spark.read.schema(T.StructType.fromJson(at["schema"])).parquet(f"{self._home(name)}/{at['version']}")
+        return self.spark.read.schema(T.StructType.fromJson(at["schema"])).parquet(*[f"{self._home(name)}/{v}" for v in at["versions"]])
 
     def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> dict:
         """Write a new version without showing it yet."""
         version = f"v-{uuid.uuid4().hex}"
         df.write.partitionBy(*(partition_by or [])).option("maxRecordsPerFile", 500_000).parquet(f"{self._home(name)}/{version}")
-        return {"version": version, "schema": df.schema.jsonValue(), "partition_by": partition_by or []}
+        return {"versions": [version], "schema": df.schema.jsonValue(), "partition_by": partition_by or []}
 
     def publish(self, staged: dict[str, dict]) -> None:
         """Show staged versions of several tables: all are written before the first pointer moves."""
@@ -90,7 +92,7 @@ class TableStore:
         """Delete superseded versions; their number."""
         at = self.pointer(name)
         fs, home = self._fs(self._home(name))
-        old = [s.getPath() for s in fs.listStatus(home) if s.isDirectory() and s.getPath().getName() != at["version"]]
+        old = [s.getPath() for s in fs.listStatus(home) if s.isDirectory() and s.getPath().getName() not in at["versions"]]
         for p in old:
             fs.delete(p, True)
         return len(old)
@@ -111,8 +113,7 @@ class TableStore:
         """First row per key wins; keys already stored are untouched."""
         first = first_per_key(df, key, order)
         if self.exists(name):
-            old = self.read(name)
-            first = old.unionByName(first.join(old.select(key), key, "left_anti"), allowMissingColumns=True)
+            return self.append(name, first.join(self.read(name).select(key), key, "left_anti"))
         return self.write(name, first)
 
     def replace_using(self, name: str, df: DataFrame, key: str, order: list[Column]) -> DataFrame:
@@ -121,7 +122,21 @@ class TableStore:
         return self.write(name, first_per_key(both, key, order))
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
-        return self.write(name, self.read(name).unionByName(df, allowMissingColumns=True) if self.exists(name) else df)
+        """Add rows as one more directory; only new columns make the table be written anew."""
+        at = self.pointer(name)
+        if at is None:
+            return self.write(name, df)
+        stored = T.StructType.fromJson(at["schema"])
+        if set(df.columns) - set(stored.fieldNames()):
+            return self.write(name, self.read(name).unionByName(df, allowMissingColumns=True))
+        rows = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in stored.fields])
+        new = self.stage(name, rows, at["partition_by"])
+        self.publish({name: at | {"versions": at["versions"] + new["versions"]}})
+        return self.read(name)
+
+    def compact(self, name: str) -> DataFrame:
+        """One directory again, after many appends."""
+        return self.write(name, self.read(name), self.pointer(name)["partition_by"])
 
     def assert_sink(self, name: str, schema: T.StructType, partition_by: list[str] | None = None) -> None:
         at = self.pointer(name)
@@ -145,6 +160,19 @@ def merge_alerts(target: DataFrame, batch: DataFrame, registry: DataFrame) -> Da
     return first_per_key(both, "alert_id", [F.desc("alerted_at"), F.desc("__new")]).drop("__new")
 
 
+def upsert_alerts(store: TableStore, name: str, batch: DataFrame, registry: DataFrame) -> None:
+    """merge_alerts on a stored table: new alerts are appended, and only a newer form of a stored one rewrites it."""
+    if not store.exists(name):
+        store.write(name, merge_alerts(batch.limit(0), batch, registry))
+        return
+    target = store.read(name)
+    held = target.select("alert_id", F.col("alerted_at").alias("held_at"))
+    if batch.join(held, "alert_id").where("alerted_at > held_at").isEmpty():
+        store.append(name, merge_alerts(batch.limit(0), batch, registry).join(held, "alert_id", "left_anti"))
+    else:
+        store.write(name, merge_alerts(target, batch, registry))
+
+
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
     """Row count and an order-free content checksum; nulls and column names count."""
     row = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"}))
@@ -178,7 +206,7 @@ def export_lake(tables: dict[str, DataFrame], store: TableStore) -> DataFrame:
             raise ValueError(f"{name} may not be exported")
     staged = {name: store.stage(name, df) for name, df in tables.items()}
     for name, df in tables.items():
-        back = store.spark.read.parquet(f"{store._home(name)}/{staged[name]['version']}")
+        back = store.spark.read.parquet(f"{store._home(name)}/{staged[name]['versions'][0]}")
         types = lambda d: [(f.name, f.dataType) for f in d.schema.fields]
         if types(back) != types(df) or back.count() != df.count():
             raise SinkMismatch(f"staged copy of {name} differs")

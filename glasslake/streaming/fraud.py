@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from glasslake.functions.scalars import alert_id
 from glasslake.operators.fraud import COLUMNS, HISTORY, LEAST_HISTORY, VELOCITY, WINDOW_S, Z_LIMIT
 from glasslake.operators.suppression import not_suppressed
-from glasslake.sources.tables import TableStore, merge_alerts
+from glasslake.sources.tables import TableStore, upsert_alerts
 
 #: Event ids and windows that are remembered, life of a customer's state.
 SEEN, WINDOWS, TTL_MS = 2048, 4, 86_400_000
@@ -98,8 +98,7 @@ def run(alerts: DataFrame, store: TableStore, registry, checkpoint: str, table:
 
     def batch(df: DataFrame, _: int) -> None:
         df.persist()
-        target = store.read(table) if store.exists(table) else df.limit(0)
-        store.write(table, merge_alerts(target, df, registry()))
+        upsert_alerts(store, table, df, registry())
         df.unpersist()
 
     w = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(batch)
