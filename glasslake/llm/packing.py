@@ -55,7 +55,7 @@ def tokenized(docs: DataFrame, path: str, kind: str = "word", end_id: int = END_
                 for doc, n in zip(part.column(0).to_pylist(), sizes.tolist(), strict=True):
                     ids = np.append(flat[first : first + n], np.uint32(end_id))
                     first += n
-                    frequency[np.unique(ids)] += 1
+                    frequency[_terms(ids.astype("<u4" if size > 65536 else "<u2"))[0]] += 1
                     full = len(ids) // window * window
                     rows += [(doc, k, window, crc(ids[k : k + window]), len(ids), None, None) for k in range(0, full, window)]
                     if full < len(ids):

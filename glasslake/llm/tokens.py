@@ -32,6 +32,11 @@ _PLAIN = re.compile("[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įı-ňŊ-ſ]+").fullmatch
 _PLAIN_TEXT = re.compile("[ \t\n\r\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įı-ňŊ-ſ]+").fullmatch
 #: Letters, single digits, English endings behind an apostrophe, other signs: the order does not matter between kinds.
 _PIECES = re.compile(r"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\s\w]|_)+").findall
+#: Signs that stand behind words in plain prose, and what else such a text holds after lower-casing. There a space
+#: before each sign is all that splits the words; a sign with something right behind it needs the rules above.
+_STOPS = ",.;:|?!"
+_PROSE = frozenset(" \t\n\rabcdefghijklmnopqrstuvwxyz" + "".join(map(chr, [*range(0xDF, 0xF7), *range(0xF8, 0x100)])) + _STOPS)
+_TIGHT = re.compile(r"[,.;:|?!](?=\S)").search
 _ENCODERS: dict[tuple[str, str], ByteEncoder | WordEncoder] = {}
 
 
@@ -147,9 +152,8 @@ class WordEncoder:
             return self._by_word(texts)
         coded: list[np.ndarray] = [np.array([], np.uint32)] * len(texts)
         for k in plain:
-            pieces = _PIECES(texts[k].lower())
-            if pieces:
-                coded[k] = np.array(self.fast.encode_ordinary(" ".join(pieces) + " "), np.uint32)
+            spaced = self._spaced(texts[k].lower())
+            coded[k] = np.array(self.fast.encode_ordinary(spaced), np.uint32)
         k = min(plain, key=lambda i: abs(len(texts[i]) - 500))
         if coded[k].tolist() != self.tokenizer.encode(texts[k], add_special_tokens=False).ids:
             self.trusted = False
@@ -162,6 +166,18 @@ class WordEncoder:
                 coded[k] = part
         return np.concatenate(coded), np.fromiter(map(len, coded), np.int64, len(coded))
 
+    @staticmethod
+    def _spaced(text: str) -> str:
+        """The text with white space behind every piece; the pattern drops further spaces."""
+        if not _PROSE.issuperset(text) or _TIGHT(text):
+            return " ".join([*_PIECES(text), ""])
+        for white in "\n\t\r":
+            text = text.replace(white, " ")
+        for stop in _STOPS:
+            if stop in text:
+                text = text.replace(stop, f" {stop}")
+        return text + " "
+
     def _by_word(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.index) > KEPT_WORDS:
             self._clear()
