@@ -34,7 +34,7 @@ def op3_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.repeated_spans(_table(spark, sf_dir, "documents"))
+    return substrings.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
 def op5_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,7 +58,15 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds - bounds[0]
 
 
-def words(column: pa.Array) -> Words:
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """First bytes of characters of scripts that set no spaces: kana and Han (lead bytes E3 to E9), Thai and Lao."""
+    lead = (data >= 0xE3) & (data <= 0xE9)
+    lead[:-1] |= (data[:-1] == 0xE0) & (data[1:] >= 0xB8) & (data[1:] <= 0xBB)
+    return lead
+
+
+def words(column: pa.Array, chars: bool = False) -> Words:
+    """Words between white space; with chars each character of a script without spaces is a word of its own."""
     data, bounds = text_bytes(column)
     kind = KIND[data]
     solid = kind != WHITE
@@ -66,6 +74,9 @@ def words(column: pa.Array) -> Words:
     begins[1:] &= ~solid[:-1]
     heads = bounds[:-1][bounds[:-1] < bounds[1:]]
     begins[heads] = solid[heads]
+    if chars and (lead := _unspaced(data)).any():
+        begins |= lead
+        begins[3:] |= lead[:-3] & solid[3:]  # these characters have three bytes
     start = np.flatnonzero(begins)
     if not len(start):
         none = np.empty(0, np.int64)

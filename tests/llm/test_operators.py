@@ -241,6 +241,40 @@ def test_removal_keeps_the_first(spark):
     assert texts[1] == rows[0][1] and texts[2] == "Émile other start.  Other end." and texts[3] == rows[2][1]
 
 
+def test_short_lines_are_removed(spark):
+    rows = [(1, "First text here.\nShare this page.\nLes.\nIts end."), (2, "Second begins so.\nshare this page\nAnother close."), (3, "Third one.\nLes.\nShare this page.\nShare this page.\nOver.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = {r.doc_id: r.text.split() for r in substrings.remove_spans(df, substrings.repeated_passages(df)).collect()}
+    assert texts == {1: rows[0][1].split(), 2: "Second begins so. Another close.".split(), 3: "Third one. Over.".split()}
+
+
+@pytest.mark.parametrize("least", [17, 51])
+def test_passages_are_found_in_full(spark, least):
+    """Without stops and line breaks, at any place, to their first and last word; nothing of the other words goes."""
+    rng = np.random.default_rng(least)
+    rows, want = [], {}
+    for k in range(150):
+        own = [f"a{k}x{i}" for i in range(200)]
+        n = least + k % 3
+        other = [f"b{k}x{i}" for i in range(90)]
+        a, b = int(rng.integers(0, 200 - n)), int(rng.integers(0, 91))
+        rows += [(2 * k, " ".join(own)), (2 * k + 1, " ".join([*other[:b], *own[a : a + n], *other[b:]]))]
+        want[2 * k + 1] = (" ".join(own[a : a + n]), n, 2 * k)
+    wide = "".join(chr(0x4E00 + int(x)) for x in rng.integers(0, 15000, 60))
+    rows += [(900, "甲" + wide + "乙"), (901, "丙丁" + wide + "戊")]
+    want[901] = (wide, 60, 900)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    got = {r.doc_id: (texts[r.doc_id][r.start : r.end], r.n_words, r.kept_doc_id) for r in substrings.repeated_passages(df).collect()}
+    assert got == want
+
+
+def test_passages_of_edge_rows(spark, edge):
+    got = {(r.doc_id, r.n_words, r.kept_doc_id) for r in substrings.repeated_passages(edge).collect()}
+    assert {(d, k) for d, _, k in got} == {(6, 6), (7, 6), (8, 8)} and (7, 36, 6) in got
+    assert substrings.repeated_passages(edge.limit(0)).count() == 0
+
+
 # ---------------------------------------------------------------- 6 secrets
 
 
