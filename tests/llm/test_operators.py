@@ -384,6 +384,21 @@ def test_templates(spark, edge):
     assert decontam.contaminated(edge, items).count() == 0 and decontam.contaminated(edge, items.limit(0)).count() == 0
 
 
+def test_items_with_moved_words_and_without_template(spark):
+    item = "At dawn the baker Maria Lopez counts 12 fresh loaves on the long table, and before the market opens the helper asks how many of these loaves the baker Maria Lopez has sold when 7 of them are left at the very end of the day."
+    short = "What is 12 + 7 - 3 * 4 / 2?"
+    other = item.replace("Maria Lopez", "Anna Field")
+    rows = [
+        (1, item), (2, item.replace("the long table", "the very long table")), (3, item.replace("the long table", "the table")), (4, f"{item} Some words between. {other}"),
+        (5, other.replace("the long table", "the very long table")), (6, item.replace("the long table", "the very long table").replace("the baker Maria Lopez has", "the baker Anna Field has")),
+        (7, f"Now solve: {short} Then go on."), (8, "What is 12 + 7 - 3 * 4 / 3?"), (9, "He said: Name it. And more."), (10, f"{item} More. {item.replace('the baker Maria Lopez has', 'the baker Anna Field has')}"),
+        (11, " ".join(str(k) for k in range(30))), (12, " ".join(str(k) for k in range(29))),
+    ]
+    items = spark.createDataFrame([(1, item), (2, short), (3, "Name it."), (4, " ".join(str(k) for k in range(2, 30)))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (10, 1), (7, 2), (9, 3), (11, 4)}
+
+
 def test_planted_items(spark, monkeypatch):
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     items = {r.item_id: r.text for r in b.collect()}
