@@ -15,6 +15,7 @@ an empty table gives an empty result; columns other than id and text are ignored
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -146,6 +147,8 @@ WIDE_WORDS, KEY_SHIFT = 6, 36
 #: A pair at similarity 0.8 differs in 15 % of the bits on average: three standard deviations more for 100 check bits
 #: and for the whole fingerprint.
 CHECK_BITS, WHOLE_BITS = 26, 77
+#: Few shingles make rough fingerprints: pairs of which one set has up to so many are joined exactly.
+SHORT_SET = 16
 
 
 def _segments(fp: np.ndarray) -> np.ndarray:
@@ -159,7 +162,9 @@ def _list_array(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(rows.view(np.int64).ravel()))
 
 
-def _shingle_sets(shingle: int, with_sets: bool):
+def _shingle_sets(shingle: int, with_sets: bool, most: int = 0):
+    """Fingerprints, with the sets themselves, or with digests and the sets of up to `most` shingles."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -171,7 +176,8 @@ def _shingle_sets(shingle: int, with_sets: bool):
                     yield pa.RecordBatch.from_arrays([part.column("key"), part.column("rep"), fp, flat], names=["key", "rep", "fp", "set"])
                 else:
                     digest = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), digest, fp], names=["doc_id", "digest", "fp"])
+                    short = pa.array([s.view(np.int64) if len(s) <= most else None for s in sets], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), digest, fp, short], names=["doc_id", "digest", "fp", "short"])
 
     return run
 
@@ -243,20 +249,62 @@ def _verify_visit(similarity: float):
     return visit
 
 
+def _prefix_rows(similarity: float, most: int):
+    """Each short set under its first shingles: two sets at the similarity share one of these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(r, np.sort(np.array(s, np.int64).view(np.uint64)).view(np.int64)) for r, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if s]
+            count = np.array([len(s) - math.ceil(similarity * len(s) - 1e-9) + 1 for _, s in rows], np.int64)
+            padded = np.zeros((len(rows), most), np.int64)
+            for k, (_, s) in enumerate(rows):
+                padded[k, : len(s)] = s
+            key = np.concatenate([np.empty(0, np.int64), *(s[:n] for (_, s), n in zip(rows, count, strict=True))])
+            rep, size = np.array([r for r, _ in rows], np.int64), np.array([len(s) for _, s in rows], np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(rep, count)), pa.array(np.repeat(size, count)), _list_array(np.repeat(padded, count, axis=0))], names=["key", "rep", "size", "set"])
+
+    return run
+
+
+def _prefix_visit(similarity: float):
+    def visit(cols, pairs):
+        rep, size, sets = cols["rep"], cols["size"].astype(np.int64), cols["set"]
+        place = np.arange(sets.shape[1])
+        links = _Links()
+        for i, j in pairs:
+            low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+            fits = (low <= SHORT_SET) & (low >= similarity * high - 1e-9)
+            i, j = i[fits], j[fits]
+            for at in range(0, len(i), 4096):
+                a, b = i[at : at + 4096], j[at : at + 4096]
+                same = (sets[a][:, :, None] == sets[b][:, None, :]) & (place < size[a][:, None])[:, :, None] & (place < size[b][:, None])[:, None, :]
+                both = same.sum(axis=(1, 2))
+                ok = both >= similarity * (size[a] + size[b] - both) - 1e-9
+                if ok.any():
+                    links.add(rep[a[ok]], rep[b[ok]])
+        return links.columns()
+
+    return visit
+
+
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id: groups of documents linked at a Jaccard similarity of their shingle sets.
 
     Equal shingle sets are one class (128-bit digest; texts without words are one class). Classes get a 384-bit
     fingerprint: 13 segments of 19 bits are indexed by deletion variants, the rest checks candidates, and the
-    shingle sets themselves decide. Candidates come with the probabilities given at WIDE_SEGMENTS.
+    shingle sets themselves decide. Candidates come with the probabilities given at WIDE_SEGMENTS; pairs with a set of up
+    to SHORT_SET shingles are found exactly, by a shared shingle of their prefixes.
     """
-    table = materialize(texts(docs).where("doc_id is not null").mapInArrow(_shingle_sets(shingle, False), "doc_id long, digest binary, fp array<long>"), "wide")
-    classes = materialize(table.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("fp").alias("fp")), "wide-classes")
+    most = math.floor(SHORT_SET / similarity + 1e-9)
+    table = materialize(texts(docs).where("doc_id is not null").mapInArrow(_shingle_sets(shingle, False, most), "doc_id long, digest binary, fp array<long>, short array<long>"), "wide")
+    classes = materialize(table.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("fp").alias("fp"), F.any_value("short").alias("short")), "wide-classes")
+    prefixes = classes.where("size(short) > 0").select("rep", "short").mapInArrow(_prefix_rows(similarity, most), "key long, rep long, size int, set array<long>")
+    exact = run_pairs(prefixes, ["rep"], _prefix_visit(similarity), "u long, v long", "short-links")
     keys = classes.select("rep", "fp").mapInArrow(_variants, "key long, rep long, mark long")
     candidates = run_pairs(keys, ["rep"], _candidate_visit, "u long, v long", "wide-links", shift=KEY_SHIFT)
     groups = components(candidates, "wide-candidates").select(F.col("node").alias("rep"), F.col("component").alias("key"))
     sets = texts(docs).withColumnRenamed("doc_id", "rep").join(groups, "rep").select("key", "rep", "text").mapInArrow(_shingle_sets(shingle, True), "key long, rep long, fp array<long>, set array<long>")
     links = run_pairs(sets, ["rep"], _verify_visit(similarity), "u long, v long", "wide-verified")
-    found = components(links, "wide-components").select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
+    found = components(links.unionByName(exact), "wide-components").select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
     by_class = classes.select("digest", "rep").join(found, "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("component_id"))
     return table.select("doc_id", "digest").join(by_class, "digest").select("doc_id", "component_id")

@@ -370,6 +370,17 @@ def test_similar_groups(spark):
     assert len(wrong) <= 2 and all(got[d] % 10 == got[d] % 10 and got[d] // 10 == d // 10 for d in want if d < 500)
 
 
+def test_similar_short_texts_exactly(spark):
+    rows, want = [], {}
+    for n in range(8, 21):  # n words and one more: n - 4 against n - 3 shingles, 0.8 at the least
+        for g in range(20):
+            base, at = [f"w{n}x{g}x{k}" for k in range(n)], 1000 * n + 10 * g
+            rows += [(at, " ".join(base)), (at + 1, " ".join([*base, "more"])), (at + 2, " ".join(["x", *base[1:-1], "y"]))]
+            want |= {at: at, at + 1: at, at + 2: at if n - 6 >= 0.8 * (n - 2) else at + 2}
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 # ---------------------------------------------------------------- 9 decontamination
 
 
