@@ -159,10 +159,10 @@ def pack(docs: DataFrame, path: str, kind: str = "word", end_id: int = END_ID, w
     def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             topic, place = [], []
-            for x in batch.column("ids").to_pylist():
+            for doc, start, x in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "ids")), strict=True):
                 t, n = _terms(np.frombuffer(x, ids_type))
                 topic.append(int(t[np.argmax(idf[t] * n / (n + K1))]))
-                place.append(zlib.crc32(x) % int(places[topic[-1]]))
+                place.append(zlib.crc32(x, zlib.crc32(f"{doc}:{start}".encode())) % int(places[topic[-1]]))  # copies of a text go to different places
             yield pa.RecordBatch.from_arrays([pa.array(topic, pa.int32()), pa.array(place, pa.int32()), *batch.columns], names=["topic", "place", *batch.schema.names])
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,16 +1,15 @@
-"""Tokenising whole texts: the ids that the tokenizers library gives, at a rate that a corpus needs.
+"""Tokenising whole texts: the ids of the tokenizers library, at a rate that a corpus needs.
 
 The library's own encoder spends 10 to 20 microseconds on a word. A BPE vocabulary is fully described by its ranks,
-which are read from the same tokenizer file here and merged by tiktoken, some five times faster:
+which are read from the same tokenizer file here and merged by tiktoken, some four times faster:
 
-- byte-level vocabularies: whole texts go through the rank merges, split by the vocabulary's pattern;
-- word vocabularies (small letters, end-of-word tokens): so do whole texts, split into words by the same rules; a
-  word's end is written as a space, which no word holds. Texts with other signs go word by word, each distinct word
-  encoded once per worker.
+- byte-level vocabularies: texts are split by the vocabulary's pattern, as both libraries do;
+- word vocabularies (small letters, end-of-word tokens): texts of ASCII and Latin letters are split into words by the
+  same rules; a word's end is written as a space, which no word holds.
 
-The library stays the authority: what the fast path is not made for (signs outside Latin script in word
-vocabularies, separators that Python and the library class differently) is encoded by it, and a part of every batch
-is compared with it; on any difference a worker goes on with the library alone.
+Which way a text goes depends on the text alone, by rules that the tests prove sign by sign: texts that hold the
+string of an added token, very long runs of white space, or (word vocabularies) other signs are encoded by the
+library itself.
 """
 
 from __future__ import annotations
@@ -18,18 +17,14 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import repeat
 
 import numpy as np
 
-#: Distinct words that a worker keeps; beyond this it starts again.
-KEPT_WORDS = 500_000
-#: Words of each new batch that are compared with the library.
-COMPARED = 16
-_ODD = re.compile("[\x1c-\x1f]")
+#: Longer runs of white space go through the library: the pattern's look-ahead walks back over a run.
+LONG_WHITE = 10_000
+_LONG_WHITE = re.compile(r"\s{%d}" % LONG_WHITE)
 #: Signs for which lower-casing and the split below are those of the library: ASCII and Latin letters.
-_PLAIN = re.compile("[\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įı-ňŊ-ſ]+").fullmatch
-_PLAIN_TEXT = re.compile("[ \t\n\r\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įı-ňŊ-ſ]+").fullmatch
+_PLAIN_TEXT = re.compile("[ \t\n\r\x21-\x7e\xc0-\xd6\xd8-\xf6\xf8-įı-ňŊ-ſ]*").fullmatch
 #: Letters, single digits, English endings behind an apostrophe, other signs: the order does not matter between kinds.
 _PIECES = re.compile(r"[^\W\d_]+|\d|'(?:s|t|re|ve|m|ll|d)|(?:[^\s\w]|_)+").findall
 #: Signs that stand behind words in plain prose, and what else such a text holds after lower-casing. There a space
@@ -48,123 +43,61 @@ def _byte_of() -> dict[str, int]:
     return out | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def _load(path: str, end: str, pattern: str):
-    """(library tokenizer, tiktoken encoding of the same ranks, whether each id ends a word)."""
-    import tiktoken
+class _Encoder:
+    """encode(texts) -> (ids uint32 of all texts in a row, ids per text)."""
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+    def __init__(self, path: str, end: str, pattern: str) -> None:
+        import tiktoken
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    special = {t["content"] for t in spec["added_tokens"]}
-    byte_of = _byte_of()
-    ranks: dict[bytes, int] = {}
-    ends = np.zeros(tokenizer.get_vocab_size(), bool)
-    for token, number in spec["model"]["vocab"].items():
-        if token not in special:
-            last = bool(end) and token.endswith(end)
-            ends[number] = last
-            ranks[bytes(byte_of[c] for c in (token[: -len(end)] if last else token)) + (b" " if last else b"")] = number
-    return tokenizer, tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), ends
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.added = [t["content"] for t in spec["added_tokens"]]
+        byte_of = _byte_of()
+        ranks: dict[bytes, int] = {}
+        for token, number in spec["model"]["vocab"].items():
+            if token not in self.added:
+                last = bool(end) and token.endswith(end)
+                ranks[bytes(byte_of[c] for c in (token[: -len(end)] if last else token)) + (b" " if last else b"")] = number
+        self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-class ByteEncoder:
-    """encode(texts) -> (ids uint32 of all texts in a row, ids per text), for a byte-level vocabulary."""
+    def library(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def __init__(self, path: str) -> None:
-        import public_tokenizers
+    def is_fast(self, text: str) -> bool:
+        return not any(a in text for a in self.added) and not (len(text) >= LONG_WHITE and _LONG_WHITE.search(text))
 
-        self.tokenizer, self.fast, _ = _load(path, "", public_tokenizers.PATTERN)
-        self.trusted = True
-
-    def _library(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def merged(self, text: str) -> list[int]:
+        return self.fast.encode_ordinary(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        coded = [self.fast.encode_ordinary(t) if self.trusted and not _ODD.search(t) else self._library(t) for t in texts]
-        if self.trusted and texts:
-            k = min(range(len(texts)), key=lambda i: abs(len(texts[i]) - 500))
-            if coded[k] != self._library(texts[k]):
-                self.trusted = False
-                return self.encode(texts)
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.concatenate([np.array(c, np.uint32) for c in coded]) if coded else np.array([], np.uint32)
-        return flat, sizes
+        coded = [np.array(self.merged(t) if self.is_fast(t) else self.library(t), np.uint32) for t in texts]
+        return np.concatenate([*coded, np.array([], np.uint32)]), np.fromiter(map(len, coded), np.int64, len(coded))
 
 
-class WordEncoder:
-    """The same for a vocabulary of small-letter words with end-of-word tokens."""
+class ByteEncoder(_Encoder):
+    """A byte-level vocabulary."""
 
     def __init__(self, path: str) -> None:
-        self.tokenizer, self.fast, self.ends = _load(path, "</w>", r"[^ ]+ ")
-        self.trusted = True
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size = np.empty(1 << 15, np.int64), np.empty(1 << 15, np.int64)
-
-    def _store(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        base = len(self.index)
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-        while base + len(words) > len(self.start):
-            self.start, self.size = np.concatenate([self.start, np.empty_like(self.start)]), np.concatenate([self.size, np.empty_like(self.size)])
-        self.flat[self.used : self.used + len(ids)] = ids
-        self.size[base : base + len(words)] = sizes
-        self.start[base : base + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.used += len(ids)
-        self.index.update(zip(words, range(base, base + len(words)), strict=True))
-
-    def _library(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        coded = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        return np.array([i for c in coded for i in c], np.uint32), np.fromiter(map(len, coded), np.int64, len(coded))
-
-    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        pieces = [_PIECES(w.lower()) for w in words]
-        ids = np.array(self.fast.encode_ordinary(" ".join([p for own in pieces for p in own]) + " "), np.uint32)
-        per_piece = np.diff(np.append(0, np.flatnonzero(self.ends[ids]) + 1))
-        first = np.cumsum([0, *map(len, pieces)][:-1])
-        return ids, np.add.reduceat(per_piece, first)
-
-    def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if _PLAIN(w)] if self.trusted else []
-        for at in range(0, len(plain), 8192):
-            part = plain[at : at + 8192]
-            ids, sizes = self._merged(part)
-            some = self._library(part[:COMPARED])
-            n = int(some[1].sum())
-            if not (np.array_equal(sizes[: len(some[1])], some[1]) and np.array_equal(ids[:n], some[0])):
-                self.trusted = False
-                break
-            self._store(part, ids, sizes)
-        rest = [w for w in words if w not in self.index]
-        for at in range(0, len(rest), 8192):
-            self._store(rest[at : at + 8192], *self._library(rest[at : at + 8192]))
+        import public_tokenizers
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [k for k, t in enumerate(texts) if self.trusted and _PLAIN_TEXT(t)]
-        if not plain:
-            return self._by_word(texts)
-        coded: list[np.ndarray] = [np.array([], np.uint32)] * len(texts)
-        for k in plain:
-            spaced = self._spaced(texts[k].lower())
-            coded[k] = np.array(self.fast.encode_ordinary(spaced), np.uint32)
-        k = min(plain, key=lambda i: abs(len(texts[i]) - 500))
-        if coded[k].tolist() != self.tokenizer.encode(texts[k], add_special_tokens=False).ids:
-            self.trusted = False
-            return self.encode(texts)
-        done = set(plain)
-        rest = [k for k in range(len(texts)) if k not in done]
-        if rest:
-            flat, sizes = self._by_word([texts[k] for k in rest])
-            for k, part in zip(rest, np.split(flat, np.cumsum(sizes)[:-1]), strict=True):
-                coded[k] = part
-        return np.concatenate(coded), np.fromiter(map(len, coded), np.int64, len(coded))
+        super().__init__(path, "", public_tokenizers.PATTERN)
+
+
+class WordEncoder(_Encoder):
+    """A vocabulary of small-letter words with end-of-word tokens."""
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path, "</w>", r"[^ ]+ ")
+
+    def is_fast(self, text: str) -> bool:
+        return _PLAIN_TEXT(text) is not None and super().is_fast(text)
+
+    def merged(self, text: str) -> list[int]:
+        return self.fast.encode_ordinary(self._spaced(text.lower()))
 
     @staticmethod
     def _spaced(text: str) -> str:
@@ -178,23 +111,6 @@ class WordEncoder:
                 text = text.replace(stop, f" {stop}")
         return text + " "
 
-    def _by_word(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.index) > KEPT_WORDS:
-            self._clear()
-        split = [[t] if _ODD.search(t) else t.split() for t in texts]
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = [w for own in split for w in own]
-        at = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(at < 0)
-        if len(new):
-            self._learn(list(dict.fromkeys(words[k] for k in new.tolist())))
-            at[new] = np.fromiter((self.index[words[k]] for k in new.tolist()), np.int64, len(new))
-        size = self.size[at]
-        ends = np.cumsum(size)
-        ids = self.flat[np.repeat(self.start[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
-        bounds = np.append(0, ends)[np.append(0, np.cumsum(counts))]
-        return ids, np.diff(bounds)
-
 
 def unit_encoder(path: str, kind: str) -> ByteEncoder | WordEncoder:
     """The encoder of a tokenizer file, one per worker; kind: byte or word."""

@@ -115,7 +115,6 @@ def test_token_files(spark, edge, tmp_path):
     file = public_tokenizers.path("byte_bpe_50k.json")
     binary.write_tokens(edge, path, file)
     tk = Tokenizer.from_file(file)
-    tk.encode_special_tokens = True
     rows = sorted(((d, t or "") for d, t, *_ in EDGE), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     at = 0
     want = []
@@ -125,20 +124,48 @@ def test_token_files(spark, edge, tmp_path):
         at += len(ids)
     assert sorted(map(tuple, binary.read_tokens(spark, path).collect()), key=lambda r: r[1]) == want
     assert len(binary.read_document(spark, path, 4)) == 2 and binary.read_document(spark, path, 99) == []
+    binary.write_tokens(edge.limit(0), str(tmp_path / "none"), file)
+    assert binary.read_tokens(spark, str(tmp_path / "none")).count() == 0 and binary.read_document(spark, str(tmp_path / "none"), 4) == []
 
 
-@pytest.mark.parametrize(("file", "kind"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+ENCODERS = pytest.mark.parametrize(("file", "kind"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+
+
+@ENCODERS
 def test_encoders_give_the_library_ids(docs, file, kind):
     path = public_tokenizers.path(file)
     tk = Tokenizer.from_file(path)
-    tk.encode_special_tokens = True
-    odd = ["", "  a\n\n b \t c  ", "x\x1cy z", "café q　r", "'s it's\n's <|endoftext|> é ΑΣ ok", "it'S We'LL _-_ a_b 12ab3 ²³ x½y", "ŉ İstanbul ſs ǅ", "日本語 text 😀 é", "Σ ΑΣ 's"]
+    odd = ["", "  a\n\n b \t c  ", "x\x1cy z", "café q r", "'s it's\n's <|endoftext|> é ΑΣ ok", "<|startoftext|>a", "it'S We'LL _-_ a_b 12ab3 ²³ x½y", "ŉ İstanbul ſs ǅ", "日本語 text 😀 é", "Σ ΑΣ 's"]
+    odd += [" " * 1_000_000, "a" + "\n" * 20_000 + "b", "a" * 300_000, "7" * 50_000, "." * 100_000]
     texts = odd + [r.text for r in docs.select("text").collect()]
     ids, sizes = unit_encoder(path, kind).encode(texts)
     ends = np.cumsum(sizes)
     for t, b, n in zip(texts, ends, sizes, strict=True):
         assert ids[b - n : b].tolist() == tk.encode(t, add_special_tokens=False).ids, t[:80]
-    assert unit_encoder(path, kind).trusted
+    assert unit_encoder(path, kind).encode([])[0].size == 0
+
+
+def test_byte_split_is_the_library_split():
+    """Each code point beside letters, digits, white space and itself; all of the first two planes, a part of the rest."""
+    e = unit_encoder(public_tokenizers.path("byte_bpe_50k.json"), "byte")
+    points = [c for c in [*range(0x20000), *range(0x20000, 0x110000, 97)] if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}1 {chr(c)} b{chr(c)}{chr(c)}" for c in points]
+    for at in range(0, len(texts), 4096):
+        part = texts[at : at + 4096]
+        assert [e.merged(t) for t in part] == [x.ids for x in e.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+
+
+def test_word_split_is_the_library_split():
+    """Every pair of the signs that take the fast way, and random mixtures of what decides the split."""
+    e = unit_encoder(public_tokenizers.path("word_bpe_49k.json"), "word")
+    signs = [c for c in map(chr, range(0x180)) if e.is_fast(c)]
+    rng = np.random.default_rng(6)
+    kinds = ["'s", "'ll", "'", "it", "The", " ", "  ", "\n", "\t", ".", "..", ",", "?!", "1", "22", "é", "ß", "_", "Ü", "'S", "'re", '"', "(", ")", "-", "|", "<", ">"]
+    texts = ["".join(p + q for q in signs) for p in signs]
+    texts += ["".join(rng.choice(kinds, 40)) for _ in range(3000)] + ["".join(rng.choice(signs, 50)) for _ in range(3000)]
+    for at in range(0, len(texts), 1000):
+        part = [t for t in texts[at : at + 1000] if e.is_fast(t)]
+        assert [e.merged(t) for t in part] == [x.ids for x in e.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
 
 
 # ---------------------------------------------------------------- 3 and 5 classifiers
@@ -307,15 +334,17 @@ def test_random_strings(spark, edge):
 def test_packing_holds_every_id_once(spark, edge, docs):
     path = public_tokenizers.path("word_bpe_49k.json")
     tk = Tokenizer.from_file(path)
-    tk.encode_special_tokens = True
-    rows = [(d, t or "") for d, t, *_ in EDGE if d != 4] + [(4, "one")] + [(r.doc_id + 100, r.text) for r in docs.collect()]
+    rows = [(d, t or "") for d, t, *_ in EDGE] + [(r.doc_id + 100, r.text) for r in docs.collect()]
     got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), path).toPandas()
     ids = {d: np.array([*tk.encode(t, add_special_tokens=False).ids, 2], "<u4") for d, t in rows}
     for p in got.itertuples():
         own = ids[None if p.doc_id != p.doc_id else int(p.doc_id)]
         assert p.doc_tokens == len(own) and zlib.crc32(own[p.start : p.start + p.length]) == p.ids_crc32
-    by_doc = got.sort_values(["doc_id", "start"]).groupby("doc_id", dropna=False)
-    assert (by_doc.length.sum() == by_doc.doc_tokens.first()).all() and ((by_doc.length.cumsum() - got.length) == got.start).all()
+    twice = got[got.doc_id == 4]
+    assert len(twice) == 2 * len(twice.drop_duplicates(["start", "length"])) and len(twice.drop_duplicates(["sequence_id", "offset"])) == len(twice)
+    single = got.drop(twice.index)
+    by_doc = single.sort_values(["doc_id", "start"]).groupby("doc_id", dropna=False)
+    assert (by_doc.length.sum() == by_doc.doc_tokens.first()).all() and ((by_doc.length.cumsum() - single.length) == single.start).all()
     q = got.sort_values(["sequence_id", "offset"])
     total = q.groupby("sequence_id").length.sum()
     assert total.max() <= 4096 and (q.groupby("sequence_id").length.cumsum() - q.length == q.offset).all()
