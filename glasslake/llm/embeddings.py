@@ -10,8 +10,8 @@ Vectors are compared inside one label. Exact copies are one class with a multipl
 all rows share costs one row. Long runs are dealt out as tiles.
 
 Defined results: a null label or vector, null, NaN or infinite components, and zero vectors link with nothing and
-are kept; vectors of other lengths never link; repeated rows of one id count as separate vectors; rows with a null
-id are left out; an empty table gives no rows; other columns are ignored.
+are kept; vectors of other lengths never link; rows of one id count as separate vectors, equal or not; rows with a
+null id are left out; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -74,8 +74,8 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 place = x @ lines(int(dim))[2]
                 pick = np.repeat(np.arange(rows.num_rows), TABLES)
                 ends = np.arange(0, len(pick) * dim + 1, dim, dtype=np.int32)
-                cols = [pa.array(key.ravel().view(np.int64)), pa.array(place.ravel()), rows.column("rep").take(pa.array(pick)), rows.column("m").take(pa.array(pick)), pa.array(np.tile(np.arange(TABLES, dtype=np.int32), rows.num_rows)), pa.ListArray.from_arrays(pa.array(ends), pa.array(raw[pick].ravel()))]
-                yield pa.RecordBatch.from_arrays(cols, names=["key", "place", "rep", "m", "tab", "vec"])
+                cols = [pa.array(key.ravel().view(np.int64)), pa.array(place.ravel()), rows.column("class").take(pa.array(pick)), rows.column("m").take(pa.array(pick)), pa.array(np.tile(np.arange(TABLES, dtype=np.int32), rows.num_rows)), pa.ListArray.from_arrays(pa.array(ends), pa.array(raw[pick].ravel()))]
+                yield pa.RecordBatch.from_arrays(cols, names=["key", "place", "class", "m", "tab", "vec"])
 
 
 def _visit(threshold: float):
@@ -87,9 +87,14 @@ def _visit(threshold: float):
         return cols["place"][j] - cols["place"][i] <= 4 * distance
 
     def visit(cols, pairs):
-        rep, m, tab = cols["rep"], cols["m"], cols["tab"]
-        x = unit(cols["vec"])
-        home, counted = cells(x), x @ lines(x.shape[1])[3]
+        rep, m, tab = cols["class"], cols["m"], cols["tab"]
+        length = np.array([len(v) for v in cols["vec"]])
+        # vectors of other lengths have other keys; zeros behind the shorter ones change no product
+        x, home, counted = np.zeros((len(rep), length.max(initial=0))), np.zeros((len(rep), TABLES), np.uint64), np.zeros((len(rep), COUNTED))
+        for dim in np.unique(length):
+            own = np.flatnonzero(length == dim)
+            y = unit(np.stack([cols["vec"][k] for k in own]))
+            x[own, :dim], home[own], counted[own] = y, cells(y), y @ lines(int(dim))[3]
         us, vs, n = [], [], 0
         count = np.zeros(len(rep), np.int64)
         for i, j in pairs:
@@ -124,13 +129,18 @@ def near_vectors(table: DataFrame, threshold: float = 0.93) -> DataFrame:
     good = F.coalesce(F.col("label").isNotNull() & finite & F.exists("embedding", lambda v: v != 0), F.lit(False))
     marked = vectors.withColumn("good", good)
     usable = marked.where("good")
-    classes = materialize(usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m")), "vector-classes")
+    # a 128-bit digest of label and vector stands for the vector wherever rows meet again
+    usable = materialize(usable.withColumn("digest", F.struct(F.xxhash64("label", "embedding").alias("a"), F.xxhash64("embedding", F.lit(1)).alias("b"))).select("vec_id", "digest", "label", "embedding"), "vectors")
+    classes = usable.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("m"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    classes = materialize(classes.withColumn("class", F.monotonically_increasing_id()), "vector-classes")
     near, visit = _visit(threshold)
-    entries = classes.mapInArrow(_entries, "key long, place double, rep long, m long, tab int, vec array<float>")
-    found = run_pairs(entries, ["place", "rep"], visit, "u long, v long, n long", "vector-links", near=near)
-    counts = found.where("n > 0").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("links"))
-    groups = components(found.where("n = 0").select("u", "v"), "vector-components").select(F.col("node").alias("rep"), "component")
-    named = classes.join(counts, "rep", "left").join(groups, "rep", "left").select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    linked = usable.join(named, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
+    entries = classes.select("class", "m", "label", "embedding").mapInArrow(_entries, "key long, place double, class long, m long, tab int, vec array<float>")
+    found = run_pairs(entries, ["place", "class"], visit, "u long, v long, n long", "vector-links", near=near)
+    counts = found.where("n > 0").groupBy(F.col("u").alias("class")).agg(F.sum("n").alias("links"))
+    groups = components(found.where("n = 0").select("u", "v"), "vector-components").select(F.col("node").alias("class"), F.col("component"))
+    named = classes.select("class", "rep", "m", "digest").join(counts, "class", "left").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = named.join(least, "component").select("digest", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id")
+    linked = usable.select("vec_id", "digest").join(named, "digest").select("vec_id", "n_links", "component_id")
     alone = marked.where(~F.col("good")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))
