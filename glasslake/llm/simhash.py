@@ -9,7 +9,7 @@ similarity, `similar_documents` takes a longer fingerprint with more segments, c
 candidates by the shingles themselves.
 
 Defined results: null text counts as empty; no words give fingerprint zero; fewer words than a shingle give one
-shingle of all words; a null id takes no part in links; repeated rows of one id are one document with equal rows;
+shingle of all words; a null id takes no part in links (its component is null); repeated rows of one id are one document with equal rows;
 an empty table gives an empty result; columns other than id and text are ignored.
 """
 
@@ -128,13 +128,14 @@ def hamming_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """doc_id, fp long, component_id: groups of documents linked at max_bits or fewer of 64 bits."""
     table = materialize(fingerprint_table(docs, shingle).select("doc_id", F.col("fp")[0].alias("fp")), "simhash")
-    first = materialize(table.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-prints")
+    first = materialize(table.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-prints")
     groups = components(hamming_links(first.select("fp"), max_bits), "simhash-components")
     # the group's name is the smallest doc_id, not the smallest fingerprint
     named = first.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     by_print = named.join(least, "component").select("fp", "component_id")
-    return table.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    named = table.where("doc_id is not null").join(by_print, "fp").select("doc_id", "fp", "component_id")
+    return named.unionByName(table.where("doc_id is null").select("doc_id", "fp", F.lit(None).cast("long").alias("component_id")))
 
 
 # ---------------------------------------------------------------- a similarity of shingle sets
