@@ -4,7 +4,9 @@ Base kinds are leftmost non-overlapping matches of fixed patterns. The method ad
 key-like signs that a tiktoken vocabulary spends many tokens on (few characters per token), because a random string
 has no common pieces. Known digests, UUIDs, numbers, paths and identifiers are excluded first.
 
-Defined results: null and empty texts have no spans; offsets are code points, end exclusive; texts of any length are
+Limits: runs under 16 signs, and letters of one case only, are not judged; runs of digits alone are numbers.
+
+Defined results: null and empty texts have no spans; null ids keep their row; an empty table gives no rows; offsets are code points, end exclusive; texts of any length are
 scanned whole; repeated rows give equal rows; other columns are ignored (scan) or kept (redact).
 """
 
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import texts
+from glasslake.llm.common import slices, texts
 
 #: The base patterns and the least lengths of what they must match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -28,8 +30,8 @@ HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 12, 18, 16
 KINDS = ("assign", "access", "hex", "random")
 
-#: A run is random at so few characters per token, if so long and of mixed signs.
-RANDOM_LEAST, RANDOM_RATIO = 20, 2.2
+#: A run is random at so few characters per token, if so long: with letters and digits, or of letters in mixed case only.
+RANDOM_LEAST, RANDOM_RATIO, LETTERS_RATIO = 16, 2.2, 2.0
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_.=\-])[A-Za-z0-9+/_.=\-]{16,}")
 _WORDS = re.compile(r"password|passwd|secret|token|api_?key", re.I | re.A)
 _UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
@@ -70,8 +72,13 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def is_random(run: str, encoding) -> bool:
     """Whether a run of key-like signs is spelled in few characters per token and is no known form."""
     body = run.strip("._-=/+")
-    if len(body) < RANDOM_LEAST or not any(c.isdigit() for c in body) or not any(c.isalpha() for c in body):
+    if len(body) < RANDOM_LEAST or not any(c.isalpha() for c in body):
         return False
+    if not any(c.isdigit() for c in body):
+        # names of several words change case at few places, random letters at every other one
+        letters = "".join(c for c in body if c.isalpha())
+        changes = sum(a.islower() != b.islower() for a, b in zip(letters, letters[1:], strict=False))
+        return 4 * changes >= len(letters) and len(body) / len(encoding.encode_ordinary(body)) <= LETTERS_RATIO
     if _UUID.fullmatch(body) or (_ALL_HEX.fullmatch(body) and len(body) in DIGESTS) or _NAMES.fullmatch(body):
         return False
     return len(body) / len(encoding.encode_ordinary(body)) <= RANDOM_RATIO
@@ -104,9 +111,9 @@ def find_secrets(docs: DataFrame, ranks: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = vocabulary(ranks)
-        for batch in batches:
-            found = [[{"kind": k, "start": a, "end": b} for a, b, k in all_spans(t, encoding)] for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], names=["doc_id", "spans"])
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            found = [[{"kind": k, "start": a, "end": b} for a, b, k in all_spans(t, encoding)] for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, kind)], names=["doc_id", "spans"])
 
     return texts(docs).mapInArrow(run, schema)
 
