@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glasslake.llm.common import materialize, slices, texts
-from glasslake.llm.wordhash import Words, mix, windows, words
+from glasslake.llm.wordhash import STEP, Words, mix, windows, words
 
 #: Words of a window, literal words that it must hold, share of an item's windows that makes a match.
 WINDOW, LITERALS, SHARE = 5, 3, 0.5
@@ -34,6 +34,9 @@ PREFIX = 8
 #: Up to this many distinct benchmark windows (16 MB) the executors get all hashes to test against; beyond it the
 #: document windows themselves are joined. Both ways give the same rows.
 BROADCAST_WINDOWS = 2_000_000
+#: Up to so many documents with enough windows (16 MB of ids) are picked from the corpus by a broadcast of their ids;
+#: beyond it by a shuffled join.
+BROADCAST_HITS = 2_000_000
 #: Unit words (fixed values); a unit is one of these behind a number.
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams ton tons pound pounds ounce ounces ml l liter liters litre litres "
@@ -57,6 +60,9 @@ def template(w: Words) -> tuple[np.ndarray, np.ndarray]:
         return out, np.zeros(0, bool)
     begins = np.append(True, w.closes[:-1])
     name = w.capital & ~begins & ~w.number
+    # at a sentence's start every word has a capital: there it is a name if its text has it as one elsewhere
+    own = mix(w.hash + w.doc.astype(np.uint64) * STEP)
+    name |= w.capital & begins & ~w.number & np.isin(own, own[name])
     unit = np.isin(w.hash, _UNIT_HASH)
     unit[1:] &= w.number[:-1] & (w.doc[1:] == w.doc[:-1])
     unit[0] = False
@@ -246,6 +252,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
     enough = pairs.join(sizes.withColumnRenamed("id", "item_id"), "item_id").withColumn("share", F.col("windows") / F.col("total")).where(F.col("share") >= share)
     enough = materialize(enough.select("doc_id", "item_id", "windows", "share", "first_word", "total", "hits"), "item-hits")
     named = items.withColumnsRenamed({"doc_id": "item_id", "text": "item_text"})
+    hit = enough.select("doc_id").distinct()
+    if hit.limit(BROADCAST_HITS + 1).count() <= BROADCAST_HITS:
+        base = base.join(F.broadcast(hit), "doc_id", "left_semi")
     checked = enough.join(named, "item_id").join(base, "doc_id").select("doc_id", "item_id", "windows", "share", "first_word", "total", "hits", "item_text", "text")
     schema = "doc_id long, item_id long, windows long, share double, first_word long, ok boolean, changed_slots long"
     return checked.mapInArrow(_slots(share), schema).where("ok").drop("ok").distinct()

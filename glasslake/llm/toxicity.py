@@ -1,16 +1,20 @@
 """Toxicity by weak supervision.
 
-1. Voters: lexicons of words and patterns of word beginnings, mined from the training rows and dealt into families;
-   each family votes toxic on a hit, and quiet families vote harmless.
-2. A generative label model (expectation maximisation over class-conditional vote tables) estimates how accurate each
-   voter is, the rater of the training rows among them; voters whose votes stay correlated within a class share their weight.
-3. A linear classifier over the mined features is trained on the model's posterior labels, and scores every text.
+1. Voters. A written lexicon per language; each entry of a mined lexicon (words, and beginnings of which a text holds
+   one or several different words); how many different entries a text holds, how densely, and that it holds none.
+   Entries are mined by contrast between the training rows, because the languages of a corpus are not known here;
+   beyond proposing them, labels are neither a voter nor the model's start.
+2. A generative label model (expectation maximisation from the voters' majority) estimates from the votes alone how
+   each voter votes in each class and how voters correlate within a class; correlated voters share their weight.
+3. A linear classifier over the entries and counts is trained on the model's posterior labels; labels of the training
+   rows give the class balance and place the scale: the cut between the classes lies at CUT.
 
 Fitted on the driver from bounded, documented samples of the training rows; scoring runs in the executors over whole
 texts. Labels, language, source and id are never inputs of a score.
 
-Defined results: null and empty texts get the score of a text without hits; null labels are ignored; repeated rows
-are scored alike; without training labels of both classes every score is 0.
+Defined results: null and empty texts get the score of a text without hits; null labels are ignored; a document with
+several rows takes part once, with its least text; repeated rows are scored alike; without training labels of both
+classes every score is 0.
 """
 
 from __future__ import annotations
@@ -24,68 +28,87 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import crc_bucket, materialize
+from glasslake.llm.common import crc_bucket, materialize, slices
 
-#: Bounds of the training sample per class, and of the features kept.
-MAX_TOXIC, MAX_HARMLESS, MAX_FEATURES = 4000, 8000, 6000
-#: Beginnings of words that count as patterns, families per kind of feature.
-BEGINNINGS, FAMILIES = (4, 5, 6, 7), 4
-#: A feature needs a log-likelihood ratio that chance does not reach among millions of words, and so high a rate in
+#: Bounds of the training sample per class, of the candidates that reach the driver, and of the entries kept.
+MAX_TOXIC, MAX_HARMLESS, MAX_CANDIDATES, MAX_ENTRIES = 4000, 8000, 6000, 400
+#: Lengths of beginnings.
+BEGINNINGS = (3, 4, 5, 6, 7, 8)
+#: An entry needs a log-likelihood ratio that chance does not reach among millions of words, and so high a rate in
 #: toxic documents against harmless ones.
-LEAST_EVIDENCE, LEAST_LIFT = 24.0, 8.0
+LEAST_EVIDENCE, LEAST_LIFT = 24.0, 6.0
+#: The score at the cut between the classes, and what a missed toxic text counts there.
+CUT, MISS = 0.7, 3
+#: Insults by language, as small letters.
+LEXICON = {
+    "en": "idiot idiots moron morons stupid imbecile scum trash garbage loser losers clown pathetic worthless disgusting dumb fool filth vermin parasite bastard jerk".split(),
+    "de": "idiot idioten trottel dumm dummkopf abschaum müll versager clown erbärmlich wertlos widerlich ekelhaft arschloch dreckskerl vollidiot".split(),
+    "fr": "idiot idiote imbécile crétin débile stupide ordure déchet raté clown pathétique dégoûtant salaud connard minable".split(),
+    "es": "idiota imbécil estúpido estúpida escoria basura perdedor payaso patético inútil asqueroso tonto cretino cabrón".split(),
+}
 SIGNS = ".,;:!?|\"'()[]{}<>#%&*$-_"
-KEPT_WORDS = 150_000
+KEPT_WORDS, KEPT_COUNTS = 150_000, 300_000
+LEAST_HITS = (1, 2, 3, 5)
+DENSE = (0.01, 0.03)
 
 
-def word_features(word: str) -> list[str]:
-    """The word itself and its beginnings, marked by kind."""
-    w = word.strip(SIGNS)
-    if len(w) < 3 or not w[0].isalpha():
-        return []
-    return [f"w:{w}", *(f"{n}:{w[:n]}" for n in BEGINNINGS if len(w) >= n)]
+def plain_words(text: str) -> set[str]:
+    """Different words of three letters or more, small, without signs around them."""
+    return {w for x in set(text.lower().split()) if len(w := x.strip(SIGNS)) >= 3 and w[0].isalpha()}
 
 
-def _features(text: str) -> set[str]:
-    return {f for w in set(text.lower().split()) for f in word_features(w)}
+def _candidates(text: str) -> set[str]:
+    """Entries that the text supports: "w:" words; "1:" and "2:" beginnings with one or two different words."""
+    words = plain_words(text)
+    seen = Counter(w[:n] for w in words for n in BEGINNINGS if len(w) >= n)
+    return {f"w:{w}" for w in words} | {f"1:{b}" for b in seen} | {f"2:{b}" for b, n in seen.items() if n >= 2}
 
 
-def mine(sample: DataFrame) -> list[tuple[str, int, int]]:
-    """(feature, toxic documents, harmless documents) of the features that mark toxic rows; at most MAX_FEATURES."""
+def mine(sample: DataFrame) -> list[str]:
+    """Entries that mark toxic rows, strongest first, one per group of beginnings and longer forms."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies = {0: Counter(), 1: Counter()}
+
+        def rows() -> pa.RecordBatch:
+            names = sorted(set(tallies[0]) | set(tallies[1]))
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([tallies[k][n] for n in names], pa.int64()) for k in (1, 0))], names=["entry", "toxic", "harmless"])
+
         for batch in batches:
             for y, text in zip(batch.column("y").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                tallies[y].update(_features(text))
-        names = sorted(set(tallies[0]) | set(tallies[1]))
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([tallies[k][n] for n in names], pa.int64()) for k in (1, 0))], names=["feature", "toxic", "harmless"])
+                tallies[y].update(_candidates(text))
+                if len(tallies[0]) + len(tallies[1]) > KEPT_COUNTS:  # partial counts go on, the grouping adds them up
+                    yield rows()
+                    tallies = {0: Counter(), 1: Counter()}
+        yield rows()
 
     n = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return []
     ratio = F.lit(n[0] / n[1])
-    totals = sample.mapInArrow(count, "feature string, toxic long, harmless long").groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("harmless").alias("harmless"))
+    totals = sample.mapInArrow(count, "entry string, toxic long, harmless long").groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("harmless").alias("harmless"))
     part = lambda seen, of: F.col(seen) * F.log(F.greatest(F.col(seen), F.lit(1)) * (n[0] + n[1]) / (n[of] * (F.col("toxic") + F.col("harmless"))))
-    strong = totals.where(2 * (part("toxic", 1) + part("harmless", 0)) >= LEAST_EVIDENCE).where(F.col("toxic") * ratio >= LEAST_LIFT * (F.col("harmless") + 0.5))
-    weight = F.col("toxic") * F.log((F.col("toxic") + 0.5) * ratio / (F.col("harmless") + 0.5))
-    found = [(r.feature, r.toxic, r.harmless) for r in strong.orderBy(weight.desc(), "feature").limit(MAX_FEATURES).collect()]
-    # of a beginning and its longer forms that mark the same documents only the longest stays
-    stem = {(f.split(":", 1)[1], f[0]): (t, h) for f, t, h in found}
-    covered = {(w[:n], str(n)) for (w, kind), seen in stem.items() for n in BEGINNINGS if stem.get((w[:n], str(n))) == seen and (kind == "w" or int(kind) > n)}
-    return [(f, t, h) for f, t, h in found if (f.split(":", 1)[1], f[0]) not in covered]
+    evidence = 2 * (part("toxic", 1) + part("harmless", 0))
+    strong = totals.withColumn("evidence", evidence).where(F.col("evidence") >= LEAST_EVIDENCE).where(F.col("toxic") * ratio >= LEAST_LIFT * (F.col("harmless") + 0.5))
+    kept: list[str] = []
+    # of entries with about the same evidence the longest, most special one comes first
+    for r in strong.orderBy(F.desc(F.round(F.log2("evidence") * 8)), F.desc(F.length("entry")), F.desc("entry")).limit(MAX_CANDIDATES).collect():
+        stem = r.entry[2:]
+        if len(kept) < MAX_ENTRIES and not any(stem.startswith(k[2:]) or k[2:].startswith(stem) for k in kept):
+            kept.append(r.entry)
+    return kept
 
 
 class LabelModel:
-    """P(toxic | votes) from voters of unknown accuracy: votes are -1, 0 (silent) or 1."""
+    """P(toxic | votes) from voters of unknown accuracy: votes are -1, 0 (silent, no evidence) or 1."""
 
-    def __init__(self, votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> None:
+    def __init__(self, votes: np.ndarray, prior: float, rounds: int = 50) -> None:
         n, m = votes.shape
-        codes = votes + 1
-        q = np.clip(start.astype(float), 0.02, 0.98)
-        self.weight = np.ones(m)
+        # the voters' majority starts the model; the class balance is given, as most voters only ever vote one way
+        q = np.where(votes.sum(axis=1) > 0, 0.95, 0.02)
+        self.weight, self.prior = np.ones(m), float(np.clip(prior, 0.01, 0.99))
         for _ in range(rounds):
-            self.prior = float(np.clip(q.mean(), 0.01, 0.99))
-            self.tables = np.stack([np.stack([((codes == v) * w[:, None]).sum(axis=0) + 0.5 for v in range(3)]) for w in (1 - q, q)])
+            self.tables = np.stack([np.stack([((votes == v) * w[:, None]).sum(axis=0) + 0.5 for v in (-1, 0, 1)]) for w in (1 - q, q)])
             self.tables /= self.tables.sum(axis=1, keepdims=True)
             # residual correlation within the classes: correlated voters count less
             expected = np.stack([(self.tables[k] * np.array([-1, 0, 1])[:, None]).sum(axis=0) for k in (0, 1)])
@@ -95,41 +118,107 @@ class LabelModel:
             np.fill_diagonal(self.correlation, 0)
             self.weight = 1 / (1 + self.correlation.sum(axis=1))
             new = self.posterior(votes)
-            if np.abs(new - q).max() < 1e-4:
-                break
+            done = np.abs(new - q).max() < 1e-4
             q = new
+            if done:
+                break
+
+    @property
+    def accuracy(self) -> np.ndarray:
+        """How often each voter is right when it votes."""
+        right = self.prior * self.tables[1][2] + (1 - self.prior) * self.tables[0][0]
+        wrong = self.prior * self.tables[1][0] + (1 - self.prior) * self.tables[0][2]
+        return right / (right + wrong)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         ratio = np.log(self.tables[1]) - np.log(self.tables[0])
+        ratio[1] = 0
         logit = np.log(self.prior / (1 - self.prior)) + (ratio[votes + 1, np.arange(votes.shape[1])] * self.weight).sum(axis=1)
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
+class Lexicon:
+    """The mined entries and the written lexicons; hits of a text are counts of different words per entry."""
+
+    def __init__(self, entries: list[str]) -> None:
+        self.entries = entries
+        self.words = {e[2:]: k for k, e in enumerate(entries) if e[0] == "w"}
+        self.stems = {e[2:]: k for k, e in enumerate(entries) if e[0] != "w"}
+        self.twice = np.array([e[0] == "2" for e in entries], bool)
+        self.languages = sorted(LEXICON)
+        self.written = {w: tuple(i for i, lang in enumerate(self.languages) if w in LEXICON[lang]) for lang in self.languages for w in LEXICON[lang]}
+
+    def of_word(self, word: str) -> tuple[int, ...]:
+        """Numbers of the entries that a word belongs to; written lexicons are numbered behind the entries."""
+        found = [k for n in BEGINNINGS if len(word) >= n and (k := self.stems.get(word[:n])) is not None]
+        if word in self.words:
+            found.append(self.words[word])
+        return (*found, *(len(self.entries) + i for i in self.written.get(word, ())))
+
+    def features(self, words: list[set[str]], known: dict[str, tuple[int, ...]]) -> np.ndarray:
+        """Columns: per entry whether it is met, written lexicons, numbers of hits reached, density reached, none."""
+        m = len(self.entries)
+        wide = m + len(self.languages)
+        out = np.zeros((len(words), wide + len(LEAST_HITS) + len(DENSE) + 1), np.float32)
+        for i, own in enumerate(words):
+            if len(known) > KEPT_WORDS:
+                known.clear()
+            seen: Counter = Counter()
+            hits = 0
+            for w in own:
+                ks = known.get(w)
+                if ks is None:
+                    ks = known[w] = self.of_word(w)
+                if ks:
+                    seen.update(ks)
+                    hits += 1
+            for k, n in seen.items():
+                out[i, k] = k >= m or n >= 1 + self.twice[k]
+            out[i, wide : wide + len(LEAST_HITS)] = [hits >= n for n in LEAST_HITS]
+            out[i, wide + len(LEAST_HITS) : -1] = [hits >= 2 and hits >= d * len(own) for d in DENSE]
+            out[i, -1] = not hits
+        return out
+
+    def votes(self, features: np.ndarray) -> np.ndarray:
+        """1 for an entry that is met, else silent; a single hit and no hit speak against."""
+        out = features.astype(np.int64)
+        one, several = features.shape[1] - 1 - len(DENSE) - len(LEAST_HITS), features.shape[1] - len(DENSE) - len(LEAST_HITS)
+        out[:, one] = np.where((features[:, one] > 0) & (features[:, several] == 0), -1, 0)
+        out[:, -1] *= -1
+        return out
+
+
 @dataclass
 class ToxicModel:
-    index: dict[str, int]
+    lexicon: Lexicon
     weights: np.ndarray
     bias: float
+    label_model: LabelModel
 
-    def of_word(self, word: str) -> tuple[int, ...]:
-        return tuple(k for f in word_features(word) if (k := self.index.get(f)) is not None)
+    def score(self, words: list[set[str]], known: dict[str, tuple[int, ...]]) -> np.ndarray:
+        logit = self.lexicon.features(words, known) @ self.weights + self.bias
+        return 1 / (1 + np.exp(-np.clip(logit.astype(float), -30, 30)))
 
-    def score(self, hits: list[set[int]]) -> np.ndarray:
-        logit = np.array([self.bias + sum(self.weights[k] for k in h) for h in hits], float)
-        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+
+def _logistic(x: np.ndarray, target: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
+    w, b, m, v = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
+    for step in range(1, steps + 1):
+        d = (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - target) / len(x)
+        g = np.append(x.T @ d + 1e-4 * w, d.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
+        w, b = w - move[:-1], b - move[-1]
+    return w, b
 
 
-def _votes(hits: list[set[int]], raters: np.ndarray, family: np.ndarray, families: int) -> np.ndarray:
-    """Each family votes 1 on a hit; further voters: silence of all, a second and a fourth hit, and the rater."""
-    votes = np.zeros((len(hits), families + 4), np.int64)
-    for i, h in enumerate(hits):
-        for k in h:
-            votes[i, family[k]] = 1
-        votes[i, families] = 0 if h else -1
-        votes[i, families + 1] = 1 if len(h) >= 2 else -1 if not h else 0
-        votes[i, families + 2] = 1 if len(h) >= 4 else 0
-    votes[:, families + 3] = np.where(raters > 0, 1, -1)
-    return votes
+def best_cut(z: np.ndarray, y: np.ndarray) -> float:
+    """The middle of the gap in z that separates y best; a missed toxic text counts as MISS clean ones that are marked."""
+    order = np.argsort(-z, kind="stable")
+    caught = np.cumsum(y[order])
+    f = (1 + MISS) * caught / (np.arange(1, len(z) + 1) + MISS * y.sum())
+    ends = np.append(z[order][1:] < z[order][:-1], True)  # a cut lies between different values
+    k = int(np.argmax(np.where(ends, f, -1)))
+    return float(z[order][k] + (z[order][k + 1] if k + 1 < len(z) else z[order][k] - 2)) / 2
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int = 1) -> ToxicModel | None:
@@ -137,40 +226,33 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out:
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = known.where("y = 1").orderBy(*order).limit(MAX_TOXIC).unionByName(known.where("y = 0").orderBy(*order).limit(MAX_HARMLESS))
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").select("doc_id", "y", "text")
-    # copies would make every word of theirs look like evidence: one document per pair of least long-word hashes
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    # copies would make every word of theirs look like evidence: one document (the first) per pair of least long-word hashes
     long_words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[^\s]{7,}"), F.lit(0)))
     least = F.slice(F.array_sort(F.transform(long_words, lambda w: F.xxhash64(w))), 1, 2)
-    sample = materialize(sample.withColumn("least", least).withColumn("least", F.when(F.size("least") < 2, F.array(F.xxhash64("text"))).otherwise(F.col("least"))).dropDuplicates(["y", "least"]).drop("least"), "toxicity-sample")
-    mined = mine(sample)
-    if not mined:
+    sample = sample.withColumn("least", least).withColumn("least", F.when(F.size("least") < 2, F.array(F.xxhash64("text"))).otherwise(F.col("least")))
+    sample = materialize(sample.groupBy("y", "least").agg(F.min(F.struct("doc_id", "text")).alias("first")).select("first.doc_id", "y", "first.text"), "toxicity-sample")
+    entries = mine(sample)
+    if not entries:
         return None
-    index = {f: k for k, (f, _, _) in enumerate(mined)}
+    lexicon = Lexicon(entries)
 
     def hit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hits = [sorted(index[f] for f in _features(t) if f in index) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(hits, pa.list_(pa.int32()))], names=["doc_id", "y", "hits"])
-
-    rows = sample.mapInArrow(hit, "doc_id long, y int, hits array<int>").toArrow().sort_by("doc_id")
+        known: dict[str, tuple[int, ...]] = {}
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            x = lexicon.features([plain_words(t) for t in part.column("text").to_pylist()], known)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("y"), pa.array([np.flatnonzero(r) for r in x], pa.list_(pa.int32()))], names=["doc_id", "y", "on"])
+
+    rows = sample.mapInArrow(hit, "doc_id long, y int, on array<int>").toArrow().sort_by("doc_id")
+    x = np.zeros((len(rows), lexicon.features([set()], {}).shape[1]), np.float32)
+    for i, on in enumerate(rows.column("on").to_pylist()):
+        x[i, on] = 1
+    votes = lexicon.votes(x)
     y = rows.column("y").to_numpy()
-    hits = [set(h) for h in rows.column("hits").to_pylist()]
-    kinds = {k: i for i, k in enumerate(["w", *map(str, BEGINNINGS)])}
-    family = np.array([kinds[f.split(":", 1)[0]] * FAMILIES + k % FAMILIES for k, (f, _, _) in enumerate(mined)])
-    votes = _votes(hits, y, family, len(kinds) * FAMILIES)
-    target = LabelModel(votes, y).posterior(votes)
-    # logistic regression on the posterior labels
-    flat = np.array([k for h in hits for k in sorted(h)], np.int64)
-    row = np.repeat(np.arange(len(hits)), [len(h) for h in hits])
-    w, b, m, v = np.zeros(len(index)), 0.0, np.zeros(len(index) + 1), np.zeros(len(index) + 1)
-    for step in range(1, 301):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, w[flat], len(hits)) + b, -30, 30)))
-        d = (p - target) * (1 + 2 * target) / len(hits)  # a missed toxic text counts three times
-        g = np.append(np.bincount(flat, d[row], len(w)) + 1e-4 * w, d.sum())
-        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
-        move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
-        w, b = w - move[:-1], b - move[-1]
-    return ToxicModel(index, w, float(b))
+    model = LabelModel(votes, y.mean())
+    w, b = _logistic(x.astype(float), model.posterior(votes))
+    cut = best_cut(x @ w + b, y)
+    return ToxicModel(lexicon, w, b - cut + np.log(CUT / (1 - CUT)), model)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel | None, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -182,15 +264,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel | None, text_col: str = "t
     def score(column):
         known: dict[str, tuple[int, ...]] = {}
         for series in column:
-            hits = []
-            for text in series:
-                own = set(text.lower().split())
-                if len(known) > KEPT_WORDS:
-                    known.clear()
-                for word in own.difference(known):
-                    known[word] = model.of_word(word)
-                hits.append({k for word in own for k in known[word]})
-            yield pd.Series(model.score(hits), dtype=float)
+            yield pd.Series(np.concatenate([np.empty(0), *(model.score([plain_words(t)], known) for t in series)]), dtype=float)
 
     score.__annotations__ = {"column": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return docs.withColumn(score_col, F.pandas_udf(score, "double")(F.coalesce(F.col(text_col), F.lit(""))))

@@ -19,6 +19,8 @@ VALUE = np.arange(1, 257, dtype=np.uint64)
 VALUE[ord("A") : ord("Z") + 1] += 32
 VALUE[KIND == SIGN] = 0
 STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Whether the code point of a two-byte character (Latin, Greek, Cyrillic, Armenian) is a capital.
+UPPER = np.array([c >= 0x80 and chr(c).isupper() for c in range(0x800)])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -42,7 +44,7 @@ class Words:
     start: np.ndarray  # first byte, from the start of the buffer
     end: np.ndarray
     number: np.ndarray  # holds a digit
-    capital: np.ndarray  # begins with A-Z
+    capital: np.ndarray  # begins with a capital of Latin, Greek or Cyrillic script
     closes: np.ndarray  # ends with . ! or ?, or ends its text
     data: np.ndarray  # the bytes
 
@@ -100,6 +102,9 @@ def words(column: pa.Array, chars: bool = False) -> Words:
     closes[:-1] |= doc[1:] != doc[:-1]
     closes[-1] = True
     capital = (first >= ord("A")) & (first <= ord("Z"))
+    wide = np.flatnonzero((first >= 0xC3) & (first <= 0xD5))
+    if len(wide):
+        capital[wide] = UPPER[(first[wide].astype(np.int64) & 0x1F) << 6 | data[start[wide] + 1].astype(np.int64) & 0x3F]
     pick = np.flatnonzero(full)
     return Words(mix(h[pick]), doc[pick], start[pick], end[pick], number[pick], capital[pick], closes[pick], data)
 
