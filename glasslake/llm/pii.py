@@ -1,9 +1,17 @@
 """PII replacement by surrogates.
 
-Entities (e-mail, phone, IP address, card number, named person) are found by pattern. Each distinct entity gets one
-surrogate drawn from a keyed hash: of the same type, script and format, names of the same gender. All mentions of an
-entity get its surrogate, written in the mention's own format. Collisions are checked over all entities: two
-entities never share a surrogate and no surrogate is itself an entity of the corpus; whoever loses draws again.
+Entities are found by pattern: e-mail and IP addresses, phone numbers, card numbers and IBANs, and the given and family
+names of persons named with a title; such a name is also replaced where it stands alone in its text. Each distinct
+entity gets one surrogate drawn from a keyed hash: of the same type, script and format, given names of the same gender,
+cards and IBANs with check digits that fit. All mentions of an entity get its surrogate, written in the mention's own
+format; as given and family names are entities of their own, "Mr. John Smith" and "Mr. Smith" stay one person.
+
+Collisions are checked over all entities: two entities never share a surrogate and no surrogate is itself an entity of
+the corpus; whoever loses draws again. Every WIDEN draws the format grows by one digit, letter or name part, so a
+format that the corpus has used up does not stop the job. Initials are shifted along their alphabet instead: there
+are too few of them to avoid each other.
+
+Limits: persons without a title anywhere in their text, and phone numbers without a prefix or area code, stay.
 
 Defined results: null and empty texts have no entities; offsets are code points, end exclusive; null ids are kept as
 null; repeated rows give equal rows; an empty table gives no rows; other columns are ignored (scan) or kept (replace).
@@ -13,6 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -20,16 +30,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import materialize, texts
+from glasslake.llm.common import materialize, slices, texts
 
-KINDS = ("email", "ip", "phone", "card", "person")
-_EMAIL = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
+KINDS = ("email", "iban", "ip", "ip6", "phone", "card", "given", "family")
+#: Draws of one format before it grows.
+WIDEN = 8
+_EMAIL = re.compile(r"(?<![\w.+-])[\w.+-]+@[\w-]+(?:\.[\w-]+)+")
 _IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)")
+_IP6 = re.compile(r"(?<![\w:.])(?=[0-9a-fA-F:]*:[0-9a-fA-F:]*:)[0-9a-fA-F:]{4,39}(?![\w:])")
 _PHONE = re.compile(r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4}(?!\w)")
+#: National numbers: an area code in brackets or with a leading zero, or three groups of 3, 3 and 4 digits.
+_NATIONAL = re.compile(r"(?<![\w+.-])(?:\(\d{2,5}\)[ -]?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|0\d{1,4}[ /.-]\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?![\w]|[.-]\d)")
+NATIONAL_DIGITS = (9, 13)
 _CARD = re.compile(r"(?<![\w.+-])(?:\d{4}[ -]){3}\d{4}(?!\w)|(?<![\w.+-])\d{13,19}(?!\w)")
+_IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?!\w)")
 #: Titles with the gender they tell (f, m, n for neither).
 TITLES = {"Mr.": "m", "Mr": "m", "Mrs.": "f", "Mrs": "f", "Ms.": "f", "Ms": "f", "Miss": "f", "Dr.": "n", "Prof.": "n", "Herr": "m", "Frau": "f", "Monsieur": "m", "Madame": "f", "Mme": "f", "Señor": "m", "Señora": "f", "Sr.": "m", "Sra.": "f", "г-н": "m", "г-жа": "f"}
-_PERSON = re.compile(r"(?<!\w)(" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + r")\s([^\W\d_][^\W\d_'’-]*(?:[ -][^\W\d_][^\W\d_'’-]*)?)")
+_NAME = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))*"
+_PERSON = re.compile(r"(?<!\w)(" + "|".join(re.escape(t) for t in sorted(TITLES, key=len, reverse=True)) + rf")\s({_NAME})(?: ({_NAME}))?")
 #: Given names by script and gender.
 GIVEN = {
     ("latin", "f"): ["Anna", "Clara", "Diana", "Elena", "Flora", "Helena", "Irene", "Julia", "Laura", "Maria", "Nora", "Paula", "Rosa", "Sara", "Teresa", "Vera"],
@@ -39,18 +57,37 @@ GIVEN = {
     ("greek", "f"): ["Άννα", "Ελένη", "Ειρήνη", "Μαρία", "Σοφία", "Χριστίνα"],
     ("greek", "m"): ["Αλέξης", "Γιώργος", "Δημήτρης", "Κώστας", "Νίκος", "Πέτρος"],
 }
-_ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+#: Beginnings and endings of family names by script.
+FAMILY = {
+    "latin": ("Al Bar Ber Cal Dal Ehr Fal Gar Hal Hart Kel Lang Lind Mar Mont Nord Ost Pal Ros Sal Stein Tor Val Wal West Win".split(), "berg dorf er feld ford holm land lin man mar mond o ow sen son stedt ton vale wald well".split()),
+    "cyrillic": ("Бел Вол Гор Дар Зор Кол Лен Мор Нов Пет Род Сав Тар Хол Шар".split(), "анко ев енко ин ич ко ов овский ский ук".split()),
+    "greek": ("Αλεξ Βασ Γεωργ Δημ Ζαχ Θεοδ Καρ Λαμπ Μιχ Νικ Παπ Σταυρ".split(), "άκης άκος άτος έλης ίδης όπουλος ούλης ώτης".split()),
+}
+ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
+_GENDER = {name.lower(): gender for (_, gender), names in GIVEN.items() for name in names}
 
 
 def script(text: str) -> str:
+    """latin, cyrillic or greek, else other; by the first letter."""
     for c in text:
         if "Ѐ" <= c <= "ӿ":
             return "cyrillic"
         if "Ͱ" <= c <= "Ͽ":
             return "greek"
+        if c.isalpha():
+            return "latin" if c < "ɐ" else "other"
     return "latin"
 
 
+def alphabet(letter: str) -> str:
+    """Letters of the same script; of scripts without an alphabet here the neighbours in the code table."""
+    name = script(letter)
+    if name != "other":
+        return ALPHABETS[name]
+    block = ord(letter) & ~0x3F
+    return "".join(chr(c) for c in range(block, block + 64) if chr(c).isalpha() and chr(c) == chr(c).lower()) or letter
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, c in enumerate(reversed(digits)):
@@ -59,20 +96,67 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def mod97(iban: str) -> int:
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def _digits(text: str) -> str:
+    return re.sub(r"\D", "", text)
+
+
+def _numbers(text: str) -> Iterator[tuple[str, int, int, str, str]]:
+    for m in _IP.finditer(text):
+        yield "ip", m.start(), m.end(), m[0], ""
+    for m in _PHONE.finditer(text):
+        yield "phone", m.start(), m.end(), "+" + _digits(m[0]), ""
+    for m in _NATIONAL.finditer(text):
+        if NATIONAL_DIGITS[0] <= len(_digits(m[0])) <= NATIONAL_DIGITS[1]:
+            yield "phone", m.start(), m.end(), _digits(m[0]), ""
+    for m in _CARD.finditer(text):
+        yield "card", m.start(), m.end(), _digits(m[0]), ""
+    for m in _IBAN.finditer(text):
+        plain = m[0].replace(" ", "")
+        if 15 <= len(plain) <= 34 and mod97(plain) == 1:
+            yield "iban", m.start(), m.end(), plain, ""
+    if text.count(":") >= 2:
+        for m in _IP6.finditer(text):
+            try:
+                yield "ip6", m.start(), m.end(), ipaddress.IPv6Address(m[0]).exploded, ""
+            except ValueError:
+                continue
+
+
+def _persons(text: str) -> Iterator[tuple[str, int, int, str, str]]:
+    """Given and family names behind titles, then the same words where they stand alone."""
+    known: dict[str, tuple[str, str]] = {}
+    for m in _PERSON.finditer(text):
+        if not m[2][0].isupper() and script(m[2]) != "other":
+            continue
+        gender = TITLES[m[1]]
+        parts = [2, 3] if m[3] and (m[3][0].isupper() or script(m[3]) == "other") else [2]
+        for k in parts:
+            kind = "given" if len(parts) == 2 and k == 2 else "family"
+            if kind == "given" and gender == "n":
+                gender = _GENDER.get(m[k].lower(), "n")
+            own = gender if kind == "given" else ""
+            yield kind, m.start(k), m.end(k), m[k].lower(), own
+            if len(m[k]) >= 3:
+                known.setdefault(m[k], (kind, own))
+    if known:
+        for m in re.finditer(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(known, key=len, reverse=True))) + r")(?![\w-])", text):
+            yield known[m[0]][0], m.start(), m.end(), m[0].lower(), known[m[0]][1]
+
+
 def mentions(text: str) -> list[tuple[str, int, int, str, str]]:
     """(kind, start, end, entity, gender) of each mention, none overlapping; entity is the same for all its formats."""
     found: list[tuple[str, int, int, str, str]] = []
     if "@" in text:
         found += [("email", m.start(), m.end(), m[0].lower(), "") for m in _EMAIL.finditer(text)]
     if any(c in text for c in "0123456789"):
-        found += [("ip", m.start(), m.end(), m[0], "") for m in _IP.finditer(text)]
-        found += [("phone", m.start(), m.end(), re.sub(r"\D", "", m[0]), "") for m in _PHONE.finditer(text)]
-        found += [("card", m.start(), m.end(), re.sub(r"\D", "", m[0]), "") for m in _CARD.finditer(text)]
-    for m in _PERSON.finditer(text):
-        if m[2][0].isupper():
-            parts = [p for p in m[2].split(" ") if p[:1].isupper()]
-            name = " ".join(parts)
-            found.append(("person", m.start(2), m.start(2) + len(name), name.lower(), TITLES[m[1]]))
+        found += _numbers(text)
+    elif "::" in text:
+        found += (x for x in _numbers(text) if x[0] == "ip6")
+    found += _persons(text)
     out, end = [], 0
     for x in sorted(found, key=lambda x: (x[1], -x[2], KINDS.index(x[0]))):
         if x[1] >= end:
@@ -94,55 +178,82 @@ class _Draws:
         x, self.left = int.from_bytes(self.left[:4], "big"), self.left[4:]
         return x % n
 
+    def pick(self, of):
+        return of[self.below(len(of))]
+
+    def digits(self, n: int) -> str:
+        return "".join(str(self.below(10)) for _ in range(n))
+
 
 def _letters(word: str, draws: _Draws) -> str:
     """Letters to letters of the same script and case, digits to digits, other signs as they are."""
     out = []
     for c in word:
         if c.isdigit():
-            out.append(str(draws.below(10)))
+            out.append(draws.digits(1))
         elif c.isalpha():
-            alphabet = _ALPHABETS[script(c)]
-            d = alphabet[draws.below(len(alphabet))]
+            d = draws.pick(alphabet(c))
             out.append(d.upper() if c.isupper() else d)
         else:
             out.append(c)
     return "".join(out)
 
 
+def _card(digits: str, fits: bool, draws: _Draws) -> str:
+    last = next(d for d in range(10) if luhn(digits + str(d)))
+    return digits + str(last if fits else (last + 1 + draws.below(9)) % 10)
+
+
 def surrogate(kind: str, entity: str, gender: str, attempt: int, key: bytes) -> str:
-    """The surrogate entity, in the plain form that mentions() gives."""
-    draws = _Draws(key, kind, entity, attempt)
+    """The surrogate entity, in the plain form that mentions() gives; each WIDEN attempts it is one part longer."""
+    draws, more = _Draws(key, kind, entity, attempt), attempt // WIDEN
     if kind == "email":
         name, _, domain = entity.partition("@")
         head, _, top = domain.rpartition(".")
-        return f"{_letters(name, draws)}@{_letters(head, draws)}.{top}"
+        return f"{_letters(name + 'a' * more, draws)}@{_letters(head, draws)}.{top}"
     if kind == "ip":
         return ".".join(str(1 + draws.below(254)) for _ in range(4))
+    if kind == "ip6":
+        return ":".join("".join(draws.pick("0123456789abcdef") for _ in range(4)) if g != "0000" or more else g for g in entity.split(":"))
     if kind == "phone":
-        return entity[:1] + "".join(str(draws.below(10)) for _ in entity[1:])
+        lead = 2 if entity[0] == "+" else 1
+        return entity[:lead] + draws.digits(len(entity) - lead + more)
     if kind == "card":
-        digits = entity[:1] + "".join(str(draws.below(10)) for _ in entity[1:-1])
-        last = next(str(d) for d in range(10) if luhn(digits + str(d)))
-        return digits + (last if luhn(entity) else str((int(last) + 1 + draws.below(9)) % 10))
-    parts = entity.split(" ")
-    pool = GIVEN[script(entity), gender if gender in "fm" and gender else "fm"[draws.below(2)]]
-    given = pool[draws.below(len(pool))].lower()
-    family = _letters(parts[-1], draws)
-    return family if len(parts) == 1 else f"{given} {family}"
+        return _card(entity[:1] + draws.digits(len(entity) - 2 + more), luhn(entity), draws)
+    if kind == "iban":
+        body = "".join(draws.digits(1) if c.isdigit() else draws.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for c in entity[4:]) + draws.digits(more)
+        return f"{entity[:2]}{98 - mod97(entity[:2] + '00' + body):02d}{body}"
+    if len(entity) == 1:  # an initial: one shift for all, so initials stay different
+        letters = alphabet(entity)
+        return letters[(letters.index(entity) + 1 + _Draws(key, "initial", letters, 0).below(max(len(letters) - 1, 1))) % len(letters)] if entity in letters else _letters(entity, draws)
+    name = script(entity)
+    if name == "other":
+        return _letters(entity, draws) + "".join(draws.pick(alphabet(entity[0])) for _ in range(more))
+    if kind == "given":
+        pool = GIVEN[name, gender if gender in ("f", "m") else draws.pick("fm")]
+        return "-".join(draws.pick(pool) for _ in range(1 + more)).lower()
+    return "-".join(draws.pick(FAMILY[name][0]) + draws.pick(FAMILY[name][1]) for _ in range(1 + more)).lower()
 
 
 def render(surface: str, kind: str, entity: str) -> str:
     """The surrogate in the format of a mention: its separators, its capitals."""
     if kind in ("phone", "card"):
-        digits = iter(entity)
-        return "".join(next(digits, "0") if c.isdigit() else c for c in surface)
+        digits = iter(entity.lstrip("+"))
+        return "".join(next(digits, "0") if c.isdigit() else c for c in surface) + "".join(digits)
+    if kind == "iban":
+        signs = iter(entity)
+        return "".join(c if c == " " else next(signs, "") for c in surface) + "".join(signs)
+    if kind == "ip6":
+        out = entity if len(surface) == 39 else ipaddress.IPv6Address(entity).compressed
+        return out.upper() if surface.isupper() else out
     if kind == "email":
         if surface.isupper():
             return entity.upper()
-        return "".join(e.upper() if s.isupper() else e for s, e in zip(surface, entity, strict=False)) + entity[len(surface) :]
-    if kind == "person":
-        return entity.upper() if surface.isupper() else " ".join(p[:1].upper() + p[1:] for p in entity.split(" "))
+        return "".join(e.upper() if s.isupper() else e for s, e in itertools.zip_longest(surface[: len(entity)], entity, fillvalue=""))
+    if kind in ("given", "family"):
+        if surface.isupper():
+            return entity.upper()
+        return "-".join(p[:1].upper() + p[1:] for p in entity.split("-")) if surface[:1].isupper() else entity
     return entity
 
 
@@ -153,16 +264,16 @@ def find_mentions(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in schema.split(", ")]
         types = [pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string()]
-        for batch in batches:
-            rows = [(d, k, a, b, t[a:b], e, g) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for k, a, b, e, g in mentions(t)]
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            rows = [(d, k, a, b, t[a:b], e, g) for d, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True) for k, a, b, e, g in mentions(t)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     return texts(docs).mapInArrow(run, schema)
 
 
-def assign_surrogates(found: DataFrame, key: str, rounds: int = 40) -> DataFrame:
-    """kind, entity, replacement: one distinct surrogate per entity."""
+def assign_surrogates(found: DataFrame, key: str) -> DataFrame:
+    """kind, entity, replacement: one distinct surrogate per entity (initials excepted, see above)."""
     import pandas as pd
 
     def draw(kind, entity, gender, attempt):
@@ -170,19 +281,19 @@ def assign_surrogates(found: DataFrame, key: str, rounds: int = 40) -> DataFrame
 
     draw.__annotations__ = {"kind": pd.Series, "entity": pd.Series, "gender": pd.Series, "attempt": pd.Series, "return": pd.Series}
     drawn = F.pandas_udf(draw, "string")
-    # a person named with and without a gendered title is one entity: the gendered title tells
+    # a name met with and without a telling title is one entity: the telling title counts (f and m come before n)
     entities = found.groupBy("kind", "entity").agg(F.min("gender").alias("gender"))
     state = materialize(entities.withColumn("attempt", F.lit(0)).withColumn("replacement", drawn("kind", "entity", "gender", "attempt")), "surrogates")
-    for _ in range(rounds):
-        first = state.groupBy("kind", "replacement").agg(F.min(F.struct("attempt", "entity")).alias("first"), F.count("*").alias("n"))
-        shared = state.join(first.where("n > 1"), ["kind", "replacement"]).where(F.struct("attempt", "entity") != F.col("first")).select("kind", "entity")
-        real = state.join(state.select("kind", F.col("entity").alias("replacement")), ["kind", "replacement"], "left_semi").select("kind", "entity")
+    while True:
+        free = state.where(F.length("entity") > 1)
+        first = free.groupBy("kind", "replacement").agg(F.min(F.struct("attempt", "entity")).alias("first"), F.count("*").alias("n"))
+        shared = free.join(first.where("n > 1"), ["kind", "replacement"]).where(F.struct("attempt", "entity") != F.col("first")).select("kind", "entity")
+        real = free.join(state.select("kind", F.col("entity").alias("replacement")), ["kind", "replacement"], "left_semi").select("kind", "entity")
         again = materialize(shared.union(real).distinct(), "surrogate-collisions")
         if again.isEmpty():
             return state.select("kind", "entity", "replacement")
         redrawn = state.join(again, ["kind", "entity"]).withColumn("attempt", F.col("attempt") + 1).withColumn("replacement", drawn("kind", "entity", "gender", "attempt"))
         state = materialize(state.join(again, ["kind", "entity"], "left_anti").unionByName(redrawn.select(*state.columns)), "surrogates")
-    raise RuntimeError("more entities than surrogates of their format")
 
 
 def replacements(docs: DataFrame, key: str) -> DataFrame:
@@ -200,10 +311,15 @@ def replacements(docs: DataFrame, key: str) -> DataFrame:
 
 
 def replace_pii(docs: DataFrame, key: str) -> DataFrame:
-    """docs with every mention replaced in its text; repeated rows of one id must hold one text."""
+    """docs with every mention replaced in its text; rows without an id, and other texts under an id, are replaced too."""
     import pandas as pd
 
-    by_doc = replacements(docs, key).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end", "surrogate"))).alias("__changes"))
+    # changes belong to a text, so that rows with one id or none get their own
+    keyed = docs.withColumn("__text", F.struct(F.xxhash64("text"), F.xxhash64("text", F.lit(1))))
+    own = keyed.select(F.col("__text").alias("doc_id"), "text").where("text is not null").dropDuplicates(["doc_id"])
+    number = materialize(own.select("doc_id", "text", F.monotonically_increasing_id().alias("n")), "pii-texts")
+    by_text = replacements(number.select(F.col("n").alias("doc_id"), "text"), key).groupBy(F.col("doc_id").alias("n")).agg(F.array_sort(F.collect_list(F.struct("start", "end", "surrogate"))).alias("__changes"))
+    by_text = number.join(by_text, "n").select(F.col("doc_id").alias("__text"), "__changes")
 
     def change(text, changes):
         out = []
@@ -218,4 +334,4 @@ def replace_pii(docs: DataFrame, key: str) -> DataFrame:
         return pd.Series(out, dtype=object)
 
     change.__annotations__ = {"text": pd.Series, "changes": pd.Series, "return": pd.Series}
-    return docs.join(by_doc, "doc_id", "left").withColumn("text", F.pandas_udf(change, "string")("text", "__changes")).select(*docs.columns)
+    return keyed.join(by_text, "__text", "left").withColumn("text", F.pandas_udf(change, "string")("text", "__changes")).select(*docs.columns)

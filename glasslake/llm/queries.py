@@ -63,7 +63,7 @@ def op9_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.replacements(_table(spark, sf_dir, "documents"), key="surrogate-key")
+    return pii.replacements(_table(spark, sf_dir, "documents"), key=spark.conf.get("glasslake.pii.key", "surrogate-key"))
 
 
 QUERIES = {

@@ -528,11 +528,53 @@ def test_surrogates(spark, edge):
     assert next(r for r in rows if r.kind == "phone").surrogate.count("(") in (0, 1)
     card = next(r.surrogate for r in rows if r.kind == "card")
     assert pii.luhn(card) == pii.luhn("4929348385146306") and len(card) == 16
-    people = [r.surrogate for r in rows if r.kind == "person"]
-    assert any(p.split()[0] in pii.GIVEN["latin", "f"] for p in people) and any(p.split()[0] in pii.GIVEN["cyrillic", "m"] for p in people)
+    given = {r.surrogate for r in rows if r.kind == "given"}
+    assert given & set(pii.GIVEN["latin", "f"]) and given & set(pii.GIVEN["cyrillic", "m"])
     out = {r.doc_id: r.text for r in pii.replace_pii(df, "k").collect()}
     assert "Ann.Lee" not in out[1] and out[3] == "clean" and out[4] is None
-    assert pii.replacements(edge, "k").count() == 0
+    assert {tuple(r) for r in pii.replacements(df, "k").collect()} == set(map(tuple, rows)) != {tuple(r) for r in pii.replacements(df, "other key").collect()}
+
+
+def test_surrogates_of_edge_rows(spark, edge):
+    assert pii.replacements(edge, "k").count() == 0 and pii.replacements(edge.limit(0), "k").count() == 0
+    rows = [(1, "to a@b.org"), (1, "to a@b.org"), (1, "other c@d.org"), (None, "no id a@b.org"), (2, None), (3, "x" * 300_000 + " a@b.org")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("kind", "entity", "surface", "n", "key", "start")})
+    got = pii.replacements(df, "k").collect()
+    assert len(got) == 5 and len({r.surrogate for r in got}) == 2
+    out = pii.replace_pii(df, "k")
+    texts = [r.text for r in out.collect()]
+    assert out.columns == df.columns and len(texts) == 6 and None in texts and not any(t and ("a@b.org" in t or "c@d.org" in t) for t in texts)
+
+
+def test_persons_stay_one_person(spark):
+    text = "Mr. John Smith met Mrs. Émilie Weiß-Long. Smith spoke, Mr. Smith left; Weiß-Long and John stayed. Dr. 田中 came, Mr. K. too. JOHN asked."
+    got = {text[r.start : r.end]: r.surrogate for r in pii.replacements(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").collect()}
+    out = pii.replace_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"), "k").first().text
+    assert set(got) == {"John", "Smith", "Émilie", "Weiß-Long", "田中", "K"}
+    assert out.count(got["Smith"]) == 3 and out.count(got["John"]) == 2 and not re.search("John|Smith|Weiß|Émilie|田中", out)
+    assert got["John"] in pii.GIVEN["latin", "m"] and got["Émilie"] in pii.GIVEN["latin", "f"] and all("\u4e00" <= c <= "\u9fff" for c in got["田中"])
+
+
+def test_numbers_of_other_formats():
+    text = "IBAN DE89 3704 0044 0532 0130 00, not DE88370400440532013000; (030) 123 4567, 0171 2345678, 555-123-4567; 2020-01-02, 01-02-2020 at 12:30:45; fe80::1 and FE80:0000:0000:0000:0000:0000:0000:0001."
+    found = pii.mentions(text)
+    assert [(k, text[a:b]) for k, a, b, *_ in found if k != "ip6"] == [("iban", "DE89 3704 0044 0532 0130 00"), ("phone", "(030) 123 4567"), ("phone", "0171 2345678"), ("phone", "555-123-4567")]
+    assert len({e for k, *_, e, _ in found if k == "ip6"}) == 1 and sum(k == "ip6" for k, *_ in found) == 2
+    for attempt in (0, 1, pii.WIDEN, 3 * pii.WIDEN):
+        iban = pii.surrogate("iban", "DE89370400440532013000", "", attempt, b"k")
+        assert pii.mod97(iban) == 1 and iban[:2] == "DE" and len(iban) == 22 + attempt // pii.WIDEN
+    assert len({pii.surrogate("family", c, "", 0, b"k") for c in pii.ALPHABETS["latin"]}) == 26
+
+
+def test_used_up_formats_grow(spark):
+    """All 100 numbers of two free digits, all single-letter names: the job ends and numbers stay distinct."""
+    found = [("phone", f"1{k:02d}", "") for k in range(100)] + [("family", c, "") for c in pii.ALPHABETS["latin"]] + [("given", n.lower(), "f") for n in pii.GIVEN["latin", "f"]]
+    rows = pii.assign_surrogates(spark.createDataFrame(found, "kind string, entity string, gender string"), "k").collect()
+    assert len(rows) == len(found)
+    for kind in ("phone", "given", "family"):
+        own = [r for r in rows if r.kind == kind]
+        assert len({r.replacement for r in own}) == len(own)
+        assert kind == "family" or not {r.replacement for r in own} & {r.entity for r in own}
 
 
 def test_surrogates_stay_distinct(spark):
