@@ -1,10 +1,10 @@
 """Substring dedup by hashing normalised units: lines, paragraphs, sentences inside lines, or windows of words.
 
-`repeated_passages` is the whole job: every line that occurs earlier as a line, whatever its length, and every run of
-LEAST_WORDS words or more that occurs earlier anywhere, from its first to its last word. `repeated_spans` is the
+`repeated_passages` is the whole job: every line of least_line words or more that occurs earlier as a line, and every
+run of LEAST_WORDS words or more that occurs earlier anywhere, from its first to its last word. `repeated_spans` is the
 plainer form on one kind of unit.
 
-Units are normalised (small letters, signs and white space do not count) and their digests grouped globally. The
+Units are normalised (small letters of any script; signs and white space do not count) and their digests grouped globally. The
 earliest occurrence, by (doc_id, position), stays; the others are removed as runs of neighbouring units, with their
 offsets in the original text.
 
@@ -29,6 +29,8 @@ from glasslake.llm.wordhash import Words, mix, text_bytes, windows, words
 
 #: Words that a run of repeated units must hold to be removed.
 LEAST_WORDS = 17
+#: Words that a repeated line must hold; shorter ones ("Les.") are alike by chance. 1 reports every repeated line.
+LEAST_LINE = 5
 #: Sentences are also cut behind one word in so many, chosen by the word itself, so that text without stops has units.
 CUT_EVERY = 32
 #: Windows of so many words are hashed, and of as many neighbouring windows those with the least hash are kept. So a run
@@ -100,7 +102,7 @@ def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = L
     seen = first.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n")).where("n > 1").drop("n")
     across = first.join(seen, ["d1", "d2"]).where("doc_id <> kept_doc_id")
     columns = ["doc_id", "unit", "start", "end", "n_words", "kept_doc_id"]
-    extra = inside.select(columns).unionByName(across.select(columns))
+    extra = inside.select(columns).unionByName(across.select(columns)).distinct()  # repeated rows are one document
     by_doc = Window.partitionBy("doc_id").orderBy("unit")
     runs = extra.withColumn("run", F.col("unit") - F.dense_rank().over(by_doc))
     spans = runs.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"), F.min_by("kept_doc_id", "unit").alias("kept_doc_id"))
@@ -204,21 +206,22 @@ def _joined(spans: DataFrame) -> DataFrame:
     ).drop("run")
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """doc_id, start, end, n_words, kept_doc_id, as repeated_spans, of repeated lines and runs of LEAST_WORDS words or more.
+def repeated_passages(docs: DataFrame, least_line: int = LEAST_LINE) -> DataFrame:
+    """doc_id, start, end, n_words, kept_doc_id, as repeated_spans, of repeated lines of least_line words or more and
+    repeated runs of LEAST_WORDS words or more.
 
     Windows are grouped globally; runs of repeated ones are extended word by word, by the texts of the document and
     of the one that keeps the window, which are read for the ends of runs only.
     """
     base = texts(docs).where("doc_id is not null")
-    rows = materialize(base.mapInArrow(_anchor_rows, _ANCHORS), "anchors")
+    rows = materialize(base.mapInArrow(_anchor_rows, _ANCHORS).where((F.col("n") == 0) | (F.col("n") >= least_line)), "anchors")
     inside = rows.where("again").withColumn("kept_doc_id", F.col("doc_id"))
     first = rows.where("NOT again")
     seen = first.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n_docs")).where("n_docs > 1").drop("n_docs")
     across = first.join(seen, ["d1", "d2"]).where("doc_id <> kept_doc_id")
     columns = ["doc_id", "at", "n", "d1", "start", "end", "kept_doc_id"]
     extra = inside.select(columns).unionByName(across.select(columns))
-    line = extra.where("n > 0").select("doc_id", F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("behind"), "start", "end", "kept_doc_id").distinct()
+    line = extra.where(F.col("n") >= least_line).select("doc_id", F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("behind"), "start", "end", "kept_doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy("at")
     marked = extra.where("n = 0").withColumn("new", (F.col("at") - F.coalesce(F.lag("at").over(order), F.lit(-ANCHOR - 1)) > ANCHOR).cast("int")).withColumn("run", F.sum("new").over(order))
     ends = F.struct("at", "d1", "kept_doc_id")

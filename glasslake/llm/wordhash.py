@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +20,22 @@ VALUE = np.arange(1, 257, dtype=np.uint64)
 VALUE[ord("A") : ord("Z") + 1] += 32
 VALUE[KIND == SIGN] = 0
 STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _plane() -> tuple[np.ndarray, np.ndarray]:
+    """Small form (of the same length in UTF-8) and kind of each code point of the basic plane."""
+    small, kind = np.arange(0x10000), np.full(0x10000, LETTER, np.uint8)
+    for c in range(0x80, 0x10000):
+        sign = chr(c)
+        low = sign.lower()
+        if len(low) == 1 and low != sign and (ord(low) < 0x800) == (c < 0x800) and ord(low) >= 0x80:
+            small[c] = ord(low)
+        if unicodedata.category(sign)[0] not in "LNM":
+            kind[c] = WHITE if sign.isspace() else SIGN
+    return small, kind
+
+
+SMALL, PLANE_KIND = _plane()
 #: Whether the code point of a two-byte character (Latin, Greek, Cyrillic, Armenian) is a capital.
 UPPER = np.array([c >= 0x80 and chr(c).isupper() for c in range(0x800)])
 
@@ -39,7 +56,7 @@ def powers(n: int) -> np.ndarray:
 class Words:
     """Words with at least one letter or digit, in order over all texts."""
 
-    hash: np.ndarray  # uint64 of the letters and digits, small letters
+    hash: np.ndarray  # uint64 of the letters, marks and digits, small letters
     doc: np.ndarray  # number of the text
     start: np.ndarray  # first byte, from the start of the buffer
     end: np.ndarray
@@ -60,6 +77,26 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, bounds - bounds[0]
 
 
+def fold(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes with small letters in place of capitals outside ASCII, and the kind of each byte."""
+    kind = KIND[data]
+    if not (data >= 0x80).any():
+        return data, kind
+    out = data.copy()
+    two, three = np.flatnonzero((data >= 0xC2) & (data <= 0xDF)), np.flatnonzero((data >= 0xE0) & (data <= 0xEF))
+    if len(two):
+        c = (data[two].astype(np.int64) & 0x1F) << 6 | data[two + 1] & 0x3F
+        kind[two] = kind[two + 1] = PLANE_KIND[c]
+        c = SMALL[c]
+        out[two], out[two + 1] = 0xC0 | c >> 6, 0x80 | c & 0x3F
+    if len(three):
+        c = (data[three].astype(np.int64) & 0x0F) << 12 | (data[three + 1].astype(np.int64) & 0x3F) << 6 | data[three + 2] & 0x3F
+        kind[three] = kind[three + 1] = kind[three + 2] = PLANE_KIND[c]
+        c = SMALL[c]
+        out[three], out[three + 1], out[three + 2] = 0xE0 | c >> 12, 0x80 | c >> 6 & 0x3F, 0x80 | c & 0x3F
+    return out, kind
+
+
 def _unspaced(data: np.ndarray) -> np.ndarray:
     """First bytes of characters of scripts that set no spaces: kana and Han (lead bytes E3 to E9), Thai and Lao."""
     lead = (data >= 0xE3) & (data <= 0xE9)
@@ -70,7 +107,7 @@ def _unspaced(data: np.ndarray) -> np.ndarray:
 def words(column: pa.Array, chars: bool = False) -> Words:
     """Words between white space; with chars each character of a script without spaces is a word of its own."""
     data, bounds = text_bytes(column)
-    kind = KIND[data]
+    small, kind = fold(data)
     solid = kind != WHITE
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
@@ -91,7 +128,7 @@ def words(column: pa.Array, chars: bool = False) -> Words:
     before = np.cumsum(keeps) - keeps
     word = np.cumsum(begins) - 1
     at = before - before[start][np.maximum(word, 0)]
-    value = VALUE[data] * solid
+    value = VALUE[small] * solid
     power = powers(int(at.max(initial=0)) + 1)
     h = np.add.reduceat(value * power[np.maximum(at, 0)] * keeps, start)
     number = np.maximum.reduceat(kind == DIGIT, start)

@@ -1,4 +1,5 @@
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -264,15 +265,20 @@ def test_scores_of_edge_rows(spark, edge):
 # ---------------------------------------------------------------- 4 substrings
 
 
-def brute_units(text):
-    """Units as word tuples, by regular expressions: sentences of lines, also cut behind chosen words."""
+def brute_clean(word):
+    small = "".join(c.lower() if len(c.lower()) == 1 else c for c in word)
+    return "".join(c for c in small if ord(c) > 0xFFFF or unicodedata.category(c)[0] in "LNM")
+
+
+def brute_units(text, kind):
+    """Units as word tuples, by regular expressions: lines, paragraphs, or sentences of lines also cut behind chosen words."""
     out, unit = [], []
-    for line in text.split("\n"):
-        for w in re.findall(r"\S+", line):
-            clean = re.sub(r"[^0-9a-z\x80-\U0010ffff]", "", re.sub(r"[A-Z]", lambda m: m[0].lower(), w))
+    for block in re.split(r"\n(?:[^\S\n]*\n)+" if kind == "paragraph" else "\n", text):
+        for w in re.findall(r"\S+", block):
+            clean = brute_clean(w)
             if clean:
                 unit.append(clean)
-                if w[-1] in ".!?" or int(words(pa.array([w])).hash[0]) % substrings.CUT_EVERY == 0:
+                if kind == "sentence" and (w[-1] in ".!?" or int(words(pa.array([w])).hash[0]) % substrings.CUT_EVERY == 0):
                     out.append(tuple(unit))
                     unit = []
         if unit:
@@ -281,17 +287,19 @@ def brute_units(text):
     return out
 
 
-def test_units_against_brute_force(spark, docs):
-    rows = [(d, t or "") for d, t, *_ in EDGE if d is not None and d != 4] + [(r.doc_id + 100, r.text) for r in docs.limit(120).collect()]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = set()
-    for r in substrings.repeated_spans(df, least_words=1).collect():
+@pytest.mark.parametrize("kind", ["line", "paragraph", "sentence"])
+def test_units_against_brute_force(spark, docs, kind):
+    rows = [(d, t or "") for d, t, *_ in EDGE if d is not None] + [(r.doc_id + 100, r.text) for r in docs.limit(120).collect()]
+    rows += [(90, "Share THIS “page”.\n\nÉlan vital,\nnew lines here.\n\nLast."), (91, "x y z\nshare this page\n \n élan VITAL\nNew lines — here!\n\nΑΒΓ Жук"), (92, "share this page"), (93, "share this page\nαβγ жук"), (93, "share this page\nαβγ жук")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: F.lit("x") for c in ("unit", "d1", "d2", "again", "n", "run", "kept_doc_id")})
+    got, texts = set(), dict(rows)
+    for r in substrings.repeated_spans(df, kind, least_words=1).collect():
         got.add((r.doc_id, r.n_words))
-        assert r.start < r.end
+        assert len([c for c in map(brute_clean, texts[r.doc_id][r.start : r.end].split()) if c]) == r.n_words
     first, want = set(), set()
-    for d, t in sorted(rows):
+    for d, t in sorted(set(rows)):
         run = 0
-        for u in [*brute_units(t), None]:
+        for u in [*brute_units(t, kind), None]:
             if u in first:
                 run += len(u)
             else:
@@ -299,7 +307,14 @@ def test_units_against_brute_force(spark, docs):
                 run = 0
                 first.add(u)
         first.discard(None)
-    assert got == want
+    assert got == want and (92, 3) in got
+    assert substrings.repeated_spans(df.limit(0), kind).count() == 0
+    if kind == "line":  # the whole job, with lines of any length, holds these lines
+        whole = substrings.repeated_passages(df, least_line=1).collect()
+        for d, n in want:
+            assert sum(r.n_words for r in whole if r.doc_id == d) >= n
+        plain = {(r.doc_id, r.n_words) for r in whole if r.n_words < substrings.LEAST_WORDS and 90 <= r.doc_id < 100}
+        assert plain == {(d, n) for d, n in want if 90 <= d < 100}
 
 
 def test_removal_keeps_the_first(spark):
@@ -315,7 +330,8 @@ def test_removal_keeps_the_first(spark):
 def test_short_lines_are_removed(spark):
     rows = [(1, "First text here.\nShare this page.\nLes.\nIts end."), (2, "Second begins so.\nshare this page\nAnother close."), (3, "Third one.\nLes.\nShare this page.\nShare this page.\nOver.")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    texts = {r.doc_id: r.text.split() for r in substrings.remove_spans(df, substrings.repeated_passages(df)).collect()}
+    assert substrings.repeated_passages(df).count() == 0
+    texts = {r.doc_id: r.text.split() for r in substrings.remove_spans(df, substrings.repeated_passages(df, least_line=1)).collect()}
     assert texts == {1: rows[0][1].split(), 2: "Second begins so. Another close.".split(), 3: "Third one. Over.".split()}
 
 
