@@ -21,9 +21,11 @@ BLOCK_ROWS = 4096
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder shared by driver and executors: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder shared by driver and executors: spark.checkpoint.dir; a temporary one only where all run in one process."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="glasslake-")
         spark.conf.set("spark.checkpoint.dir", named)
     return f"{named.rstrip('/')}/work"
@@ -262,6 +264,20 @@ def run_pairs(rows: DataFrame, order: list[str], visit: Callable, out: str, name
 # ---------------------------------------------------------------- connected components
 
 
+def _with_least(edges: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(edges with m, per node its least neighbour m): edges(u, v) joined with the least v of their u.
+
+    A node that has more edges than a partition's share would put them all in one task: there are at most as many such
+    hubs as partitions, and their edges take the least neighbour from a broadcast instead.
+    """
+    spark = edges.sparkSession
+    least = materialize(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), f"{name}-least")
+    share = max(1000, edges.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hubs = F.broadcast(least.where(F.col("n") > share).select("u", "m"))
+    rest = edges.join(hubs, "u", "left_anti").join(least.where(F.col("n") <= share).select("u", "m"), "u")
+    return edges.join(hubs, "u").unionByName(rest), least
+
+
 def components(links: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable, for every node of links(u, v).
 
@@ -271,18 +287,18 @@ def components(links: DataFrame, name: str = "components", rounds: int = 60) ->
     edges = materialize(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        joined, low = _with_least(both, name)
+        m = F.least("u", "m")
+        # large star: every node's larger neighbours point to the smallest of its neighbours and itself
+        large = materialize(joined.where("v > u").select(F.col("v").alias("u"), m.alias("v")).where("u <> v").distinct(), name)
         # small star: every node's smaller neighbours and itself point to the smallest of them
-        large = materialize(large.distinct(), name)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        joined, least = _with_least(large, name)
         small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         new = materialize(small.distinct(), name)
-        discard(edges)
-        discard(large)
+        for old in (edges, low, large, least):
+            discard(old)
         edges = new
-        # done when no root is itself a member
+        # done when no root is itself a member and every member has one root
         if edges.select("v").distinct().join(edges.select(F.col("u").alias("v")), "v", "left_semi").isEmpty() and edges.groupBy("u").count().where("count > 1").isEmpty():
             break
     else:

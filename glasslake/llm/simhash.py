@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -140,22 +141,50 @@ def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> Data
 
 # ---------------------------------------------------------------- a similarity of shingle sets
 
-#: 13 segments of 19 bits: at a Jaccard similarity of 0.8 a pair shares a variant with probability 0.94, at 0.85 0.98, at 0.9 above 0.99.
-WIDE_SEGMENTS, WIDE_BITS = 13, 19
-#: Words of a wide fingerprint: four are indexed, the rest only checked. Row layout of an index entry: variant in the
-#: high 28 bits of the key, 36 check bits below it, 64 more in `mark`.
-WIDE_WORDS, KEY_SHIFT = 6, 36
-#: A pair at similarity 0.8 differs in 15 % of the bits on average: three standard deviations more for 100 check bits
-#: and for the whole fingerprint.
-CHECK_BITS, WHOLE_BITS = 26, 77
+#: Probability that a pair at the similarity shares a variant; candidates that a document may meet by chance; least
+#: bits of a segment.
+WIDE_RECALL, WIDE_CHANCE, WIDE_BITS = 0.94, 4096, 19
+#: Standard deviations above the mean by which a candidate's bits may differ.
+DEVIATIONS = 3.0
 #: Few shingles make rough fingerprints: pairs of which one set has up to so many are joined exactly.
 SHORT_SET = 16
 
 
-def _segments(fp: np.ndarray) -> np.ndarray:
-    """(n, segments) values of WIDE_BITS bits each, from the first 247 of 256 bits."""
-    bits = np.unpackbits(np.ascontiguousarray(fp).byteswap().view(np.uint8).reshape(len(fp), -1), axis=1)[:, : WIDE_SEGMENTS * WIDE_BITS]
-    return bits.reshape(len(fp), WIDE_SEGMENTS, WIDE_BITS).astype(np.int64) @ (1 << np.arange(WIDE_BITS, dtype=np.int64))
+@dataclass(frozen=True)
+class Layout:
+    """Segments, bits of each, words of a fingerprint (two more than the segments fill, to check candidates by).
+
+    An index entry is a key, the variant's number and value above `shift` check bits, and 64 more check bits. check and
+    whole are the most bits that may differ among the check bits and in the whole fingerprint.
+    """
+
+    segments: int
+    bits: int
+    words: int
+    shift: int
+    check: int
+    whole: int
+
+
+def layout(n: int, similarity: float) -> Layout:
+    """Sized for n classes: segments are so long that a document meets WIDE_CHANCE others by chance at most, and so many
+    that a pair at the similarity shares a variant with probability WIDE_RECALL. So work grows with n, not its square."""
+    # bits differ as often as the angle between the shingle sets says
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    bits, segments = WIDE_BITS - 1, 0
+    while not segments or (n * segments * (bits + 1) / 2**bits > WIDE_CHANCE and bits < 40):
+        bits += 1
+        shares = (1 - p) ** bits + bits * p * (1 - p) ** (bits - 1)
+        segments = round(math.log(1 - WIDE_RECALL) / math.log(1 - shares))
+    shift, words = 63 - bits - (segments * bits - 1).bit_length(), -(-(segments * bits) // 64) + 2
+    most = lambda m: math.ceil(m * p + DEVIATIONS * math.sqrt(m * p * (1 - p)))
+    return Layout(segments, bits, words, shift, most(shift + 64), most(64 * words))
+
+
+def _segments(fp: np.ndarray, plan: Layout) -> np.ndarray:
+    """(n, segments) values of plan.bits bits each, from all but the last two words."""
+    bits = np.unpackbits(np.ascontiguousarray(fp[:, :-2]).byteswap().view(np.uint8).reshape(len(fp), -1), axis=1)[:, : plan.segments * plan.bits]
+    return bits.reshape(len(fp), plan.segments, plan.bits).astype(np.int64) @ (1 << np.arange(plan.bits, dtype=np.int64))
 
 
 def _list_array(rows: np.ndarray) -> pa.Array:
@@ -163,14 +192,14 @@ def _list_array(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * width + 1, width, dtype=np.int32)), pa.array(rows.view(np.int64).ravel()))
 
 
-def _shingle_sets(shingle: int, with_sets: bool, most: int = 0):
+def _shingle_sets(shingle: int, plan: Layout, with_sets: bool, most: int = 0):
     """Fingerprints, with the sets themselves, or with digests and the sets of up to `most` shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = [np.unique(shingle_hashes(t, shingle)) for t in part.column("text").to_pylist()]
-                fp = _list_array(fingerprints(sets, WIDE_WORDS))
+                fp = _list_array(fingerprints(sets, plan.words))
                 if with_sets:
                     ends = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                     flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*sets, np.array([], np.uint64)]).view(np.int64)))
@@ -183,17 +212,20 @@ def _shingle_sets(shingle: int, with_sets: bool, most: int = 0):
     return run
 
 
-def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    blank = ~(np.int64(1) << np.arange(WIDE_BITS, dtype=np.int64))
-    per = WIDE_SEGMENTS * WIDE_BITS
-    head = (np.arange(per) << WIDE_BITS).reshape(WIDE_SEGMENTS, WIDE_BITS)
-    for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            part = batch.slice(at, 1024)
-            fp = part.column(1).flatten().to_numpy().view(np.uint64).reshape(part.num_rows, WIDE_WORDS)
-            key = ((_segments(fp[:, :4])[:, :, None] & blank) | head) << KEY_SHIFT
-            key |= (fp[:, 4] >> np.uint64(64 - KEY_SHIFT)).astype(np.int64)[:, None, None]
-            yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), per)), pa.array(np.repeat(fp[:, 5].view(np.int64), per))], names=["key", "rep", "mark"])
+def _variants(plan: Layout):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blank = ~(np.int64(1) << np.arange(plan.bits, dtype=np.int64))
+        per = plan.segments * plan.bits
+        head = (np.arange(per) << plan.bits).reshape(plan.segments, plan.bits)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                fp = part.column(1).flatten().to_numpy().view(np.uint64).reshape(part.num_rows, plan.words)
+                key = ((_segments(fp, plan)[:, :, None] & blank) | head) << plan.shift
+                key |= (fp[:, -2] >> np.uint64(64 - plan.shift)).astype(np.int64)[:, None, None]
+                yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(part.column(0).to_numpy(), per)), pa.array(np.repeat(fp[:, -1].view(np.int64), per))], names=["key", "rep", "mark"])
+
+    return run
 
 
 class _Links:
@@ -220,29 +252,32 @@ class _Links:
         return {"u": u, "v": v}
 
 
-def _candidate_visit(cols, pairs):
-    low = np.uint64((1 << KEY_SHIFT) - 1)
-    key, mark = cols["key"].view(np.uint64) & low, cols["mark"].view(np.uint64)
-    links = _Links()
-    for i, j in pairs:
-        ok = np.bitwise_count(key[i] ^ key[j]) + np.bitwise_count(mark[i] ^ mark[j]) <= CHECK_BITS
-        if ok.any():
-            links.add(cols["rep"][i[ok]], cols["rep"][j[ok]])
-    return links.columns()
+def _candidate_visit(plan: Layout):
+    def visit(cols, pairs):
+        low = np.uint64((1 << plan.shift) - 1)
+        key, mark = cols["key"].view(np.uint64) & low, cols["mark"].view(np.uint64)
+        links = _Links()
+        for i, j in pairs:
+            ok = np.bitwise_count(key[i] ^ key[j]) + np.bitwise_count(mark[i] ^ mark[j]) <= plan.check
+            if ok.any():
+                links.add(cols["rep"][i[ok]], cols["rep"][j[ok]])
+        return links.columns()
+
+    return visit
 
 
-def _verify_visit(similarity: float):
+def _verify_visit(plan: Layout, similarity: float):
     def visit(cols, pairs):
         fp, sets, rep = cols["fp"].view(np.uint64), cols["set"], cols["rep"]
         label = np.arange(len(rep))
         links = _Links()
         for i, j in pairs:
-            near = (np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1) <= WHOLE_BITS) & (label[i] != label[j])
+            near = (label[i] != label[j]) & (np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1) <= plan.whole)
             for a, b in zip(i[near].tolist(), j[near].tolist(), strict=True):
                 if label[a] == label[b]:  # another pair has joined them already
                     continue
                 both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if both >= similarity * (len(sets[a]) + len(sets[b]) - both):
+                if both >= similarity * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
                     label[label == label[b]] = label[a]
                     links.add(rep[[a]], rep[[b]])
         return links.columns()
@@ -291,21 +326,24 @@ def _prefix_visit(similarity: float):
 def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, component_id: groups of documents linked at a Jaccard similarity of their shingle sets.
 
-    Equal shingle sets are one class (128-bit digest; texts without words are one class). Classes get a 384-bit
-    fingerprint: 13 segments of 19 bits are indexed by deletion variants, the rest checks candidates, and the
-    shingle sets themselves decide. Candidates come with the probabilities given at WIDE_SEGMENTS; pairs with a set of up
-    to SHORT_SET shingles are found exactly, by a shared shingle of their prefixes.
+    Equal shingle sets are one class (128-bit digest; texts without words are one class). Classes get a wide
+    fingerprint: its segments, sized for the table by layout(), are indexed by deletion variants, the rest checks
+    candidates, and the shingle sets themselves decide. Candidates come with probability WIDE_RECALL at the similarity
+    and more above it; pairs with a set of up to SHORT_SET shingles are found exactly, by a shared shingle of their
+    prefixes.
     """
     most = math.floor(SHORT_SET / similarity + 1e-9)
-    table = materialize(texts(docs).where("doc_id is not null").mapInArrow(_shingle_sets(shingle, False, most), "doc_id long, digest binary, fp array<long>, short array<long>"), "wide")
+    base = texts(docs).where("doc_id is not null")
+    plan = layout(base.count(), similarity)
+    table = materialize(base.mapInArrow(_shingle_sets(shingle, plan, False, most), "doc_id long, digest binary, fp array<long>, short array<long>"), "wide")
     classes = materialize(table.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("fp").alias("fp"), F.any_value("short").alias("short")), "wide-classes")
     prefixes = classes.where("size(short) > 0").select("rep", "short").mapInArrow(_prefix_rows(similarity, most), "key long, rep long, size int, set array<long>")
     exact = run_pairs(prefixes, ["rep"], _prefix_visit(similarity), "u long, v long", "short-links")
-    keys = classes.select("rep", "fp").mapInArrow(_variants, "key long, rep long, mark long")
-    candidates = run_pairs(keys, ["rep"], _candidate_visit, "u long, v long", "wide-links", shift=KEY_SHIFT)
+    keys = classes.select("rep", "fp").mapInArrow(_variants(plan), "key long, rep long, mark long")
+    candidates = run_pairs(keys, ["rep"], _candidate_visit(plan), "u long, v long", "wide-links", shift=plan.shift)
     groups = components(candidates, "wide-candidates").select(F.col("node").alias("rep"), F.col("component").alias("key"))
-    sets = texts(docs).withColumnRenamed("doc_id", "rep").join(groups, "rep").select("key", "rep", "text").mapInArrow(_shingle_sets(shingle, True), "key long, rep long, fp array<long>, set array<long>")
-    links = run_pairs(sets, ["rep"], _verify_visit(similarity), "u long, v long", "wide-verified")
+    sets = base.withColumnRenamed("doc_id", "rep").join(groups, "rep").select("key", "rep", "text").mapInArrow(_shingle_sets(shingle, plan, True), "key long, rep long, fp array<long>, set array<long>")
+    links = run_pairs(sets, ["rep"], _verify_visit(plan, similarity), "u long, v long", "wide-verified")
     found = components(links.unionByName(exact), "wide-components").select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
     by_class = classes.select("digest", "rep").join(found, "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("component_id"))
     return table.select("doc_id", "digest").join(by_class, "digest").select("doc_id", "component_id")

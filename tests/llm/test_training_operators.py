@@ -57,6 +57,9 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in common.components(spark.createDataFrame(links, "u long, v long")).collect()}
     want = groups_of([x for x in links if x[0] != x[1]], {n for x in links for n in x})
     assert got == want
+    hub = [(0, k) for k in range(1, 3000)] + [(k, k + 5000) for k in range(1, 50)] + [(5001, 9000)]
+    got = {r.node: r.component for r in common.components(spark.createDataFrame(hub, "u long, v long")).collect()}
+    assert set(got.values()) == {0} and len(got) == 3000 + 49 + 1
     assert common.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
@@ -472,6 +475,43 @@ def test_similar_groups(spark):
     assert len(wrong) <= 2 and all(got[d] % 10 == got[d] % 10 and got[d] // 10 == d // 10 for d in want if d < 500)
 
 
+def test_layouts_keep_recall_and_work_in_bounds():
+    for n in (0, 1000, 200_000, 15_000_000, 10**9, 10**11):
+        plan = simhash.layout(n, 0.8)
+        p = np.arccos(1.6 / 1.8) / np.pi
+        shares = (1 - p) ** plan.bits + plan.bits * p * (1 - p) ** (plan.bits - 1)
+        assert 1 - (1 - shares) ** plan.segments > 0.93 and n * plan.segments * (plan.bits + 1) / 2**plan.bits <= simhash.WIDE_CHANCE
+        assert plan.bits + (plan.segments * plan.bits - 1).bit_length() + plan.shift == 63 and plan.words * 64 >= plan.segments * plan.bits + plan.shift + 64
+
+
+@pytest.mark.parametrize(("similarity", "least"), [(0.8, 0.9), (0.85, 0.96), (0.9, 0.99)])
+def test_recall_of_similar_pairs(spark, similarity, least):
+    """Pairs of 20 to 1,200 words that are just so similar, by brute force over their shingle sets; none is linked below 0.8."""
+    rng = np.random.default_rng(int(similarity * 100))
+    rows, real = [], {}
+    for k in range(600):
+        n = int(rng.choice([20, 24, 30, 45, 80, 200, 500, 1200]))
+        a = [f"w{x}" for x in rng.integers(0, 10**9, n)]
+        common = int(np.ceil((n - 4) * (2 * similarity / (1 + similarity))))
+        # b begins as a does and ends in words of its own, which replace as many shingles as the similarity allows
+        b = [*a[: common + 4], *(f"y{x}" for x in rng.integers(0, 10**9, n - common - 4))]
+        if k % 5 == 0:  # one shingle fewer in common: below 0.8 there
+            b[common + 3] = "other"
+        shingles = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (a, b)]
+        real[k] = len(shingles[0] & shingles[1]) / len(shingles[0] | shingles[1])
+        rows += [(2 * k, " ".join(a)), (2 * k + 1, " ".join(b))]
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = {k: got[2 * k] == got[2 * k + 1] for k in range(600)}
+    assert len(got) == 1200 and all(got[2 * k] == 2 * k for k in range(600)) and not any(linked[k] for k in range(600) if real[k] < 0.8)
+    assert np.mean([linked[k] for k in range(600) if real[k] >= similarity]) >= least
+
+
+def test_similar_groups_of_edge_rows(spark, edge):
+    got = sorted((r.doc_id, r.component_id) for r in simhash.similar_groups(edge.withColumns({c: F.lit("x") for c in ("digest", "fp", "short", "component")})).collect())
+    assert got == [(1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (5, 5), (6, 6), (7, 6), (8, 8)]
+    assert simhash.similar_groups(edge.limit(0)).count() == 0
+
+
 def test_similar_short_texts_exactly(spark):
     rows, want = [], {}
     for n in range(8, 21):  # n words and one more: n - 4 against n - 3 shingles, 0.8 at the least
