@@ -11,7 +11,7 @@ import json
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasslake.functions.scalars import canonical_json, chain_hash
@@ -36,12 +36,23 @@ def _link(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["shard", "seq", "prev_hash", "hash", "request_id", "payload"])
 
 
-def build_chain(audit: DataFrame, shards: int = 64) -> DataFrame:
+#: Records of a shard; a shard is folded in one task.
+SHARD_RECORDS = 100_000
+
+
+def shard_of(request: str, shards: int) -> Column:
+    """The shard of a request: the first 32 bits of its MD5, modulo the number of shards."""
+    return F.pmod(F.conv(F.substring(F.md5(request), 1, 8), 16, 10).cast("long"), F.lit(shards)).cast("int")
+
+
+def build_chain(audit: DataFrame, shards: int | None = None) -> DataFrame:
     """shard, seq, prev_hash, hash, request_id, payload; a shard holds the records of one erasure log slice.
 
-    Choose the number of shards with the log (a shard is folded in one task): some 100 000 records each.
+    The number of shards grows with the log, so that each holds some SHARD_RECORDS records.
     """
-    rows = with_payload(audit).withColumn("shard", F.pmod(F.crc32("request_id"), F.lit(shards)).cast("int")).select("shard", "request_id", "completed_at", "payload")
+    if shards is None:
+        shards = max(1, -(-audit.count() // SHARD_RECORDS))
+    rows = with_payload(audit).withColumn("shard", shard_of("request_id", shards)).select("shard", "request_id", "completed_at", "payload")
     return rows.groupBy("shard").applyInPandas(_link, "shard int, seq long, prev_hash string, hash string, request_id string, payload string")
 
 

@@ -101,6 +101,18 @@ def contract_of(schemas: dict[str, T.StructType], required: dict[str, list[str]]
     return [(topic, f.name, f.dataType.simpleString(), f.name in required.get(topic, [])) for topic, s in schemas.items() for f in s.fields if f.name != CORRUPT]
 
 
+def infer_contract(records: DataFrame) -> DataFrame:
+    """(topic, field, type, required) of records(topic, record_id, field, value): what their fields held.
+
+    A field is required if every record of its topic has it, and a number's type is the smallest that held all values.
+    """
+    value = F.col("value").cast("double")
+    kind = F.when(F.count_if(value.isNull()) > 0, "string").when(F.count_if(value != F.floor(value)) > 0, "double").when(F.max(F.abs(value)) > 2_147_483_647, "bigint").otherwise("int")
+    fields = records.groupBy("topic", "field").agg(kind.alias("type"), F.count_distinct("record_id").alias("n"))
+    sizes = records.groupBy("topic").agg(F.count_distinct("record_id").alias("size"))
+    return fields.join(sizes, "topic").select("topic", "field", "type", (F.col("n") == F.col("size")).alias("required"))
+
+
 def contract_drift(baseline: DataFrame, current: DataFrame) -> DataFrame:
     """Breaking changes between snapshots (topic, field, type, required); a new topic or optional field breaks nothing."""
     b, c = baseline.alias("b"), current.alias("c")

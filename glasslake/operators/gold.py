@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.operators.silver import newest_per
+from glasslake.functions.scalars import hash_pii
+from glasslake.operators.silver import CONSENT, flagged_orders, latest_order, newest_per
 from glasslake.operators.suppression import not_suppressed
 
 
@@ -13,7 +14,7 @@ def customer_360(customers: DataFrame, orders: DataFrame, registry: DataFrame) -
     """A row per customer with order totals. Consent fails closed: the customer's flag and that of all orders."""
     totals = orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("order_count"), F.sum("amount_eur").alias("spend"), F.min("occurred_at").alias("first_order_at"),
-        F.max("occurred_at").alias("last_order_at"), F.bool_and("marketing_consent").alias("gate"),
+        F.max("occurred_at").alias("last_order_at"), F.expr(CONSENT).alias("gate"),
         F.min_by("country", F.struct("occurred_at", "event_id")).alias("order_country"), F.min_by("email_hash", F.struct("occurred_at", "event_id")).alias("order_email"),
     )
     consent = F.col("marketing_consent") & F.coalesce("gate", F.lit(True))
@@ -28,9 +29,27 @@ def customer_360(customers: DataFrame, orders: DataFrame, registry: DataFrame) -
     )
 
 
+def customer_360_from_orders(orders: DataFrame, registry: DataFrame) -> DataFrame:
+    """customer_360 straight from order events: the orders are read, deduplicated and flagged once, then one aggregate
+    gives the customer's latest row and the totals that customer_360 joins."""
+    mine = flagged_orders(orders, registry).where("customer_id is not null")
+    ok = lambda c: F.when(F.col("ok"), F.col(c))
+    found = mine.groupBy("customer_id").agg(
+        latest_order().alias("r"), F.expr(CONSENT).alias("consent"), F.bool_or("ok").alias("any_ok"), F.count_distinct(ok("order_id")).alias("order_count"),
+        F.sum(ok("amount_eur")).alias("spend"), F.min(ok("occurred_at")).alias("first_order_at"), F.max(ok("occurred_at")).alias("last_order_at"),
+    )
+    return found.where("any_ok").select(
+        "customer_id", F.col("r.country").alias("country"), hash_pii("r.email").alias("email_hash"), "order_count", F.round("spend", 2).alias("lifetime_spend_eur"),
+        "first_order_at", "last_order_at", F.col("consent").alias("consents_marketing"), F.col("consent").alias("marketing_consent"),
+    )
+
+
 def customer_360_local(customers: DataFrame, orders: DataFrame, alerts: DataFrame, registry: DataFrame) -> DataFrame:
-    """Order totals, fraud flag and mirrored consent per customer; facts are aggregated before the joins."""
-    totals = orders.groupBy("customer_id").agg(F.count_distinct("order_id").alias("n"), F.sum("amount_eur").alias("total"))
+    """Order totals, fraud flag and mirrored consent per customer; facts are aggregated before the joins.
+
+    orders holds one row per order, as dedup_first gives them.
+    """
+    totals = orders.groupBy("customer_id").agg(F.count("order_id").alias("n"), F.sum("amount_eur").alias("total"))
     flags = alerts.groupBy("customer_id").agg((F.count("*") > 0).alias("fraud_flag"))
     return (
         not_suppressed(customers, registry)
@@ -58,8 +77,10 @@ def fraud_summary_by_rule(alerts: DataFrame, registry: DataFrame) -> DataFrame:
 def fraud_summary(alerts: DataFrame, registry: DataFrame) -> DataFrame:
     """Distinct alerts of each rule per customer, highest score and last alert."""
     seen = not_suppressed(alerts, registry)
-    number = lambda rule: F.count_distinct(F.when(F.col("rule") == rule, F.col("alert_id")))
-    return seen.groupBy("customer_id").agg(
+    # an alert once, with its highest score: then the rules are counted without expanding the rows
+    once = seen.groupBy("customer_id", "rule", "alert_id").agg(F.max("score").alias("score"), F.max("alerted_at").alias("alerted_at"))
+    number = lambda rule: F.count_if((F.col("rule") == rule) & F.col("alert_id").isNotNull())
+    return once.groupBy("customer_id").agg(
         number("VELOCITY").alias("velocity_alerts"), number("AMOUNT_ZSCORE").alias("zscore_alerts"), number("GEO_MISMATCH").alias("geo_alerts"),
         F.round(F.max("score"), 3).alias("max_score"), F.max("alerted_at").alias("last_alert_at"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from glasslake.functions.scalars import hash_pii, is_valid_iban, live_pii
 from glasslake.operators.suppression import not_suppressed
@@ -24,67 +25,116 @@ def newest_per(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
 
 
+def _content(df: DataFrame) -> Column:
+    """A hash of the whole row: the last tie-break of an ordering (maps have no order and do not count)."""
+    return F.xxhash64(*[F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
+
+
 def dedup_events(df: DataFrame) -> DataFrame:
-    """Newest row per event_id: by event time, ingest time and offset where the table has them."""
+    """Newest row per event_id: by event time, ingest time and offset where the table has them, then by content.
+
+    Rows without an event_id are no events of each other: all of them stay, and none enters the window.
+    """
     order = [F.col(c).desc_nulls_last() for c in ("occurred_at", "_ingested_at", "_kafka_offset") if c in df.columns]
-    return newest_per(df, "event_id", order)
+    newest = newest_per(df.where("event_id is not null"), "event_id", [*order, _content(df)])
+    return newest.unionByName(df.where("event_id is null"))
 
 
 def dedup_first(df: DataFrame, key: str, count: bool = True) -> DataFrame:
     """First row per key by event time, then event_id; dedup_count tells how many rows there were, or 1."""
     w = Window.partitionBy(key)
-    ranked = df.withColumn("__rank", F.row_number().over(w.orderBy("occurred_at", "event_id")))
+    ranked = df.withColumn("__rank", F.row_number().over(w.orderBy("occurred_at", "event_id", _content(df))))
     ranked = ranked.withColumn("dedup_count", F.count("*").over(w) if count else F.lit(1).cast("long"))
     return ranked.where("__rank = 1").drop("__rank")
 
 
-def order_flag() -> Column:
+def _present(*columns: str) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(c).isNotNull()
+    return out
+
+
+def _of_type(df: DataFrame, event_type: str) -> Column:
+    """Tables that keep the event type admit their own only."""
+    return F.col("event_type").eqNullSafe(F.lit(event_type)) if "event_type" in df.columns else F.lit(True)
+
+
+def order_flag(df: DataFrame) -> Column:
     """Whether an order enters Silver; one flag for both branches, never NULL."""
-    ok = is_valid_iban("iban") & live_pii("email") & live_pii("iban") & F.col("event_id").isNotNull() & F.col("order_id").isNotNull() & F.col("customer_id").isNotNull() & (F.col("amount_eur") >= 0)
+    ok = is_valid_iban("iban") & live_pii("email") & live_pii("iban") & _present("event_id", "order_id", "customer_id", "country", "marketing_consent", "occurred_at") & (F.col("amount_eur") >= 0) & _of_type(df, "order_placed")
     return F.coalesce(ok, F.lit(False))
 
 
-def payment_flag() -> Column:
-    ok = is_valid_iban("iban") & live_pii("iban") & F.col("event_id").isNotNull() & F.col("payment_id").isNotNull() & F.col("customer_id").isNotNull() & (F.col("amount_eur") >= 0) & F.col("status").isin(*STATUSES)
+def payment_flag(df: DataFrame) -> Column:
+    """The same for a payment; a status may be missing but not unknown."""
+    status = F.col("status").isNull() | F.col("status").isin(*STATUSES)
+    ok = is_valid_iban("iban") & live_pii("iban") & _present("event_id", "payment_id", "order_id", "customer_id", "country", "merchant_country", "occurred_at") & (F.col("amount_eur") >= 0) & status & _of_type(df, "payment_processed")
     return F.coalesce(ok, F.lit(False))
 
 
-def _quarantine(df: DataFrame, flag: Column, pii: list[str], kind: str) -> DataFrame:
+def flagged_orders(orders: DataFrame, registry: DataFrame) -> DataFrame:
+    """Deduplicated orders of customers who are not suppressed, with `ok`: what all of Silver is made from."""
+    kept = dedup_events(not_suppressed(orders, registry))
+    return kept.withColumn("ok", order_flag(kept))
+
+
+def flagged_payments(payments: DataFrame, registry: DataFrame) -> DataFrame:
+    kept = dedup_events(not_suppressed(payments, registry))
+    return kept.withColumn("ok", payment_flag(kept))
+
+
+def _quarantine(flagged: DataFrame, pii: list[str], kind: str, identity: list[str]) -> DataFrame:
+    """Rows that are not ok, with the reason; a row without an event_id is known by its other columns."""
     live = F.lit(True)
     for c in pii:
         live = live & live_pii(c)
     reason = F.when(~live, "PII_ANONYMIZED_OR_MISSING").when(~is_valid_iban("iban"), "IBAN_MOD97_FAILED").otherwise(f"{kind}_CONTRACT_FAILED")
-    key = F.sha2(F.concat(F.lit("event|"), F.coalesce("event_id", F.lit(""))), 256)
-    return df.where(~flag).select(key.alias("quarantine_id"), "event_id", "customer_id", reason.alias("quarantine_reason"), "occurred_at")
+    key = F.when(F.col("event_id").isNotNull(), F.concat(F.lit("event|"), "event_id")).otherwise(F.concat_ws("|", *identity))
+    return flagged.where("NOT ok").select(F.sha2(key, 256).alias("quarantine_id"), "event_id", "customer_id", reason.alias("quarantine_reason"), "occurred_at")
 
 
 def orders_quarantine(orders: DataFrame, registry: DataFrame) -> DataFrame:
-    return _quarantine(dedup_events(not_suppressed(orders, registry)), order_flag(), ["email", "iban"], "ORDER")
+    return _quarantine(flagged_orders(orders, registry), ["email", "iban"], "ORDER", ["order_id", "customer_id", "iban"])
 
 
 def payments_quarantine(payments: DataFrame, registry: DataFrame) -> DataFrame:
-    return _quarantine(dedup_events(not_suppressed(payments, registry)), payment_flag(), ["iban"], "PAYMENT")
+    return _quarantine(flagged_payments(payments, registry), ["iban"], "PAYMENT", ["payment_id", "order_id", "customer_id", "iban"])
 
 
 def silver_orders(orders: DataFrame, registry: DataFrame) -> DataFrame:
-    kept = dedup_events(not_suppressed(orders, registry)).where(order_flag())
-    return kept.select("event_id", "order_id", "customer_id", hash_pii("email").alias("email_hash"), hash_pii("iban").alias("iban_hash"), "country", "amount_eur", "currency", "marketing_consent", "occurred_at")
+    return orders_of(flagged_orders(orders, registry))
+
+
+def orders_of(flagged: DataFrame) -> DataFrame:
+    return flagged.where("ok").select("event_id", "order_id", "customer_id", hash_pii("email").alias("email_hash"), hash_pii("iban").alias("iban_hash"), "country", "amount_eur", "currency", "marketing_consent", "occurred_at")
 
 
 def silver_payments(payments: DataFrame, registry: DataFrame) -> DataFrame:
-    kept = dedup_events(not_suppressed(payments, registry)).where(payment_flag())
+    kept = flagged_payments(payments, registry).where("ok")
     return kept.select("event_id", "payment_id", "order_id", "customer_id", hash_pii("iban").alias("iban_hash"), "country", "merchant_country", "amount_eur", "status", "occurred_at")
 
 
+#: Consent of all attributable orders, quarantined ones included; one that does not say is one that denies.
+CONSENT = "bool_and(coalesce(marketing_consent, false))"
+
+
+def latest_order() -> Column:
+    """Country, email and iban of a customer's newest order that is ok."""
+    return F.max_by(F.struct("country", "email", "iban"), F.when(F.col("ok"), F.struct("occurred_at", "event_id")))
+
+
 def silver_customers(orders: DataFrame, registry: DataFrame) -> DataFrame:
     """Latest valid row of each customer; consent holds only if no attributable order, quarantined ones included, denies it.
 
     One shuffle by customer: the latest row is an aggregate of structs and not a window.
     """
-    events = dedup_events(not_suppressed(orders, registry)).withColumn("ok", order_flag())
-    latest = F.max_by(F.struct("country", "email", "iban", "marketing_consent"), F.when(F.col("ok"), F.struct("occurred_at", "event_id")))
-    found = events.where("customer_id is not null").groupBy("customer_id").agg(latest.alias("r"), F.bool_and("marketing_consent").alias("gate"), F.bool_or("ok").alias("any_ok"))
-    return found.where("any_ok").select("customer_id", F.col("r.country").alias("country"), hash_pii("r.email").alias("email_hash"), hash_pii("r.iban").alias("iban_hash"), F.coalesce("gate", "r.marketing_consent", F.lit(False)).alias("marketing_consent"))
+    return customers_of(flagged_orders(orders, registry))
+
+
+def customers_of(flagged: DataFrame) -> DataFrame:
+    found = flagged.where("customer_id is not null").groupBy("customer_id").agg(latest_order().alias("r"), F.expr(CONSENT).alias("marketing_consent"), F.bool_or("ok").alias("any_ok"))
+    return found.where("any_ok").select("customer_id", F.col("r.country").alias("country"), hash_pii("r.email").alias("email_hash"), hash_pii("r.iban").alias("iban_hash"), "marketing_consent")
 
 
 def silver_customers_arg_max(orders: DataFrame, registry: DataFrame) -> DataFrame:
@@ -93,5 +143,5 @@ def silver_customers_arg_max(orders: DataFrame, registry: DataFrame) -> DataFram
     newest = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct("occurred_at", "event_id")))
     return kept.groupBy("customer_id").agg(
         hash_pii(newest("email")).alias("email_hash"), hash_pii(newest("iban")).alias("iban_hash"), F.min("country").alias("country"),
-        F.bool_and("marketing_consent").alias("marketing_consent"), F.min("occurred_at").alias("first_seen"), F.max("occurred_at").alias("last_seen"),
+        F.expr(CONSENT).alias("marketing_consent"), F.min("occurred_at").alias("first_seen"), F.max("occurred_at").alias("last_seen"),
     )

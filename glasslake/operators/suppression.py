@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +16,20 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Registries sized so far: one look per registry, however many tables it is taken out of.
+_SIZED: WeakKeyDictionary[DataFrame, DataFrame] = WeakKeyDictionary()
+
+
+def suppressed_ids(registry: DataFrame) -> DataFrame:
+    """The registry's distinct customers, marked for broadcast if proven small; a stream reads its registry anew per batch."""
+    if registry not in _SIZED:
+        _SIZED[registry] = sized(registry.select("customer_id").distinct())
+    return _SIZED[registry]
+
+
 def not_suppressed(df: DataFrame, registry: DataFrame) -> DataFrame:
     """Rows whose customer is not in the registry; a NULL customer stays. Works on streams too (static registry)."""
-    return df.join(sized(registry.select("customer_id").distinct()), "customer_id", "left_anti").select(*df.columns)
+    return df.join(suppressed_ids(registry), "customer_id", "left_anti").select(*df.columns)
 
 
 def leaks(df: DataFrame, registry: DataFrame) -> DataFrame:

@@ -36,12 +36,17 @@ CTE |= {
         FROM order_new WHERE iban_ok AND amount_eur >= 0""",
     "s_customers": f"""SELECT customer_id, arg_max(country, (occurred_at, event_id)) FILTER (iban_ok AND amount_eur >= 0) AS country,
         sha256('{SALT}:' || arg_max(email, (occurred_at, event_id)) FILTER (iban_ok AND amount_eur >= 0)) AS email_hash,
-        sha256('{SALT}:' || arg_max(iban, (occurred_at, event_id)) FILTER (iban_ok AND amount_eur >= 0)) AS iban_hash, bool_and(marketing_consent) AS marketing_consent
+        sha256('{SALT}:' || arg_max(iban, (occurred_at, event_id)) FILTER (iban_ok AND amount_eur >= 0)) AS iban_hash, bool_and(coalesce(marketing_consent, FALSE)) AS marketing_consent
         FROM order_new GROUP BY customer_id HAVING bool_or(iban_ok AND amount_eur >= 0)""",
     "c360": """SELECT c.customer_id, c.country, c.email_hash, coalesce(t.n, 0) AS order_count, round(coalesce(t.spend, 0.0), 2) AS lifetime_spend_eur, t.first_order_at, t.last_order_at,
         c.marketing_consent AND coalesce(t.gate, TRUE) AS consents_marketing, c.marketing_consent AND coalesce(t.gate, TRUE) AS marketing_consent
-        FROM s_customers c LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n, sum(amount_eur) AS spend, min(occurred_at) AS first_order_at, max(occurred_at) AS last_order_at, bool_and(marketing_consent) AS gate
+        FROM s_customers c LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n, sum(amount_eur) AS spend, min(occurred_at) AS first_order_at, max(occurred_at) AS last_order_at, bool_and(coalesce(marketing_consent, FALSE)) AS gate
             FROM s_orders GROUP BY customer_id) t ON t.customer_id = c.customer_id""",
+    # orders with gaps: columns that are NULL in one order of 31 each, among them the key itself
+    "order_gap": "SELECT * REPLACE (" + ", ".join(f"CASE WHEN CAST(order_id AS BIGINT) % 31 = {k} THEN NULL ELSE {c} END AS {c}" for k, c in enumerate(("event_id", "country", "marketing_consent", "occurred_at", "customer_id", "email", "amount_eur"))) + ") FROM order_ev",
+    "gap_new": """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY occurred_at DESC NULLS LAST) AS rn FROM order_gap g WHERE NOT EXISTS (SELECT 1 FROM registry r WHERE r.customer_id = g.customer_id)) WHERE rn = 1 OR event_id IS NULL""",
+    "gap_flag": """SELECT *, coalesce(iban_ok AND email IS NOT NULL AND event_id IS NOT NULL AND customer_id IS NOT NULL AND country IS NOT NULL AND marketing_consent IS NOT NULL AND occurred_at IS NOT NULL AND amount_eur >= 0, FALSE) AS ok FROM gap_new""",
+    "event_pay": "SELECT 'cust_' || user_id AS customer_id, CAST(event_id AS VARCHAR) AS event_id, epoch(ts) AS occurred_at, value AS amount_eur, user_id % 5 AS country, event_id % 7 AS merchant_country FROM events WHERE 'cust_' || user_id NOT IN (SELECT customer_id FROM registry)",
     "velocity": f"""SELECT customer_id, 'VELOCITY' AS rule, CAST(rn AS DOUBLE) AS score, event_id, occurred_at AS alerted_at, b AS window_start, b + {BUCKET} AS window_end
         FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, b ORDER BY occurred_at, event_id) AS rn FROM (SELECT *, CAST(floor(occurred_at / {BUCKET}) * {BUCKET} AS BIGINT) AS b FROM pay_ev)) WHERE rn = 6""",
     "zscore": """SELECT customer_id, 'AMOUNT_ZSCORE' AS rule, abs(amount_eur - mean) / sd AS score, event_id, occurred_at AS alerted_at, CAST(NULL AS BIGINT) AS window_start, CAST(NULL AS BIGINT) AS window_end
@@ -57,11 +62,12 @@ CTE |= {
     "fsum": """SELECT customer_id, count(DISTINCT CASE WHEN rule = 'VELOCITY' THEN alert_id END) AS velocity_alerts, count(DISTINCT CASE WHEN rule = 'AMOUNT_ZSCORE' THEN alert_id END) AS zscore_alerts,
         count(DISTINCT CASE WHEN rule = 'GEO_MISMATCH' THEN alert_id END) AS geo_alerts, round(max(score), 3) AS max_score, max(alerted_at) AS last_alert_at FROM alerts_kept GROUP BY customer_id""",
     "requests": "SELECT 'req-' || c_custkey AS request_id, 'cust_' || c_custkey AS customer_id, 1735689000.0::DOUBLE + c_custkey % 7 AS requested_at FROM customer WHERE c_custkey % 100 = 7",
+    "intake": "SELECT 'req-' || c_custkey AS request_id, 'cust_' || c_custkey AS customer_id, 1735689000.0::DOUBLE + c_custkey % 7 AS requested_at FROM customer",
     "audit_log": f"""SELECT request_id, customer_id, requested_at, {NOW}::DOUBLE AS completed_at, 'bronze.orders,gold.customer_360' AS layers_touched, 'completed' AS status,
-        substr(sha256(request_id || ':' || customer_id), 1, 16) AS confirmation_hash FROM requests""",
+        substr(sha256(request_id || ':' || customer_id), 1, 16) AS confirmation_hash FROM intake""",
     "runs": "SELECT o_orderkey AS run_no, 'run-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS run_id, 'check-' || (o_orderkey % 17) AS check_name, o_orderkey % 5 <> 0 AS passed, o_orderpriority AS detail, epoch(o_orderdate) AS checked_at FROM orders",
     "commands": f"""SELECT 'cmd-' || o_orderkey AS command_id, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'failed' ELSE 'running' END AS status, {NOW} - (o_orderkey % 60) * 86400 AS requested_at,
-        CAST(o_orderkey % 90 AS DOUBLE) AS latency_seconds FROM orders WHERE o_orderkey % 10 = 0""",
+        CAST(o_orderkey % 90 AS DOUBLE) AS latency_seconds FROM orders""",
 }
 
 
@@ -94,9 +100,16 @@ def _base(spark, d):
     return adapters.orders_placed(spark, d), adapters.payments_processed(spark, d), adapters.suppression_registry(spark, d)
 
 
+def _gaps(spark, d):
+    """Orders with gaps, as the relation order_gap."""
+    o = adapters.orders_placed(spark, d)
+    k = F.col("order_id").cast("long") % 31
+    return o.withColumns({c: F.when(k != n, F.col(c)) for n, c in enumerate(("event_id", "country", "marketing_consent", "occurred_at", "customer_id", "email", "amount_eur"))})
+
+
 def _gold(spark, d):
     o, _, r = _base(spark, d)
-    return gold.customer_360(silver.silver_customers(o, r), silver.silver_orders(o, r), r)
+    return gold.customer_360_from_orders(o, r)
 
 
 def _alerts(spark, d):
@@ -108,12 +121,18 @@ def _fraud_summary(spark, d):
 
 
 def _requests(spark, d):
-    c = table(spark, d, "customer").where("c_custkey % 100 = 7")
+    """The customers who ask for erasure: one in a hundred."""
+    return _intake(spark, d, "c_custkey % 100 = 7")
+
+
+def _intake(spark, d, who="true"):
+    c = table(spark, d, "customer").where(who)
     return c.select(F.concat(F.lit("req-"), "c_custkey").alias("request_id"), F.concat(F.lit("cust_"), "c_custkey").alias("customer_id"), (F.lit(1735689000.0) + F.col("c_custkey") % 7).alias("requested_at"))
 
 
 def _audit(spark, d):
-    return _requests(spark, d).select("request_id", "customer_id", "requested_at", F.lit(NOW).alias("completed_at"), F.lit("bronze.orders,gold.customer_360").alias("layers_touched"), F.lit("completed").alias("status"), scalars.confirmation_hash("request_id", "customer_id").alias("confirmation_hash"))
+    """The audit log of a lake where every customer has asked."""
+    return _intake(spark, d).select("request_id", "customer_id", "requested_at", F.lit(NOW).alias("completed_at"), F.lit("bronze.orders,gold.customer_360").alias("layers_touched"), F.lit("completed").alias("status"), scalars.confirmation_hash("request_id", "customer_id").alias("confirmation_hash"))
 
 
 def _runs(spark, d):
@@ -125,7 +144,7 @@ def _runs(spark, d):
 
 
 def _commands(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey % 10 = 0")
+    o = table(spark, d, "orders")
     status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "failed").otherwise("running")
     return o.select(F.concat(F.lit("cmd-"), "o_orderkey").alias("command_id"), status.alias("status"), (NOW - (F.col("o_orderkey") % 60) * 86400).alias("requested_at"), (F.col("o_orderkey") % 90).cast("double").alias("latency_seconds"))
 
@@ -140,7 +159,7 @@ def silver_customers(spark, d):
 
 
 @query(f"""SELECT customer_id, sha256('{SALT}:' || arg_max(email, (occurred_at, event_id))) AS email_hash, sha256('{SALT}:' || arg_max(iban, (occurred_at, event_id))) AS iban_hash, min(country) AS country,
-    bool_and(marketing_consent) AS marketing_consent, min(occurred_at) AS first_seen, max(occurred_at) AS last_seen FROM order_kept GROUP BY customer_id""")
+    bool_and(coalesce(marketing_consent, FALSE)) AS marketing_consent, min(occurred_at) AS first_seen, max(occurred_at) AS last_seen FROM order_kept GROUP BY customer_id""")
 def silver_customers_arg_max(spark, d):
     o, _, r = _base(spark, d)
     return silver.silver_customers_arg_max(o, r)
@@ -184,14 +203,50 @@ def payments_quarantine(spark, d):
     return silver.payments_quarantine(p, r)
 
 
+@query("SELECT event_id, order_id, customer_id, country, amount_eur, marketing_consent, occurred_at FROM gap_flag WHERE ok")
+def silver_orders_gaps(spark, d):
+    """Admission with NULL keys, countries, consents, times and amounts."""
+    kept = silver.silver_orders(_gaps(spark, d), adapters.suppression_registry(spark, d))
+    return kept.select("event_id", "order_id", "customer_id", "country", "amount_eur", "marketing_consent", "occurred_at")
+
+
+@query("""SELECT sha256(CASE WHEN event_id IS NOT NULL THEN 'event|' || event_id ELSE concat_ws('|', order_id, customer_id, iban) END) AS quarantine_id, event_id, customer_id,
+    CASE WHEN email IS NULL THEN 'PII_ANONYMIZED_OR_MISSING' WHEN NOT iban_ok THEN 'IBAN_MOD97_FAILED' ELSE 'ORDER_CONTRACT_FAILED' END AS quarantine_reason, occurred_at FROM gap_flag WHERE NOT ok""")
+def orders_quarantine_gaps(spark, d):
+    return silver.orders_quarantine(_gaps(spark, d), adapters.suppression_registry(spark, d))
+
+
+@query("""SELECT customer_id, arg_max(country, (occurred_at, event_id)) FILTER (ok) AS country, bool_and(coalesce(marketing_consent, FALSE)) AS marketing_consent FROM gap_flag WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING bool_or(ok)""")
+def silver_customers_gaps(spark, d):
+    """An order that does not say whether its customer consents denies it."""
+    return silver.silver_customers(_gaps(spark, d), adapters.suppression_registry(spark, d)).select("customer_id", "country", "marketing_consent")
+
+
+@query("""SELECT count(*) AS rows_in, count(*) FILTER (ok) AS valid, count(*) FILTER (NOT ok) AS quarantined FROM gap_flag""")
+def silver_partition_gaps(spark, d):
+    """Every order, with or without an event_id, is valid or in quarantine."""
+    o, r = _gaps(spark, d), adapters.suppression_registry(spark, d)
+    sides = [silver.silver_orders(o, r).select(F.lit(1).alias("v")), silver.orders_quarantine(o, r).select(F.lit(0).alias("v"))]
+    split = sides[0].unionByName(sides[1]).agg(F.count_if(F.col("v") == 1).alias("valid"), F.count_if(F.col("v") == 0).alias("quarantined"))
+    kept = silver.dedup_events(not_suppressed(o, r)).agg(F.count("*").alias("rows_in"))
+    return kept.crossJoin(split)  # one-row aggregates
+
+
 @query("SELECT * FROM c360")
 def customer_360(spark, d):
     return _gold(spark, d)
 
 
+@query("SELECT * FROM c360")
+def customer_360_stored(spark, d):
+    """The same from Silver tables, as the batch pipeline builds it."""
+    o, _, r = _base(spark, d)
+    return gold.customer_360(silver.silver_customers(o, r), silver.silver_orders(o, r), r)
+
+
 @query(f"""SELECT c.customer_id, coalesce(t.n, 0) AS total_orders, round(coalesce(t.total, 0.0), 2) AS total_spend_eur, coalesce(round(t.total, 2) / t.n, 0.0) AS avg_order_value_eur, c.marketing_consent,
     coalesce(f.flag, FALSE) AS fraud_flag, c.last_seen, c.marketing_consent AS consents_marketing
-    FROM (SELECT customer_id, bool_and(marketing_consent) AS marketing_consent, max(occurred_at) AS last_seen FROM order_kept GROUP BY customer_id) c
+    FROM (SELECT customer_id, bool_and(coalesce(marketing_consent, FALSE)) AS marketing_consent, max(occurred_at) AS last_seen FROM order_kept GROUP BY customer_id) c
     LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS n, sum(amount_eur) AS total FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at, event_id) AS rn FROM order_kept) WHERE rn = 1 GROUP BY customer_id) t USING (customer_id)
     LEFT JOIN (SELECT customer_id, count(*) > 0 AS flag FROM zscore GROUP BY customer_id) f USING (customer_id)""")
 def customer_360_local(spark, d):
@@ -202,8 +257,7 @@ def customer_360_local(spark, d):
 @query("""SELECT o.order_id, o.customer_id, o.amount_eur, o.country, o.occurred_at, c.consents_marketing FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at DESC, event_id DESC) AS rk FROM s_orders) o JOIN c360 c USING (customer_id) WHERE rk = 1""")
 def order_facts(spark, d):
     o, _, r = _base(spark, d)
-    orders = silver.silver_orders(o, r)
-    return gold.order_facts(orders, gold.customer_360(silver.silver_customers(o, r), orders, r), r)
+    return gold.order_facts(silver.silver_orders(o, r), gold.customer_360_from_orders(o, r), r)
 
 
 # ---------------------------------------------------------------- fraud
@@ -328,22 +382,29 @@ def most_recent_runs(spark, d):
 # ---------------------------------------------------------------- quality
 
 
-@query("SELECT 'unique:bronze.orders.event_id' AS check_name, count(*) FILTER (n > 1) = 0 AS passed, count(*) FILTER (n > 1) || ' duplicate keys' AS detail FROM (SELECT count(*) AS n FROM order_ev GROUP BY event_id) UNION ALL SELECT 'unique:silver.orders.event_id', TRUE, '0 duplicate keys'")
+@query("SELECT 'unique:bronze.orders.event_id' AS check_name, count(*) FILTER (n > 1) = 0 AS passed, count(*) FILTER (n > 1) || ' duplicate keys' AS detail FROM (SELECT count(*) AS n FROM order_ev GROUP BY event_id) UNION ALL SELECT 'unique:silver.orders.event_id', count(*) FILTER (n > 1) = 0 AND sum(n) > 0, count(*) FILTER (n > 1) || ' duplicate keys' FROM (SELECT count(*) AS n FROM s_orders GROUP BY event_id)")
 def dq_uniqueness(spark, d):
     o, _, r = _base(spark, d)
     return quality.uniqueness(o, "event_id", "bronze.orders").unionByName(quality.uniqueness(silver.silver_orders(o, r), "event_id", "silver.orders", allow_empty=False))
 
 
-@query("""SELECT 'pii_not_clear:silver.customers.email_hash' AS check_name, TRUE AS passed, '0 of ' || count(*) AS detail FROM s_customers UNION ALL SELECT 'pii_not_clear:silver.customers.iban_hash', TRUE, '0 of ' || count(*) FROM s_customers
-    UNION ALL SELECT 'pii_not_clear:bronze.orders.email', FALSE, count(*) || ' of ' || count(*) FROM order_ev""")
+@query("""SELECT 'pii_not_clear:silver.customers.email_hash' AS check_name, count(*) FILTER (coalesce(NOT regexp_full_match(email_hash, '[0-9a-f]{64}') OR contains(email_hash, '@'), FALSE)) = 0 AS passed, count(*) FILTER (coalesce(NOT regexp_full_match(email_hash, '[0-9a-f]{64}') OR contains(email_hash, '@'), FALSE)) || ' of ' || count(*) AS detail FROM s_customers
+    UNION ALL SELECT 'pii_not_clear:silver.customers.iban_hash' AS check_name, count(*) FILTER (coalesce(NOT regexp_full_match(iban_hash, '[0-9a-f]{64}') OR contains(iban_hash, '@'), FALSE)) = 0 AS passed, count(*) FILTER (coalesce(NOT regexp_full_match(iban_hash, '[0-9a-f]{64}') OR contains(iban_hash, '@'), FALSE)) || ' of ' || count(*) AS detail FROM s_customers
+    UNION ALL SELECT 'pii_not_clear:bronze.orders.email' AS check_name, count(*) FILTER (coalesce(NOT regexp_full_match(email, '[0-9a-f]{64}') OR contains(email, '@'), FALSE)) = 0 AS passed, count(*) FILTER (coalesce(NOT regexp_full_match(email, '[0-9a-f]{64}') OR contains(email, '@'), FALSE)) || ' of ' || count(*) AS detail FROM order_ev""")
 def dq_pii_not_clear(spark, d):
     o, _, r = _base(spark, d)
     return quality.pii_not_clear(silver.silver_customers(o, r), ["email_hash", "iban_hash"], "silver.customers").unionByName(quality.pii_not_clear(o, ["email"], "bronze.orders"))
 
 
-@query("SELECT 'consent_mirror:gold.customer_360' AS check_name, TRUE AS passed, '0 rows differ' AS detail")
+@query("""SELECT 'consent_mirror:gold.customer_360' AS check_name, count(*) FILTER (consents_marketing IS DISTINCT FROM marketing_consent) = 0 AS passed, count(*) FILTER (consents_marketing IS DISTINCT FROM marketing_consent) || ' rows differ' AS detail FROM c360
+    UNION ALL SELECT 'consent_mirror:newest_order', count(*) FILTER (c.consents_marketing IS DISTINCT FROM o.newest) = 0, count(*) FILTER (c.consents_marketing IS DISTINCT FROM o.newest) || ' rows differ'
+    FROM c360 c JOIN (SELECT customer_id, arg_max(marketing_consent, (occurred_at, event_id)) AS newest FROM s_orders GROUP BY customer_id) o USING (customer_id)""")
 def dq_consent(spark, d):
-    return quality.consent_mirror(_gold(spark, d), "gold.customer_360")
+    """The mirrored flag, and the flag against the newest order's word, which differs where an earlier order denies."""
+    o, _, r = _base(spark, d)
+    people = _gold(spark, d)
+    newest = silver.silver_orders(o, r).groupBy("customer_id").agg(F.max_by("marketing_consent", F.struct("occurred_at", "event_id")).alias("marketing_consent"))
+    return quality.consent_mirror(people, "gold.customer_360").unionByName(quality.consent_mirror(people.drop("marketing_consent").join(newest, "customer_id"), "newest_order"))
 
 
 @query("SELECT 'referential:silver.orders.customer_id' AS check_name, count(*) = 0 AS passed, count(*) || ' orphans' AS detail FROM order_kept o WHERE NOT EXISTS (SELECT 1 FROM s_customers c WHERE c.customer_id = o.customer_id)")
@@ -352,7 +413,7 @@ def dq_referential(spark, d):
     return quality.referential(not_suppressed(o, r), silver.silver_customers(o, r), "customer_id", "silver.orders")
 
 
-@query("SELECT 'suppression:bronze.orders' AS check_name, count(*) = 0 AS passed, count(*) || ' suppressed rows' AS detail FROM order_ev JOIN registry USING (customer_id) UNION ALL SELECT 'suppression:silver.orders', TRUE, '0 suppressed rows'")
+@query("SELECT 'suppression:bronze.orders' AS check_name, count(*) = 0 AS passed, count(*) || ' suppressed rows' AS detail FROM order_ev JOIN registry USING (customer_id) UNION ALL SELECT 'suppression:silver.orders', count(*) = 0, count(*) || ' suppressed rows' FROM s_orders JOIN registry USING (customer_id)")
 def dq_suppression(spark, d):
     o, _, r = _base(spark, d)
     return quality.suppression_enforced({"bronze.orders": o, "silver.orders": silver.silver_orders(o, r)}, r)
@@ -377,9 +438,9 @@ def dq_k_anonymity(spark, d):
     return quality.k_anonymity(silver.silver_customers(o, r), ["country", "marketing_consent"], "silver.customers", 2)
 
 
-@query("SELECT 'expect:bronze.payments.positive' AS check_name, count(*) FILTER (NOT amount_eur > 1000) = 0 AS passed, count(*) FILTER (NOT amount_eur > 1000) || ' of ' || count(*) AS detail FROM pay_ev UNION ALL SELECT 'expect:bronze.payments.status', TRUE, '0 of ' || count(*) FROM pay_ev")
+@query("SELECT 'expect:bronze.payments.positive' AS check_name, count(*) FILTER (NOT amount_eur > 1000) = 0 AS passed, count(*) FILTER (NOT amount_eur > 1000) || ' of ' || count(*) AS detail FROM pay_ev UNION ALL SELECT 'expect:bronze.payments.status', count(*) FILTER (status NOT IN ('authorized', 'captured')) = 0, count(*) FILTER (status NOT IN ('authorized', 'captured')) || ' of ' || count(*) FROM pay_ev")
 def dq_expectations(spark, d):
-    return quality.expect(adapters.payments_processed(spark, d), {"positive": "amount_eur > 1000", "status": "status IN ('authorized', 'declined', 'captured')"}, "bronze.payments")
+    return quality.expect(adapters.payments_processed(spark, d), {"positive": "amount_eur > 1000", "status": "status IN ('authorized', 'captured')"}, "bronze.payments")
 
 
 # ---------------------------------------------------------------- functions, privacy, contracts
@@ -395,9 +456,11 @@ def hash_pii(spark, d):
     return adapters.customers(spark, d).select("customer_id", scalars.hash_pii("email").alias("email_hash"))
 
 
-@query("SELECT 'bronze.orders' AS table_name, 'email' AS column_name, 'EMAIL' AS pii_tags UNION ALL SELECT 'bronze.orders', 'iban', 'IBAN'")
+@query(r"""SELECT 'bronze.orders' AS table_name, c AS column_name, string_agg(DISTINCT tag, ',' ORDER BY tag) AS pii_tags FROM
+    (SELECT c, CASE WHEN regexp_full_match(v, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') THEN 'EMAIL' WHEN c = 'iban' AND ok THEN 'IBAN' END AS tag
+     FROM (SELECT 'email' AS c, email AS v, iban_ok AS ok FROM order_ev UNION ALL SELECT 'iban', iban, iban_ok FROM order_ev UNION ALL SELECT 'order_id', order_id, FALSE FROM order_ev UNION ALL SELECT 'country', country, FALSE FROM order_ev)) WHERE tag IS NOT NULL GROUP BY c""")
 def classify_columns(spark, d):
-    o = adapters.orders_placed(spark, d).select("email", "iban", "amount_eur", "order_id")
+    o = adapters.orders_placed(spark, d).select("email", "iban", "amount_eur", "order_id", "country")
     return privacy.classify_columns(o, "bronze.orders").withColumn("pii_tags", F.array_join("pii_tags", ","))
 
 
@@ -429,12 +492,24 @@ def contract_status(spark, d):
     return rows.select("o_orderkey", "quarantine_reason", "_is_malformed", "customer_id")
 
 
-@query("""SELECT 'part' AS topic, p_partkey % 97 AS field, CASE WHEN p_partkey % 97 % 5 = 0 THEN 'REQUIRED_FIELD_REMOVED' WHEN p_partkey % 97 % 5 = 1 THEN 'TYPE_CHANGED' ELSE 'REQUIRED_MADE_OPTIONAL' END AS change FROM part WHERE p_partkey % 97 % 5 <= 2 GROUP BY ALL""")
+#: Contracts of the orders before and from this date on are compared.
+TURN = "1995-06-01"
+
+
+@query(f"""WITH rec AS (SELECT o_orderdate >= DATE '{TURN}' AS late, 'cust_' || o_custkey AS topic, o_orderkey AS id, unnest(['status_' || o_orderstatus, 'total', 'year']) AS field, unnest([o_orderpriority[1:1]::DOUBLE, round(o_totalprice), CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice ELSE year(o_orderdate) END]) AS v FROM orders),
+    con AS (SELECT late, topic, field, CASE WHEN count(*) FILTER (v <> floor(v)) > 0 THEN 'double' ELSE 'int' END AS type, count(DISTINCT id) = any_value(size) AS required FROM rec JOIN (SELECT late, topic, count(DISTINCT id) AS size FROM rec GROUP BY ALL) USING (late, topic) GROUP BY late, topic, field),
+    b AS (SELECT * FROM con WHERE NOT late), c AS (SELECT * FROM con WHERE late)
+    SELECT topic, '' AS field, 'TOPIC_REMOVED' AS change FROM (SELECT DISTINCT topic FROM b) WHERE topic NOT IN (SELECT topic FROM c)
+    UNION ALL SELECT * FROM (SELECT topic, field, CASE WHEN c.type IS NULL AND b.required THEN 'REQUIRED_FIELD_REMOVED' WHEN b.type IS NULL AND c.required THEN 'REQUIRED_FIELD_ADDED' WHEN b.type <> c.type AND (b.required OR c.required) THEN 'TYPE_CHANGED'
+        WHEN b.required AND NOT c.required THEN 'REQUIRED_MADE_OPTIONAL' WHEN NOT b.required AND c.required THEN 'OPTIONAL_MADE_REQUIRED' END AS change FROM b FULL JOIN c USING (topic, field) WHERE topic IN (SELECT topic FROM b) AND topic IN (SELECT topic FROM c)) WHERE change IS NOT NULL""")
 def contract_drift(spark, d):
-    base = table(spark, d, "part").select(F.lit("part").alias("topic"), (F.col("p_partkey") % 97).alias("field"), F.lit("string").alias("type"), F.lit(True).alias("required")).distinct()
-    case = F.col("field") % 5
-    now = base.where(case != 0).select("topic", "field", F.when(case == 1, "double").otherwise("string").alias("type"), (case != 2).alias("required"))
-    return contracts.contract_drift(base, now).withColumn("field", F.col("field").cast("long"))
+    """Drift between the contracts that the orders of each customer kept to before and after a date, read from the orders."""
+    o = table(spark, d, "orders")
+    field = lambda name, value: F.struct(name.alias("field"), value.cast("string").alias("value"))
+    year = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_totalprice")).otherwise(F.year("o_orderdate"))
+    fields = F.array(field(F.concat(F.lit("status_"), "o_orderstatus"), F.substring("o_orderpriority", 1, 1)), field(F.lit("total"), F.round("o_totalprice")), field(F.lit("year"), year))
+    records = o.select((F.col("o_orderdate") >= F.lit(TURN)).alias("late"), F.concat(F.lit("cust_"), "o_custkey").alias("topic"), F.col("o_orderkey").alias("record_id"), F.explode(fields).alias("f")).select("late", "topic", "record_id", "f.*")
+    return contracts.contract_drift(contracts.infer_contract(records.where("NOT late")), contracts.infer_contract(records.where("late")))
 
 
 @query("SELECT customer_id, '<masked>' AS email, '<masked>' AS iban, country FROM cust WHERE country <> 'FRANCE'")
@@ -472,7 +547,7 @@ def incremental_silver(spark, d):
 @query("SELECT * FROM c360")
 def incremental_gold(spark, d):
     o, _, r = _base(spark, d)
-    build = lambda rows: gold.customer_360(silver.silver_customers(rows, r), silver.silver_orders(rows, r), r)
+    build = lambda rows: gold.customer_360_from_orders(rows, r)
     affected = incremental.affected_customers(incremental.changed_since(o, CUT, "occurred_at"))
     return incremental.rebuild(build(o.where(F.col("occurred_at") <= CUT)), o, affected, build, r)
 
@@ -503,11 +578,11 @@ def verify_erasure(spark, d):
     return erasure.verify_erasure(req, registry, {**after, "gold.customer_360": _gold(spark, d)}, log)
 
 
-@query("SELECT 'silver.orders' AS table_name, count(*) AS row_count, count(*) = 0 AS passed FROM s_orders JOIN requests USING (customer_id) UNION ALL SELECT 'gold.customer_360', 0, TRUE")
+@query("SELECT 'silver.orders' AS table_name, count(*) AS row_count, count(*) = 0 AS passed FROM s_orders JOIN requests USING (customer_id) UNION ALL SELECT 'gold.customer_360', count(*), count(*) = 0 FROM c360 WHERE customer_id IN (SELECT customer_id FROM requests) AND country <> 'FRANCE'")
 def verify_refresh(spark, d):
     o, _, r = _base(spark, d)
     req = _requests(spark, d)
-    return erasure.verify_refresh(req, {"silver.orders": silver.silver_orders(o, r), "gold.customer_360": erasure.delete(_gold(spark, d), req)})
+    return erasure.verify_refresh(req, {"silver.orders": silver.silver_orders(o, r), "gold.customer_360": erasure.delete(_gold(spark, d), req.join(adapters.customers(spark, d).where("country = 'FRANCE'").select("customer_id"), "customer_id", "left_semi")).where("country <> 'FRANCE'")})
 
 
 @query("""SELECT alert_id, customer_id, rule, event_id, alerted_at + CASE WHEN rule = 'VELOCITY' THEN 5.0 ELSE 0.0 END AS alerted_at FROM alerts a WHERE rule IN ('VELOCITY', 'AMOUNT_ZSCORE') AND (rule = 'AMOUNT_ZSCORE' OR NOT EXISTS (SELECT 1 FROM registry r WHERE r.customer_id = a.customer_id))""")
@@ -520,7 +595,7 @@ def merge_alerts(spark, d):
     return tables.merge_alerts(old, batch.unionByName(older).unionByName(batch), r)
 
 
-@query("SELECT 'orders' AS table_name, count(*) AS rows_primary, count(*) AS rows_copy, TRUE AS matches FROM orders UNION ALL SELECT 'customer', count(*), count(*) FILTER (c_custkey % 3 <> 0), FALSE FROM customer UNION ALL SELECT 'part', count(*), NULL, FALSE FROM part")
+@query("SELECT 'orders' AS table_name, count(*) AS rows_primary, count(*) AS rows_copy, count(*) = count(*) AS matches FROM orders UNION ALL SELECT 'customer', count(*), count(*) FILTER (c_custkey % 3 <> 0), count(*) = count(*) FILTER (c_custkey % 3 <> 0) FROM customer UNION ALL SELECT 'part', count(*), NULL, count(*) IS NULL FROM part")
 def reconcile_tables(spark, d):
     o, c, p = (table(spark, d, t) for t in ("orders", "customer", "part"))
     return tables.reconcile({"orders": o, "customer": c, "part": p}, {"orders": o.repartition(3), "customer": c.where("c_custkey % 3 <> 0")})
@@ -543,26 +618,31 @@ def replay_identity(spark, d):
     return erasure.replay_identity(incoming, state).select("command_no", "idempotency_key", "outcome")
 
 
-@query("SELECT request_id, customer_id, CASE WHEN customer_id LIKE '%7' THEN 'completed' ELSE 'pending' END AS status, requested_at FROM requests")
+@query("SELECT request_id, customer_id, CASE WHEN c_custkey % 3 = 0 THEN 'completed' ELSE 'pending' END AS status, requested_at FROM intake JOIN customer ON customer_id = 'cust_' || c_custkey")
 def request_lifecycle(spark, d):
-    req = _requests(spark, d).withColumn("requested_by", F.lit("dpo")).withColumn("reason", F.lit("GDPR_ARTICLE_17"))
-    return erasure.request_lifecycle(req.unionByName(req.withColumn("requested_at", F.col("requested_at") - 5)), _audit(spark, d)).select("request_id", "customer_id", "status", "requested_at")
+    req = _intake(spark, d).withColumn("requested_by", F.lit("dpo")).withColumn("reason", F.lit("GDPR_ARTICLE_17"))
+    return erasure.request_lifecycle(req.unionByName(req.withColumn("requested_at", F.col("requested_at") - 5)), _audit(spark, d).where("int(substring(request_id, 5)) % 3 = 0")).select("request_id", "customer_id", "status", "requested_at")
 
 
-# ---------------------------------------------------------------- rows only: stateful or chained
+# ---------------------------------------------------------------- stateful, chained, stored
 
 
-@query()
+@query(f"""SELECT shard, seq, 'HASH' AS problem FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY epoch(o_orderdate), request_id) AS seq FROM
+    (SELECT *, 'req-' || o_orderkey AS request_id, CAST(CAST('0x' || substr(md5('req-' || o_orderkey), 1, 8) AS UBIGINT) % greatest(1, ceil(count(*) OVER () / {audit.SHARD_RECORDS})::BIGINT) AS INT) AS shard FROM orders)) WHERE o_orderkey % 500 = 0""")
 def audit_chain_verify(spark, d):
     """Problems of a chain over all orders as audit records, with one record in 500 changed afterwards."""
     o = table(spark, d, "orders")
     log = o.select(F.concat(F.lit("req-"), "o_orderkey").alias("request_id"), F.concat(F.lit("cust_"), "o_custkey").alias("customer_id"), scalars.epoch_seconds("o_orderdate").alias("requested_at"), scalars.epoch_seconds("o_orderdate").alias("completed_at"), F.lit("gold.customer_360").alias("layers_touched"), F.lit("completed").alias("status"), F.lit("x").alias("confirmation_hash"))
     chain = audit.build_chain(log)
-    changed = chain.withColumn("payload", F.when(F.crc32("request_id") % 500 == 0, F.replace("payload", F.lit("completed\""), F.lit("failed\""))).otherwise(F.col("payload")))
+    hit = F.substring("request_id", 5, 20).cast("long") % 500 == 0
+    changed = chain.withColumn("payload", F.when(hit, F.replace("payload", F.lit("completed\""), F.lit("failed\""))).otherwise(F.col("payload")))
     return audit.verify_chain(changed)
 
 
-@query()
+@query("""SELECT customer_id, 'VELOCITY' AS rule, CAST(rn AS DOUBLE) AS score, event_id, round(occurred_at, 3) AS alerted_at FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, floor(occurred_at / 86400) ORDER BY occurred_at, event_id) AS rn FROM event_pay) WHERE rn = 6
+    UNION ALL SELECT customer_id, 'AMOUNT_ZSCORE', round(abs(amount_eur - mean) / sd, 3), event_id, round(occurred_at, 3) FROM (SELECT *, count(amount_eur) OVER w AS n, avg(amount_eur) OVER w AS mean, stddev_samp(amount_eur) OVER w AS sd FROM event_pay
+        WINDOW w AS (PARTITION BY customer_id ORDER BY occurred_at, event_id ROWS BETWEEN 200 PRECEDING AND 1 PRECEDING)) WHERE n >= 3 AND sd > 0 AND abs(amount_eur - mean) / sd > 3
+    UNION ALL SELECT customer_id, 'GEO_MISMATCH', 1.0, event_id, round(occurred_at, 3) FROM event_pay WHERE country <> merchant_country""")
 def fraud_stream(spark, d):
     """Alerts of the stateful scorer over the whole events file as a stream."""
     from glasslake.streaming import fraud as stream
@@ -571,10 +651,10 @@ def fraud_stream(spark, d):
     store = tables.TableStore(spark, f"{root}/tables")
     registry = adapters.suppression_registry(spark, d)
     stream.run(stream.score(stream.event_payments(spark, d), registry, 86_400, expire=False), store, lambda: registry, f"{root}/checkpoint").awaitTermination()
-    return store.read("bronze.fraud_alerts")
+    return store.read("bronze.fraud_alerts").select("customer_id", "rule", F.round("score", 3).alias("score"), "event_id", F.round("alerted_at", 3).alias("alerted_at"))
 
 
-@query()
+@query("SELECT 'silver.orders' AS table_name, count(*) AS row_count, count(*) > 0 AS passed FROM s_orders UNION ALL SELECT 'gold.customer_360', count(*), count(*) > 0 FROM c360")
 def export_verify(spark, d):
     """Proof rows of a staged export of Silver orders and Gold customers."""
     o, _, r = _base(spark, d)
@@ -582,7 +662,7 @@ def export_verify(spark, d):
     return tables.export_lake({"silver.orders": silver.silver_orders(o, r), "gold.customer_360": _gold(spark, d)}, store)
 
 
-@query()
+@query("""SELECT 'erasure_requests' AS topic, event_id AS "offset", props AS value FROM events WHERE event_type = 'error' AND event_id >= (SELECT CAST(floor(max(event_id) / 2) AS BIGINT) FROM events WHERE event_type = 'error')""")
 def dlq_requeue(spark, d):
     """The erasure intake after its dead letters were put back from the cursor on."""
     from glasslake.sources.topics import dead_letters, requeue
@@ -593,9 +673,11 @@ def dlq_requeue(spark, d):
 
 
 def _work(spark: SparkSession) -> str:
-    """The folder that driver and executors share, or a temporary one where none is named (tests)."""
+    """The folder that driver and executors share; a temporary one only where all run in one process."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         import tempfile
 
         named = tempfile.mkdtemp(prefix="glasslake-")
