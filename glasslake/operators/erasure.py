@@ -16,7 +16,17 @@ from glasslake.operators.suppression import suppress
 
 #: Personal columns of each Bronze table.
 PII = {"bronze.orders": ["email", "iban"], "bronze.payments": ["iban"], "bronze.clicks": ["ip_address"]}
-DELETED = ("silver.customers", "silver.orders", "silver.payments", "gold.customer_360", "gold.order_facts", "gold.fraud_summary", "bronze.fraud_alerts")
+DELETED = (
+    "silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine", "gold.customer_360", "gold.order_facts", "gold.fraud_summary",
+    "bronze.fraud_alerts", "bronze.erasure_requests",
+)
+#: Tables whose payload is kept as it came: rows of a customer are found by id or inside the payload.
+PAYLOADS = ("bronze.ingest_quarantine", "governance.dead_letters")
+#: Tables that prove the erasure, or hold nothing about a customer.
+KEPT = (
+    "governance.suppression_registry", "governance.erasure_audit_log", "governance.erasure_audit_chain", "governance.erasure_command_state", "governance.quality_results",
+    "governance.pii_manifest", "governance.watermarks", "governance.run_log", "governance.contracts",
+)
 
 
 def _ids(requests: DataFrame) -> DataFrame:
@@ -33,13 +43,27 @@ def delete(df: DataFrame, requests: DataFrame) -> DataFrame:
     return df.join(_ids(requests), "customer_id", "left_anti").select(*df.columns)
 
 
-def delete_quarantine(quarantine: DataFrame, requests: DataFrame) -> DataFrame:
-    """Rows of the customers by id; payloads whose id could not be recovered are searched, with quotes around the id."""
-    known = delete(quarantine.where("customer_id is not null"), requests)
-    unknown = quarantine.where("customer_id is null")
-    quoted = F.explode_outer(F.regexp_extract_all(F.coalesce("raw_payload", F.lit("")), F.lit(r'"([^"]+)"'), F.lit(1)))
-    hits = unknown.select("quarantine_id", quoted.alias("customer_id")).join(_ids(requests), "customer_id", "left_semi").select("quarantine_id").distinct()
-    return known.unionByName(unknown.join(hits, "quarantine_id", "left_anti").select(*known.columns))
+def delete_payloads(parked: DataFrame, requests: DataFrame) -> DataFrame:
+    """Rows of the customers by id, and rows without one whose payload names a customer in quotes, go."""
+    known = parked
+    if "customer_id" in parked.columns:
+        known, parked = delete(parked.where("customer_id is not null"), requests), parked.where("customer_id is null")
+    quoted = F.regexp_extract_all(F.coalesce("raw_payload", F.lit("")), F.lit(r'"([^"]+)"'), F.lit(1))
+    named = parked.select("raw_payload", F.explode(quoted).alias("customer_id")).join(_ids(requests), "customer_id", "left_semi").select("raw_payload").distinct()
+    kept = parked.join(named, "raw_payload", "left_anti").select(*parked.columns)
+    return kept if known is parked or "customer_id" not in kept.columns else known.unionByName(kept.select(*known.columns))
+
+
+def has_rule(name: str) -> bool:
+    return name in PII or name in DELETED or name in PAYLOADS
+
+
+def covered(store) -> list[str]:
+    """Stored tables that an erasure has to change; a table that nobody has decided about stops it."""
+    stored = store.names()
+    if unknown := [n for n in stored if not has_rule(n) and n not in KEPT]:
+        raise ValueError(f"no erasure rule for {', '.join(unknown)}")  # fail closed
+    return [n for n in stored if has_rule(n)]
 
 
 def erase(tables: dict[str, DataFrame], registry: DataFrame, requests: DataFrame, now: float) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
@@ -48,8 +72,8 @@ def erase(tables: dict[str, DataFrame], registry: DataFrame, requests: DataFrame
     for name, df in tables.items():
         if name in PII:
             after[name] = mask(df, requests, PII[name])
-        elif name == "bronze.ingest_quarantine":
-            after[name] = delete_quarantine(df, requests)
+        elif name in PAYLOADS:
+            after[name] = delete_payloads(df, requests)
         elif name in DELETED:
             after[name] = delete(df, requests)
         else:
@@ -62,26 +86,44 @@ def erase(tables: dict[str, DataFrame], registry: DataFrame, requests: DataFrame
 
 
 def append_audit(audit: DataFrame, new: DataFrame) -> DataFrame:
-    """One attestation per request: a repeated one replaces the former."""
-    latest = new.dropDuplicates(["request_id"])
+    """One attestation per request: a repeated one, the last by completion, replaces the former."""
+    w = Window.partitionBy("request_id").orderBy(F.desc("completed_at"), F.desc("requested_at"), F.desc("customer_id"))
+    latest = new.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
     return audit.join(latest.select("request_id"), "request_id", "left_anti").select(*audit.columns).unionByName(latest.select(*audit.columns))
 
 
 def run_erasure(store, requests: DataFrame, now: float) -> DataFrame:
-    """Erase over stored tables: suppression first, then all new versions, shown together; old versions are purged."""
-    registry = store.read("governance.suppression_registry")
-    store.write("governance.suppression_registry", suppress(registry, requests.select("customer_id", F.lit(now).alias("added_at"))))
-    names = [n for n in (*PII, "bronze.ingest_quarantine", *DELETED) if store.exists(n)]
-    after, _, audit = erase({n: store.read(n) for n in names}, registry, requests, now)
-    store.publish({n: store.stage(n, df) for n, df in after.items()})
-    for n in names:
+    """Erase over all stored tables: suppression first, then all new versions, shown together; old versions are purged.
+
+    A table that another writer changes meanwhile makes the erasure read it again, so neither loses its rows.
+    """
+    covered(store)
+    who = requests.select("customer_id", F.lit(now).alias("added_at"))
+    store.retry(lambda: store.rewrite("governance.suppression_registry", lambda registry: suppress(registry, who)))
+    logs: list[DataFrame] = []
+
+    def change() -> None:
+        bases = {n: store.pointer(n) for n in covered(store)}
+        after, _, audit = erase({n: store._at(n, at) for n, at in bases.items()}, store.read("governance.suppression_registry"), requests, now)
+        store.publish({n: store.stage(n, df, base=bases[n]) for n, df in after.items()})
+        logs[:] = [audit]
+
+    store.retry(change)
+    for n in covered(store):
         store.purge(n)
-    old = store.read("governance.erasure_audit_log") if store.exists("governance.erasure_audit_log") else audit.limit(0)
-    return store.write("governance.erasure_audit_log", append_audit(old, audit))
+
+    def attest() -> None:
+        if store.exists("governance.erasure_audit_log"):
+            store.rewrite("governance.erasure_audit_log", lambda old: append_audit(old, logs[0]))
+        else:
+            store.write("governance.erasure_audit_log", append_audit(logs[0].limit(0), logs[0]))
+
+    store.retry(attest)
+    return store.read("governance.erasure_audit_log")
 
 
 def verify_erasure(requests: DataFrame, registry: DataFrame, tables: dict[str, DataFrame], audit: DataFrame) -> DataFrame:
-    """Per customer: suppressed, no Silver or Gold rows, Bronze masked, an audit row, and all of these."""
+    """Per customer: suppressed, no rows left (quarantines and alerts included), Bronze masked, an audit row, and all of these."""
     out = _ids(requests).join(registry.select("customer_id").distinct().withColumn("suppressed", F.lit(True)), "customer_id", "left")
     counts = []
     for name, df in tables.items():

@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.operators import fraud, gold, privacy, quality, silver
+from glasslake.operators import fraud, gold, incremental, privacy, quality, silver
 from glasslake.operators.audit import run_log_row
 from glasslake.sources.tables import EXPORTABLE, TableStore, export_lake
 
@@ -31,6 +31,66 @@ def build_gold(store: TableStore, registry: DataFrame) -> dict[str, DataFrame]:
     return {n: store.read(n) for n in made}
 
 
+#: What an incremental build reads and how far it has read it: the newest ingest time per source.
+SOURCES = ("bronze.orders", "bronze.payments", "bronze.fraud_alerts")
+
+
+def _clock(df: DataFrame) -> str:
+    """Ingest time where the table has it, else event time."""
+    return next(c for c in ("_ingested_at", "alerted_at", "occurred_at") if c in df.columns)
+
+
+def _epoch(df: DataFrame, column: str):
+    kind = dict(df.dtypes)[column]
+    return F.unix_micros(column) / 1e6 if kind.startswith("timestamp") else F.col(column).cast("double")
+
+
+def build_incremental(store: TableStore, registry: DataFrame) -> dict[str, int]:
+    """Silver and Gold brought up to date: customers with new rows are recomputed from all their rows, the rest stays.
+
+    Equal to a full build. Quarantined rows without a customer are always recomputed. Returns how many customers were
+    recomputed and how many of them are suppressed.
+    """
+    marks = store.read("governance.watermarks") if store.exists("governance.watermarks") else store.spark.createDataFrame([], "pipeline string, last_ts double")
+    sources = {n: store.read(n) for n in SOURCES if store.exists(n)}
+    changes, reached = [], marks
+    for name, df in sources.items():
+        timed = df.withColumn("__at", _epoch(df, _clock(df)))
+        changes.append(incremental.changed_since(timed, incremental.get_watermark(marks, name), "__at"))
+        newest = timed.agg(F.max("__at")).first()[0]
+        if newest is not None:
+            reached = incremental.set_watermark(reached, name, newest)
+    affected = incremental.affected_customers(*changes).persist()
+    bases = {n: store.pointer(n) for n in store.names()}
+    orders, payments = sources["bronze.orders"], sources["bronze.payments"]
+    alerts = sources.get("bronze.fraud_alerts")
+
+    def renew(name: str, source: DataFrame, build) -> DataFrame:
+        return incremental.rebuild(store._at(name, bases[name]), source, affected, build, registry)
+
+    def quarantine(name: str, source: DataFrame, build) -> DataFrame:
+        old = store._at(name, bases[name])
+        nameless = build(source.where("customer_id is null"), registry)
+        return renew(name, source, lambda rows: build(rows, registry)).where("customer_id is not null").select(*old.columns).unionByName(nameless.select(*old.columns))
+
+    made = {
+        "silver.customers": renew("silver.customers", orders, lambda rows: silver.silver_customers(rows, registry)), "silver.orders": renew("silver.orders", orders, lambda rows: silver.silver_orders(rows, registry)),
+        "silver.payments": renew("silver.payments", payments, lambda rows: silver.silver_payments(rows, registry)), "silver.orders_quarantine": quarantine("silver.orders_quarantine", orders, silver.orders_quarantine),
+        "silver.payments_quarantine": quarantine("silver.payments_quarantine", payments, silver.payments_quarantine),
+    }
+    store.publish({n: store.stage(n, df, base=bases[n]) for n, df in made.items()})
+    c, o = store.read("silver.customers"), store.read("silver.orders")
+    mine = lambda df: df.join(affected, "customer_id", "left_semi").select(*df.columns)
+    people = renew("gold.customer_360", o, lambda rows: gold.customer_360(mine(c), rows, registry))
+    facts = renew("gold.order_facts", o, lambda rows: gold.order_facts(rows, gold.customer_360(mine(c), rows, registry), registry))
+    found = renew("gold.fraud_summary", alerts if alerts is not None else payments, lambda rows: gold.fraud_summary(rows if alerts is not None else fraud.all_alerts(rows), registry))
+    store.publish({n: store.stage(n, df, base=bases[n]) for n, df in (("gold.customer_360", people), ("gold.order_facts", facts), ("gold.fraud_summary", found))})
+    store.write("governance.watermarks", store.spark.createDataFrame(reached.collect(), "pipeline string, last_ts double"))
+    out = {"affected": affected.count(), "suppressed": incremental.suppressed_skipped(affected, registry)}
+    affected.unpersist()
+    return out
+
+
 def check_quality(store: TableStore, registry: DataFrame, run_id: str, now: float) -> DataFrame:
     t = {n: store.read(n) for n in EXPORTABLE}
     checks = {
@@ -46,10 +106,16 @@ def check_quality(store: TableStore, registry: DataFrame, run_id: str, now: floa
     return found
 
 
-def run_pipeline(store: TableStore, registry: DataFrame, export_to: TableStore | None = None, run_id: str = "run", now: float | None = None) -> list[str]:
-    """Personal-data gate, Silver, Gold, quality, export: stops at the first failure, after one retry."""
+def run_pipeline(store: TableStore, registry: DataFrame, export_to: TableStore | None = None, run_id: str = "run", now: float | None = None, incremental_build: bool = False) -> list[str]:
+    """Personal-data gate, Silver, Gold, quality, export: stops at the first failure, after one retry.
+
+    incremental_build recomputes only customers with new rows, once a full build is there.
+    """
     now = time.time() if now is None else now
     done: list[str] = []
+    built = all(store.exists(n) for n in (*EXPORTABLE, "silver.orders_quarantine", "silver.payments_quarantine"))
+    silver_names = ["silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine"]
+    gold_names = ["gold.customer_360", "gold.order_facts", "gold.fraud_summary"]
 
     def gate_pii() -> None:
         bronze = store.read("bronze.orders")
@@ -63,21 +129,35 @@ def run_pipeline(store: TableStore, registry: DataFrame, export_to: TableStore |
         if export_to is not None:
             export_lake({n: store.read(n) for n in EXPORTABLE}, export_to)
 
-    tasks = [("pii", gate_pii), ("silver", lambda: build_silver(store, registry)), ("gold", lambda: build_gold(store, registry)), ("quality", lambda: quality.gate(check_quality(store, registry, run_id, now))), ("export", export)]
-    for name, task in tasks:
+    build = (
+        [("incremental", lambda: build_incremental(store, registry), list(SOURCES), silver_names + gold_names)]
+        if incremental_build and built
+        else [("silver", lambda: build_silver(store, registry), ["bronze.orders", "bronze.payments"], silver_names), ("gold", lambda: build_gold(store, registry), ["silver.customers", "silver.orders", "bronze.payments"], gold_names)]
+    )
+    tasks = [
+        ("pii", gate_pii, ["bronze.orders"], ["governance.pii_manifest"]), *build,
+        ("quality", lambda: quality.gate(check_quality(store, registry, run_id, now)), list(EXPORTABLE), ["governance.quality_results"]), ("export", export, list(EXPORTABLE), list(EXPORTABLE) if export_to else []),
+    ]
+    for name, task, inputs, outputs in tasks:
         started = time.time()
+        log = lambda status, rows: store.append("governance.run_log", run_log_row(store.spark, name, inputs, outputs, started, time.time(), status, rows))  # noqa: B023, E731
         for attempt in (1, 2):
             try:
                 task()
                 break
             except quality.QualityGateError:
+                log("failed", {})
                 raise
             except Exception:
                 if attempt == 2:
-                    store.append("governance.run_log", run_log_row(store.spark, name, [], [], started, time.time(), "failed", {}))
+                    log("failed", {})
                     raise
-        store.append("governance.run_log", run_log_row(store.spark, name, [], [], started, time.time(), "completed", {}))
+        at = export_to if name == "export" else store
+        log("completed", {n: at.read(n).count() for n in outputs})
         done.append(name)
+    if not (incremental_build and built):
+        marks = [(n, float(v)) for n in SOURCES if store.exists(n) and (v := (df := store.read(n)).agg(F.max(_epoch(df, _clock(df)))).first()[0]) is not None]
+        store.write("governance.watermarks", store.spark.createDataFrame(marks, "pipeline string, last_ts double"))
     return done
 
 

@@ -1,15 +1,18 @@
-"""Versioned Parquet tables: each commit writes a new version directory, then moves a pointer file.
+"""Versioned Parquet tables: a write makes a new version directory, then a numbered commit file that names it.
 
-The pointer names the directories that make up the table: a rewrite leaves one, an append adds one, so appends and
-insert-or-ignore never rewrite what is stored. Readers never see a half-written version and a path being read is
-never overwritten. All file work goes through the
-Hadoop file system of the path, so local, HDFS and object-store roots behave alike.
+A commit names the directories that make up the table: a rewrite leaves one, an append adds one, so appends and
+insert-or-ignore never rewrite what is stored. Commit n + 1 is created, never overwritten, by a writer that has read
+commit n: of two writers one gets a Conflict and starts again from the table that the other left, so no update is
+lost. Readers never see a half-written version. All file work goes through the Hadoop file system of the path, so
+local, HDFS and object-store roots behave alike as far as they create files exclusively.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,6 +26,16 @@ class SinkMismatch(Exception):
     """The stored table does not have the names, types, nullability or partitioning that the write expects."""
 
 
+class Conflict(Exception):
+    """Another writer has changed the table since it was read."""
+
+
+#: Commits that a purge leaves behind, so that a reader that has just listed them still finds the newest.
+KEPT_COMMITS = 10
+#: Times that a write starts again after a conflict.
+RETRIES = 5
+
+
 class TableStore:
     """Tables under one root folder, named layer.table."""
 
@@ -38,31 +51,48 @@ class TableStore:
     def _home(self, name: str) -> str:
         return f"{self.root}/{check_identifier(name).replace('.', '/')}"
 
-    def _read_text(self, path: str) -> str | None:
+    def _read_text(self, path: str) -> str:
         fs, p = self._fs(path)
-        if not fs.exists(p):
-            return None
         stream = fs.open(p)
         try:
             return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
 
-    def _write_text(self, path: str, text: str) -> None:
-        fs, p = self._fs(f"{path}.{uuid.uuid4().hex}")
-        stream = fs.create(p, True)
-        stream.write(bytearray(text.encode()))
+    def _commits(self, name: str) -> list[int]:
+        fs, p = self._fs(f"{self._home(name)}/_commits")
+        found = [re.fullmatch(r"(\d{12})\.json", s.getPath().getName()) for s in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(int(m[1]) for m in found if m)
+
+    def _commit(self, name: str, number: int, at: dict) -> None:
+        """Create a commit file; fails if another writer has created it."""
+        fs, p = self._fs(f"{self._home(name)}/_commits/{number:012d}.json")
+        try:
+            stream = fs.create(p, False)
+        except Exception as e:
+            raise Conflict(f"{name}: commit {number} exists") from e
+        stream.write(bytearray(json.dumps(at).encode()))
         stream.close()
-        _, final = self._fs(path)
-        if fs.exists(final):
-            fs.delete(final, False)
-        fs.rename(p, final)
 
     # ---- versions
 
     def pointer(self, name: str) -> dict | None:
-        text = self._read_text(f"{self._home(name)}/_current.json")
-        return json.loads(text) if text else None
+        """The newest commit, with its number as `commit`; one that is only just being written is not yet there."""
+        for number in reversed(self._commits(name)):
+            try:
+                return json.loads(self._read_text(f"{self._home(name)}/_commits/{number:012d}.json")) | {"commit": number}
+            except ValueError:
+                continue
+        return None
+
+    def names(self) -> list[str]:
+        """All stored tables."""
+        fs, root = self._fs(self.root)
+        if not fs.exists(root):
+            return []
+        layers = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
+        found = [f"{layer.getName()}.{t.getPath().getName()}" for layer in layers for t in fs.listStatus(layer) if t.isDirectory()]
+        return sorted(n for n in found if self.exists(n))
 
     def exists(self, name: str) -> bool:
         return self.pointer(name) is not None
@@ -71,30 +101,54 @@ class TableStore:
         at = self.pointer(name)
         if at is None:
             raise FileNotFoundError(name)
+        return self._at(name, at)
+
+    def _at(self, name: str, at: dict) -> DataFrame:
         return self.spark.read.schema(T.StructType.fromJson(at["schema"])).parquet(*[f"{self._home(name)}/{v}" for v in at["versions"]])
 
-    def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> dict:
-        """Write a new version without showing it yet."""
-        version = f"v-{uuid.uuid4().hex}"
-        df.write.partitionBy(*(partition_by or [])).option("maxRecordsPerFile", 500_000).parquet(f"{self._home(name)}/{version}")
-        return {"versions": [version], "schema": df.schema.jsonValue(), "partition_by": partition_by or []}
+    def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None, base: dict | None = None) -> dict:
+        """Write a new version without showing it yet; it keeps the stored partitioning unless another is asked for.
+
+        base is the commit that df was made from, if not the present one.
+        """
+        at = base or self.pointer(name) or {"commit": 0, "partition_by": []}
+        version, by = f"v-{uuid.uuid4().hex}", at["partition_by"] if partition_by is None else partition_by
+        df.write.partitionBy(*by).option("maxRecordsPerFile", 500_000).parquet(f"{self._home(name)}/{version}")
+        return {"versions": [version], "schema": df.schema.jsonValue(), "partition_by": by, "base": at["commit"]}
 
     def publish(self, staged: dict[str, dict]) -> None:
-        """Show staged versions of several tables: all are written before the first pointer moves."""
+        """Show staged versions of several tables: all are written before the first is shown. A table that has moved on
+        since it was read raises Conflict before any is shown; one that moves in between raises it for the rest."""
         for name, at in staged.items():
-            self._write_text(f"{self._home(name)}/_current.json", json.dumps(at))
+            if (self._commits(name) or [0])[-1] != at["base"]:
+                raise Conflict(f"{name}: not at commit {at['base']} any more")
+        for name, at in staged.items():
+            self._commit(name, at["base"] + 1, {k: at[k] for k in ("versions", "schema", "partition_by")})
+
+    def retry(self, write: Callable[[], None]) -> None:
+        """Run a write that reads, stages and publishes, again after each conflict."""
+        for attempt in range(RETRIES):
+            try:
+                write()
+                return
+            except Conflict:
+                if attempt + 1 == RETRIES:
+                    raise
 
     def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         self.publish({name: self.stage(name, df, partition_by)})
         return self.read(name)
 
     def purge(self, name: str) -> int:
-        """Delete superseded versions; their number."""
+        """Delete superseded versions and old commits; the number of versions. A reader that still holds a superseded
+        version fails and has to read again: erasure asks for that."""
         at = self.pointer(name)
         fs, home = self._fs(self._home(name))
-        old = [s.getPath() for s in fs.listStatus(home) if s.isDirectory() and s.getPath().getName() not in at["versions"]]
+        old = [s.getPath() for s in fs.listStatus(home) if s.isDirectory() and s.getPath().getName().startswith("v-") and s.getPath().getName() not in at["versions"]]
         for p in old:
             fs.delete(p, True)
+        for number in self._commits(name)[:-KEPT_COMMITS]:
+            fs.delete(self._fs(f"{self._home(name)}/_commits/{number:012d}.json")[1], False)
         return len(old)
 
     def data_files(self, name: str) -> list[str]:
@@ -112,31 +166,59 @@ class TableStore:
     def insert_ignore(self, name: str, df: DataFrame, key: str, order: list[Column]) -> DataFrame:
         """First row per key wins; keys already stored are untouched."""
         first = first_per_key(df, key, order)
-        if self.exists(name):
-            return self.append(name, first.join(self.read(name).select(key), key, "left_anti"))
-        return self.write(name, first)
+
+        def write() -> None:
+            at = self.pointer(name)
+            if at is None:
+                self.write(name, first)
+            else:
+                self._add(name, first.join(self._at(name, at).select(key), key, "left_anti"), at)
+
+        self.retry(write)
+        return self.read(name)
 
     def replace_using(self, name: str, df: DataFrame, key: str, order: list[Column]) -> DataFrame:
         """The row with the highest order per key wins, stored or new."""
-        both = self.read(name).unionByName(df, allowMissingColumns=True) if self.exists(name) else df
-        return self.write(name, first_per_key(both, key, order))
+
+        def write() -> None:
+            at = self.pointer(name)
+            both = self._at(name, at).unionByName(df, allowMissingColumns=True) if at else df
+            self.publish({name: self.stage(name, first_per_key(both, key, order), base=at)})
+
+        self.retry(write)
+        return self.read(name)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
         """Add rows as one more directory; only new columns make the table be written anew."""
-        at = self.pointer(name)
-        if at is None:
-            return self.write(name, df)
+
+        def write() -> None:
+            at = self.pointer(name)
+            if at is None:
+                self.write(name, df)
+            else:
+                self._add(name, df, at)
+
+        self.retry(write)
+        return self.read(name)
+
+    def _add(self, name: str, df: DataFrame, at: dict) -> None:
         stored = T.StructType.fromJson(at["schema"])
         if set(df.columns) - set(stored.fieldNames()):
-            return self.write(name, self.read(name).unionByName(df, allowMissingColumns=True))
+            self.publish({name: self.stage(name, self._at(name, at).unionByName(df, allowMissingColumns=True), base=at)})
+            return
         rows = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in stored.fields])
-        new = self.stage(name, rows, at["partition_by"])
-        self.publish({name: at | {"versions": at["versions"] + new["versions"]}})
-        return self.read(name)
+        new = self.stage(name, rows, base=at)
+        self.publish({name: new | {"versions": at["versions"] + new["versions"], "schema": at["schema"]}})
 
     def compact(self, name: str) -> DataFrame:
         """One directory again, after many appends."""
-        return self.write(name, self.read(name), self.pointer(name)["partition_by"])
+        self.retry(lambda: self.rewrite(name, lambda df: df))
+        return self.read(name)
+
+    def rewrite(self, name: str, change: Callable[[DataFrame], DataFrame]) -> None:
+        """The table after a change of its rows; Conflict if another writer comes in between."""
+        at = self.pointer(name)
+        self.publish({name: self.stage(name, change(self._at(name, at)), base=at)})
 
     def assert_sink(self, name: str, schema: T.StructType, partition_by: list[str] | None = None) -> None:
         at = self.pointer(name)
@@ -162,15 +244,21 @@ def merge_alerts(target: DataFrame, batch: DataFrame, registry: DataFrame) -> Da
 
 def upsert_alerts(store: TableStore, name: str, batch: DataFrame, registry: DataFrame) -> None:
     """merge_alerts on a stored table: new alerts are appended, and only a newer form of a stored one rewrites it."""
-    if not store.exists(name):
-        store.write(name, merge_alerts(batch.limit(0), batch, registry))
-        return
-    target = store.read(name)
-    held = target.select("alert_id", F.col("alerted_at").alias("held_at"))
-    if batch.join(held, "alert_id").where("alerted_at > held_at").isEmpty():
-        store.append(name, merge_alerts(batch.limit(0), batch, registry).join(held, "alert_id", "left_anti"))
-    else:
-        store.write(name, merge_alerts(target, batch, registry))
+    fresh = merge_alerts(batch.limit(0), batch, registry)
+
+    def write() -> None:
+        at = store.pointer(name)
+        if at is None:
+            store.write(name, fresh)
+            return
+        target = store._at(name, at)
+        held = target.select("alert_id", F.col("alerted_at").alias("held_at"))
+        if batch.join(held, "alert_id").where("alerted_at > held_at").isEmpty():
+            store._add(name, fresh.join(held, "alert_id", "left_anti"), at)
+        else:
+            store.publish({name: store.stage(name, merge_alerts(target, batch, registry), base=at)})
+
+    store.retry(write)
 
 
 def fingerprint(df: DataFrame, name: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from glasslake.operators.contracts import CORRUPT, EVENTS, contract_status, event_schema, normalise, parse, project_event, quarantine_projection, recover_ids, with_lineage
 from glasslake.operators.suppression import not_suppressed
+from glasslake.sources.tables import first_per_key
 
 RECORD = T.StructType([T.StructField(n, t) for n, t in (("topic", T.StringType()), ("key", T.StringType()), ("value", T.StringType()), ("partition", T.IntegerType()), ("offset", T.LongType()), ("timestamp", T.TimestampType()))])
 
@@ -74,7 +75,7 @@ def load_bronze(spark: SparkSession, records: DataFrame, registry: DataFrame) ->
         kind = F.get_json_object(F.col("value").cast("string"), "$.event_type")
         own = records.where(kind == event_type)
         valid, rejected = ingest(parse(_records(own), event_type), event_type, "log", registry)
-        out[event_type] = valid.dropDuplicates(["event_id"])
+        out[event_type] = first_per_key(valid, "event_id", [F.col(c).asc_nulls_last() for c in ("_kafka_partition", "_kafka_offset", "occurred_at", "raw_payload") if c in valid.columns])
         bad.append(rejected)
     unknown = records.where(~F.coalesce(F.get_json_object(F.col("value").cast("string"), "$.event_type").isin(*EVENTS), F.lit(False)))
     bad.append(ingest(parse(_records(unknown), "page_click"), "page_click", "log", registry)[1])

@@ -49,6 +49,33 @@ def test_consent_counts_quarantined_orders(spark):
     assert gold.customer_360(people, silver.silver_orders(o, registry(spark)), registry(spark)).first().consents_marketing is False
 
 
+def test_gaps_do_not_enter_silver(spark):
+    """NULL keys, countries, consents and times are quarantined, each row once; NULL consent denies."""
+    full = {"event_id": "1", "order_id": "o", "customer_id": "a", "email": "x@y.zz", "iban": GOOD, "country": "DE", "amount_eur": 1.0, "marketing_consent": True, "currency": "EUR", "occurred_at": 1.0}
+    rows = [full, {**full, "event_id": None}, {**full, "event_id": None}, {**full, "event_id": None, "customer_id": "b"}]
+    rows += [{**full, "event_id": c, "customer_id": f"c_{c}", c: None} for c in ("order_id", "country", "amount_eur", "marketing_consent", "occurred_at")]
+    rows += [{**full, "event_id": "9", "customer_id": "d", "occurred_at": 2.0}, {**full, "event_id": "10", "customer_id": "d", "marketing_consent": None}]
+    o, none = spark.createDataFrame(rows, ORDER), registry(spark)
+    good, bad = silver.silver_orders(o, none).collect(), silver.orders_quarantine(o, none).collect()
+    assert {r.event_id for r in good} == {"1", "9"} and len(bad) == len(rows) - 2
+    keys = [r.quarantine_id for r in bad if r.event_id is None]
+    assert len(keys) == 3 and len(set(keys)) == 2
+    consent = {r.customer_id: r.marketing_consent for r in silver.silver_customers(o, none).collect()}
+    assert consent == {"a": True, "d": False}
+    assert {r.customer_id: r.consents_marketing for r in gold.customer_360_from_orders(o, none).collect()} == consent
+    assert silver.silver_orders(o.withColumn("event_type", F.when(F.col("event_id") == "1", "order_placed").otherwise("x")), none).count() == 1
+    p = pays(spark, [("a", 1, "NL", 1)] * 5).withColumn("order_id", F.lit("o"))
+    p = p.withColumn("status", F.when(p.event_id == "e1", None).when(p.event_id == "e2", "odd").otherwise(p.status)).withColumn("merchant_country", F.when(p.event_id != "e3", p.merchant_country))
+    assert {r.event_id for r in silver.silver_payments(p, none).collect()} == {"e0", "e1", "e4"} and silver.payments_quarantine(p, none).count() == 2
+
+
+def test_one_pass_equals_silver_and_join(spark):
+    rows = [(str(k), "abcd"[k % 4], "x@y.zz" if k % 5 else None, GOOD if k % 3 else "DE00", float(k), k % 7 != 1, float(k % 6)) for k in range(40)]
+    o, reg = orders(spark, rows + rows[:3]), registry(spark, "c")
+    want = gold.customer_360(silver.silver_customers(o, reg), silver.silver_orders(o, reg), reg)
+    assert sorted(map(tuple, gold.customer_360_from_orders(o, reg).select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
 def test_velocity_zscore_geo(spark):
     p = pays(spark, [("a", 100 + k, "DE", 1000 + k) for k in range(7)] + [("b", 100 + k, "NL", 900 * k) for k in range(5)] + [("b", 1000, "DE", 9000)])
     assert [(r.customer_id, r.event_id) for r in fraud.velocity(p).collect()] == [("a", "e5")]
@@ -142,6 +169,60 @@ def test_erasure_leaves_only_masks(spark, tmp_path):
     assert rebuilt.where("customer_id = 'a'").isEmpty()
 
 
+def test_erasure_covers_every_stored_table(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path / "lake"))
+    o = orders(spark, [("1", "a", "x@y.zz", GOOD, 1.0, True, 1.0), ("2", "a", None, GOOD, 1.0, True, 2.0), ("3", "b", None, GOOD, 1.0, True, 2.0)])
+    none = registry(spark)
+    store.write("governance.suppression_registry", none)
+    store.write("bronze.orders", o, ["country"])
+    store.write("silver.orders_quarantine", silver.orders_quarantine(o, none))
+    store.write("governance.dead_letters", spark.createDataFrame([('{"customer_id":"a",', "x"), ('{"customer_id":"b",', "x"), (None, "y")], "raw_payload string, quarantine_reason string"))
+    requests = spark.createDataFrame([("r1", "a", 1.0)], "request_id string, customer_id string, requested_at double")
+    erasure.run_erasure(store, requests, 5.0)
+    assert [r.customer_id for r in store.read("silver.orders_quarantine").collect()] == ["b"]
+    assert sorted(r.raw_payload or "" for r in store.read("governance.dead_letters").collect()) == ["", '{"customer_id":"b",']
+    assert store.pointer("bronze.orders")["partition_by"] == ["country"] and store.read("bronze.orders").count() == 3
+    store.write("gold.new_table", o)
+    with pytest.raises(ValueError, match="gold.new_table"):
+        erasure.run_erasure(store, requests, 6.0)
+
+
+def test_no_update_is_lost(spark, tmp_path, monkeypatch):
+    """A row that arrives while an erasure reads and writes stays; two writers from one commit cannot both publish."""
+    store, late = (tables.TableStore(spark, str(tmp_path / "lake")) for _ in range(2))
+    o = orders(spark, [("1", "a", "x@y.zz", GOOD, 1.0, True, 1.0), ("2", "b", "x@y.zz", GOOD, 1.0, True, 2.0)])
+    store.write("bronze.orders", o)
+    store.write("governance.suppression_registry", registry(spark))
+    stage, waiting = store.stage, [orders(spark, [("3", "c", "z@y.zz", GOOD, 1.0, True, 3.0), ("4", "a", "z@y.zz", GOOD, 1.0, True, 3.0)])]
+
+    def staged(name, *args, **more):
+        made = stage(name, *args, **more)
+        if name == "bronze.orders" and waiting:
+            late.append(name, waiting.pop())
+        return made
+
+    monkeypatch.setattr(store, "stage", staged)
+    erasure.run_erasure(store, spark.createDataFrame([("r1", "a", 1.0)], "request_id string, customer_id string, requested_at double"), 5.0)
+    assert {(r.event_id, r.email) for r in store.read("bronze.orders").collect()} == {("1", "<anonymized>"), ("2", "x@y.zz"), ("3", "z@y.zz"), ("4", "<anonymized>")}
+    first, second = store.stage("bronze.orders", o), store.stage("bronze.orders", o)
+    store.publish({"bronze.orders": first})
+    with pytest.raises(tables.Conflict):
+        store.publish({"bronze.orders": second})
+
+
+def test_partitions_survive_rewrites(spark, tmp_path):
+    store = tables.TableStore(spark, str(tmp_path / "t"))
+    df = spark.createDataFrame([("a", 1, 1.0), ("b", 2, 2.0)], "alert_id string, event_id int, alerted_at double").withColumn("customer_id", F.lit("x"))
+    store.write("x.t", df, ["event_id"])
+    store.replace_using("x.t", df.withColumn("alerted_at", F.lit(9.0)), "alert_id", [F.desc("alerted_at")])
+    store.append("x.t", df.withColumn("more", F.lit(1)))
+    store.compact("x.t")
+    assert store.pointer("x.t")["partition_by"] == ["event_id"] and store.read("x.t").count() == 4 and store.names() == ["x.t"]
+    store.purge("x.t")
+    assert len(store.pointer("x.t")["versions"]) == 1 and store.read("x.t").count() == 4
+    store.assert_sink("x.t", store.read("x.t").schema, ["event_id"])
+
+
 def test_commands(spark):
     s = "command_id string, idempotency_key string, customer_id string, ticket_id string, status string, requested_at double, attempts int, completed_at double, logical_verified boolean, physical_verified boolean, export_verified boolean, refresh_id string, blocked_layer string, failure_message string, slo_state string"
     state = spark.createDataFrame([("c1", "k1", "a", "t", "running", 0.0, 1, None, True, True, True, "r", None, None, "open"), ("c2", "k2", "b", "t", "running", 0.0, 1, None, True, None, True, "r", None, None, "open")], s)
@@ -197,6 +278,47 @@ def test_incremental_equals_full(spark):
     assert incremental.get_watermark(marks, "silver") == 4.0 and incremental.get_watermark(marks, "gold") == 0.0
 
 
+def test_incremental_pipeline_equals_full(spark, tmp_path):
+    from glasslake.plans import jobs
+
+    rows = [(str(k), "abcde"[k % 5] if k % 6 else None, "x@y.zz", GOOD if k % 4 else "DE00", 1.0 + k, k != 7, float(k)) for k in range(24)]
+    bills = [("abcde"[k % 5], 100 + k, "NL" if k % 3 else "DE", 10 * k) for k in range(20)]
+    paid = pays(spark, bills).withColumn("order_id", F.lit("1"))
+    reg = registry(spark, "d")
+
+    def lake(name, order_rows, until):
+        store = tables.TableStore(spark, str(tmp_path / name))
+        store.write("bronze.orders", orders(spark, order_rows))
+        store.write("bronze.payments", paid.where(F.col("occurred_at") < until))
+        return store
+
+    step, full = lake("step", rows[:16], 150), lake("full", rows, 1e9)
+    assert jobs.run_pipeline(step, reg, now=1.0, incremental_build=True) == ["pii", "silver", "gold", "quality", "export"]
+    assert jobs.build_incremental(step, reg) == {"affected": 0, "suppressed": 0}
+    step.append("bronze.orders", orders(spark, rows[16:20]))
+    step.append("bronze.orders", orders(spark, rows[20:]))
+    step.append("bronze.payments", paid.where(F.col("occurred_at") >= 150))
+    assert jobs.run_pipeline(step, reg, now=2.0, incremental_build=True) == ["pii", "incremental", "quality", "export"]
+    jobs.run_pipeline(full, reg, now=2.0)
+    for name in ("silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine", "gold.customer_360", "gold.order_facts", "gold.fraud_summary"):
+        want = full.read(name)
+        assert sorted(map(repr, step.read(name).select(*want.columns).collect())) == sorted(map(repr, want.collect())), name
+    log = step.read("governance.run_log").where("task = 'incremental'").first()
+    assert log.status == "completed" and "gold.customer_360" in log.outputs and json.loads(log.counts)["silver.orders"] == full.read("silver.orders").count()
+    marks = {r.pipeline: r.last_ts for r in step.read("governance.watermarks").collect()}
+    assert marks == {"bronze.orders": 23.0, "bronze.payments": 190.0}
+
+
+def test_first_record_of_a_key_wins(spark):
+    full = {"click_id": "c", "customer_id": "a", "session_id": "s", "ip_address": "1.1.1.1", "country": "DE"}
+    rows = [("clicks", "k", record("page_click", page=str(n), **full), 0, n) for n in (5, 2, 9, 2)]
+    log = spark.createDataFrame(rows, "topic string, key string, value string, partition int, offset long").withColumn("timestamp", F.lit(None).cast("timestamp"))
+    for parts in (1, 5):
+        assert topics.load_bronze(spark, log.repartition(parts), registry(spark))["page_click"].first().page == "2"
+    a = spark.createDataFrame([("r", "a", 1.0, t, "x", "completed", "h") for t in (3.0, 7.0, 5.0)], "request_id string, customer_id string, requested_at double, completed_at double, layers_touched string, status string, confirmation_hash string")
+    assert erasure.append_audit(a.limit(0), a).first().completed_at == 7.0
+
+
 def test_replay_twice_is_once(spark):
     full = {"click_id": "c", "customer_id": "a", "session_id": "s", "ip_address": "1.1.1.1", "page": "p", "country": "DE"}
     rows = [("clicks", "k", v, 0, n) for n, v in enumerate([record("page_click", **full), record("page_click", **full), "not json", record("other")])]

@@ -34,3 +34,18 @@ def test_null_safe_predicates(spark):
     assert [r[0] for r in df.select(scalars.live_pii("v")).collect()] == [True, False, False, False]
     df = spark.createDataFrame([(None, None), (1, None), (1, 1)], "a int, b int")
     assert [r[0] for r in df.select(scalars.differs("a", "b")).collect()] == [False, True, False]
+
+
+def test_iban_with_letters_and_digits(spark):
+    from glasslake.functions import scalars
+
+    rows = [("DE89370400440532013000", True), ("DE88370400440532013000", False), ("NL91 ABNA 0417 1643 00", True), ("NL92ABNA0417164300", False), ("FR1420041010050500013M02606", True), ("FR1420041010050500013M02607", False), ("XX00", False), (None, False), ("", False)]
+    got = spark.createDataFrame([(i,) for i, _ in rows], "i string").select(scalars.is_valid_iban("i")).collect()
+    assert [r[0] for r in got] == [ok for _, ok in rows]
+
+
+def test_purge_status(spark):
+    from glasslake.functions import scalars
+
+    df = spark.createDataFrame([("Completed", 1.0), ("completed", None), ("running", None), ("failed", 2.0), (None, None)], "s string, c double")
+    assert [r[0] for r in df.select(scalars.purge_status("s", "c")).collect()] == ["VERIFIED", "UNKNOWN", "PENDING", "FAILED", "UNKNOWN"]
