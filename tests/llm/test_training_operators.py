@@ -399,6 +399,53 @@ def test_random_strings(spark, edge):
     assert clean[1].text == 'a [SECRET]" b' and clean[1].n_chars == len(clean[1].text) and clean[2].text is None
 
 
+def brute_random(text, encoding):
+    """Method spans sign by sign: maximal runs of key-like signs, their parts between = and ., judged one by one."""
+    signs = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-")
+    out, at = [], 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] in signs:
+            end += 1
+        if end - at >= 16:
+            a, b = at, end
+            while a < b and text[a] in "._-=/+":
+                a += 1
+            while b > a and text[b - 1] in "._-=/+":
+                b -= 1
+            first = a
+            for k in range(a, b + 1):
+                if k == b or text[k] in "=.":
+                    body = text[first:k].strip("._-=/+")
+                    digits, letters = sum(c.isdigit() for c in body), [c for c in body if c.isalpha()]
+                    ratio = len(body) / max(1, len(encoding.encode_ordinary(body)))
+                    hexa = all(c in "0123456789abcdefABCDEF" for c in body)
+                    uuid = [len(p) for p in body.split("-")] == [8, 4, 4, 4, 12] and all(c in "0123456789abcdefABCDEF-" for c in body)
+                    parts = re.split(r"[_.\-/=+]", body)
+                    named = all(len(p) - len(p.rstrip("0123456789")) <= 6 and (p.rstrip("0123456789").isalpha() or not p.rstrip("0123456789")) for p in parts)
+                    if len(body) >= 16 and letters and digits:
+                        found = not uuid and not named and not (hexa and len(body) in secrets.DIGESTS) and ratio <= 2.2
+                    else:
+                        turns = sum(x.islower() != y.islower() for x, y in zip(letters, letters[1:], strict=False))
+                        found = len(body) >= 16 and bool(letters) and not digits and 4 * turns >= len(letters) and ratio <= 2.0
+                    if found:
+                        out.append((first, k, "random"))
+                    first = k + 1
+        at = max(end, at + 1)
+    return out
+
+
+def test_method_spans_against_brute_force(spark, docs):
+    e = secrets.vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    rng = np.random.default_rng(12)
+    pool = list("abcdefXYZQ019_-./=+ ")
+    texts = ["".join(rng.choice(pool, 200, p=[0.055] * 13 + [0.03] * 6 + [0.105])) for _ in range(300)]
+    texts += ["key=Zk3vQ9xT2mLp8RwY7bNc.end", "a/b/Zk3vQ9xT2mLp8RwY7bNc=", "550e8400-e29b-41d4-a716-446655440000", "user_name_2020-final", "x" * 50_000, *(r.text for r in docs.collect())]
+    assert sum(bool(brute_random(t, e)) for t in texts) > 50
+    for t in texts:
+        assert secrets.random_spans(t, e) == brute_random(t, e)
+
+
 # ---------------------------------------------------------------- 7 packing
 
 
@@ -430,6 +477,39 @@ def test_bm25_prefers_the_related():
     assert set(np.argsort(-score)[:5].tolist()) == {0, 2, 4, 6, 8}
 
 
+def test_bm25_and_filling_against_brute_force():
+    """Scores by the formula, and windows filled by the best unused neighbours first, a cut document opening the next one."""
+    rng = np.random.default_rng(3)
+    docs = [rng.integers(0, 60, rng.integers(1, 90)).astype(np.uint32) for _ in range(40)] + [np.array([5], np.uint32)] * 3
+    idf, mean = rng.uniform(0.1, 5, 60), 40.0
+    shard = packing.Shard(docs, idf, mean)
+
+    def brute(seed):
+        out = []
+        for d in docs:
+            total = 0.0
+            for t in set(docs[seed].tolist()):
+                tf = int((d == t).sum())
+                total += idf[t] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(d) / mean)) if tf else 0.0
+            out.append(total)
+        return np.array(out)
+
+    for seed in range(0, len(docs), 7):
+        assert np.allclose(shard.scores(seed), brute(seed))
+    window, left, want, sequence, room, seed = 128, [len(d) for d in docs], [], 0, 128, 0
+    while any(left):
+        seed = seed if left[seed] else next(k for k in range(len(docs)) if left[k])
+        best = sorted((k for k in range(len(docs)) if left[k] and k != seed), key=lambda k: -round(brute(seed)[k], 9))
+        for k in [seed, *best]:
+            n = min(room, left[k])
+            want.append((k, len(docs[k]) - left[k], n, sequence, window - room))
+            left[k], room = left[k] - n, room - n
+            if not room:
+                sequence, room, seed = sequence + 1, window, k
+                break
+    assert list(packing.fill(docs, shard, window)) == want
+
+
 # ---------------------------------------------------------------- 8 SimHash
 
 
@@ -560,6 +640,56 @@ def test_names_of_other_scripts_and_at_sentence_starts(spark):
     assert [(r.doc_id, r.share, r.changed_slots) for r in got] == [(1, 1.0, 5)]
 
 
+def test_reparameterised_items_against_brute_force(spark):
+    """Names and numbers of items changed, consistently or not, whole or in part: every pair is judged by plain loops."""
+    rng = np.random.default_rng(15)
+    names, words_ = ["Ann", "Bob", "Cleo", "Dan", "Eva", "Finn", "Gus", "Hana"], [f"{a}{b}" for a in ("lo", "ri", "ma", "te", "ku", "so") for b in ("pa", "no", "vi", "dem", "rus", "gal", "fin")]
+
+    def slots(tokens):
+        return ["N" if t.isdigit() else "P" if t[0].isupper() else t for t in tokens]
+
+    items = []
+    for _ in range(40):
+        tokens = rng.choice(words_, 34).tolist()
+        for at, value in zip((3, 9, 15, 21, 27, 31), (names[0], "12", names[1], names[0], "7", names[1]), strict=True):
+            tokens[at] = value
+        items.append(tokens)
+    docs = []
+    for k, tokens in enumerate(items):
+        swap = {names[0]: names[2 + k % 3], names[1]: names[5 + k % 3], "12": str(20 + k), "7": str(100 + k)}
+        changed = [swap.get(t, t) for t in tokens]
+        odd = [*changed[:21], names[1], *changed[22:]]  # one name meets two
+        merged = [names[2] if t in names else t for t in tokens]  # two names meet one
+        for own in (tokens, changed, odd, merged, changed[:12], changed[:26]):
+            filler = rng.choice(words_, 40).tolist()
+            docs.append([*filler[:20], *own, *filler[20:]])
+
+    def windows(tokens):
+        t = slots(tokens)
+        return {i: tuple(t[i : i + 5]) for i in range(len(t) - 4) if sum(x not in "NP" for x in t[i : i + 5]) >= 3}
+
+    def brute(doc, item):
+        theirs, ours = windows(item), windows(doc)
+        hits = [(i, j) for i, a in ours.items() for j, b in theirs.items() if a == b]
+        if len({theirs[j] for _, j in hits}) < 0.5 * len(set(theirs.values())):
+            return False
+        shift = max({i - j for i, j in hits}, key=[i - j for i, j in hits].count)
+        meets, back = {}, {}
+        for i, j in hits:
+            for k in range(5):
+                value, other = item[j + k], doc[j + shift + k]
+                if i - j == shift and (value.isdigit() or value[0].isupper()):
+                    if meets.setdefault(value, other) != other or (value[0].isupper() and back.setdefault(other, value) != value):
+                        return False
+        return True
+
+    want = {(d, i) for d, doc in enumerate(docs) for i, item in enumerate(items) if brute(doc, item)}
+    assert len(want) == 3 * 40
+    text = lambda rows: [(k, " ".join(t)) for k, t in enumerate(rows)]
+    got = decontam.contaminated(spark.createDataFrame(text(docs), "doc_id long, text string"), spark.createDataFrame(text(items), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
 def test_planted_items(spark, monkeypatch):
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     items = {r.item_id: r.text for r in b.collect()}
