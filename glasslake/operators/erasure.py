@@ -18,7 +18,7 @@ from glasslake.operators.suppression import suppress
 PII = {"bronze.orders": ["email", "iban"], "bronze.payments": ["iban"], "bronze.clicks": ["ip_address"]}
 DELETED = (
     "silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine", "gold.customer_360", "gold.order_facts", "gold.fraud_summary",
-    "bronze.fraud_alerts", "bronze.erasure_requests",
+    "bronze.fraud_alerts", "bronze.late_events", "bronze.erasure_requests",
 )
 #: Tables whose payload is kept as it came: rows of a customer are found by id or inside the payload.
 PAYLOADS = ("bronze.ingest_quarantine", "governance.dead_letters")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glasslake.operators.contracts import check_identifier
+from glasslake.operators.suppression import sized
 
 
 class SinkMismatch(Exception):
@@ -32,6 +33,8 @@ class Conflict(Exception):
 
 #: Commits that a purge leaves behind, so that a reader that has just listed them still finds the newest.
 KEPT_COMMITS = 10
+#: Directories of appends after which an insert-or-ignore makes one of them.
+COMPACT_AT = 64
 #: Times that a write starts again after a conflict.
 RETRIES = 5
 
@@ -172,9 +175,13 @@ class TableStore:
             if at is None:
                 self.write(name, first)
             else:
-                self._add(name, first.join(self._at(name, at).select(key), key, "left_anti"), at)
+                # a small batch is broadcast: the stored keys are then scanned where they lie and not shuffled
+                known = self._at(name, at).select(key).join(sized(first.select(key)), key, "left_semi")
+                self._add(name, first.join(known.distinct(), key, "left_anti"), at)
 
         self.retry(write)
+        if len(self.pointer(name)["versions"]) > COMPACT_AT:
+            self.compact(name)
         return self.read(name)
 
     def replace_using(self, name: str, df: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glasslake.operators.contracts import CORRUPT, EVENTS, contract_status, event_schema, normalise, parse, project_event, quarantine_projection, recover_ids, with_lineage
+from glasslake.operators.incremental import get_watermark, set_watermark
 from glasslake.operators.suppression import not_suppressed
 from glasslake.sources.tables import first_per_key
 
@@ -47,14 +48,31 @@ def ingest(parsed: DataFrame, event_type: str, source: str, registry: DataFrame)
     return project_event(rows.where(~F.col("_is_malformed")), event_type), quarantine_projection(rows.where("_is_malformed"))
 
 
-def ingest_stream(parsed: DataFrame, event_type: str, source: str, registry, store, table: str, checkpoint: str, available_now: bool = True):
-    """Stream ingest: the registry is read again in every micro-batch, so that an erasure takes effect at once."""
+#: Seconds that an event may come behind the newest one of its stream.
+LATENESS_S = 30 * 86_400.0
+
+
+def ingest_stream(parsed: DataFrame, event_type: str, source: str, registry, store, table: str, checkpoint: str, available_now: bool = True, lateness_s: float = LATENESS_S):
+    """Stream ingest: the registry is read again in every micro-batch, so that an erasure takes effect at once.
+
+    Events that come more than lateness_s behind the newest event of earlier batches go to bronze.late_events.
+    """
 
     def batch(df: DataFrame, _: int) -> None:
         df.persist()
         valid, bad = ingest(df, event_type, source, registry())
-        store.insert_ignore(table, valid, "event_id", [F.col("_kafka_offset").asc_nulls_last(), F.col("occurred_at")])
+        marks = store.read("governance.watermarks") if store.exists("governance.watermarks") else df.sparkSession.createDataFrame([], "pipeline string, last_ts double")
+        seen = get_watermark(marks, f"stream:{table}")
+        late = F.coalesce(F.col("occurred_at") < seen - lateness_s, F.lit(False))
+        store.insert_ignore(table, valid.where(~late), "event_id", [F.col("_kafka_offset").asc_nulls_last(), F.col("occurred_at")])
+        behind = valid.where(late).select("event_id", F.lit(table).alias("table_name"), "customer_id", "occurred_at", F.to_json(F.struct(*valid.columns)).alias("event"))
+        if not behind.isEmpty():
+            store.insert_ignore("bronze.late_events", behind, "event_id", [F.col("occurred_at")])
         store.insert_ignore("bronze.ingest_quarantine", bad, "quarantine_id", [F.col("source_offset").asc_nulls_last()])
+        newest = valid.agg(F.max("occurred_at")).first()[0]
+        if newest is not None and newest > seen:
+            rows = [tuple(r) for r in set_watermark(marks, f"stream:{table}", newest).collect()]  # one row per pipeline
+            store.write("governance.watermarks", df.sparkSession.createDataFrame(rows, "pipeline string, last_ts double"))
         df.unpersist()
 
     w = parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
