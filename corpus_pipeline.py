@@ -22,7 +22,8 @@ QUALITY_KEEP = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject; null texts count as empty."""
+    """Documents that the classifier does not reject; null texts count as empty, rows without an id and repeated rows
+    are scored by their text like any other."""
     model = fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score_quality(docs, model, score_col="__quality").where(F.col("__quality") >= QUALITY_KEEP).drop("__quality")
 
@@ -39,18 +40,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null texts and rows without an id stay, repeated rows go together."""
     found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced in their texts."""
+    """All documents, with secrets replaced in their texts; null texts stay null, repeated rows are changed alike."""
     return redact(docs, public_tokenizers.path("byte_bpe_50k.tiktoken")).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 4096 tokens."""
+    """Pieces of all documents in sequences of at most 4096 tokens; null texts are one token, repeated rows and rows
+    without an id are packed once each."""
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
