@@ -39,13 +39,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a work table that nothing reads any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
-        path = jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of work tables, and of what is read straight from them, when nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        home, jvm = work_dir(spark), spark.sparkContext._jvm
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if home.split(":", 1)[-1].lstrip("/") in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -264,18 +266,21 @@ def run_pairs(rows: DataFrame, order: list[str], visit: Callable, out: str, name
 # ---------------------------------------------------------------- connected components
 
 
-def _with_least(edges: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(edges with m, per node its least neighbour m): edges(u, v) joined with the least v of their u.
+def join_counted(rows: DataFrame, side: DataFrame, keys: list[str], count: str) -> DataFrame:
+    """rows joined with side, which has one row per key and tells how many of rows have it.
 
-    A node that has more edges than a partition's share would put them all in one task: there are at most as many such
-    hubs as partitions, and their edges take the least neighbour from a broadcast instead.
+    A key with more rows than a partition's share would put them all in one task. There are at most as many such keys
+    as partitions, so these are broadcast, and only the rest is shuffled.
     """
-    spark = edges.sparkSession
+    share = max(1000, rows.count() // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    hot, rest = F.broadcast(side.where(F.col(count) > share).drop(count)), side.where(F.col(count) <= share).drop(count)
+    return rows.join(hot, keys).unionByName(rows.join(hot, keys, "left_anti").join(rest, keys))
+
+
+def _with_least(edges: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(edges with m, per node its least neighbour m): edges(u, v) joined with the least v of their u."""
     least = materialize(edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), f"{name}-least")
-    share = max(1000, edges.count() // int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hubs = F.broadcast(least.where(F.col("n") > share).select("u", "m"))
-    rest = edges.join(hubs, "u", "left_anti").join(least.where(F.col("n") <= share).select("u", "m"), "u")
-    return edges.join(hubs, "u").unionByName(rest), least
+    return join_counted(edges, least, ["u"], "n"), least
 
 
 def components(links: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import components, forest, materialize, run_pairs
+from glasslake.llm.common import components, forest, join_counted, materialize, run_pairs
 from glasslake.llm.wordhash import mix
 
 #: Tables, coarse lines per table, their cell width, counted lines, and the recall that the count is set for.
@@ -140,7 +140,7 @@ def near_vectors(table: DataFrame, threshold: float = 0.93) -> DataFrame:
     groups = components(found.where("n = 0").select("u", "v"), "vector-components").select(F.col("node").alias("class"), F.col("component"))
     named = classes.select("class", "rep", "m", "digest").join(counts, "class", "left").join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(least, "component").select("digest", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id")
-    linked = usable.select("vec_id", "digest").join(named, "digest").select("vec_id", "n_links", "component_id")
+    named = materialize(named.join(least, "component").select("digest", "m", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id"), "vector-named")
+    linked = join_counted(usable.select("vec_id", "digest"), named, ["digest"], "m").select("vec_id", "n_links", "component_id")
     alone = marked.where(~F.col("good")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -25,8 +25,9 @@ from glasslake.llm.common import crc_bucket, slices
 
 #: Words of a passage, hashed shape features, further ratios, hidden size.
 PASSAGE_WORDS, SHAPES, RATIOS, HIDDEN = 64, 64, 8, 24
-#: Bound of the training sample: labelled documents, the first by a hash of their id.
-MAX_TRAIN_DOCS = 3000
+#: Bounds of the training sample: labelled documents, the first by a hash of their id, and passages of each, evenly
+#: spread over its text (so the bound takes effect from 64,000 words on). Scores always see all passages.
+MAX_TRAIN_DOCS, MAX_TRAIN_PASSAGES = 3000, 1000
 KEPT_WORDS = 150_000
 
 _shape_of: dict[str, tuple[int, int]] = {}
@@ -146,6 +147,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, modulus: int = 5, held_out:
         for batch in batches:
             for part in slices(batch, "text"):
                 x, sizes = passage_features(part.column(2).to_pylist())
+                if sizes.max(initial=0) > MAX_TRAIN_PASSAGES:
+                    first, _ = _segments(sizes)
+                    kept = [a + np.linspace(0, n - 1, min(n, MAX_TRAIN_PASSAGES)).astype(np.int64) for a, n in zip(first, sizes, strict=True)]
+                    x, sizes = x[np.concatenate(kept)], np.minimum(sizes, MAX_TRAIN_PASSAGES)
                 ends = np.append(0, np.cumsum(sizes) * x.shape[1]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))], names=["doc_id", "y", "x"])
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import components, forest, materialize, run_pairs, slices, texts
+from glasslake.llm.common import components, discard, forest, join_counted, materialize, run_pairs, slices, texts
 
 SEED = 42
 #: Multipliers of the splitmix64 finaliser, which spreads one 64-bit hash to further words.
@@ -129,13 +129,13 @@ def hamming_links(prints: DataFrame, max_bits: int = 3) -> DataFrame:
 def simhash_groups(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """doc_id, fp long, component_id: groups of documents linked at max_bits or fewer of 64 bits."""
     table = materialize(fingerprint_table(docs, shingle).select("doc_id", F.col("fp")[0].alias("fp")), "simhash")
-    first = materialize(table.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-prints")
+    first = materialize(table.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "simhash-prints")
     groups = components(hamming_links(first.select("fp"), max_bits), "simhash-components")
     # the group's name is the smallest doc_id, not the smallest fingerprint
     named = first.join(groups.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_print = named.join(least, "component").select("fp", "component_id")
-    named = table.where("doc_id is not null").join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = materialize(named.join(least, "component").select("fp", "n", "component_id"), "simhash-named")
+    named = join_counted(table.where("doc_id is not null"), by_print, ["fp"], "n").select("doc_id", "fp", "component_id")
     return named.unionByName(table.where("doc_id is null").select("doc_id", "fp", F.lit(None).cast("long").alias("component_id")))
 
 
@@ -336,7 +336,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     base = texts(docs).where("doc_id is not null")
     plan = layout(base.count(), similarity)
     table = materialize(base.mapInArrow(_shingle_sets(shingle, plan, False, most), "doc_id long, digest binary, fp array<long>, short array<long>"), "wide")
-    classes = materialize(table.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("fp").alias("fp"), F.any_value("short").alias("short")), "wide-classes")
+    classes = materialize(table.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.any_value("fp").alias("fp"), F.any_value("short").alias("short"), F.count("*").alias("n")), "wide-classes")
     prefixes = classes.where("size(short) > 0").select("rep", "short").mapInArrow(_prefix_rows(similarity, most), "key long, rep long, size int, set array<long>")
     exact = run_pairs(prefixes, ["rep"], _prefix_visit(similarity), "u long, v long", "short-links")
     keys = classes.select("rep", "fp").mapInArrow(_variants(plan), "key long, rep long, mark long")
@@ -345,5 +345,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     sets = base.withColumnRenamed("doc_id", "rep").join(groups, "rep").select("key", "rep", "text").mapInArrow(_shingle_sets(shingle, plan, True), "key long, rep long, fp array<long>, set array<long>")
     links = run_pairs(sets, ["rep"], _verify_visit(plan, similarity), "u long, v long", "wide-verified")
     found = components(links.unionByName(exact), "wide-components").select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
-    by_class = classes.select("digest", "rep").join(found, "rep", "left").select("digest", F.coalesce("component_id", "rep").alias("component_id"))
-    return table.select("doc_id", "digest").join(by_class, "digest").select("doc_id", "component_id")
+    by_class = materialize(classes.select("digest", "rep", "n").join(found, "rep", "left").select("digest", "n", F.coalesce("component_id", "rep").alias("component_id")), "wide-named")
+    out = materialize(join_counted(table.select("doc_id", "digest"), by_class, ["digest"], "n").select("doc_id", "component_id"), "similar")
+    discard(by_class, table, classes, exact, candidates, groups, links, found)
+    return out

@@ -8,8 +8,8 @@ Units are normalised (small letters of any script; signs and white space do not
 earliest occurrence, by (doc_id, position), stays; the others are removed as runs of neighbouring units, with their
 offsets in the original text.
 
-A hot line is pre-aggregated before the shuffle, and the join back splits large partitions (adaptive skew join), so
-no group of occurrences is ever held in one place.
+A hot line is pre-aggregated before the shuffle, and the join back takes it from a broadcast, so no group of
+occurrences is ever held in one place.
 
 Defined results: null and empty texts have no units; units without letters or digits are none; repeated rows of one
 id are one document; null ids take no part; an empty table gives no rows; other columns are ignored.
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import materialize, slices, texts
+from glasslake.llm.common import join_counted, materialize, slices, texts
 from glasslake.llm.wordhash import Words, mix, text_bytes, windows, words
 
 #: Words that a run of repeated units must hold to be removed.
@@ -217,8 +217,8 @@ def repeated_passages(docs: DataFrame, least_line: int = LEAST_LINE) -> DataFram
     rows = materialize(base.mapInArrow(_anchor_rows, _ANCHORS).where((F.col("n") == 0) | (F.col("n") >= least_line)), "anchors")
     inside = rows.where("again").withColumn("kept_doc_id", F.col("doc_id"))
     first = rows.where("NOT again")
-    seen = first.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n_docs")).where("n_docs > 1").drop("n_docs")
-    across = first.join(seen, ["d1", "d2"]).where("doc_id <> kept_doc_id")
+    seen = first.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n_docs")).where("n_docs > 1")
+    across = join_counted(first, materialize(seen, "seen"), ["d1", "d2"], "n_docs").where("doc_id <> kept_doc_id")
     columns = ["doc_id", "at", "n", "d1", "start", "end", "kept_doc_id"]
     extra = inside.select(columns).unionByName(across.select(columns))
     line = extra.where(F.col("n") >= least_line).select("doc_id", F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("behind"), "start", "end", "kept_doc_id").distinct()
