@@ -672,6 +672,151 @@ def dlq_requeue(spark, d):
     return requeue(dead.limit(0), dead_letters(dead, cursor), cursor)[0]
 
 
+# ---------------------------------------------------------------- ingest, stored tables, jobs
+
+
+def _order_log(spark, d):
+    """Order records of a topic, each written three times; the copies differ in their offsets only."""
+    rows = _json_orders(spark, d).select("o_orderkey", "value", F.explode(F.array(F.lit(2), F.lit(0), F.lit(1))).alias("copy"))
+    return rows.select(F.lit("orders").alias("topic"), "value", (F.col("o_orderkey") % 3).cast("int").alias("partition"), (F.col("o_orderkey") * 10 + F.col("copy")).alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+
+
+@query("""SELECT 'ord-' || o_orderkey AS event_id, 'cust_' || o_custkey AS customer_id, o_totalprice AS amount_eur, o_orderkey * 10 AS first_offset FROM orders
+    WHERE o_orderkey % 13 NOT BETWEEN 1 AND 6 AND 'cust_' || o_custkey NOT IN (SELECT customer_id FROM registry)""")
+def load_bronze(spark, d):
+    """Bronze orders of the whole log: the first record of each event."""
+    from glasslake.sources.topics import load_bronze as load
+
+    made = load(spark, _order_log(spark, d), adapters.suppression_registry(spark, d))["order_placed"]
+    return made.select("event_id", "customer_id", "amount_eur", F.col("_kafka_offset").alias("first_offset"))
+
+
+@query("""SELECT CASE o_orderkey % 13 WHEN 6 THEN 'JSON_PARSE_ERROR' WHEN 1 THEN 'EVENT_ID_MISSING' WHEN 2 THEN 'EVENT_TYPE_MISMATCH' WHEN 4 THEN 'REQUIRED_FIELD_MISSING' WHEN 5 THEN 'BUSINESS_RULE_FAILED' WHEN 3 THEN 'INVALID_OCCURRED_AT' END AS quarantine_reason, count(*) AS n, count(DISTINCT o_custkey) AS customers
+    FROM orders WHERE o_orderkey % 13 BETWEEN 1 AND 6 AND 'cust_' || o_custkey NOT IN (SELECT customer_id FROM registry) GROUP BY 1""")
+def ingest_quarantine(spark, d):
+    """Quarantined order records by reason; ids are recovered from texts that cannot be read."""
+    from glasslake.sources.topics import ingest
+
+    bad = ingest(contracts.parse(_json_orders(spark, d).select("value"), "order_placed"), "order_placed", "log", adapters.suppression_registry(spark, d))[1]
+    return bad.groupBy("quarantine_reason").agg(F.count("*").alias("n"), F.count_distinct("customer_id").alias("customers"))
+
+
+def _store(spark, name):
+    return tables.TableStore(spark, f"{_work(spark)}/{name}-{uuid.uuid4().hex}")
+
+
+@query("SELECT o_custkey AS k, min(o_orderkey) FILTER (early) AS stored, coalesce(min(o_orderkey) FILTER (early), min(o_orderkey)) AS v FROM (SELECT *, o_orderdate < DATE '1995-06-01' AS early FROM orders) GROUP BY o_custkey")
+def insert_ignore(spark, d):
+    """The first order of each customer: a second write adds customers and leaves stored ones alone."""
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"), "o_orderdate")
+    store = _store(spark, "insert")
+    first = store.insert_ignore("x.t", o.where("o_orderdate < '1995-06-01'").select("k", "v"), "k", [F.col("v")]).withColumnRenamed("v", "stored")
+    both = store.insert_ignore("x.t", o.select("k", "v"), "k", [F.col("v")])
+    return both.join(first, "k", "left").select("k", "stored", "v")
+
+
+@query("SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders GROUP BY o_custkey")
+def replace_using(spark, d):
+    """The last order of each customer, written in two halves."""
+    o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"))
+    store = _store(spark, "replace")
+    store.replace_using("x.t", o.where("v % 2 = 0"), "k", [F.desc("v")])
+    return store.replace_using("x.t", o.where("v % 2 = 1"), "k", [F.desc("v")])
+
+
+@query(f"SELECT request_id, CASE WHEN c_custkey % 2 = 0 THEN {NOW}::DOUBLE + 9 ELSE {NOW}::DOUBLE END AS completed_at FROM audit_log JOIN customer ON customer_id = 'cust_' || c_custkey")
+def append_audit(spark, d):
+    """One attestation per request; a later one replaces the former."""
+    log = _audit(spark, d)
+    again = log.where("int(substring(request_id, 5)) % 2 = 0")
+    new = again.withColumn("completed_at", F.lit(NOW + 9)).unionByName(again.withColumn("completed_at", F.lit(NOW + 3)))
+    return erasure.append_audit(log, new).select("request_id", "completed_at")
+
+
+@query("SELECT request_id, requested_at FROM intake JOIN customer ON customer_id = 'cust_' || c_custkey WHERE c_custkey % 3 <> 0 ORDER BY requested_at DESC, request_id LIMIT 20 OFFSET 10")
+def request_page(spark, d):
+    """The second page of the pending requests, newest first."""
+    req = _intake(spark, d).withColumn("requested_by", F.lit("dpo")).withColumn("reason", F.lit("GDPR_ARTICLE_17"))
+    life = erasure.request_lifecycle(req, _audit(spark, d).where("int(substring(request_id, 5)) % 3 = 0"))
+    return erasure.filter_requests(life, "pending", limit=20, offset=10).select("request_id", "requested_at")
+
+
+@query("""SELECT purge, count(*) AS n FROM (SELECT CASE c_custkey % 4 WHEN 0 THEN 'VERIFIED' WHEN 1 THEN 'FAILED' ELSE 'PENDING' END AS purge FROM customer) GROUP BY purge""")
+def purge_status(spark, d):
+    """How the data of all requests stand: completed, failed and still pending ones."""
+    req = _intake(spark, d).withColumn("requested_by", F.lit("dpo")).withColumn("reason", F.lit("GDPR_ARTICLE_17"))
+    k = F.substring("request_id", 5, 20).cast("long") % 4
+    log = _audit(spark, d).where(k < 2).withColumn("status", F.when(k == 0, "completed").otherwise("failed"))
+    life = erasure.request_lifecycle(req, log)
+    return life.groupBy(scalars.purge_status("status", "completed_at").alias("purge")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT command_id, status FROM commands WHERE CAST(substr(command_id, 5) AS BIGINT) % 7 = 0 OR CAST(substr(command_id, 5) AS BIGINT) % 5 = 0")
+def find_commands(spark, d):
+    """Commands asked for by id or by idempotency key, each once."""
+    state = _commands(spark, d).withColumn("idempotency_key", F.concat(F.lit("k"), "command_id"))
+    k = F.substring("command_id", 5, 20).cast("long")
+    wanted = state.select(F.when(k % 7 == 0, F.col("command_id")).alias("command_id"), F.when(k % 5 == 0, F.col("idempotency_key")).alias("idempotency_key"))
+    return erasure.find_commands(state, wanted).select("command_id", "status")
+
+
+@query(f"""SELECT command_id, CASE WHEN status = 'completed' THEN 'completed' WHEN k % 4 = 0 THEN 'completed' WHEN k % 4 = 3 THEN 'failed' ELSE 'running' END AS status, CASE WHEN k % 4 = 2 THEN 2 ELSE 1 END AS attempts,
+    CASE WHEN k % 4 = 1 THEN 'gold' WHEN k % 4 = 3 THEN 'silver' END AS blocked_layer, CASE WHEN k % 4 = 0 AND {NOW} - requested_at > 60 THEN 'breached' WHEN k % 4 = 0 THEN 'met' WHEN {NOW} - requested_at > 60 THEN 'breached' ELSE 'open' END AS slo_state
+    FROM (SELECT *, CAST(substr(command_id, 5) AS BIGINT) AS k FROM commands WHERE status = 'running')""")
+def advance_commands(spark, d):
+    """Running commands after one event each: proven completion, refused completion, restart, failure."""
+    k = F.substring("command_id", 5, 20).cast("long") % 4
+    text = lambda v=None: F.lit(v).cast("string")
+    state = _commands(spark, d).where("status = 'running'").select(
+        "command_id", "status", "requested_at", F.lit(1).alias("attempts"), F.lit(None).cast("double").alias("completed_at"), (k == 0).alias("logical_verified"), F.lit(True).alias("physical_verified"),
+        F.lit(True).alias("export_verified"), text("r").alias("refresh_id"), text().alias("blocked_layer"), text().alias("failure_message"), text("open").alias("slo_state"),
+    )
+    event = F.when(k <= 1, "complete").when(k == 2, "start").otherwise("fail")
+    events = state.select("command_id", event.alias("event"), F.when(k == 1, "gold").when(k == 3, "silver").alias("layer"), F.when(k == 3, "lost").alias("message"), F.lit(1.0).alias("at"))
+    return erasure.advance(state, events, NOW).select("command_id", "status", "attempts", "blocked_layer", "slo_state")
+
+
+@query("SELECT 'iban' AS column_name, 'IBAN' AS pii_tags FROM order_ev WHERE iban_ok GROUP BY ALL")
+def pii_unregistered(spark, d):
+    """Personal columns of the orders that a manifest of their e-mail column does not name."""
+    o = adapters.orders_placed(spark, d).select("email", "iban", "country", "order_id")
+    manifest = privacy.build_manifest(o, "bronze.orders").where("column_name = 'email'")
+    return privacy.detect_unregistered(o, "bronze.orders", manifest).select("column_name", F.array_join("detected", ",").alias("pii_tags"))
+
+
+@query("SELECT customer_id, country, order_count, lifetime_spend_eur, consents_marketing FROM c360")
+def incremental_job(spark, d):
+    """customer_360 after a full run of the pipeline's builds up to a date and an incremental one for the rest."""
+    from glasslake.plans import jobs
+
+    o, p, r = _base(spark, d)
+    store = _store(spark, "job")
+    store.write("bronze.orders", o.where(F.col("occurred_at") <= CUT))
+    store.write("bronze.payments", p.where(F.col("occurred_at") <= CUT))
+    jobs.build_silver(store, r)
+    jobs.build_gold(store, r)
+    store.write("governance.watermarks", spark.createDataFrame([(n, CUT) for n in ("bronze.orders", "bronze.payments")], "pipeline string, last_ts double"))
+    store.append("bronze.orders", o.where(F.col("occurred_at") > CUT))
+    store.append("bronze.payments", p.where(F.col("occurred_at") > CUT))
+    jobs.build_incremental(store, r)
+    return store.read("gold.customer_360").select("customer_id", "country", "order_count", "lifetime_spend_eur", "consents_marketing")
+
+
+@query("SELECT customer_id, TRUE AS suppressed, count(*) * 0 AS bronze_orders, count(*) * 0 AS silver_orders, count(*) * 0 AS silver_orders_quarantine, count(*) * 0 AS gold_customer_360, count(DISTINCT request_id) AS audits, TRUE AS passed FROM requests GROUP BY customer_id")
+def erasure_job(spark, d):
+    """Proof of an erasure over stored tables, quarantine included."""
+    o, _, r = _base(spark, d)
+    req, store = _requests(spark, d), _store(spark, "erase")
+    store.write("governance.suppression_registry", r)
+    store.write("bronze.orders", o)
+    store.write("silver.orders", silver.silver_orders(o, r))
+    store.write("silver.orders_quarantine", silver.orders_quarantine(o, r))
+    store.write("gold.customer_360", _gold(spark, d))
+    log = erasure.run_erasure(store, req, NOW)
+    names = ["bronze.orders", "silver.orders", "silver.orders_quarantine", "gold.customer_360"]
+    return erasure.verify_erasure(req, store.read("governance.suppression_registry"), {n: store.read(n) for n in names}, log)
+
+
 def _work(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where all run in one process."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
