@@ -776,7 +776,7 @@ def advance_commands(spark, d):
     return erasure.advance(state, events, NOW).select("command_id", "status", "attempts", "blocked_layer", "slo_state")
 
 
-@query("SELECT 'iban' AS column_name, 'IBAN' AS pii_tags FROM order_ev WHERE iban_ok GROUP BY ALL")
+@query("SELECT DISTINCT 'iban' AS column_name, 'IBAN' AS pii_tags FROM order_ev WHERE iban_ok")
 def pii_unregistered(spark, d):
     """Personal columns of the orders that a manifest of their e-mail column does not name."""
     o = adapters.orders_placed(spark, d).select("email", "iban", "country", "order_id")
