@@ -50,6 +50,17 @@ def discard(*tables: DataFrame) -> None:
                 path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Ids up to which a table of them is broadcast (16 MB); a larger one is joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """docs but for those whose id is in ids; rows without an id stay. Few ids are broadcast, so that texts stay put."""
+    named = materialize(ids.where(F.col(column).isNotNull()).select(column).distinct(), "ids")
+    few = named.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(named) if few else named, column, "left_anti").select(*docs.columns)
+
+
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text (null: empty), so that other columns and their names do not matter."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

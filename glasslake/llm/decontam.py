@@ -222,10 +222,10 @@ def _judge(item: list[tuple[int, int]], doc: list[tuple[int, int]], hits: list[d
 
 def _slots(share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            items, docs = _values(batch.column("item_text")), _values(batch.column("text"))
-            found = [_judge(i, d, h, share * n) for i, d, h, n in zip(items, docs, batch.column("hits").to_pylist(), batch.column("total").to_pylist(), strict=True)]
-            cols = [batch.column(c) for c in ("doc_id", "item_id", "windows", "share", "first_word")]
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            items, docs = _values(part.column("item_text")), _values(part.column("text"))
+            found = [_judge(i, d, h, share * n) for i, d, h, n in zip(items, docs, part.column("hits").to_pylist(), part.column("total").to_pylist(), strict=True)]
+            cols = [part.column(c) for c in ("doc_id", "item_id", "windows", "share", "first_word")]
             yield pa.RecordBatch.from_arrays([*cols, pa.array([f[0] for f in found], pa.bool_()), pa.array([f[1] for f in found], pa.int64())], names=["doc_id", "item_id", "windows", "share", "first_word", "ok", "changed_slots"])
 
     return run
