@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import materialize
+from glasslake.llm.common import materialize, without
 from glasslake.llm.decontam import contaminated
 from glasslake.llm.packing import pack
 from glasslake.llm.quality import fit_quality, score_quality
@@ -35,14 +35,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     are one document and stay or go together.
     """
     groups = similar_groups(docs)
-    surplus = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(surplus, "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, groups.where("doc_id <> component_id"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item; null texts and rows without an id stay, repeated rows go together."""
-    found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return without(docs, contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

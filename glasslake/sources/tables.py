@@ -95,7 +95,7 @@ class TableStore:
             return []
         layers = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
         found = [f"{layer.getName()}.{t.getPath().getName()}" for layer in layers for t in fs.listStatus(layer) if t.isDirectory()]
-        return sorted(n for n in found if self.exists(n))
+        return sorted(n for n in found if re.fullmatch(r"\w+\.\w+", n) and self.exists(n))
 
     def exists(self, name: str) -> bool:
         return self.pointer(name) is not None
