@@ -245,8 +245,9 @@ def test_toxicity_held_out(spark):
     caught = [(lang, p) for lang, toxic, p in rows if toxic]
     assert len(caught) == 144 and sum(p for _, p in caught) >= 130 and sum(p for *_, p in rows) * 0.9 <= sum(p for _, p in caught)
     assert all(np.mean([p for lang, p in caught if lang == name]) >= 0.8 for name in ("en", "de", "fr", "es"))
-    again = toxicity.fit_toxicity(d.repartition(7, "text"), labels)
-    assert again.lexicon.entries == model.lexicon.entries and np.allclose(again.weights, model.weights)
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    one, two = toxicity.fit_toxicity(d, labels), toxicity.fit_toxicity(d.repartition(7, "text"), labels)
+    assert one.lexicon.entries == two.lexicon.entries and np.allclose(one.weights, two.weights)
 
 
 def test_scores_of_edge_rows(spark, edge):
