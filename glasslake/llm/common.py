@@ -71,8 +71,8 @@ def crc_bucket(id_col: str, modulus: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(modulus))
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20, most_rows: int = 512) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about a megabyte of text each (one row at least), to bound what a step holds in memory."""
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 18, most_rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about a quarter of a megabyte of text each (one row at least): a step holds some 100 bytes per byte of text."""
     ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)) if batch.num_rows else []
     at = 0
     while at < batch.num_rows:
