@@ -62,6 +62,7 @@ class _Encoder:
             if token not in self.added:
                 last = bool(end) and token.endswith(end)
                 ranks[bytes(byte_of[c] for c in (token[: -len(end)] if last else token)) + (b" " if last else b"")] = number
+        self.ranks = ranks
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def library(self, text: str) -> list[int]:
@@ -86,6 +87,17 @@ class ByteEncoder(_Encoder):
 
         super().__init__(path, "", public_tokenizers.PATTERN)
 
+    def plain(self, text: str) -> list[int]:
+        """Ids of a text in which the strings of added tokens are plain text; the tokenizer has encode_special_tokens set."""
+        if len(text) >= LONG_WHITE and _LONG_WHITE.search(text):
+            return self.library(text)
+        return self.fast.encode_ordinary(text)
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of each id; an added token has those of its string."""
+        by_id = {number: token for token, number in self.ranks.items()} | {self.tokenizer.token_to_id(t): t.encode() for t in self.added}
+        return [by_id[k] for k in range(max(by_id) + 1)]
+
 
 class WordEncoder(_Encoder):
     """A vocabulary of small-letter words with end-of-word tokens."""
