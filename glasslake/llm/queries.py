@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glasslake.llm import alignment, binary, decontam, embeddings, manifest, packing, pii, quality, secrets, simhash, substrings, toxicity
+from glasslake.llm import alignment, binary, decontam, embeddings, manifest, packing, pii, quality, secrets, simhash, substrings, suffixes, toxicity
 from glasslake.llm.common import crc_bucket, work_dir
 
 
@@ -66,6 +66,11 @@ def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replacements(_table(spark, sf_dir, "documents"), key=spark.conf.get("glasslake.pii.key", "surrogate-key"))
 
 
+def op11_cover_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffixes.repeated_bytes(_table(spark, sf_dir, "documents"), least=200)
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"), F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.alignment_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -80,7 +85,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_collision_projections, op2_token_binary, op3_quality_mil, op4_unit_dedup, op5_weak_toxicity, op6_token_efficiency_secrets,
-        op7_bm25_packing, op8_simhash_variants, op9_template_decontam, op10_pii_surrogates, op12_token_alignment, op13_merkle_manifest,
+        op7_bm25_packing, op8_simhash_variants, op9_template_decontam, op10_pii_surrogates, op11_cover_suffixes, op12_token_alignment, op13_merkle_manifest,
     )
 }
 
