@@ -55,8 +55,7 @@ COVERS = {
 #: Places that are digested at a time.
 CHUNK = 1 << 19
 _STEPS = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_ASKED = "slice long, doc_id array<long>, bounds array<long>, body binary, bucket int, keys binary"
-_STATE = "slice long, state binary, bucket int, keys binary, places long"
+_SLICE = "slice long, doc_id array<long>, bounds array<long>, body binary"
 
 
 @functools.cache
@@ -176,90 +175,97 @@ def _sorted_bucket(width: int):
     return answer
 
 
-def _cover_rows(least: int, period: int, buckets: int, slice_bytes: int):
-    """Slices, and their questions of the first step."""
-    kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.int32(), pa.binary()]
-
+def _slices(slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in sliced(batches, slice_bytes):
             body, bounds = text_bytes(table.column(1).combine_chunks())
-            part = Slice(body, bounds, least, period)
-            rows: list[tuple] = [(number, table.column(0).to_pylist(), bounds, body.tobytes(), None, None)]
-            rows += [(number, None, None, None, *r) for r in Question(body, part.cover(), least - period + 1, buckets, False).rows()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in _ASKED.split(", ")])
+            row = [pa.array([number]), pa.array([table.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([bounds], pa.list_(pa.int64())), pa.array([body.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(row, names=[c.split()[0] for c in _SLICE.split(", ")])
 
     return run
 
 
-def _slice_of(r: dict, least: int, period: int) -> Slice:
-    return Slice(np.frombuffer(r["body"], np.uint8), np.array(r["bounds"], np.int64), least, period)
-
-
-def _state_rows(r: dict, state: bytes, question: Question, places: int) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int64()]
-    rows: list[tuple] = [(r["slice"], state, None, None, places), *((r["slice"], None, *x, None) for x in question.rows())]
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in _STATE.split(", ")])
-
-
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for k in range(batch.num_rows):
             yield batch.slice(k, 1).to_pylist()[0]
 
 
-def _long_rows(least: int, period: int, buckets: int, cover_buckets: int):
-    """Cover suffixes that tied (the state), and the question whether they tie for long."""
+class Plan:
+    """What the steps have in common: lengths and numbers of buckets."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in _rows(batches):
-            part = _slice_of(r, least, period)
-            asked = Question(part.body, part.cover(), least - period + 1, cover_buckets, False)
-            tied = asked.places[asked.decode(r["answers"])[0]]
-            yield _state_rows(r, tied.astype(np.int64).tobytes(), Question(part.body, part.fits(tied, least + period), least + period, buckets, True), len(tied))
+    def __init__(self, least: int, period: int, buckets: tuple[int, int, int]) -> None:
+        self.least, self.period, self.buckets = least, period, buckets
 
-    return run
+    def slice_of(self, r: dict) -> Slice:
+        return Slice(np.frombuffer(r["body"], np.uint8), np.array(r["bounds"], np.int64), self.least, self.period)
 
+    def cover(self, part: Slice, r: dict) -> Question:
+        return Question(part.body, part.cover(), self.least - self.period + 1, self.buckets[0], False)
 
-def _left(part: Slice, r: dict, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places known to tie, places left to sort) after the first two steps."""
-    tied = np.frombuffer(r["state"], np.int64)
-    long = Question(part.body, part.fits(tied, part.least + part.period), part.least + part.period, buckets, True)
-    again, first = long.decode(r["answers"])
-    known = part.runs(long.places[again], 0, part.period)
-    source = part.runs(long.places[again & first], 0, part.period)
-    may = part.runs(tied, part.period - 1, 0)
-    return np.flatnonzero(known), part.fits(np.flatnonzero((may & ~known) | source), part.least)
+    def long(self, part: Slice, r: dict) -> Question:
+        tied = np.frombuffer(r["state"], np.int64)
+        return Question(part.body, part.fits(tied, self.least + self.period), self.least + self.period, self.buckets[1], True)
 
+    def rest(self, part: Slice, r: dict) -> Question:
+        return Question(part.body, np.flatnonzero(self.bits(part, r)[1]), self.least, self.buckets[2], True)
 
-def _rest_rows(least: int, period: int, buckets: int, rest_buckets: int):
-    """Known ties and the suffixes left (the state, as bits of the slice's bytes), and the question about those left."""
+    @staticmethod
+    def bits(part: Slice, r: dict) -> np.ndarray:
+        """Places known to tie, places left to sort."""
+        return np.unpackbits(np.frombuffer(r["state"], np.uint8), count=2 * len(part.body)).reshape(2, -1).astype(bool)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for r in _rows(batches):
-            part = _slice_of(r, least, period)
-            known, left = _left(part, r, buckets)
-            bits = np.zeros((2, len(part.body)), bool)
-            bits[0, known] = True
-            bits[1, left] = True
-            yield _state_rows(r, np.packbits(bits).tobytes(), Question(part.body, left, least, rest_buckets, True), len(left))
+    def asked(self, slices: DataFrame, question: str) -> DataFrame:
+        """The rows (bucket, slice, keys) of a question."""
 
-    return run
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for r in _rows(batches):
+                found = list(getattr(self, question)(self.slice_of(r), r).rows())
+                cols = [pa.array([b for b, _ in found], pa.int32()), pa.array([r["slice"]] * len(found), pa.int64()), pa.array([k for _, k in found], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, names=["bucket", "slice", "keys"])
+
+        return slices.mapInArrow(run, "bucket int, slice long, keys binary")
+
+    def states(self, slices: DataFrame, state) -> DataFrame:
+        """(slice, state, places): what state(part, row) gives, as bytes and a number."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for r in _rows(batches):
+                made, places = state(self.slice_of(r), r)
+                yield pa.RecordBatch.from_arrays([pa.array([r["slice"]]), pa.array([made], pa.binary()), pa.array([places], pa.int64())], names=["slice", "state", "places"])
+
+        return slices.mapInArrow(run, "slice long, state binary, places long")
+
+    def tied(self, part: Slice, r: dict) -> tuple[bytes, int]:
+        """Cover suffixes that tied."""
+        asked = self.cover(part, r)
+        places = asked.places[asked.decode(r["answers"])[0]]
+        return places.astype(np.int64).tobytes(), len(places)
+
+    def left(self, part: Slice, r: dict) -> tuple[bytes, int]:
+        """Known ties and the suffixes left to sort, as bits of the slice's bytes."""
+        tied, long = np.frombuffer(r["state"], np.int64), self.long(part, r)
+        again, first = long.decode(r["answers"])
+        known = part.runs(long.places[again], 0, self.period)
+        source = part.runs(long.places[again & first], 0, self.period)
+        left = part.fits(np.flatnonzero((part.runs(tied, self.period - 1, 0) & ~known) | source), self.least)
+        bits = np.zeros((2, len(part.body)), bool)
+        bits[0] = known
+        bits[1, left] = True
+        return np.packbits(bits).tobytes(), len(left)
 
 
-def _cut_rows(least: int, period: int, rest_buckets: int):
+def _cut_rows(plan: Plan):
     """Each document's size, repeated runs of bytes, and the bytes that are left."""
     names = ["doc_id", "n_bytes", "starts", "ends", "kept"]
     kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in _rows(batches):
-            part = _slice_of(r, least, period)
-            bits = np.unpackbits(np.frombuffer(r["state"], np.uint8), count=2 * len(part.body)).reshape(2, -1).astype(bool)
-            left = np.flatnonzero(bits[1])
-            again, _ = Question(part.body, left, least, rest_buckets, True).decode(r["answers"])
-            start = bits[0]
-            start[left[again]] = True
-            gone = part.runs(np.flatnonzero(start), 0, least - 1)
+            part = plan.slice_of(r)
+            start, asked = plan.bits(part, r)[0], plan.rest(part, r)
+            start[asked.places[asked.decode(r["answers"])[0]]] = True
+            gone = part.runs(np.flatnonzero(start), 0, plan.least - 1)
             # a run ends with its document
             edge = np.flatnonzero(np.append(gone, False) != np.append(False, gone))
             inner = part.bounds[1:-1]
@@ -293,22 +299,19 @@ def repeated_bytes(docs: DataFrame, least: int = LEAST, slice_bytes: int = SLICE
     base = texts(docs)
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     cover = bucket_count(docs, size * len(COVERS[period]) // period)
-    table, _ = keep(base.mapInArrow(_cover_rows(least, period, cover, slice_bytes), _ASKED), "suffix_slices")
-    slices = table.where("bucket is null").select("slice", "doc_id", "bounds", "body")
+    slices, _ = keep(base.mapInArrow(_slices(slice_bytes), _SLICE), "suffix_slices")
     # cover suffixes
-    ranks, ranks_given = answers(table.where("bucket is not null").select("bucket", "slice", "keys"), _sorted_bucket(5), "suffix-ranks")
-    tied, drop_tied = keep(slices.join(ranks, "slice", "left").mapInArrow(_long_rows(least, period, cover, cover), _STATE), "suffix_ties")
+    plan = Plan(least, period, (cover, cover, cover))
+    ranks, ranks_given = answers(plan.asked(slices, "cover"), _sorted_bucket(5), "suffix-ranks")
+    tied, drop_tied = keep(plan.states(slices.join(ranks, "slice", "left"), plan.tied), "suffix_ties")
     discard(ranks_given)
     # long ties
-    long, long_given = answers(tied.where("bucket is not null").select("bucket", "slice", "keys"), _sorted_bucket(8), "suffix-long")
-    # a cover suffix that tied stands for period - 1 places before it and period + 1 from it on
-    rest = bucket_count(docs, min(size, 2 * period * (tied.agg(F.sum("places")).first()[0] or 0)))
-    state = tied.where("bucket is null").select("slice", "state")
-    left, _ = keep(slices.join(state, "slice").join(long, "slice", "left").mapInArrow(_rest_rows(least, period, cover, rest), _STATE), "suffix_left")
+    long, long_given = answers(plan.asked(slices.join(tied, "slice"), "long"), _sorted_bucket(8), "suffix-long")
+    left, _ = keep(plan.states(slices.join(tied, "slice").join(long, "slice", "left"), plan.left), "suffix_left")
     drop_tied()
     discard(long_given)
     # the others
-    last, _ = answers(left.where("bucket is not null").select("bucket", "slice", "keys"), _sorted_bucket(8), "suffix-last")
-    state = left.where("bucket is null").select("slice", "state")
+    plan = Plan(least, period, (cover, cover, bucket_count(docs, left.agg(F.sum("places")).first()[0] or 0)))
+    last, _ = answers(plan.asked(slices.join(left, "slice"), "rest"), _sorted_bucket(8), "suffix-last")
     # the slices and the last answers stay in the shared folder: the result is read from them
-    return slices.join(state, "slice").join(last, "slice", "left").mapInArrow(_cut_rows(least, period, rest), "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary")
+    return slices.join(left, "slice").join(last, "slice", "left").mapInArrow(_cut_rows(plan), "doc_id long, n_bytes long, starts array<long>, ends array<long>, kept binary")
