@@ -1,23 +1,25 @@
 """Erasure of a set of customers: masks, deletions, proofs, and the state of each command.
 
 Everything takes a set of requests and joins it to each table once, so the cost is one pass per table and not one
-per customer.
+per customer. On stored tables only the partitions that hold the customers are read and written again (lake.py).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasslake.functions.scalars import MASK, confirmation_hash
+from glasslake.operators.payloads import rows_of, without_customers
 from glasslake.operators.suppression import suppress
 
 #: Personal columns of each Bronze table.
 PII = {"bronze.orders": ["email", "iban"], "bronze.payments": ["iban"], "bronze.clicks": ["ip_address"]}
 DELETED = (
-    "silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine", "gold.customer_360", "gold.order_facts", "gold.fraud_summary",
+    "silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine", "silver.affected_customers", "gold.customer_360", "gold.order_facts", "gold.fraud_summary",
     "bronze.fraud_alerts", "bronze.late_events", "bronze.erasure_requests",
 )
 #: Tables whose payload is kept as it came: rows of a customer are found by id or inside the payload.
@@ -25,7 +27,7 @@ PAYLOADS = ("bronze.ingest_quarantine", "governance.dead_letters")
 #: Tables that prove the erasure, or hold nothing about a customer.
 KEPT = (
     "governance.suppression_registry", "governance.erasure_audit_log", "governance.erasure_audit_chain", "governance.erasure_command_state", "governance.quality_results",
-    "governance.pii_manifest", "governance.watermarks", "governance.run_log", "governance.contracts",
+    "governance.pii_manifest", "governance.watermarks", "governance.processed_batches", "governance.run_log", "governance.contracts",
 )
 
 
@@ -43,24 +45,13 @@ def delete(df: DataFrame, requests: DataFrame) -> DataFrame:
     return df.join(_ids(requests), "customer_id", "left_anti").select(*df.columns)
 
 
-def delete_payloads(parked: DataFrame, requests: DataFrame) -> DataFrame:
-    """Rows of the customers by id, and rows without one whose payload names a customer in quotes, go."""
-    known = parked
-    if "customer_id" in parked.columns:
-        known, parked = delete(parked.where("customer_id is not null"), requests), parked.where("customer_id is null")
-    quoted = F.regexp_extract_all(F.coalesce("raw_payload", F.lit("")), F.lit(r'"([^"]+)"'), F.lit(1))
-    named = parked.select("raw_payload", F.explode(quoted).alias("customer_id")).join(_ids(requests), "customer_id", "left_semi").select("raw_payload").distinct()
-    kept = parked.join(named, "raw_payload", "left_anti").select(*parked.columns)
-    return kept if known is parked or "customer_id" not in kept.columns else known.unionByName(kept.select(*known.columns))
-
-
 def has_rule(name: str) -> bool:
     return name in PII or name in DELETED or name in PAYLOADS
 
 
-def covered(store) -> list[str]:
+def covered(lake) -> list[str]:
     """Stored tables that an erasure has to change; a table that nobody has decided about stops it."""
-    stored = store.names()
+    stored = lake.names()
     if unknown := [n for n in stored if not has_rule(n) and n not in KEPT]:
         raise ValueError(f"no erasure rule for {', '.join(unknown)}")  # fail closed
     return [n for n in stored if has_rule(n)]
@@ -73,15 +64,12 @@ def erase(tables: dict[str, DataFrame], registry: DataFrame, requests: DataFrame
         if name in PII:
             after[name] = mask(df, requests, PII[name])
         elif name in PAYLOADS:
-            after[name] = delete_payloads(df, requests)
+            after[name] = without_customers(df, requests)
         elif name in DELETED:
             after[name] = delete(df, requests)
         else:
             raise ValueError(f"no erasure rule for {name}")  # fail closed
-    audit = requests.select(
-        "request_id", "customer_id", "requested_at", F.lit(now).alias("completed_at"), F.lit(",".join(sorted(tables))).alias("layers_touched"),
-        F.lit("completed").alias("status"), confirmation_hash("request_id", "customer_id").alias("confirmation_hash"),
-    )
+    audit = audit_rows(tables, requests, now)
     return after, suppress(registry, requests.select("customer_id", F.lit(now).alias("added_at"))), audit
 
 
@@ -92,46 +80,76 @@ def append_audit(audit: DataFrame, new: DataFrame) -> DataFrame:
     return audit.join(latest.select("request_id"), "request_id", "left_anti").select(*audit.columns).unionByName(latest.select(*audit.columns))
 
 
-def run_erasure(store, requests: DataFrame, now: float) -> DataFrame:
-    """Erase over all stored tables: suppression first, then all new versions, shown together; old versions are purged.
+def rows_in(lake, name: str, requests: DataFrame) -> DataFrame:
+    """Stored rows, with the columns of the layout, that the erasure of the customers has to change."""
+    if name in PAYLOADS:
+        return rows_of(lake.stored(name), _ids(requests))
+    rows = lake.of_customers(name, _ids(requests))
+    return rows.where(in_clear(name)) if name in PII else rows
 
-    A table that another writer changes meanwhile makes the erasure read it again, so neither loses its rows.
-    """
-    covered(store)
-    who = requests.select("customer_id", F.lit(now).alias("added_at"))
-    store.retry(lambda: store.rewrite("governance.suppression_registry", lambda registry: suppress(registry, who)))
-    logs: list[DataFrame] = []
-
-    def change() -> None:
-        bases = {n: store.pointer(n) for n in covered(store)}
-        after, _, audit = erase({n: store._at(n, at) for n, at in bases.items()}, store.read("governance.suppression_registry"), requests, now)
-        store.publish({n: store.stage(n, df, base=bases[n]) for n, df in after.items()})
-        logs[:] = [audit]
-
-    store.retry(change)
-    for n in covered(store):
-        store.purge(n)
-
-    def attest() -> None:
-        if store.exists("governance.erasure_audit_log"):
-            store.rewrite("governance.erasure_audit_log", lambda old: append_audit(old, logs[0]))
-        else:
-            store.write("governance.erasure_audit_log", append_audit(logs[0].limit(0), logs[0]))
 
-    store.retry(attest)
-    return store.read("governance.erasure_audit_log")
+def in_clear(name: str) -> Column:
+    """Whether a personal column of the table is not masked."""
+    return reduce(lambda a, b: a | b, [~F.col(p).eqNullSafe(F.lit(MASK)) for p in PII[name]])
+
+
+def touched(lake, name: str, requests: DataFrame) -> list[tuple[str, int]]:
+    """Partitions of the table that hold such rows."""
+    return [tuple(r) for r in rows_in(lake, name, requests).select("_batch", "_bucket").distinct().collect()]  # bounded by the partitions
+
+
+#: Times that an erasure looks again for rows that another writer has brought meanwhile.
+PASSES = 5
+
+
+def run_erasure(lake, requests: DataFrame, now: float) -> DataFrame:
+    """Erase over all stored tables: suppression first, then the partitions that hold the customers, then the attestation.
+
+    A batch that another writer adds meanwhile has partitions of its own and is kept; as it may hold the customers, the
+    tables are searched again until nothing is found.
+    """
+    covered(lake)
+    who = _ids(requests)
+    old = lake.read("governance.suppression_registry") if lake.exists("governance.suppression_registry") else requests.sparkSession.createDataFrame([], "customer_id string, added_at double")
+    lake.append("governance.suppression_registry", who.join(old.select("customer_id").distinct(), "customer_id", "left_anti").select("customer_id", F.lit(now).alias("added_at")))
+    for _ in range(PASSES):
+        found = {n: parts for n in covered(lake) if (parts := touched(lake, n, requests))}
+        if not found:
+            break
+        for name, parts in found.items():
+            if name in PII:
+                lake.rewrite(name, parts, lambda rows, name=name: mask(rows, requests, PII[name]))
+            elif name in PAYLOADS:
+                lake.rewrite(name, parts, lambda rows: without_customers(rows, who))
+            else:
+                lake.rewrite(name, parts, lambda rows: delete(rows, requests))
+    else:
+        raise RuntimeError(f"rows of the customers keep coming: {', '.join(found)}")
+    audit = audit_rows(covered(lake), requests, now)
+    log = lake.read("governance.erasure_audit_log") if lake.exists("governance.erasure_audit_log") else audit.limit(0)
+    lake.write("governance.erasure_audit_log", append_audit(log, audit))
+    return lake.read("governance.erasure_audit_log")
+
+
+def audit_rows(names: Iterable[str], requests: DataFrame, now: float) -> DataFrame:
+    return requests.select(
+        "request_id", "customer_id", "requested_at", F.lit(now).alias("completed_at"), F.lit(",".join(sorted(names))).alias("layers_touched"),
+        F.lit("completed").alias("status"), confirmation_hash("request_id", "customer_id").alias("confirmation_hash"),
+    )
 
 
 def verify_erasure(requests: DataFrame, registry: DataFrame, tables: dict[str, DataFrame], audit: DataFrame) -> DataFrame:
-    """Per customer: suppressed, no rows left (quarantines and alerts included), Bronze masked, an audit row, and all of these."""
+    """Per customer: suppressed, no rows left (quarantines, alerts and payloads that name the customer included), Bronze masked,
+    an audit row, and all of these."""
     out = _ids(requests).join(registry.select("customer_id").distinct().withColumn("suppressed", F.lit(True)), "customer_id", "left")
     counts = []
     for name, df in tables.items():
         c = name.replace(".", "_")
-        bad = df
-        if name in PII:
-            bad = df.where(reduce(lambda a, b: a | b, [~F.col(p).eqNullSafe(F.lit(MASK)) for p in PII[name]]))
-        out = out.join(bad.join(_ids(requests), "customer_id", "left_semi").groupBy("customer_id").agg(F.count("*").alias(c)), "customer_id", "left")
+        if name in PAYLOADS:
+            found = rows_of(df, _ids(requests)).groupBy(F.col("named").alias("customer_id"))
+        else:
+            found = (df.where(in_clear(name)) if name in PII else df).join(_ids(requests), "customer_id", "left_semi").groupBy("customer_id")
+        out = out.join(found.agg(F.count("*").alias(c)), "customer_id", "left")
         counts.append(c)
     out = out.join(audit.groupBy("customer_id").agg(F.count("*").alias("audits")), "customer_id", "left")
     zero = reduce(lambda a, b: a & b, [F.coalesce(F.col(c), F.lit(0)) == 0 for c in counts])
@@ -145,13 +163,15 @@ def verify_refresh(requests: DataFrame, tables: dict[str, DataFrame]) -> DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
-def physical_scan(store, name: str, requests: DataFrame) -> DataFrame:
-    """file, row_count of every data file of the table, superseded versions too, that still holds a customer."""
-    files = store.data_files(name)
-    if not files:
-        return store.spark.createDataFrame([], "file string, row_count long")
-    held = store.spark.read.parquet(*files).select("customer_id", F.input_file_name().alias("file"))
-    return held.join(_ids(requests), "customer_id", "left_semi").groupBy("file").agg(F.count("*").alias("row_count"))
+def physical_scan(lake, name: str, requests: DataFrame) -> DataFrame:
+    """file, row_count of every data file in the table's folder that still holds a customer, whether the catalogue knows it or
+    not; personal columns of Bronze count if they are not masked, payloads if they name the customer."""
+    held = lake.spark.read.schema(lake.read(name).schema).option("recursiveFileLookup", "true").parquet(lake.location(name)).withColumn("file", F.input_file_name())
+    if name in PAYLOADS:
+        left = rows_of(held, _ids(requests))
+    else:
+        left = (held.where(in_clear(name)) if name in PII else held).join(_ids(requests), "customer_id", "left_semi")
+    return left.groupBy("file").agg(F.count("*").alias("row_count"))
 
 
 def replay_identity(incoming: DataFrame, state: DataFrame) -> DataFrame:

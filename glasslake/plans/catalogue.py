@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from glasslake.functions import scalars
 from glasslake.operators import audit, contracts, erasure, fraud, gold, incremental, privacy, quality, reports, silver
 from glasslake.operators.suppression import not_suppressed, suppress
-from glasslake.sources import adapters, tables
+from glasslake.sources import adapters, lake, tables
 from glasslake.sources.adapters import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -648,7 +648,7 @@ def fraud_stream(spark, d):
     from glasslake.streaming import fraud as stream
 
     root = f"{_work(spark)}/fraud-{uuid.uuid4().hex}"
-    store = tables.TableStore(spark, f"{root}/tables")
+    store = lake.Lake(spark, f"{root}/tables")
     registry = adapters.suppression_registry(spark, d)
     stream.run(stream.score(stream.event_payments(spark, d), registry, 86_400, expire=False), store, lambda: registry, f"{root}/checkpoint").awaitTermination()
     return store.read("bronze.fraud_alerts").select("customer_id", "rule", F.round("score", 3).alias("score"), "event_id", F.round("alerted_at", 3).alias("alerted_at"))
@@ -658,7 +658,7 @@ def fraud_stream(spark, d):
 def export_verify(spark, d):
     """Proof rows of a staged export of Silver orders and Gold customers."""
     o, _, r = _base(spark, d)
-    store = tables.TableStore(spark, f"{_work(spark)}/export-{uuid.uuid4().hex}")
+    store = lake.Lake(spark, f"{_work(spark)}/export-{uuid.uuid4().hex}")
     return tables.export_lake({"silver.orders": silver.silver_orders(o, r), "gold.customer_360": _gold(spark, d)}, store)
 
 
@@ -702,7 +702,7 @@ def ingest_quarantine(spark, d):
 
 
 def _store(spark, name):
-    return tables.TableStore(spark, f"{_work(spark)}/{name}-{uuid.uuid4().hex}")
+    return lake.Lake(spark, f"{_work(spark)}/{name}-{uuid.uuid4().hex}")
 
 
 @query("SELECT o_custkey AS k, min(o_orderkey) FILTER (early) AS stored, coalesce(min(o_orderkey) FILTER (early), min(o_orderkey)) AS v FROM (SELECT *, o_orderdate < DATE '1995-06-01' AS early FROM orders) GROUP BY o_custkey")
@@ -710,9 +710,9 @@ def insert_ignore(spark, d):
     """The first order of each customer: a second write adds customers and leaves stored ones alone."""
     o = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("v"), "o_orderdate")
     store = _store(spark, "insert")
-    first = store.insert_ignore("x.t", o.where("o_orderdate < '1995-06-01'").select("k", "v"), "k", [F.col("v")]).withColumnRenamed("v", "stored")
-    both = store.insert_ignore("x.t", o.select("k", "v"), "k", [F.col("v")])
-    return both.join(first, "k", "left").select("k", "stored", "v")
+    store.insert_ignore("x.t", o.where("o_orderdate < '1995-06-01'").select("k", "v"), "k", [F.col("v")], "1")
+    store.insert_ignore("x.t", o.select("k", "v"), "k", [F.col("v")], "2")
+    return store.stored("x.t").select("k", F.when(F.col("_batch") == "1", F.col("v")).alias("stored"), "v")
 
 
 @query("SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders GROUP BY o_custkey")
@@ -795,7 +795,7 @@ def incremental_job(spark, d):
     store.write("bronze.payments", p.where(F.col("occurred_at") <= CUT))
     jobs.build_silver(store, r)
     jobs.build_gold(store, r)
-    store.write("governance.watermarks", spark.createDataFrame([(n, CUT) for n in ("bronze.orders", "bronze.payments")], "pipeline string, last_ts double"))
+    jobs.mark_processed(store, jobs.pending(store))
     store.append("bronze.orders", o.where(F.col("occurred_at") > CUT))
     store.append("bronze.payments", p.where(F.col("occurred_at") > CUT))
     jobs.build_incremental(store, r)
@@ -817,6 +817,33 @@ def erasure_job(spark, d):
     return erasure.verify_erasure(req, store.read("governance.suppression_registry"), {n: store.read(n) for n in names}, log)
 
 
+@query("""SELECT customer_id, count(*) AS rows_before, 0 AS rows_after, TRUE AS passed FROM (
+    SELECT 'cust_' || o_custkey AS customer_id, o_orderkey FROM orders WHERE o_orderkey % 5 <> 4 AND 'cust_' || o_custkey IN (SELECT customer_id FROM requests)
+    UNION ALL SELECT 'cust_' || (o_custkey + 1), o_orderkey FROM orders WHERE o_orderkey % 5 = 3 AND 'cust_' || (o_custkey + 1) IN (SELECT customer_id FROM requests)) GROUP BY 1""")
+def erase_payloads(spark, d):
+    """Unreadable payloads that name a customer, before and after an erasure: cut behind the id, unquoted, with an empty value in
+    front, naming two customers, and (not to be found) naming a longer id."""
+    from glasslake.operators import payloads
+
+    o = table(spark, d, "orders")
+    one, two = F.concat(F.lit("cust_"), "o_custkey"), F.concat(F.lit("cust_"), F.col("o_custkey") + 1)
+    kinds = [
+        F.concat(F.lit('{"order":'), "o_orderkey", F.lit(',"customer_id":"'), one), F.concat(F.lit("order="), "o_orderkey", F.lit(" customer_id="), one, F.lit(" broken")),
+        F.concat(F.lit('{"email":"","customer_id":"'), one, F.lit('","order":'), "o_orderkey"), F.concat(F.lit('["'), one, F.lit('","'), two, F.lit('",'), "o_orderkey"),
+        F.concat(F.lit('{"customer_id":"'), one, F.lit('x","order":'), "o_orderkey"),
+    ]
+    kind = F.col("o_orderkey") % 5
+    payload = F.coalesce(*[F.when(kind == k, c) for k, c in enumerate(kinds)])
+    store, req = _store(spark, "payloads"), _requests(spark, d)
+    store.write("governance.dead_letters", o.select(payload.alias("raw_payload"), F.lit("JSON_PARSE_ERROR").alias("quarantine_reason")))
+    found = lambda: payloads.rows_of(store.read("governance.dead_letters"), req.select("customer_id").distinct()).groupBy(F.col("named").alias("customer_id"))
+    store.write("governance.quality_results", found().agg(F.count("*").alias("rows_before")))
+    erasure.run_erasure(store, req, NOW)
+    after = found().agg(F.count("*").alias("n"))
+    left = F.coalesce("n", F.lit(0)).cast("int")
+    return store.read("governance.quality_results").join(after, "customer_id", "left").select("customer_id", "rows_before", left.alias("rows_after"), (left == 0).alias("passed"))
+
+
 def _work(spark: SparkSession) -> str:
     """The folder that driver and executors share; a temporary one only where all run in one process."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)

@@ -9,90 +9,105 @@ from pyspark.sql import functions as F
 
 from glasslake.operators import fraud, gold, incremental, privacy, quality, silver
 from glasslake.operators.audit import run_log_row
-from glasslake.sources.tables import EXPORTABLE, TableStore, export_lake
+from glasslake.sources.lake import LAYOUT, Lake
+from glasslake.sources.tables import EXPORTABLE, export_lake
 
 
-def build_silver(store: TableStore, registry: DataFrame) -> dict[str, DataFrame]:
-    orders, payments = store.read("bronze.orders"), store.read("bronze.payments")
-    made = {
-        "silver.customers": silver.silver_customers(orders, registry), "silver.orders": silver.silver_orders(orders, registry), "silver.payments": silver.silver_payments(payments, registry),
-        "silver.orders_quarantine": silver.orders_quarantine(orders, registry), "silver.payments_quarantine": silver.payments_quarantine(payments, registry),
-    }
-    store.publish({n: store.stage(n, df) for n, df in made.items()})
-    return {n: store.read(n) for n in made}
+def _write_quarantine(lake: Lake, name: str, rows: DataFrame) -> None:
+    """Quarantined rows without a customer are a batch of their own, so that they can be renewed alone."""
+    lake.write(name, rows.where("customer_id is not null"))
+    lake.append(name, rows.where("customer_id is null"), NAMELESS)
 
 
-def build_gold(store: TableStore, registry: DataFrame) -> dict[str, DataFrame]:
-    c, o = store.read("silver.customers"), store.read("silver.orders")
-    alerts = store.read("bronze.fraud_alerts") if store.exists("bronze.fraud_alerts") else fraud.all_alerts(store.read("bronze.payments"))
+def build_silver(lake: Lake, registry: DataFrame) -> dict[str, DataFrame]:
+    orders, payments = lake.read("bronze.orders"), lake.read("bronze.payments")
+    lake.write("silver.customers", silver.silver_customers(orders, registry))
+    lake.write("silver.orders", silver.silver_orders(orders, registry))
+    lake.write("silver.payments", silver.silver_payments(payments, registry))
+    _write_quarantine(lake, "silver.orders_quarantine", silver.orders_quarantine(orders, registry))
+    _write_quarantine(lake, "silver.payments_quarantine", silver.payments_quarantine(payments, registry))
+    return {n: lake.read(n) for n in SILVER}
+
+
+def build_gold(lake: Lake, registry: DataFrame) -> dict[str, DataFrame]:
+    c, o = lake.read("silver.customers"), lake.read("silver.orders")
+    alerts = lake.read("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(lake.read("bronze.payments"))
     people = gold.customer_360(c, o, registry)
-    made = {"gold.customer_360": people, "gold.order_facts": gold.order_facts(o, people, registry), "gold.fraud_summary": gold.fraud_summary(alerts, registry)}
-    store.publish({n: store.stage(n, df) for n, df in made.items()})
-    return {n: store.read(n) for n in made}
+    lake.write("gold.customer_360", people)
+    lake.write("gold.order_facts", gold.order_facts(o, people, registry))
+    lake.write("gold.fraud_summary", gold.fraud_summary(alerts, registry))
+    return {n: lake.read(n) for n in GOLD}
 
 
-#: What an incremental build reads and how far it has read it: the newest ingest time per source.
+#: What an incremental build reads.
 SOURCES = ("bronze.orders", "bronze.payments", "bronze.fraud_alerts")
+SILVER = ["silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine"]
+GOLD = ["gold.customer_360", "gold.order_facts", "gold.fraud_summary"]
+#: The batch of quarantined rows without a customer.
+NAMELESS = "nameless"
 
 
-def _clock(df: DataFrame) -> str:
-    """Ingest time where the table has it, else event time."""
-    return next(c for c in ("_ingested_at", "alerted_at", "occurred_at") if c in df.columns)
+def pending(lake: Lake, pipeline: str = "incremental") -> dict[str, list[str]]:
+    """Batches of each source that no build of the pipeline has taken in.
+
+    Batches are compared by name and not by time: one that is shown late, or whose events are old, is still new.
+    """
+    done: set[tuple[str, str]] = set()
+    if lake.exists("governance.processed_batches"):
+        rows = lake.read("governance.processed_batches").where(F.col("pipeline") == pipeline).select("table_name", "batch").distinct()
+        done = {tuple(r) for r in rows.collect()}  # one row for each batch, as the partitions that a scan lists
+    return {n: [b for b in lake.batches(n) if (n, b) not in done] for n in SOURCES if lake.exists(n)}
 
 
-def _epoch(df: DataFrame, column: str):
-    kind = dict(df.dtypes)[column]
-    return F.unix_micros(column) / 1e6 if kind.startswith("timestamp") else F.col(column).cast("double")
+def mark_processed(lake: Lake, batches: dict[str, list[str]], pipeline: str = "incremental") -> None:
+    """Added rows, never rewritten ones: builds and streams that mark at the same time do not undo each other."""
+    rows = [(pipeline, n, b) for n, found in batches.items() for b in found]
+    if rows:
+        lake.append("governance.processed_batches", lake.spark.createDataFrame(rows, "pipeline string, table_name string, batch string"))
 
 
-def build_incremental(store: TableStore, registry: DataFrame) -> dict[str, int]:
-    """Silver and Gold brought up to date: customers with new rows are recomputed from all their rows, the rest stays.
+def new_rows(lake: Lake, name: str, batches: list[str]) -> DataFrame:
+    """Rows of some batches: the folders of the others are not read."""
+    return lake.stored(name).where(F.col("_batch").isin(batches)).drop(*LAYOUT)
 
-    Equal to a full build. Quarantined rows without a customer are always recomputed. Returns how many customers were
-    recomputed and how many of them are suppressed.
+
+def build_incremental(lake: Lake, registry: DataFrame) -> dict[str, int]:
+    """Silver and Gold brought up to date: customers with rows in new batches are recomputed from all their rows.
+
+    New rows are read by their batches, the rows of the affected customers by their buckets, and only those buckets of
+    Silver and Gold are written again. Equal to a full build. Returns how many customers were recomputed and how many of
+    them are suppressed.
     """
-    marks = store.read("governance.watermarks") if store.exists("governance.watermarks") else store.spark.createDataFrame([], "pipeline string, last_ts double")
-    sources = {n: store.read(n) for n in SOURCES if store.exists(n)}
-    changes, reached = [], marks
-    for name, df in sources.items():
-        timed = df.withColumn("__at", _epoch(df, _clock(df)))
-        changes.append(incremental.changed_since(timed, incremental.get_watermark(marks, name), "__at"))
-        newest = timed.agg(F.max("__at")).first()[0]
-        if newest is not None:
-            reached = incremental.set_watermark(reached, name, newest)
-    affected = incremental.affected_customers(*changes).persist()
-    bases = {n: store.pointer(n) for n in store.names()}
-    orders, payments = sources["bronze.orders"], sources["bronze.payments"]
-    alerts = sources.get("bronze.fraud_alerts")
-
-    def renew(name: str, source: DataFrame, build) -> DataFrame:
-        return incremental.rebuild(store._at(name, bases[name]), source, affected, build, registry)
-
-    def quarantine(name: str, source: DataFrame, build) -> DataFrame:
-        old = store._at(name, bases[name])
-        nameless = build(source.where("customer_id is null"), registry)
-        return renew(name, source, lambda rows: build(rows, registry)).where("customer_id is not null").select(*old.columns).unionByName(nameless.select(*old.columns))
-
-    made = {
-        "silver.customers": renew("silver.customers", orders, lambda rows: silver.silver_customers(rows, registry)), "silver.orders": renew("silver.orders", orders, lambda rows: silver.silver_orders(rows, registry)),
-        "silver.payments": renew("silver.payments", payments, lambda rows: silver.silver_payments(rows, registry)), "silver.orders_quarantine": quarantine("silver.orders_quarantine", orders, silver.orders_quarantine),
-        "silver.payments_quarantine": quarantine("silver.payments_quarantine", payments, silver.payments_quarantine),
-    }
-    store.publish({n: store.stage(n, df, base=bases[n]) for n, df in made.items()})
-    c, o = store.read("silver.customers"), store.read("silver.orders")
-    mine = lambda df: df.join(affected, "customer_id", "left_semi").select(*df.columns)
-    people = renew("gold.customer_360", o, lambda rows: gold.customer_360(mine(c), rows, registry))
-    facts = renew("gold.order_facts", o, lambda rows: gold.order_facts(rows, gold.customer_360(mine(c), rows, registry), registry))
-    found = renew("gold.fraud_summary", alerts if alerts is not None else payments, lambda rows: gold.fraud_summary(rows if alerts is not None else fraud.all_alerts(rows), registry))
-    store.publish({n: store.stage(n, df, base=bases[n]) for n, df in (("gold.customer_360", people), ("gold.order_facts", facts), ("gold.fraud_summary", found))})
-    store.write("governance.watermarks", store.spark.createDataFrame(reached.collect(), "pipeline string, last_ts double"))
+    fresh = pending(lake)
+    changed = [new_rows(lake, n, batches).select("customer_id") for n, batches in fresh.items()]
+    # whoever was suppressed since the last build leaves Silver and Gold even without new rows
+    gone = [lake.of_customers(n, registry).select("customer_id") for n in ("silver.customers", "silver.orders", "silver.payments", *GOLD)]
+    # written, as Silver and Gold change below
+    affected = lake.write("silver.affected_customers", incremental.affected_customers(*changed, *gone))
+    mine = lambda name: lake.of_customers(name, affected).drop(*LAYOUT)
+    orders, payments = mine("bronze.orders"), mine("bronze.payments")
+    lake.replace_customers("silver.customers", affected, silver.silver_customers(orders, registry))
+    lake.replace_customers("silver.orders", affected, silver.silver_orders(orders, registry))
+    lake.replace_customers("silver.payments", affected, silver.silver_payments(payments, registry))
+    lake.replace_customers("silver.orders_quarantine", affected, silver.orders_quarantine(orders, registry))
+    lake.replace_customers("silver.payments_quarantine", affected, silver.payments_quarantine(payments, registry))
+    for source, target, build in (("bronze.orders", "silver.orders_quarantine", silver.orders_quarantine), ("bronze.payments", "silver.payments_quarantine", silver.payments_quarantine)):
+        if not new_rows(lake, source, fresh[source]).where("customer_id is null").isEmpty():
+            lake.append(target, build(lake.read(source).where("customer_id is null"), registry), NAMELESS)
+    c, o = mine("silver.customers"), mine("silver.orders")
+    people = gold.customer_360(c, o, registry)
+    lake.replace_customers("gold.customer_360", affected, people)
+    lake.replace_customers("gold.order_facts", affected, gold.order_facts(o, people, registry))
+    alerts = mine("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(payments)
+    lake.replace_customers("gold.fraud_summary", affected, gold.fraud_summary(alerts, registry))
+    mark_processed(lake, fresh)
     out = {"affected": affected.count(), "suppressed": incremental.suppressed_skipped(affected, registry)}
-    affected.unpersist()
+    lake.drop("silver.affected_customers")
     return out
 
 
-def check_quality(store: TableStore, registry: DataFrame, run_id: str, now: float) -> DataFrame:
-    t = {n: store.read(n) for n in EXPORTABLE}
+def check_quality(lake: Lake, registry: DataFrame, run_id: str, now: float) -> DataFrame:
+    t = {n: lake.read(n) for n in EXPORTABLE}
     checks = {
         "unique": lambda: quality.uniqueness(t["silver.customers"], "customer_id", "silver.customers"),
         "pii": lambda: quality.pii_not_clear(t["silver.customers"], ["email_hash", "iban_hash"], "silver.customers"),
@@ -101,46 +116,45 @@ def check_quality(store: TableStore, registry: DataFrame, run_id: str, now: floa
         "suppression": lambda: quality.suppression_enforced(t, registry),
         "anonymity": lambda: quality.k_anonymity(t["silver.customers"], ["country", "marketing_consent"], "silver.customers"),
     }
-    found = quality.run_checks(store.spark, checks, run_id, now)
-    store.append("governance.quality_results", found)
+    found = quality.run_checks(lake.spark, checks, run_id, now)
+    lake.append("governance.quality_results", found)
     return found
 
 
-def run_pipeline(store: TableStore, registry: DataFrame, export_to: TableStore | None = None, run_id: str = "run", now: float | None = None, incremental_build: bool = False) -> list[str]:
+def run_pipeline(lake: Lake, registry: DataFrame, export_to: Lake | None = None, run_id: str = "run", now: float | None = None, incremental_build: bool = False) -> list[str]:
     """Personal-data gate, Silver, Gold, quality, export: stops at the first failure, after one retry.
 
     incremental_build recomputes only customers with new rows, once a full build is there.
     """
     now = time.time() if now is None else now
     done: list[str] = []
-    built = all(store.exists(n) for n in (*EXPORTABLE, "silver.orders_quarantine", "silver.payments_quarantine"))
-    silver_names = ["silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine"]
-    gold_names = ["gold.customer_360", "gold.order_facts", "gold.fraud_summary"]
+    built = all(lake.exists(n) for n in (*EXPORTABLE, "silver.orders_quarantine", "silver.payments_quarantine"))
+    batches = {n: lake.batches(n) for n in SOURCES if lake.exists(n)}  # before anything is read: later ones stay pending
 
     def gate_pii() -> None:
-        bronze = store.read("bronze.orders")
-        if store.exists("governance.pii_manifest"):
-            if not privacy.detect_unregistered(bronze, "bronze.orders", store.read("governance.pii_manifest")).isEmpty():
+        bronze = lake.read("bronze.orders")
+        if lake.exists("governance.pii_manifest"):
+            if not privacy.detect_unregistered(bronze, "bronze.orders", lake.read("governance.pii_manifest")).isEmpty():
                 raise quality.QualityGateError("unregistered personal data")
         else:
-            store.write("governance.pii_manifest", privacy.build_manifest(bronze, "bronze.orders"))
+            lake.write("governance.pii_manifest", privacy.build_manifest(bronze, "bronze.orders"))
 
     def export() -> None:
         if export_to is not None:
-            export_lake({n: store.read(n) for n in EXPORTABLE}, export_to)
+            export_lake({n: lake.read(n) for n in EXPORTABLE}, export_to)
 
     build = (
-        [("incremental", lambda: build_incremental(store, registry), list(SOURCES), silver_names + gold_names)]
+        [("incremental", lambda: build_incremental(lake, registry), list(SOURCES), SILVER + GOLD)]
         if incremental_build and built
-        else [("silver", lambda: build_silver(store, registry), ["bronze.orders", "bronze.payments"], silver_names), ("gold", lambda: build_gold(store, registry), ["silver.customers", "silver.orders", "bronze.payments"], gold_names)]
+        else [("silver", lambda: build_silver(lake, registry), ["bronze.orders", "bronze.payments"], SILVER), ("gold", lambda: build_gold(lake, registry), ["silver.customers", "silver.orders", "bronze.payments"], GOLD)]
     )
     tasks = [
         ("pii", gate_pii, ["bronze.orders"], ["governance.pii_manifest"]), *build,
-        ("quality", lambda: quality.gate(check_quality(store, registry, run_id, now)), list(EXPORTABLE), ["governance.quality_results"]), ("export", export, list(EXPORTABLE), list(EXPORTABLE) if export_to else []),
+        ("quality", lambda: quality.gate(check_quality(lake, registry, run_id, now)), list(EXPORTABLE), ["governance.quality_results"]), ("export", export, list(EXPORTABLE), list(EXPORTABLE) if export_to else []),
     ]
     for name, task, inputs, outputs in tasks:
         started = time.time()
-        log = lambda status, rows: store.append("governance.run_log", run_log_row(store.spark, name, inputs, outputs, started, time.time(), status, rows))  # noqa: B023, E731
+        log = lambda status, rows: lake.append("governance.run_log", run_log_row(lake.spark, name, inputs, outputs, started, time.time(), status, rows))  # noqa: B023, E731
         for attempt in (1, 2):
             try:
                 task()
@@ -152,16 +166,16 @@ def run_pipeline(store: TableStore, registry: DataFrame, export_to: TableStore |
                 if attempt == 2:
                     log("failed", {})
                     raise
-        at = export_to if name == "export" else store
+        at = export_to if name == "export" else lake
         log("completed", {n: at.read(n).count() for n in outputs})
         done.append(name)
     if not (incremental_build and built):
-        marks = [(n, float(v)) for n in SOURCES if store.exists(n) and (v := (df := store.read(n)).agg(F.max(_epoch(df, _clock(df)))).first()[0]) is not None]
-        store.write("governance.watermarks", store.spark.createDataFrame(marks, "pipeline string, last_ts double"))
+        known = pending(lake)
+        mark_processed(lake, {n: [b for b in found if b in known.get(n, [])] for n, found in batches.items()})
     return done
 
 
-def counts(store: TableStore, names: list[str]) -> DataFrame:
+def counts(lake: Lake, names: list[str]) -> DataFrame:
     from glasslake.operators.reports import table_counts
 
-    return table_counts({n: store.read(n) for n in names}).orderBy(F.col("table_name"))
+    return table_counts({n: lake.read(n) for n in names}).orderBy(F.col("table_name"))

@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from glasslake.operators.contracts import check_identifier
 from glasslake.operators.privacy import masked_view
-from glasslake.sources.tables import TableStore
+from glasslake.sources.lake import Lake
 
 
-def register_views(store: TableStore, names: list[str], masks: dict[str, list[str]] | None = None, allowed: bool = False) -> list[str]:
+def register_views(lake: Lake, names: list[str], masks: dict[str, list[str]] | None = None, allowed: bool = False) -> list[str]:
     """A temporary view layer_table per stored table; personal columns are masked unless allowed."""
     made = []
     for name in names:
         view = check_identifier(name).replace(".", "_")
-        df = store.read(name)
+        df = lake.read(name)
         if masks and name in masks:
             df = masked_view(df, masks[name], allowed)
         df.createOrReplaceTempView(view)

@@ -1,245 +1,13 @@
-"""Versioned Parquet tables: a write makes a new version directory, then a numbered commit file that names it.
-
-A commit names the directories that make up the table: a rewrite leaves one, an append adds one, so appends and
-insert-or-ignore never rewrite what is stored. Commit n + 1 is created, never overwritten, by a writer that has read
-commit n: of two writers one gets a Conflict and starts again from the table that the other left, so no update is
-lost. Readers never see a half-written version. All file work goes through the Hadoop file system of the path, so
-local, HDFS and object-store roots behave alike as far as they create files exclusively.
-"""
+"""Writes by key, snapshots and exports as DataFrame operators; `lake.py` keeps the tables."""
 
 from __future__ import annotations
 
-import json
-import re
-import uuid
-from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from glasslake.operators.contracts import check_identifier
-from glasslake.operators.suppression import sized
-
-
-class SinkMismatch(Exception):
-    """The stored table does not have the names, types, nullability or partitioning that the write expects."""
-
-
-class Conflict(Exception):
-    """Another writer has changed the table since it was read."""
-
-
-#: Commits that a purge leaves behind, so that a reader that has just listed them still finds the newest.
-KEPT_COMMITS = 10
-#: Directories of appends after which an insert-or-ignore makes one of them.
-COMPACT_AT = 64
-#: Times that a write starts again after a conflict.
-RETRIES = 5
-
-
-class TableStore:
-    """Tables under one root folder, named layer.table."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        self.spark, self.root = spark, root.rstrip("/")
-
-    # ---- files
-
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def _home(self, name: str) -> str:
-        return f"{self.root}/{check_identifier(name).replace('.', '/')}"
-
-    def _read_text(self, path: str) -> str:
-        fs, p = self._fs(path)
-        stream = fs.open(p)
-        try:
-            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def _commits(self, name: str) -> list[int]:
-        fs, p = self._fs(f"{self._home(name)}/_commits")
-        found = [re.fullmatch(r"(\d{12})\.json", s.getPath().getName()) for s in fs.listStatus(p)] if fs.exists(p) else []
-        return sorted(int(m[1]) for m in found if m)
-
-    def _commit(self, name: str, number: int, at: dict) -> None:
-        """Create a commit file; fails if another writer has created it."""
-        fs, p = self._fs(f"{self._home(name)}/_commits/{number:012d}.json")
-        try:
-            stream = fs.create(p, False)
-        except Exception as e:
-            raise Conflict(f"{name}: commit {number} exists") from e
-        stream.write(bytearray(json.dumps(at).encode()))
-        stream.close()
-
-    # ---- versions
-
-    def pointer(self, name: str) -> dict | None:
-        """The newest commit, with its number as `commit`; one that is only just being written is not yet there."""
-        for number in reversed(self._commits(name)):
-            try:
-                return json.loads(self._read_text(f"{self._home(name)}/_commits/{number:012d}.json")) | {"commit": number}
-            except ValueError:
-                continue
-        return None
-
-    def names(self) -> list[str]:
-        """All stored tables."""
-        fs, root = self._fs(self.root)
-        if not fs.exists(root):
-            return []
-        layers = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
-        found = [f"{layer.getName()}.{t.getPath().getName()}" for layer in layers for t in fs.listStatus(layer) if t.isDirectory()]
-        return sorted(n for n in found if re.fullmatch(r"\w+\.\w+", n) and self.exists(n))
-
-    def exists(self, name: str) -> bool:
-        return self.pointer(name) is not None
-
-    def read(self, name: str) -> DataFrame:
-        at = self.pointer(name)
-        if at is None:
-            raise FileNotFoundError(name)
-        return self._at(name, at)
-
-    def _at(self, name: str, at: dict) -> DataFrame:
-        return self.spark.read.schema(T.StructType.fromJson(at["schema"])).parquet(*[f"{self._home(name)}/{v}" for v in at["versions"]])
-
-    def stage(self, name: str, df: DataFrame, partition_by: list[str] | None = None, base: dict | None = None) -> dict:
-        """Write a new version without showing it yet; it keeps the stored partitioning unless another is asked for.
 
-        base is the commit that df was made from, if not the present one.
-        """
-        at = base or self.pointer(name) or {"commit": 0, "partition_by": []}
-        version, by = f"v-{uuid.uuid4().hex}", at["partition_by"] if partition_by is None else partition_by
-        df.write.partitionBy(*by).option("maxRecordsPerFile", 500_000).parquet(f"{self._home(name)}/{version}")
-        return {"versions": [version], "schema": df.schema.jsonValue(), "partition_by": by, "base": at["commit"]}
-
-    def publish(self, staged: dict[str, dict]) -> None:
-        """Show staged versions of several tables: all are written before the first is shown. A table that has moved on
-        since it was read raises Conflict before any is shown; one that moves in between raises it for the rest."""
-        for name, at in staged.items():
-            if (self._commits(name) or [0])[-1] != at["base"]:
-                raise Conflict(f"{name}: not at commit {at['base']} any more")
-        for name, at in staged.items():
-            self._commit(name, at["base"] + 1, {k: at[k] for k in ("versions", "schema", "partition_by")})
-
-    def retry(self, write: Callable[[], None]) -> None:
-        """Run a write that reads, stages and publishes, again after each conflict."""
-        for attempt in range(RETRIES):
-            try:
-                write()
-                return
-            except Conflict:
-                if attempt + 1 == RETRIES:
-                    raise
-
-    def write(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        self.publish({name: self.stage(name, df, partition_by)})
-        return self.read(name)
-
-    def purge(self, name: str) -> int:
-        """Delete superseded versions and old commits; the number of versions. A reader that still holds a superseded
-        version fails and has to read again: erasure asks for that."""
-        at = self.pointer(name)
-        fs, home = self._fs(self._home(name))
-        old = [s.getPath() for s in fs.listStatus(home) if s.isDirectory() and s.getPath().getName().startswith("v-") and s.getPath().getName() not in at["versions"]]
-        for p in old:
-            fs.delete(p, True)
-        for number in self._commits(name)[:-KEPT_COMMITS]:
-            fs.delete(self._fs(f"{self._home(name)}/_commits/{number:012d}.json")[1], False)
-        return len(old)
-
-    def data_files(self, name: str) -> list[str]:
-        """Every Parquet file under the table's folder, live or not."""
-        fs, home = self._fs(self._home(name))
-        found, it = [], fs.listFiles(home, True)
-        while it.hasNext():
-            p = it.next().getPath()
-            if p.getName().endswith(".parquet"):
-                found.append(p.toString())
-        return found
-
-    # ---- writes by key
-
-    def insert_ignore(self, name: str, df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-        """First row per key wins; keys already stored are untouched."""
-        first = first_per_key(df, key, order)
-
-        def write() -> None:
-            at = self.pointer(name)
-            if at is None:
-                self.write(name, first)
-            else:
-                # a small batch is broadcast: the stored keys are then scanned where they lie and not shuffled
-                known = self._at(name, at).select(key).join(sized(first.select(key)), key, "left_semi")
-                self._add(name, first.join(known.distinct(), key, "left_anti"), at)
-
-        self.retry(write)
-        if len(self.pointer(name)["versions"]) > COMPACT_AT:
-            self.compact(name)
-        return self.read(name)
-
-    def replace_using(self, name: str, df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-        """The row with the highest order per key wins, stored or new."""
-
-        def write() -> None:
-            at = self.pointer(name)
-            both = self._at(name, at).unionByName(df, allowMissingColumns=True) if at else df
-            self.publish({name: self.stage(name, first_per_key(both, key, order), base=at)})
-
-        self.retry(write)
-        return self.read(name)
-
-    def append(self, name: str, df: DataFrame) -> DataFrame:
-        """Add rows as one more directory; only new columns make the table be written anew."""
-
-        def write() -> None:
-            at = self.pointer(name)
-            if at is None:
-                self.write(name, df)
-            else:
-                self._add(name, df, at)
-
-        self.retry(write)
-        return self.read(name)
-
-    def _add(self, name: str, df: DataFrame, at: dict) -> None:
-        stored = T.StructType.fromJson(at["schema"])
-        if set(df.columns) - set(stored.fieldNames()):
-            self.publish({name: self.stage(name, self._at(name, at).unionByName(df, allowMissingColumns=True), base=at)})
-            return
-        rows = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in stored.fields])
-        new = self.stage(name, rows, base=at)
-        self.publish({name: new | {"versions": at["versions"] + new["versions"], "schema": at["schema"]}})
-
-    def compact(self, name: str) -> DataFrame:
-        """One directory again, after many appends."""
-        self.retry(lambda: self.rewrite(name, lambda df: df))
-        return self.read(name)
-
-    def rewrite(self, name: str, change: Callable[[DataFrame], DataFrame]) -> None:
-        """The table after a change of its rows; Conflict if another writer comes in between."""
-        at = self.pointer(name)
-        self.publish({name: self.stage(name, change(self._at(name, at)), base=at)})
-
-    def assert_sink(self, name: str, schema: T.StructType, partition_by: list[str] | None = None) -> None:
-        at = self.pointer(name)
-        if at is None:
-            return
-        have = [(f.name, f.dataType.simpleString(), f.nullable) for f in T.StructType.fromJson(at["schema"]).fields]
-        want = [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields]
-        if have != want or at["partition_by"] != (partition_by or []):
-            raise SinkMismatch(f"{name}: stored {have} by {at['partition_by']}, expected {want} by {partition_by or []}")
-
-
-def first_per_key(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+from glasslake.sources.lake import Lake, SinkMismatch, first_per_key
 
 
 def merge_alerts(target: DataFrame, batch: DataFrame, registry: DataFrame) -> DataFrame:
@@ -249,23 +17,13 @@ def merge_alerts(target: DataFrame, batch: DataFrame, registry: DataFrame) -> Da
     return first_per_key(both, "alert_id", [F.desc("alerted_at"), F.desc("__new")]).drop("__new")
 
 
-def upsert_alerts(store: TableStore, name: str, batch: DataFrame, registry: DataFrame) -> None:
-    """merge_alerts on a stored table: new alerts are appended, and only a newer form of a stored one rewrites it."""
-    fresh = merge_alerts(batch.limit(0), batch, registry)
-
-    def write() -> None:
-        at = store.pointer(name)
-        if at is None:
-            store.write(name, fresh)
-            return
-        target = store._at(name, at)
-        held = target.select("alert_id", F.col("alerted_at").alias("held_at"))
-        if batch.join(held, "alert_id").where("alerted_at > held_at").isEmpty():
-            store._add(name, fresh.join(held, "alert_id", "left_anti"), at)
-        else:
-            store.publish({name: store.stage(name, merge_alerts(target, batch, registry), base=at)})
-
-    store.retry(write)
+def upsert_alerts(lake: Lake, name: str, batch: DataFrame, registry: DataFrame, batch_name: str | None = None) -> None:
+    """merge_alerts on a stored table: new alerts are a batch of their own, newer forms of stored ones take their place."""
+    if not lake.exists(name):
+        lake.append(name, merge_alerts(batch.limit(0), batch, registry), batch_name)
+        return
+    incoming = batch.join(registry.select("customer_id").distinct(), "customer_id", "left_anti").select(*batch.columns)
+    lake.replace_using(name, incoming, "alert_id", [F.desc("alerted_at"), F.col("event_id")], batch_name)
 
 
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
@@ -294,35 +52,42 @@ def verify_snapshot(expected: DataFrame, found: DataFrame) -> DataFrame:
 EXPORTABLE = ("silver.customers", "silver.orders", "silver.payments", "gold.customer_360", "gold.order_facts", "gold.fraud_summary")
 
 
-def export_lake(tables: dict[str, DataFrame], store: TableStore) -> DataFrame:
-    """Stage all tables, verify count and schema of each staged copy, publish, drop stale versions."""
+def export_lake(tables: dict[str, DataFrame], out: Lake) -> DataFrame:
+    """Write all tables to the staging area of the export, verify count and schema of each copy, and then replace the
+    exported ones from there; the staged copies go."""
     for name in tables:
         if name not in EXPORTABLE:
             raise ValueError(f"{name} may not be exported")
-    staged = {name: store.stage(name, df) for name, df in tables.items()}
+    staged = {name: name.replace(".", "_staged.") for name in tables}
     for name, df in tables.items():
-        back = store.spark.read.parquet(f"{store._home(name)}/{staged[name]['versions'][0]}")
-        types = lambda d: [(f.name, f.dataType) for f in d.schema.fields]
+        out.write(staged[name], df)
+        back = out.read(staged[name])
+        types = lambda d: sorted((f.name, f.dataType.simpleString()) for f in d.schema.fields)
         if types(back) != types(df) or back.count() != df.count():
             raise SinkMismatch(f"staged copy of {name} differs")
-    store.publish(staged)
     for name in tables:
-        store.purge(name)
-    return verify_export(store, tables)
+        out.write(name, out.read(staged[name]))
+    report = verify_export(out, {name: out.read(staged[name]) for name in tables})
+    passed = {r["table_name"]: r["row_count"] for r in report.where("passed").collect()}  # one row for each exported table
+    for name in tables:
+        out.drop(staged[name])
+        if name not in passed:
+            raise SinkMismatch(f"exported copy of {name} differs")
+    return out.spark.createDataFrame([(n, c, True) for n, c in passed.items()], report.schema)
 
 
-def verify_export(store: TableStore, tables: dict[str, DataFrame], erased: DataFrame | None = None) -> DataFrame:
+def verify_export(out: Lake, tables: dict[str, DataFrame], erased: DataFrame | None = None) -> DataFrame:
     """table_name, row_count, passed: the exported copy equals its source and holds no erased customer."""
     parts = []
     for name, df in tables.items():
-        back = store.read(name)
-        lost = back.join(erased.select("customer_id").distinct(), "customer_id", "left_semi").agg(F.count("*").alias("bad")) if erased is not None else store.spark.range(1).select(F.lit(0).alias("bad"))
+        back = out.read(name)
+        lost = back.join(erased.select("customer_id").distinct(), "customer_id", "left_semi").agg(F.count("*").alias("bad")) if erased is not None else out.spark.range(1).select(F.lit(0).alias("bad"))
         both = back.agg(F.count("*").alias("row_count")).crossJoin(df.agg(F.count("*").alias("want"))).crossJoin(lost)  # one-row aggregates
         parts.append(both.select(F.lit(name).alias("table_name"), "row_count", ((F.col("row_count") == F.col("want")) & (F.col("bad") == 0)).alias("passed")))
     return reduce(DataFrame.unionByName, parts)
 
 
-def seed_from_lake(store: TableStore, snapshot: TableStore, names: list[str], registry: DataFrame) -> list[str]:
+def seed_from_lake(store: Lake, snapshot: Lake, names: list[str], registry: DataFrame) -> list[str]:
     """Fill empty tables from a snapshot, without suppressed customers; the tables filled."""
     filled = []
     for name in names:
@@ -332,7 +97,7 @@ def seed_from_lake(store: TableStore, snapshot: TableStore, names: list[str], re
     return filled
 
 
-def read_bronze(store: TableStore, name: str, limit: int | None = None) -> DataFrame:
+def read_bronze(store: Lake, name: str, limit: int | None = None) -> DataFrame:
     if name not in ("orders", "clicks", "payments", "fraud_alerts", "erasure_requests", "ingest_quarantine"):
         raise ValueError(f"unknown Bronze table {name!r}")
     df = store.read(f"bronze.{name}")

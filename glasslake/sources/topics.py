@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from glasslake.operators.contracts import CORRUPT, EVENTS, contract_status, event_schema, normalise, parse, project_event, quarantine_projection, recover_ids, with_lineage
-from glasslake.operators.incremental import get_watermark, set_watermark
+from glasslake.operators.audit import run_log_row
+from glasslake.operators.incremental import get_watermark
 from glasslake.operators.suppression import not_suppressed
-from glasslake.sources.tables import first_per_key
+from glasslake.sources.lake import Lake, first_per_key
 
 RECORD = T.StructType([T.StructField(n, t) for n, t in (("topic", T.StringType()), ("key", T.StringType()), ("value", T.StringType()), ("partition", T.IntegerType()), ("offset", T.LongType()), ("timestamp", T.TimestampType()))])
 
@@ -52,28 +55,52 @@ def ingest(parsed: DataFrame, event_type: str, source: str, registry: DataFrame)
 LATENESS_S = 30 * 86_400.0
 
 
-def ingest_stream(parsed: DataFrame, event_type: str, source: str, registry, store, table: str, checkpoint: str, available_now: bool = True, lateness_s: float = LATENESS_S):
+#: Marks of a stream after which older ones become one.
+COMPACT_MARKS = 64
+
+
+def _mark_before(lake: Lake, pipeline: str, name: str) -> float:
+    """The newest event time of the stream's earlier batches; what a first try of this batch has left does not count."""
+    if not lake.exists("governance.watermarks"):
+        return 0.0
+    return get_watermark(lake.stored("governance.watermarks").where(F.col("_batch") < name), pipeline)
+
+
+def ingest_stream(parsed: DataFrame, event_type: str, source: str, registry, lake: Lake, table: str, checkpoint: str, available_now: bool = True, lateness_s: float = LATENESS_S):
     """Stream ingest: the registry is read again in every micro-batch, so that an erasure takes effect at once.
 
-    Events that come more than lateness_s behind the newest event of earlier batches go to bronze.late_events.
+    Events that come more than lateness_s behind the newest event of earlier batches go to bronze.late_events. A
+    micro-batch writes partitions of its own name in every table, its mark and its counts included, and looks at earlier
+    batches alone: one that is repeated after a crash gives what it gave before. Its rows are counted in the pass that
+    reads them.
     """
-
-    def batch(df: DataFrame, _: int) -> None:
-        df.persist()
-        valid, bad = ingest(df, event_type, source, registry())
-        marks = store.read("governance.watermarks") if store.exists("governance.watermarks") else df.sparkSession.createDataFrame([], "pipeline string, last_ts double")
-        seen = get_watermark(marks, f"stream:{table}")
-        late = F.coalesce(F.col("occurred_at") < seen - lateness_s, F.lit(False))
-        store.insert_ignore(table, valid.where(~late), "event_id", [F.col("_kafka_offset").asc_nulls_last(), F.col("occurred_at")])
-        behind = valid.where(late).select("event_id", F.lit(table).alias("table_name"), "customer_id", "occurred_at", F.to_json(F.struct(*valid.columns)).alias("event"))
-        if not behind.isEmpty():
-            store.insert_ignore("bronze.late_events", behind, "event_id", [F.col("occurred_at")])
-        store.insert_ignore("bronze.ingest_quarantine", bad, "quarantine_id", [F.col("source_offset").asc_nulls_last()])
-        newest = valid.agg(F.max("occurred_at")).first()[0]
-        if newest is not None and newest > seen:
-            rows = [tuple(r) for r in set_watermark(marks, f"stream:{table}", newest).collect()]  # one row per pipeline
-            store.write("governance.watermarks", df.sparkSession.createDataFrame(rows, "pipeline string, last_ts double"))
-        df.unpersist()
+    pipeline = f"stream:{table}"
+
+    def batch(df: DataFrame, number: int) -> None:
+        name = f"{table}-{number:012d}"
+        began, read, split = time.time(), Observation(), Observation()
+        seen = _mark_before(lake, pipeline, name)
+        rows = flagged(df, event_type, source).observe(read, F.count("*").alias("read"))
+        late = F.coalesce(F.col("occurred_at") < seen - lateness_s, F.lit(False)) & ~F.col("_is_malformed")
+        rows = not_suppressed(rows, registry()).withColumn("__late", late)
+        counts = [F.count_if("_is_malformed").alias("malformed"), F.count_if("__late").alias("late"), F.count("*").alias("kept"), F.max(F.when(~F.col("_is_malformed"), F.col("occurred_at"))).alias("newest")]
+        rows = rows.observe(split, *counts).persist()
+        valid = project_event(rows.where("NOT _is_malformed AND NOT __late"), event_type)
+        lake.insert_ignore(table, valid, "event_id", [F.col("_kafka_offset").asc_nulls_last(), F.col("occurred_at")], name)
+        found = {**read.get, **split.get}
+        if found["late"]:
+            behind = project_event(rows.where("__late"), event_type)
+            behind = behind.select("event_id", F.lit(table).alias("table_name"), "customer_id", "occurred_at", F.to_json(F.struct(*behind.columns)).alias("event"))
+            lake.insert_ignore("bronze.late_events", behind, "event_id", [F.col("occurred_at")], name)
+        lake.insert_ignore("bronze.ingest_quarantine", quarantine_projection(rows.where("_is_malformed")), "quarantine_id", [F.col("source_offset").asc_nulls_last()], name)
+        newest = max(seen, found["newest"] or 0.0)
+        lake.append("governance.watermarks", df.sparkSession.createDataFrame([(pipeline, newest)], "pipeline string, last_ts double"), name)
+        numbers = {k: found[k] for k in ("read", "malformed", "late")} | {"suppressed": found["read"] - found["kept"]}
+        lake.append("governance.run_log", run_log_row(df.sparkSession, pipeline, [source], [table, "bronze.late_events", "bronze.ingest_quarantine"], began, time.time(), "completed", numbers), name)
+        rows.unpersist()
+        own = [b for b in lake.batches("governance.watermarks") if b.startswith(f"{table}-")]
+        if len(own) > COMPACT_MARKS:
+            lake.compact("governance.watermarks", own[:-2])
 
     w = parsed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()

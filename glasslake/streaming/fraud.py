@@ -18,7 +18,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from glasslake.functions.scalars import alert_id
 from glasslake.operators.fraud import COLUMNS, HISTORY, LEAST_HISTORY, VELOCITY, WINDOW_S, Z_LIMIT
 from glasslake.operators.suppression import not_suppressed
-from glasslake.sources.tables import TableStore, upsert_alerts
+from glasslake.sources.lake import Lake
+from glasslake.sources.tables import upsert_alerts
 
 #: Event ids and windows that are remembered, life of a customer's state.
 SEEN, WINDOWS, TTL_MS = 2048, 4, 86_400_000
@@ -93,29 +94,29 @@ def velocity_stream(payments: DataFrame, size: int = WINDOW_S, watermark: str =
     return counts.where(F.col("n") > VELOCITY).select("customer_id", F.unix_timestamp("w.start").alias("window_start"), "n")
 
 
-def run(alerts: DataFrame, store: TableStore, registry, checkpoint: str, table: str = "bronze.fraud_alerts", available_now: bool = True):
+def run(alerts: DataFrame, lake: Lake, registry, checkpoint: str, table: str = "bronze.fraud_alerts", available_now: bool = True):
     """Write alerts by key: a retried micro-batch changes nothing; the registry is read again for each batch."""
 
-    def batch(df: DataFrame, _: int) -> None:
+    def batch(df: DataFrame, number: int) -> None:
         df.persist()
-        upsert_alerts(store, table, df, registry())
+        upsert_alerts(lake, table, df, registry(), f"fraud-{number:012d}")
         df.unpersist()
 
     w = alerts.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(batch)
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
 
 
-def run_erasures(requests: DataFrame, store: TableStore, registry, checkpoint: str, erase):
+def run_erasures(requests: DataFrame, lake: Lake, registry, checkpoint: str, erase):
     """The erasure intake as a stream: readable requests are erased as a set, the others go to the dead letters."""
 
-    def batch(df: DataFrame, _: int) -> None:
+    def batch(df: DataFrame, number: int) -> None:
         df.persist()
         bad = df.where("_is_malformed")
         good = df.where("NOT _is_malformed").select("request_id", "customer_id", F.col("occurred_at").alias("requested_at"))
         if not bad.isEmpty():
-            store.append("governance.dead_letters", bad.select("raw_payload", "quarantine_reason"))
+            lake.append("governance.dead_letters", bad.select("raw_payload", "quarantine_reason"), f"erasures-{number:012d}")
         if not good.isEmpty():
-            erase(store, good)
+            erase(lake, good)
         df.unpersist()
 
     return requests.writeStream.option("checkpointLocation", checkpoint).foreachBatch(batch).trigger(availableNow=True).start()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from glasslake.operators import audit, contracts, erasure, fraud, gold, incremental, privacy, quality, reports, silver
 from glasslake.operators.suppression import not_suppressed, suppress
 from glasslake.sources import tables, topics
+from glasslake.sources.lake import Lake
 
 GOOD = "DE89370400440532013000"
 ORDER = "event_id string, order_id string, customer_id string, email string, iban string, country string, amount_eur double, marketing_consent boolean, currency string, occurred_at double"
@@ -146,7 +147,7 @@ def test_manifest(spark):
 
 
 def test_erasure_leaves_only_masks(spark, tmp_path):
-    store = tables.TableStore(spark, str(tmp_path / "lake"))
+    store = Lake(spark, str(tmp_path / "lake"))
     o = orders(spark, [(str(k), c, "x@y.zz", GOOD, 1.0, True, float(k)) for k, c in enumerate("aabbc")])
     none = registry(spark)
     store.write("bronze.orders", o)
@@ -170,57 +171,124 @@ def test_erasure_leaves_only_masks(spark, tmp_path):
 
 
 def test_erasure_covers_every_stored_table(spark, tmp_path):
-    store = tables.TableStore(spark, str(tmp_path / "lake"))
+    store = Lake(spark, str(tmp_path / "lake"))
     o = orders(spark, [("1", "a", "x@y.zz", GOOD, 1.0, True, 1.0), ("2", "a", None, GOOD, 1.0, True, 2.0), ("3", "b", None, GOOD, 1.0, True, 2.0)])
     none = registry(spark)
     store.write("governance.suppression_registry", none)
-    store.write("bronze.orders", o, ["country"])
+    store.write("bronze.orders", o)
     store.write("silver.orders_quarantine", silver.orders_quarantine(o, none))
     store.write("governance.dead_letters", spark.createDataFrame([('{"customer_id":"a",', "x"), ('{"customer_id":"b",', "x"), (None, "y")], "raw_payload string, quarantine_reason string"))
     requests = spark.createDataFrame([("r1", "a", 1.0)], "request_id string, customer_id string, requested_at double")
     erasure.run_erasure(store, requests, 5.0)
     assert [r.customer_id for r in store.read("silver.orders_quarantine").collect()] == ["b"]
     assert sorted(r.raw_payload or "" for r in store.read("governance.dead_letters").collect()) == ["", '{"customer_id":"b",']
-    assert store.pointer("bronze.orders")["partition_by"] == ["country"] and store.read("bronze.orders").count() == 3
+    assert store.read("bronze.orders").count() == 3
     store.write("gold.new_table", o)
     with pytest.raises(ValueError, match="gold.new_table"):
         erasure.run_erasure(store, requests, 6.0)
 
 
 def test_no_update_is_lost(spark, tmp_path, monkeypatch):
-    """A row that arrives while an erasure reads and writes stays; two writers from one commit cannot both publish."""
-    store, late = (tables.TableStore(spark, str(tmp_path / "lake")) for _ in range(2))
+    """A batch that arrives while an erasure reads and writes stays, and its rows of the customer are erased too."""
+    store, late = (Lake(spark, str(tmp_path / "lake")) for _ in range(2))
     o = orders(spark, [("1", "a", "x@y.zz", GOOD, 1.0, True, 1.0), ("2", "b", "x@y.zz", GOOD, 1.0, True, 2.0)])
     store.write("bronze.orders", o)
     store.write("governance.suppression_registry", registry(spark))
-    stage, waiting = store.stage, [orders(spark, [("3", "c", "z@y.zz", GOOD, 1.0, True, 3.0), ("4", "a", "z@y.zz", GOOD, 1.0, True, 3.0)])]
+    rewrite, waiting = store.rewrite, [orders(spark, [("3", "c", "z@y.zz", GOOD, 1.0, True, 3.0), ("4", "a", "z@y.zz", GOOD, 1.0, True, 3.0)])]
+
+    def meanwhile(name, parts, change):
+        def both(rows):
+            if waiting:
+                late.append(name, waiting.pop())
+            return change(rows)
 
-    def staged(name, *args, **more):
-        made = stage(name, *args, **more)
-        if name == "bronze.orders" and waiting:
-            late.append(name, waiting.pop())
-        return made
+        rewrite(name, parts, both)
 
-    monkeypatch.setattr(store, "stage", staged)
+    monkeypatch.setattr(store, "rewrite", meanwhile)
     erasure.run_erasure(store, spark.createDataFrame([("r1", "a", 1.0)], "request_id string, customer_id string, requested_at double"), 5.0)
     assert {(r.event_id, r.email) for r in store.read("bronze.orders").collect()} == {("1", "<anonymized>"), ("2", "x@y.zz"), ("3", "z@y.zz"), ("4", "<anonymized>")}
-    first, second = store.stage("bronze.orders", o), store.stage("bronze.orders", o)
-    store.publish({"bronze.orders": first})
-    with pytest.raises(tables.Conflict):
-        store.publish({"bronze.orders": second})
 
 
-def test_partitions_survive_rewrites(spark, tmp_path):
-    store = tables.TableStore(spark, str(tmp_path / "t"))
-    df = spark.createDataFrame([("a", 1, 1.0), ("b", 2, 2.0)], "alert_id string, event_id int, alerted_at double").withColumn("customer_id", F.lit("x"))
-    store.write("x.t", df, ["event_id"])
-    store.replace_using("x.t", df.withColumn("alerted_at", F.lit(9.0)), "alert_id", [F.desc("alerted_at")])
-    store.append("x.t", df.withColumn("more", F.lit(1)))
-    store.compact("x.t")
-    assert store.pointer("x.t")["partition_by"] == ["event_id"] and store.read("x.t").count() == 4 and store.names() == ["x.t"]
-    store.purge("x.t")
-    assert len(store.pointer("x.t")["versions"]) == 1 and store.read("x.t").count() == 4
-    store.assert_sink("x.t", store.read("x.t").schema, ["event_id"])
+def test_erasure_rewrites_only_the_files_that_hold_the_customers(spark, tmp_path):
+    """Of 40 buckets and two batches, an erasure of three customers in 300 changes the files of their buckets alone."""
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=40)
+    rows = [(f"e{k}", f"c{k % 300}", "x@y.zz", GOOD, 1.0, True, float(k)) for k in range(900)]
+    o, none = orders(spark, rows), registry(spark)
+    lake.append("bronze.orders", o.where("occurred_at < 600"))
+    lake.append("bronze.orders", o.where("occurred_at >= 600"))
+    lake.write("silver.orders", silver.silver_orders(o, none))
+    before = {n: set(lake.files(n)) for n in ("bronze.orders", "silver.orders")}
+    who = spark.createDataFrame([(f"r{k}", f"c{k}", 1.0) for k in (7, 8, 9)], "request_id string, customer_id string, requested_at double")
+    buckets = {r[0] for r in who.select(lake.bucket()).collect()}
+    log = erasure.run_erasure(lake, who, 5.0)
+    for name, files in before.items():
+        changed = files ^ set(lake.files(name))
+        assert changed and {int(f.split("_bucket=")[1].split("/")[0]) for f in changed} == buckets, name
+        assert len(files - set(lake.files(name))) <= len(files) * len(buckets) / 20
+        assert erasure.physical_scan(lake, name, who).isEmpty()
+    whole, _, _ = erasure.erase({"bronze.orders": o, "silver.orders": silver.silver_orders(o, none)}, none, who, 5.0)
+    for name, df in whole.items():
+        assert sorted(map(repr, lake.read(name).select(*df.columns).collect())) == sorted(map(repr, df.collect()))
+    assert erasure.verify_erasure(who, lake.read("governance.suppression_registry"), {n: lake.read(n) for n in before}, log).where("NOT passed").isEmpty()
+    plan = lake.of_customers("silver.orders", who)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_bucket" in plan and "In(customer_id" in plan
+
+
+def test_emptied_partitions_go(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), buckets=4)
+    lake.write("silver.orders", spark.createDataFrame([("a", 1), ("a", 2)], "customer_id string, v int"))
+    lake.write("bronze.orders", orders(spark, []))
+    erasure.run_erasure(lake, spark.createDataFrame([("r1", "a", 1.0)], "request_id string, customer_id string, requested_at double"), 5.0)
+    assert lake.read("silver.orders").isEmpty() and lake.files("silver.orders") == [] and lake.partitions("silver.orders") == []
+    assert lake.append("silver.orders", spark.createDataFrame([("b", 3)], "customer_id string, v int")).count() == 1
+
+
+PAYLOADS = [
+    ('{"email":"","customer_id":"cust_7"', True), ('{"customer_id":"cust_7', True), ("customer_id=cust_7;", True), ('{"customer_id":"cust_70"}', False), ('{"customer_id":"xcust_7"}', False), ('["cust_9","cust_7"]', True), ("cust_7", True),
+    ('{"a":"cust_7_b"}', False), ("", False), (None, False), ('{"id":"caf\\u00e9 1"', True), ("café 1!", True), ("cafe 1", False), ('{"id":"\\ud83d\\ude00x"', True), ("a.b+c", True), ("aXb+c", False), ("\\Ea\\E1", True),
+]
+
+
+def test_payloads_that_name_a_customer(spark):
+    from glasslake.operators import payloads
+
+    ids = spark.createDataFrame([("cust_7",), ("café 1",), ("😀x",), ("a.b+c",), ("\\Ea\\E1",), (None,)], "customer_id string")
+    parked = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(PAYLOADS)], "n int, raw_payload string")
+    named = {r.n for r in payloads.rows_of(parked, ids).collect()}
+    assert named == {k for k, (_, yes) in enumerate(PAYLOADS) if yes}
+    assert {r.n for r in payloads.without_customers(parked, ids).collect()} == set(range(len(PAYLOADS))) - named
+    both = parked.withColumn("customer_id", F.when(F.col("n") == 8, "cust_7").when(F.col("n") == 5, "cust_9"))
+    assert {(r.n, r.named) for r in payloads.rows_of(both, ids.where("customer_id = 'cust_7'")).collect()} == {(k, "cust_7") for k in (0, 1, 2, 5, 6, 8)}
+
+
+def test_proof_sees_payloads_without_an_id(spark):
+    who = spark.createDataFrame([("r1", "a", 1.0)], "request_id string, customer_id string, requested_at double")
+    reg, log = registry(spark, "a"), spark.createDataFrame([("a",)], "customer_id string")
+    parked = spark.createDataFrame([(None, '{"customer_id":"a')], "customer_id string, raw_payload string")
+    assert not erasure.verify_erasure(who, reg, {"bronze.ingest_quarantine": parked}, log).first().passed
+    assert erasure.verify_erasure(who, reg, {"bronze.ingest_quarantine": parked.limit(0)}, log).first().passed
+
+
+def test_batches(spark, tmp_path):
+    """A batch that is written again replaces itself; new columns, other types, compaction, the layout."""
+    lake = Lake(spark, str(tmp_path / "t"), buckets=4)
+    df = spark.createDataFrame([(c, k, 1.0) for k, c in enumerate("abcdefgh")], "customer_id string, event_id int, alerted_at double")
+    lake.append("x.t", df, "s-1")
+    lake.append("x.t", df.where("event_id < 2").withColumn("more", F.lit(1)), "s-2")
+    lake.append("x.t", df.where("event_id = 7"), "s-2")
+    assert lake.read("x.t").count() == 9 and lake.batches("x.t") == ["s-1", "s-2"]
+    lake.replace_using("x.t", df.where("event_id < 3").withColumn("alerted_at", F.lit(9.0)), "event_id", [F.desc("alerted_at")], "s-3")
+    lake.replace_using("x.t", df.where("event_id < 3").withColumn("alerted_at", F.lit(9.0)), "event_id", [F.desc("alerted_at")], "s-3")
+    assert {(r.event_id, r.alerted_at) for r in lake.read("x.t").collect()} == {(k, 9.0 if k < 3 else 1.0) for k in range(8)}
+    rows = lake.read("x.t").count()
+    lake.compact("x.t", ["s-1", "s-2"])
+    assert lake.batches("x.t") == ["s-2", "s-3"] and lake.read("x.t").count() == rows and lake.names() == ["x.t"]
+    lake.assert_sink("x.t", lake.read("x.t").schema)
+    with pytest.raises(tables.SinkMismatch):
+        lake.append("x.t", df.withColumn("event_id", F.lit("x")))
+    nulls = spark.createDataFrame([(None, k) for k in range(50)], "customer_id string, v int")
+    lake.write("x.n", nulls)
+    assert len({k for _, k in lake.partitions("x.n")}) == 4 and lake.write("x.n", nulls.limit(1)).count() == 1 and len(lake.files("x.n")) == 1
 
 
 def test_commands(spark):
@@ -252,14 +320,13 @@ def test_chain_detects_tampering(spark):
 
 
 def test_tables(spark, tmp_path):
-    store = tables.TableStore(spark, str(tmp_path / "t"))
+    store = Lake(spark, str(tmp_path / "t"))
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
     store.insert_ignore("x.t", df, "k", [F.col("v")])
     store.insert_ignore("x.t", spark.createDataFrame([("a", 0), ("c", 9)], "k string, v int"), "k", [F.col("v")])
     assert {tuple(r) for r in store.read("x.t").collect()} == {("a", 1), ("b", 3), ("c", 9)}
     store.replace_using("x.t", df, "k", [F.desc("v")])
     assert {tuple(r) for r in store.read("x.t").collect()} == {("a", 2), ("b", 3), ("c", 9)}
-    assert store.purge("x.t") == 2
     with pytest.raises(tables.SinkMismatch):
         store.assert_sink("x.t", spark.createDataFrame([], "k string, v long").schema)
     same = tables.reconcile({"t": df}, {"t": df.repartition(2)}).first()
@@ -287,7 +354,7 @@ def test_incremental_pipeline_equals_full(spark, tmp_path):
     reg = registry(spark, "d")
 
     def lake(name, order_rows, until):
-        store = tables.TableStore(spark, str(tmp_path / name))
+        store = Lake(spark, str(tmp_path / name))
         store.write("bronze.orders", orders(spark, order_rows))
         store.write("bronze.payments", paid.where(F.col("occurred_at") < until))
         return store
@@ -305,8 +372,42 @@ def test_incremental_pipeline_equals_full(spark, tmp_path):
         assert sorted(map(repr, step.read(name).select(*want.columns).collect())) == sorted(map(repr, want.collect())), name
     log = step.read("governance.run_log").where("task = 'incremental'").first()
     assert log.status == "completed" and "gold.customer_360" in log.outputs and json.loads(log.counts)["silver.orders"] == full.read("silver.orders").count()
-    marks = {r.pipeline: r.last_ts for r in step.read("governance.watermarks").collect()}
-    assert marks == {"bronze.orders": 23.0, "bronze.payments": 190.0}
+    assert all(not batches for batches in jobs.pending(step).values())
+    # rows of old times, and of a time that is known, are new all the same; a suppressed customer leaves without new rows
+    step.append("bronze.orders", orders(spark, [("99", "c", "z@y.zz", GOOD, 5.0, False, 3.0), ("98", "e", "z@y.zz", GOOD, 6.0, True, 23.0)]))
+    full.append("bronze.orders", orders(spark, [("99", "c", "z@y.zz", GOOD, 5.0, False, 3.0), ("98", "e", "z@y.zz", GOOD, 6.0, True, 23.0)]))
+    reg = registry(spark, "b", "d")
+    assert jobs.build_incremental(step, reg) == {"affected": 3, "suppressed": 1}
+    jobs.build_silver(full, reg)
+    jobs.build_gold(full, reg)
+    for name in (*jobs.SILVER, *jobs.GOLD):
+        want = full.read(name)
+        assert sorted(map(repr, step.read(name).select(*want.columns).collect())) == sorted(map(repr, want.collect())), name
+
+
+def test_incremental_reads_new_batches_and_writes_their_buckets(spark, tmp_path):
+    from glasslake.plans import jobs
+
+    store = Lake(spark, str(tmp_path / "lake"), buckets=32)
+    store.write("bronze.orders", orders(spark, [(f"e{k}", f"c{k}", "x@y.zz", GOOD, 1.0, True, float(k)) for k in range(200)]))
+    store.write("bronze.payments", pays(spark, [("c1", 100, "DE", 5)]).withColumn("order_id", F.lit("1")))
+    jobs.run_pipeline(store, registry(spark), now=1.0)
+    before = {n: set(store.files(n)) for n in ("silver.orders", "gold.customer_360")}
+    store.append("bronze.orders", orders(spark, [("late", "c7", "x@y.zz", GOOD, 4.0, True, 0.5)]))
+    # a stream's mark and another pipeline's progress outlive the build
+    store.append("governance.watermarks", spark.createDataFrame([("stream:bronze.clicks", 77.0)], "pipeline string, last_ts double"))
+    jobs.mark_processed(store, {"bronze.orders": ["x"]}, "other")
+    fresh = jobs.pending(store)["bronze.orders"]
+    plan = jobs.new_rows(store, "bronze.orders", fresh)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and len(fresh) == 1
+    assert len(jobs.new_rows(store, "bronze.orders", fresh).select(F.input_file_name()).distinct().collect()) == 1
+    assert jobs.run_pipeline(store, registry(spark), now=2.0, incremental_build=True)[1] == "incremental"
+    for name, files in before.items():
+        assert len(files - set(store.files(name))) == 1 < len(files), name
+    assert store.read("gold.customer_360").where("customer_id = 'c7'").first().order_count == 2
+    jobs.run_pipeline(store, registry(spark), now=3.0)
+    assert incremental.get_watermark(store.read("governance.watermarks"), "stream:bronze.clicks") == 77.0
+    assert not store.read("governance.processed_batches").where("pipeline = 'other'").isEmpty()
 
 
 def test_first_record_of_a_key_wins(spark):
@@ -337,7 +438,7 @@ def test_replay_twice_is_once(spark):
 def test_sql_surface_and_pages(spark, tmp_path):
     from glasslake.plans.sql import register_views, run_sql
 
-    store = tables.TableStore(spark, str(tmp_path / "lake"))
+    store = Lake(spark, str(tmp_path / "lake"))
     store.write("silver.customers", spark.createDataFrame([("a", "x@y.zz"), ("b", "b@y.zz")], "customer_id string, email string"))
     assert register_views(store, ["silver.customers"], {"silver.customers": ["email"]}) == ["silver_customers"]
     rows = run_sql(spark, "SELECT * FROM silver_customers WHERE customer_id = :id", {"id": "a' OR '1'='1"})
@@ -349,12 +450,12 @@ def test_sql_surface_and_pages(spark, tmp_path):
 def test_pipeline_runs_end_to_end(spark, tmp_path):
     from glasslake.plans import jobs
 
-    store, out = tables.TableStore(spark, str(tmp_path / "lake")), tables.TableStore(spark, str(tmp_path / "out"))
+    store, out = Lake(spark, str(tmp_path / "lake")), Lake(spark, str(tmp_path / "out"))
     store.write("bronze.orders", orders(spark, [(str(k), "abcd"[k % 4], "x@y.zz", GOOD, 1.0 + k, True, float(k)) for k in range(8)]))
     store.write("bronze.payments", pays(spark, [("a", 100 + k, "DE", 1000 + k) for k in range(7)]).withColumn("order_id", F.lit("1")))
     reg = registry(spark, "d")
     assert jobs.run_pipeline(store, reg, out, now=1.0) == ["pii", "silver", "gold", "quality", "export"]
     assert store.read("gold.customer_360").count() == 3 and out.read("gold.fraud_summary").first().velocity_alerts == 1
     assert store.read("governance.run_log").count() == 5 and jobs.counts(store, ["silver.orders"]).first().row_count == 6
-    filled = tables.seed_from_lake(tables.TableStore(spark, str(tmp_path / "new")), out, ["silver.orders"], registry(spark, "a"))
+    filled = tables.seed_from_lake(Lake(spark, str(tmp_path / "new")), out, ["silver.orders"], registry(spark, "a"))
     assert filled == ["silver.orders"]

@@ -1,8 +1,11 @@
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from glasslake.operators import fraud
 from glasslake.sources import topics
-from glasslake.sources.tables import TableStore
+from glasslake.sources.lake import Lake
 from glasslake.streaming import fraud as stream
 
 
@@ -16,7 +19,7 @@ def test_stream_equals_batch_in_order(spark, tmp_path):
         df.where(f"int(substring(event_id, 2)) between {part * 20 - 1} and {part * 20 + 19}").coalesce(1).write.mode("append").parquet(source)
     registry = spark.createDataFrame([("c2", 0.0)], "customer_id string, added_at double")
     live = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    store = TableStore(spark, str(tmp_path / "lake"))
+    store = Lake(spark, str(tmp_path / "lake"))
     stream.run(stream.score(live, registry, expire=False), store, lambda: registry, str(tmp_path / "ck")).awaitTermination()
     got = {(r.rule, r.event_id) for r in store.read("bronze.fraud_alerts").collect()}
     want = {(r.rule, r.event_id) for r in fraud.all_alerts(df.where("customer_id <> 'c2'")).collect()}
@@ -29,7 +32,7 @@ def test_stream_ingest(spark, tmp_path):
     body = {"event_id": "e1", "event_type": "page_click", "occurred_at": 5.0, "click_id": "c", "customer_id": "a", "session_id": "s", "ip_address": "1.1.1.1", "page": "p", "country": "DE"}
     lines = [json.dumps({"topic": "clicks", "value": json.dumps(body), "partition": 0, "offset": 0}), json.dumps({"topic": "clicks", "value": "{", "partition": 0, "offset": 1})]
     (folder / "a.json").write_text("\n".join(lines))
-    store = TableStore(spark, str(tmp_path / "lake"))
+    store = Lake(spark, str(tmp_path / "lake"))
     none = spark.createDataFrame([], "customer_id string, added_at double")
     parsed = topics.read_topic(spark, "clicks", "page_click", path=str(folder))
     topics.ingest_stream(parsed, "page_click", "clicks", lambda: none, store, "bronze.clicks", str(tmp_path / "ck")).awaitTermination()
@@ -46,7 +49,7 @@ def add(spark, folder, rows):
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     """State and position outlive the query: a window begun before a restart is counted on, and no event twice."""
     folder, none = str(tmp_path / "in"), spark.createDataFrame([], "customer_id string, added_at double")
-    store = TableStore(spark, str(tmp_path / "lake"))
+    store = Lake(spark, str(tmp_path / "lake"))
 
     def go():
         live = spark.readStream.schema(PAY).parquet(folder)
@@ -62,7 +65,7 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path):
 def test_registry_is_read_again_for_each_batch(spark, tmp_path):
     folder, empty = str(tmp_path / "in"), spark.createDataFrame([], "customer_id string, added_at double")
     gone = spark.createDataFrame([("b", 1.0)], "customer_id string, added_at double")
-    store, known = TableStore(spark, str(tmp_path / "lake")), [gone, empty]
+    store, known = Lake(spark, str(tmp_path / "lake")), [gone, empty]
     for n, who in enumerate("ab"):
         add(spark, folder, [(who, f"{who}{n}", 1000.0 + n, 5.0, "DE", "NL"), ("b", f"x{n}", 1000.0 + n, 5.0, "DE", "NL")])
     live = spark.readStream.schema(PAY).option("maxFilesPerTrigger", 1).parquet(folder)
@@ -74,7 +77,7 @@ def test_registry_is_read_again_for_each_batch(spark, tmp_path):
 def test_continuous_run_with_expiry(spark, tmp_path):
     folder, none = str(tmp_path / "in"), spark.createDataFrame([], "customer_id string, added_at double")
     add(spark, folder, [("a", f"e{k}", 1000.0 + k, 5.0, "DE", "NL") for k in range(3)])
-    store = TableStore(spark, str(tmp_path / "lake"))
+    store = Lake(spark, str(tmp_path / "lake"))
     live = spark.readStream.schema(PAY).parquet(folder)
     query = stream.run(stream.score(live, none, expire=True), store, lambda: none, str(tmp_path / "ck"), available_now=False)
     try:
@@ -107,7 +110,7 @@ def test_velocity_without_own_state(spark, tmp_path):
 def test_late_events_go_aside(spark, tmp_path):
     folder = tmp_path / "topic"
     folder.mkdir()
-    store, none = TableStore(spark, str(tmp_path / "lake")), spark.createDataFrame([], "customer_id string, added_at double")
+    store, none = Lake(spark, str(tmp_path / "lake")), spark.createDataFrame([], "customer_id string, added_at double")
 
     def send(name, offset, times):
         body = {"event_type": "page_click", "click_id": "c", "customer_id": "a", "session_id": "s", "ip_address": "1.1.1.1", "page": "p", "country": "DE"}
@@ -123,6 +126,43 @@ def test_late_events_go_aside(spark, tmp_path):
     assert [(r.event_id, r.table_name, json.loads(r.event)["page"]) for r in late] == [("b1", "bronze.clicks", "p")]
 
 
+def test_crash_between_write_and_checkpoint(spark, tmp_path):
+    """Killed after the tables and the mark were written, the micro-batch is repeated: every row is in exactly one table, and counted once."""
+    folder = tmp_path / "topic"
+    folder.mkdir()
+    none, body = spark.createDataFrame([("gone", 0.0)], "customer_id string, added_at double"), {"event_type": "page_click", "click_id": "c", "session_id": "s", "ip_address": "1.1.1.1", "page": "p", "country": "DE"}
+
+    class Dies(Lake):
+        armed = True
+
+        def append(self, name, df, batch=None):
+            if name == "governance.run_log" and batch.endswith("1") and Dies.armed:
+                Dies.armed = False
+                raise RuntimeError("killed")
+            return super().append(name, df, batch)
+
+    def send(lake, name, offset, rows):
+        lines = [json.dumps({"topic": "clicks", "value": "{" if t is None else json.dumps({**body, "event_id": f"{name}{k}", "customer_id": who, "occurred_at": t}), "partition": 0, "offset": offset + k}) for k, (who, t) in enumerate(rows)]
+        (folder / f"{name}.json").write_text("\n".join(lines))
+        go(lake)
+
+    def go(lake):
+        parsed = topics.read_topic(spark, "clicks", "page_click", path=str(folder))
+        topics.ingest_stream(parsed, "page_click", "clicks", lambda: none, lake, "bronze.clicks", str(tmp_path / "ck"), lateness_s=100.0).awaitTermination()
+
+    lake = Dies(spark, str(tmp_path / "lake"), buckets=4)
+    send(lake, "a", 0, [("a", 1000.0), ("gone", 1100.0), ("a", None)])
+    with pytest.raises(StreamingQueryException):
+        send(lake, "b", 10, [("a", 1500.0), ("b", 950.0), ("a", 880.0), ("gone", 1.0), ("a", None)])
+    go(lake)
+    assert not Dies.armed
+    assert sorted(r.event_id for r in lake.read("bronze.clicks").collect()) == ["a0", "b0", "b1"]
+    assert [r.event_id for r in lake.read("bronze.late_events").collect()] == ["b2"]
+    assert lake.read("bronze.ingest_quarantine").count() == 2
+    log = [json.loads(r.counts) for r in lake.read("governance.run_log").orderBy("started_at").collect()]
+    assert log == [{"late": 0, "malformed": 1, "read": 3, "suppressed": 1}, {"late": 1, "malformed": 1, "read": 5, "suppressed": 1}]
+
+
 def test_partner_files(spark, tmp_path):
     (tmp_path / "drop").mkdir()
     good = {"event_id": "e1", "event_type": "page_click", "occurred_at": 5.0, "click_id": "c", "customer_id": "a", "session_id": "s", "ip_address": "1.1.1.1", "page": "p", "country": "DE"}
