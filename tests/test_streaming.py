@@ -1,6 +1,11 @@
 import json
+from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.errors import StreamingQueryException
 
 from glasslake.operators import fraud
@@ -90,6 +95,87 @@ def test_continuous_run_with_expiry(spark, tmp_path):
         query.stop()
 
 
+def test_a_tombstone_stops_the_next_payment(spark, tmp_path):
+    """The registry is the initial state and not read again; a request stops its customer from then on, restarts included."""
+    paid, asked = str(tmp_path / "in"), str(tmp_path / "asked")
+    registry = spark.createDataFrame([("old", 0.0), (None, 0.0)], "customer_id string, added_at double")
+    request = lambda *who: spark.createDataFrame([(w, 1.0) for w in who], "customer_id string, occurred_at double").coalesce(1).write.mode("append").parquet(asked)
+    lake, none = Lake(spark, str(tmp_path / "lake")), registry.limit(0)
+
+    def go():
+        live, gone = spark.readStream.schema(PAY).parquet(paid), spark.readStream.schema("customer_id string, occurred_at double").parquet(asked)
+        stream.run(stream.score(live, registry, expire=False, tombstones=gone), lake, lambda: none, str(tmp_path / "ck")).awaitTermination()
+        return sorted(r.event_id for r in lake.read("bronze.fraud_alerts").collect())
+
+    add(spark, paid, [(who, f"{who}1", 5000.0, 5.0, "DE", "NL") for who in ("a", "b", "old")])
+    request("nobody")
+    assert go() == ["a1", "b1"]
+    request("b")
+    add(spark, paid, [(who, f"{who}2", 5001.0, 5.0, "DE", "NL") for who in ("a", "b", "old")])
+    assert go() == ["a1", "a2", "b1"]
+    add(spark, paid, [(who, f"{who}3", 5002.0, 5.0, "DE", "NL") for who in ("a", "b", "old", "nobody", "new")])
+    assert go() == ["a1", "a2", "a3", "b1", "new3"]
+
+
+def test_state_is_forgotten_by_event_time(spark, tmp_path):
+    """A day behind the watermark a customer's windows and ids are gone; of one who goes on they stay."""
+    folder, none, day = str(tmp_path / "in"), spark.createDataFrame([], "customer_id string, added_at double"), 86_400.0
+    lake = Lake(spark, str(tmp_path / "lake"))
+
+    def go():
+        live = spark.readStream.schema(PAY).parquet(folder)
+        stream.run(stream.score(live, none, size=int(200 * day), expire=True), lake, lambda: none, str(tmp_path / "ck")).awaitTermination()
+        return {r.event_id for r in lake.read("bronze.fraud_alerts").where("rule = 'VELOCITY'").collect()}
+
+    def five(who, name, at):
+        return [(who, f"{who}{name}{k}", at + k, 5.0, "DE", "DE") for k in range(5)]
+
+    add(spark, folder, five("a", "x", 100.0) + five("b", "x", 300 * day))
+    assert go() == set()
+    add(spark, folder, five("a", "y", 301 * day) + [("b", "by", 301 * day, 5.0, "DE", "DE"), ("z", "z", 900 * day, 5.0, "DE", "DE")])
+    assert go() == {"by"}
+
+
+def test_late_rows_do_not_reopen_a_window():
+    """Windows go by time: after newer ones a closed window tells nothing more, however late its rows come."""
+    rows = lambda times, name: pd.DataFrame({"event_id": [f"{name}{k}" for k in range(len(times))], "occurred_at": times, "amount_eur": 1.0, "country": "DE", "merchant_country": "NL"})
+    first, amounts, windows = stream.score_rows(rows([float(k) for k in range(6)], "a"), np.array([]), {}, 300, "window")
+    assert [a[0] for a in first] == ["VELOCITY", "GEO_MISMATCH"] and windows == {0: (6, True)}
+    _, amounts, windows = stream.score_rows(rows([300.0 * k for k in range(1, 6)], "b"), amounts, windows, 300, "window")
+    assert sorted(windows) == [600, 900, 1200, 1500]
+    late, amounts, after = stream.score_rows(rows([float(k) for k in range(6)], "c"), amounts, windows, 300, "window")
+    assert late == [] and after == windows
+    known, _, after = stream.score_rows(rows([601.0] * 5, "d"), amounts, windows, 300, "window")
+    assert [a[0] for a in known] == ["VELOCITY"] and after[600] == (6, True)
+
+
+@given(st.lists(st.tuples(st.integers(0, 3000), st.one_of(st.none(), st.sampled_from([1.0, 1.0, 2.0, 50.0, 1e6])), st.booleans()), min_size=1, max_size=60), st.integers(1, 4))
+@settings(max_examples=80, deadline=None)
+def test_scores_do_not_depend_on_micro_batches(events, cuts):
+    """In order, any cut into micro-batches gives the alerts of one pass row by row, by the rules as they are written."""
+    events = sorted((float(t), f"e{k:03d}", a, g) for k, (t, a, g) in enumerate(events))
+    want, past, count = [], [], Counter()
+    for t, e, a, g in events:
+        w = int(t // 300) * 300
+        count[w] += 1
+        if count[w] == 6:
+            want.append(("VELOCITY", e))
+        if a is not None:
+            last = past[-200:]
+            if len(last) >= 3 and len(set(last)) > 1 and abs(a - np.mean(last)) / np.std(last, ddof=1) > 3 + 1e-9:
+                want.append(("AMOUNT_ZSCORE", e))
+            past.append(a)
+        if g:
+            want.append(("GEO_MISMATCH", e))
+    frame = pd.DataFrame([(e, t, a, "DE", "NL" if g else "DE") for t, e, a, g in events], columns=["event_id", "occurred_at", "amount_eur", "country", "merchant_country"]).astype({"amount_eur": float})
+    got, amounts, windows = [], np.array([]), {}
+    for part in np.array_split(np.arange(len(frame)), cuts):
+        if len(part):
+            alerts, amounts, windows = stream.score_rows(frame.iloc[part], amounts, windows, 300, "event")
+            got += [(a[0], a[2]) for a in alerts]
+    assert sorted(got) == sorted(want)
+
+
 def test_velocity_without_own_state(spark, tmp_path):
     """Windows close behind the watermark; a row far behind it does not reopen one."""
     folder = str(tmp_path / "in")
