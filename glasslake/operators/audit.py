@@ -1,7 +1,8 @@
 """A tamper-evident copy of the audit log: each record carries the hash of the one before it.
 
-A chain is sequential, so it is sharded by request: each shard is folded in order on its own, and verification
-recomputes all hashes in parallel. One shard gives the plain chain.
+A chain is sequential, so it is sharded by request: each shard is folded in order on its own. One shard gives the plain
+chain. Verification recomputes all hashes in parallel and checks links range by range, for shards of any length; roots of
+segments prove a range without the rest.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasslake.functions.scalars import canonical_json, chain_hash
+from glasslake.operators.ordered import with_previous
 
 GENESIS = "0" * 64
 FIELDS = ["request_id", "customer_id", "requested_at", "completed_at", "layers_touched", "status", "confirmation_hash"]
@@ -57,9 +59,14 @@ def build_chain(audit: DataFrame, shards: int | None = None) -> DataFrame:
 
 
 def verify_chain(chain: DataFrame) -> DataFrame:
-    """shard, seq, problem of every record that does not hold: HASH, LINK, SEQUENCE, MALFORMED, DUPLICATE_ID."""
-    w = Window.partitionBy("shard").orderBy("seq")
-    seen = chain.withColumn("last_hash", F.lag("hash").over(w)).withColumn("last_seq", F.lag("seq").over(w)).withColumn("times", F.count("*").over(Window.partitionBy("shard", "request_id")))
+    """shard, seq, problem of every record that does not hold: HASH, LINK, SEQUENCE, MALFORMED, DUPLICATE_ID.
+
+    A shard may be as long as the log: it is checked in ranges, and each range hands its last record to the next.
+    """
+    repeated = chain.groupBy("shard", "request_id").agg(F.count("*").alias("times")).where("times > 1")
+    seen = with_previous(chain, ["shard"], ["seq", "hash"], ["hash", "seq"], "chain")
+    same = F.col("a.shard").eqNullSafe(F.col("b.shard")) & F.col("a.request_id").eqNullSafe(F.col("b.request_id"))
+    seen = seen.alias("a").join(repeated.alias("b"), same, "left").select("a.*", "times")
     problems = F.array(
         F.when(F.get_json_object("payload", "$.request_id").isNull(), F.lit("MALFORMED")),
         F.when(~chain_hash("seq", "prev_hash", "payload").eqNullSafe(F.col("hash")), F.lit("HASH")),
@@ -70,6 +77,49 @@ def verify_chain(chain: DataFrame) -> DataFrame:
     return seen.select("shard", "seq", F.explode(F.filter(problems, lambda p: p.isNotNull())).alias("problem"))
 
 
+#: Records of a segment, whose root proves it without the rest of the chain.
+SEGMENT = 1024
+
+
+def _segments(chain: DataFrame, size: int) -> DataFrame:
+    """One row for each segment of a shard: its ends and its root, a hash over the records' hashes in order."""
+    records = F.array_sort(F.collect_list(F.struct("seq", "prev_hash", "hash", chain_hash("seq", "prev_hash", "payload").alias("own"))))
+    rows = chain.withColumn("segment", F.floor((F.col("seq") - 1) / size).cast("long")).groupBy("shard", "segment").agg(records.alias("r"), F.count("*").alias("records"))
+    linked = F.forall(F.zip_with(F.slice("r", 2, F.size("r")), F.slice("r", 1, F.size("r") - 1), lambda x, y: (x["prev_hash"] == y["hash"]) & (x["seq"] == y["seq"] + 1)), lambda ok: F.coalesce(ok, F.lit(False)))
+    holds = F.forall("r", lambda x: x["own"].eqNullSafe(x["hash"])) & F.when(F.size("r") > 1, linked).otherwise(F.lit(True))
+    return rows.select(
+        "shard", "segment", "records", F.element_at("r", 1)["seq"].alias("first_seq"), F.element_at("r", 1)["prev_hash"].alias("opens_on"), F.element_at("r", -1)["hash"].alias("closes_with"),
+        F.sha2(F.array_join(F.transform("r", lambda x: x["hash"]), ""), 256).alias("root"), holds.alias("holds"),
+    )
+
+
+def segment_roots(chain: DataFrame, size: int = SEGMENT) -> DataFrame:
+    """shard, segment, records, first_seq, opens_on, closes_with, root: what has to be kept to prove a range of the chain alone."""
+    return _segments(chain, size).drop("holds")
+
+
+def verify_segments(part: DataFrame, roots: DataFrame, size: int = SEGMENT) -> DataFrame:
+    """shard, segment, passed for each kept root: of the records at hand alone, without those before.
+
+    A segment passes if its hashes and links hold, and if its ends and its root are those that were kept.
+    """
+    same = lambda c: F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    found, kept = _segments(part, size).alias("b"), roots.alias("a")
+    both = kept.join(found, same("shard") & same("segment"), "left")
+    ok = F.coalesce(F.col("b.holds"), F.lit(False))
+    for c in ("records", "first_seq", "opens_on", "closes_with", "root"):
+        ok = ok & same(c)
+    return both.select("a.shard", "a.segment", ok.alias("passed"))
+
+
+def verify_roots(roots: DataFrame) -> DataFrame:
+    """shard, segment of every root that does not open on the close of the segment before it."""
+    w = Window.partitionBy("shard").orderBy("segment")  # one row for each SEGMENT records
+    before = roots.withColumn("closed", F.lag("closes_with").over(w)).withColumn("last", F.lag("segment").over(w))
+    wrong = ~F.col("opens_on").eqNullSafe(F.coalesce("closed", F.lit(GENESIS))) | (F.col("segment") != F.coalesce("last", F.lit(-1)) + 1)
+    return before.where(wrong).select("shard", "segment")
+
+
 def cross_check(table: DataFrame, chained: DataFrame) -> DataFrame:
     """request_id and difference between the audit table and its chained copy: a missing side or a field."""
     a, b = table.alias("a"), chained.alias("b")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from glasslake.operators.ordered import ranks
+
 
 def consent_by_country(gold_customers: DataFrame) -> DataFrame:
     yes, no = F.count_if("consents_marketing"), F.count_if(~F.col("consents_marketing"))
@@ -103,11 +105,50 @@ def slo_windows(log: DataFrame, target: float = 0.99, size: int = 86_400, slide:
     return per.select(F.unix_timestamp("w.start").alias("window_start"), "requests", "errors", F.round(1 - F.col("errors") / F.col("requests"), 6).alias("success_ratio"), F.round(burn, 4).alias("burn_rate"), F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - burn)), 4).alias("budget_left"))
 
 
+def slo_state(log: DataFrame, ends_at: float, target: float = 0.99, size: int = 86_400) -> DataFrame:
+    """One row: success ratio, burn rate and remaining error budget of the window that ends at a moment, or at the newest
+    request if that is later. Only 5xx answers spend budget; without traffic it is full."""
+    end = F.greatest(F.lit(float(ends_at)), F.coalesce(F.max("at_s"), F.lit(float(ends_at))))
+    timed = log.crossJoin(F.broadcast(log.agg(end.alias("window_end"))))  # a one-row aggregate
+    inside = F.col("at_s") >= F.col("window_end") - size
+    per = timed.agg(F.count_if(inside).alias("requests"), F.count_if(inside & (F.col("status") >= 500)).alias("errors"), F.coalesce(F.max("window_end"), F.lit(float(ends_at))).alias("window_end"))
+    rate = F.coalesce(F.col("errors") / F.nullif("requests", F.lit(0)), F.lit(0.0))
+    burn = rate / (1 - target) if target < 1 else F.lit(0.0)
+    left = F.when(F.col("requests") == 0, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - burn)))
+    return per.select("window_end", "requests", "errors", F.round(1 - rate, 6).alias("success_ratio"), F.round(burn, 4).alias("burn_rate"), F.round(left, 4).alias("budget_left"))
+
+
+def order_statistics(log: DataFrame, group: str, value: str, wanted: dict[str, tuple[float, str]]) -> DataFrame:
+    """group and one column for each name in wanted: (fraction, "cont" or "disc"), exact for groups of any size.
+
+    Values are ranked by ranges (ordered.ranks), so a group is spread over tasks; the few rows at the ranks that are
+    asked for make the result. A fraction between two ranks is interpolated ("cont") or takes the upper one ("disc").
+    """
+    ranked = ranks(log.where(F.col(value).isNotNull()).select(group, value), [group], [value], "order-statistics")
+    n, targets = F.col("group_rows"), {}
+    for name, (p, kind) in wanted.items():
+        at = 1 + (n - 1) * p if kind == "cont" else F.greatest(F.lit(1), n - F.floor(n - n * p))
+        targets[name] = (F.floor(at), F.ceil(at), at - F.floor(at))
+    hit = F.lit(False)
+    for low, high, _ in targets.values():
+        hit = hit | (F.col("rank") == low) | (F.col("rank") == high)
+    columns = []
+    for name, (low, high, share) in targets.items():
+        below, above = F.max(F.when(F.col("rank") == low, F.col(value))), F.max(F.when(F.col("rank") == high, F.col(value)))
+        columns.append((below + (above - below) * F.max(share)).alias(name) if wanted[name][1] == "cont" else above.alias(name))
+    return ranked.where(hit).groupBy(group).agg(*columns)
+
+
 def latency_percentiles(log: DataFrame) -> DataFrame:
-    at = lambda p: F.round(F.expr(f"percentile_cont({p}) WITHIN GROUP (ORDER BY latency_ms)"), 4)
-    return log.groupBy("endpoint").agg(F.round(F.avg("latency_ms"), 4).alias("mean"), at(0.5).alias("median"), at(0.95).alias("p95"), F.min("latency_ms").alias("least"), F.max("latency_ms").alias("most"))
+    sums = log.groupBy("endpoint").agg(F.round(F.avg("latency_ms"), 4).alias("mean"), F.min("latency_ms").alias("least"), F.max("latency_ms").alias("most"))
+    at = order_statistics(log, "endpoint", "latency_ms", {"median": (0.5, "cont"), "p95": (0.95, "cont")})
+    both = sums.alias("a").join(at.alias("b"), F.col("a.endpoint").eqNullSafe(F.col("b.endpoint")), "left")
+    return both.select("a.endpoint", "mean", F.round("median", 4).alias("median"), F.round("p95", 4).alias("p95"), "least", "most")
 
 
 def latency_nearest_rank(log: DataFrame) -> DataFrame:
-    at = lambda p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY latency_ms)")
-    return log.groupBy("endpoint").agg(F.count("*").alias("requests"), F.count_if(F.col("status") >= 500).alias("server_errors"), at(0.5).alias("p50"), at(0.95).alias("p95"), at(0.99).alias("p99"), F.max("latency_ms").alias("most"), (F.count_if(F.col("status") >= 500) == 0).alias("passed"))
+    errors = F.count_if(F.col("status") >= 500)
+    sums = log.groupBy("endpoint").agg(F.count("*").alias("requests"), errors.alias("server_errors"), F.max("latency_ms").alias("most"), (errors == 0).alias("passed"))
+    at = order_statistics(log, "endpoint", "latency_ms", {f"p{k}": (k / 100, "disc") for k in (50, 95, 99)})
+    both = sums.alias("a").join(at.alias("b"), F.col("a.endpoint").eqNullSafe(F.col("b.endpoint")), "left")
+    return both.select("a.endpoint", "requests", "server_errors", "p50", "p95", "p99", "most", "passed")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from glasslake.functions import scalars
 from glasslake.operators import audit, contracts, erasure, fraud, gold, incremental, privacy, quality, reports, silver
+from glasslake.operators.ordered import work_folder
 from glasslake.operators.suppression import not_suppressed, suppress
 from glasslake.sources import adapters, lake, tables
 from glasslake.sources.adapters import table
@@ -647,7 +648,7 @@ def fraud_stream(spark, d):
     """Alerts of the stateful scorer over the whole events file as a stream."""
     from glasslake.streaming import fraud as stream
 
-    root = f"{_work(spark)}/fraud-{uuid.uuid4().hex}"
+    root = f"{work_folder(spark)}/fraud-{uuid.uuid4().hex}"
     store = lake.Lake(spark, f"{root}/tables")
     registry = adapters.suppression_registry(spark, d)
     stream.run(stream.score(stream.event_payments(spark, d), registry, 86_400, expire=False), store, lambda: registry, f"{root}/checkpoint").awaitTermination()
@@ -658,7 +659,7 @@ def fraud_stream(spark, d):
 def export_verify(spark, d):
     """Proof rows of a staged export of Silver orders and Gold customers."""
     o, _, r = _base(spark, d)
-    store = lake.Lake(spark, f"{_work(spark)}/export-{uuid.uuid4().hex}")
+    store = lake.Lake(spark, f"{work_folder(spark)}/export-{uuid.uuid4().hex}")
     return tables.export_lake({"silver.orders": silver.silver_orders(o, r), "gold.customer_360": _gold(spark, d)}, store)
 
 
@@ -702,7 +703,7 @@ def ingest_quarantine(spark, d):
 
 
 def _store(spark, name):
-    return lake.Lake(spark, f"{_work(spark)}/{name}-{uuid.uuid4().hex}")
+    return lake.Lake(spark, f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}")
 
 
 @query("SELECT o_custkey AS k, min(o_orderkey) FILTER (early) AS stored, coalesce(min(o_orderkey) FILTER (early), min(o_orderkey)) AS v FROM (SELECT *, o_orderdate < DATE '1995-06-01' AS early FROM orders) GROUP BY o_custkey")
@@ -844,14 +845,88 @@ def erase_payloads(spark, d):
     return store.read("governance.quality_results").join(after, "customer_id", "left").select("customer_id", "rows_before", left.alias("rows_after"), (left == 0).alias("passed"))
 
 
-def _work(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where all run in one process."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        import tempfile
+def _chain(spark, d):
+    o = table(spark, d, "orders")
+    at = scalars.epoch_seconds("o_orderdate")
+    return audit.build_chain(o.select(F.concat(F.lit("req-"), "o_orderkey").alias("request_id"), F.concat(F.lit("cust_"), "o_custkey").alias("customer_id"), at.alias("requested_at"), at.alias("completed_at"), F.lit("gold.customer_360").alias("layers_touched"), F.lit("completed").alias("status"), F.lit("x").alias("confirmation_hash")))
+
+
+@query(f"""SELECT shard, (seq - 1) // {audit.SEGMENT} AS segment, count(*) AS records, bool_and(o_orderkey % 500 <> 0) AS passed FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY epoch(o_orderdate), request_id) AS seq FROM
+    (SELECT *, 'req-' || o_orderkey AS request_id, CAST(CAST('0x' || substr(md5('req-' || o_orderkey), 1, 8) AS UBIGINT) % greatest(1, ceil(count(*) OVER () / {audit.SHARD_RECORDS})::BIGINT) AS INT) AS shard FROM orders)) GROUP BY ALL""")
+def audit_chain_segments(spark, d):
+    """Which segments of a chain over all orders can be proved by their kept roots alone, one record in 500 changed afterwards."""
+    chain = _chain(spark, d)
+    roots = audit.segment_roots(chain)
+    hit = F.substring("request_id", 5, 20).cast("long") % 500 == 0
+    changed = chain.withColumn("payload", F.when(hit, F.replace("payload", F.lit("completed\""), F.lit("failed\""))).otherwise(F.col("payload")))
+    proved = audit.verify_segments(changed, roots)
+    return proved.join(roots.select("shard", "segment", "records"), ["shard", "segment"]).select("shard", "segment", "records", "passed")
 
-        named = tempfile.mkdtemp(prefix="glasslake-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return f"{named.rstrip('/')}/lake"
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN 'MISSING_IN_COPY' ELSE 'CHANGED' END AS difference FROM orders WHERE o_orderkey % 50 = 0 OR o_orderkey % 70 = 1
+    UNION ALL SELECT -o_orderkey, 'MISSING_IN_PRIMARY' FROM orders WHERE o_orderkey % 90 = 2 UNION ALL SELECT o_orderkey, 'COUNT' FROM orders WHERE o_orderkey % 110 = 3 AND o_orderkey % 70 <> 1 AND o_orderkey % 50 <> 0""")
+def reconcile_keys(spark, d):
+    """Orders that a copy lacks, has besides, has twice or has with another status, found below differing nodes of two hash trees."""
+    from glasslake.operators.difference import reconcile_keys as keys
+
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    k = F.col("o_orderkey")
+    copy = o.where(k % 50 != 0).withColumn("o_orderstatus", F.when(k % 70 == 1, "changed").otherwise(F.col("o_orderstatus")))
+    copy = copy.unionByName(o.where(k % 90 == 2).withColumn("o_orderkey", -k)).unionByName(o.where((k % 110 == 3) & (k % 70 != 1) & (k % 50 != 0)))
+    return keys(o, copy, "o_orderkey")
+
+
+@query("""SELECT o_orderkey, o_orderkey % 13 = 0 AS corrupt, CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS amount_eur,
+    CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 11 = 0 THEN NULL ELSE o_orderkey % 7 <> 0 END AS marketing_consent,
+    CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE nullif(concat_ws(',', CASE WHEN o_orderkey % 7 = 0 THEN 'amount_eur' END, CASE WHEN o_orderkey % 5 = 0 THEN 'coupon' END, CASE WHEN o_orderkey % 11 = 0 THEN 'marketing_consent' END), '') END AS rescued FROM orders""")
+def partner_rescued(spark, d):
+    """Partner rows with a field beyond the contract, an amount or a consent as text, or a broken line: what is taken and what is rescued."""
+    from glasslake.sources.topics import RESCUED, rescue
+
+    o, k = table(spark, d, "orders"), F.col("o_orderkey")
+    parts = [
+        F.concat(F.lit('{"event_id":"ord-'), k, F.lit('","event_type":"order_placed","order_id":"'), k, F.lit('","amount_eur":')),
+        F.when(k % 7 == 0, F.concat(F.lit('"'), "o_totalprice", F.lit('"'))).otherwise(F.col("o_totalprice").cast("string")), F.when(k % 5 == 0, ',"coupon":{"code":7}').otherwise(""),
+        F.lit(',"marketing_consent":'), F.when(k % 11 == 0, '"yes"').otherwise((k % 7 != 0).cast("string")), F.when(k % 13 == 0, "").otherwise("}"),
+    ]
+    rows = rescue(o.select("o_orderkey", F.concat(*parts).alias("value")), "order_placed")
+    names = F.array_join(F.array_sort(F.map_keys(F.from_json(RESCUED, "map<string,string>"))), ",")
+    return rows.select("o_orderkey", F.col(contracts.CORRUPT).isNotNull().alias("corrupt"), "amount_eur", "marketing_consent", names.alias("rescued"))
+
+
+@query("SELECT customer_id, '<masked>@example.com' AS email, '<masked>' AS iban, country FROM cust WHERE NOT (c_custkey % 11 = 0) AND country <> 'GERMANY'")
+def masked_sql(spark, d):
+    """A statement over customers for a session without roles: masks and the row filter are SQL functions."""
+    from glasslake.plans import sql
+
+    sql.define_functions(spark)
+    rows = adapters.customers(spark, d).select("customer_id", "email", "iban", "country", (F.col("c_custkey") % 11 == 0).alias("restricted"))
+    view = sql.policy_view(spark, "crm.people", rows, sql.Policy({"email": "mask_email", "iban": "mask_pii"}, ("unrestricted", ("restricted",))))
+    return sql.run_sql(spark, f"SELECT customer_id, email, iban, country FROM {view} WHERE country <> :country", {"country": "GERMANY"})
+
+
+@query("""SELECT greatest(1.0, max(at_s)) AS window_end, count(*) FILTER (at_s >= e - 86400) AS requests, count(*) FILTER (at_s >= e - 86400 AND status >= 500) AS errors, round(1 - count(*) FILTER (at_s >= e - 86400 AND status >= 500) / count(*) FILTER (at_s >= e - 86400), 6) AS success_ratio,
+    round(count(*) FILTER (at_s >= e - 86400 AND status >= 500) / count(*) FILTER (at_s >= e - 86400) / (1 - 0.99::DOUBLE), 4) AS burn_rate, round(greatest(0.0, least(1.0, 1 - count(*) FILTER (at_s >= e - 86400 AND status >= 500) / count(*) FILTER (at_s >= e - 86400) / (1 - 0.99::DOUBLE))), 4) AS budget_left
+    FROM request_log, (SELECT max(at_s) AS e FROM request_log)""")
+def slo_state(spark, d):
+    """The error budget of the day that ends with the newest request."""
+    return reports.slo_state(adapters.request_log(spark, d), 1.0)
+
+
+@query("""SELECT phase, table_name, n - CASE WHEN phase = 'after' THEN lost ELSE 0 END AS row_count, phase = 'after' OR lost = 0 AS passed FROM (VALUES ('before'), ('after')) v(phase),
+    (SELECT 'silver.orders' AS table_name, count(*) AS n, count(*) FILTER (customer_id IN (SELECT customer_id FROM requests)) AS lost FROM s_orders
+    UNION ALL SELECT 'gold.customer_360', count(*), count(*) FILTER (customer_id IN (SELECT customer_id FROM requests)) FROM c360)""")
+def export_erased(spark, d):
+    """Whether an export holds erased customers: one made before their erasure, and one made after it."""
+    o, _, r = _base(spark, d)
+    source, out, req = _store(spark, "export-from"), _store(spark, "export-to"), _requests(spark, d)
+    source.write("silver.orders", silver.silver_orders(o, r))
+    source.write("gold.customer_360", _gold(spark, d))
+    names, found = ["silver.orders", "gold.customer_360"], []
+    for phase in ("before", "after"):
+        if phase == "after":
+            erasure.run_erasure(source, req, NOW)
+        tables.export_lake({n: source.read(n) for n in names}, out)
+        proof = tables.verify_export(out, {n: source.read(n) for n in names}, req).collect()  # one row for each table
+        found += [(phase, p["table_name"], p["row_count"], p["passed"]) for p in proof]
+    return spark.createDataFrame(found, "phase string, table_name string, row_count long, passed boolean")

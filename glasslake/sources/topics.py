@@ -31,13 +31,50 @@ def read_topic(spark: SparkSession, topic: str, event_type: str, servers: str |
     return parse(_records(raw), event_type)
 
 
-def read_partner_files(spark: SparkSession, path: str, event_type: str, stream: bool = True) -> DataFrame:
-    """JSON drops of partners with file lineage; a readable row is written back as its own payload."""
+#: What a partner row holds beside its contract: unknown fields, and values of other types.
+RESCUED = "_rescued_data"
+
+
+def rescue(lines: DataFrame, event_type: str) -> DataFrame:
+    """Rows of the contract from lines(value, ...), and what does not fit it as JSON in _rescued_data.
+
+    A line is parsed once, as VARIANT. A field of the contract's type is taken; a value of another type leaves the field NULL
+    and is rescued with its name, as is every field that the contract does not know. Numbers fit numbers if nothing is
+    lost. A line that is no JSON object is corrupt, and its text is the payload; a readable one is its own payload.
+    """
     schema = event_schema(event_type)
-    reader = (spark.readStream if stream else spark.read).schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
-    df = reader.json(path).select("*", F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_modification_time").alias("_file_modification_time"))
-    fields = [f.name for f in schema.fields if f.name != CORRUPT]
-    return df.withColumn("raw_payload", F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*fields))))
+    fields = [f for f in schema.fields if f.name != CORRUPT]
+    parsed = lines.withColumn("__v", F.try_parse_json("value"))
+    whole = F.schema_of_variant("__v").startswith("OBJECT")
+    parsed = parsed.withColumn("__v", F.when(whole, F.col("__v")))
+    kept = {}
+    for f in fields:
+        raw, typed = F.try_variant_get("__v", f"$.{f.name}", "variant"), F.try_variant_get("__v", f"$.{f.name}", f.dataType.simpleString())
+        kind = F.schema_of_variant(raw)
+        # a number is no text and a text no number, though each could be cast
+        fits = kind == "STRING" if isinstance(f.dataType, T.StringType) else kind == "BOOLEAN" if isinstance(f.dataType, T.BooleanType) else ~kind.isin("STRING", "BOOLEAN") & (typed.cast("double") == F.try_variant_get("__v", f"$.{f.name}", "double")) & (F.abs(typed) < float("inf"))
+        kept[f.name] = F.when(F.coalesce(fits, F.lit(False)), typed)
+    typed = parsed.select("*", F.struct(*[c.alias(n) for n, c in kept.items()]).alias("__typed"))
+    names = F.array(*[F.lit(f.name) for f in fields])
+    held = F.from_json(F.to_json("__v"), "map<string,string>")
+    missed = F.array(*[F.when(F.col(f"__typed.{f.name}").isNull(), F.lit(f.name)) for f in fields])
+    odd = F.map_filter(held, lambda k, v: v.isNotNull() & (~F.array_contains(names, k) | F.array_contains(F.filter(missed, lambda x: x.isNotNull()), k)))
+    rest = [c for c in lines.columns if c != "value"]
+    return typed.select(
+        *[f"__typed.{f.name}" for f in fields], F.when(F.col("__v").isNull(), F.col("value")).alias(CORRUPT), *rest,
+        F.when(F.size(odd) > 0, F.to_json(odd)).alias(RESCUED), F.coalesce(F.to_json("__v"), F.col("value")).alias("raw_payload"),
+    )
+
+
+def read_partner_files(spark: SparkSession, path: str, event_type: str, stream: bool = True, strict: bool = True) -> DataFrame:
+    """JSON drops of partners with file lineage, and fields beyond the contract as rescued data.
+
+    strict: a row with rescued data counts as corrupt and is quarantined with its whole text.
+    """
+    reader = spark.readStream if stream else spark.read
+    lines = reader.format("text").load(path).select("value", F.col("_metadata.file_path").alias("_file_path"), F.col("_metadata.file_modification_time").alias("_file_modification_time"))
+    rows = rescue(lines.where(F.trim("value") != ""), event_type)
+    return rows.withColumn(CORRUPT, F.coalesce(CORRUPT, RESCUED)) if strict else rows
 
 
 def flagged(parsed: DataFrame, event_type: str, source: str) -> DataFrame:

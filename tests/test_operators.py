@@ -459,3 +459,117 @@ def test_pipeline_runs_end_to_end(spark, tmp_path):
     assert store.read("governance.run_log").count() == 5 and jobs.counts(store, ["silver.orders"]).first().row_count == 6
     filled = tables.seed_from_lake(Lake(spark, str(tmp_path / "new")), out, ["silver.orders"], registry(spark, "a"))
     assert filled == ["silver.orders"]
+
+
+def test_chain_of_one_shard_in_ranges(spark):
+    """One long shard over many partitions: links across ranges, and every defect at a range's edge or not."""
+    _, c = chain(spark, 400, 1)
+    c = c.repartition(9).cache()
+    assert audit.verify_chain(c).isEmpty()
+    for cut in (1, 100, 399):
+        got = {(r.seq, r.problem) for r in audit.verify_chain(c.where(F.col("seq") != cut)).collect()}
+        assert got == {(cut + 1, "LINK"), (cut + 1, "SEQUENCE")}
+    twice = audit.verify_chain(c.unionByName(c.where("seq = 7")))
+    assert {(r.seq, r.problem) for r in twice.collect()} == {(7, "LINK"), (7, "SEQUENCE"), (7, "DUPLICATE_ID")}
+    plan = audit.verify_chain(c)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_segments_prove_ranges_alone(spark):
+    _, c = chain(spark, 100, 1)
+    roots = audit.segment_roots(c, 16).cache()
+    assert roots.count() == 7 and audit.verify_roots(roots).isEmpty()
+    part = c.where("seq between 33 and 64")
+    assert {r.segment for r in audit.verify_segments(part, roots, 16).where("passed").collect()} == {2, 3}
+    edited = c.withColumn("payload", F.when(F.col("seq") == 40, F.lit("{}")).otherwise(F.col("payload")))
+    assert {r.segment for r in audit.verify_segments(edited, roots, 16).where("NOT passed").collect()} == {2}
+    assert {r.segment for r in audit.verify_segments(c.where("seq <> 50"), roots, 16).where("NOT passed").collect()} == {3}
+    assert [r.segment for r in audit.verify_roots(roots.where("segment <> 4")).collect()] == [5]
+
+
+def test_percentiles_of_a_hot_group(spark):
+    """One endpoint holds nearly all rows, many of them alike; nulls do not count; against sorted lists."""
+    import math
+    import random
+
+    rng = random.Random(2)
+    rows = [("hot", rng.choice([5.0, 5.0, 5.0, float(rng.randrange(1000))]), 200) for _ in range(3000)] + [("cold", float(k), 500) for k in range(4)] + [("one", 7.0, 200), ("none", None, 200), (None, 3.0, 200), ("hot", None, 200)]
+    log = spark.createDataFrame(rows, "endpoint string, latency_ms double, status int").repartition(8)
+    cont = {r.endpoint: r for r in reports.latency_percentiles(log).collect()}
+    disc = {r.endpoint: r for r in reports.latency_nearest_rank(log).collect()}
+    assert set(cont) == {"hot", "cold", "one", "none", None} and cont["none"].median is None and disc["none"].p95 is None and not disc["cold"].passed
+    for name in ("hot", "cold", "one", None):
+        v = sorted(x for e, x, _ in rows if e == name and x is not None)
+        at = 1 + (len(v) - 1) * 0.95
+        low = v[math.floor(at) - 1]
+        assert cont[name].p95 == pytest.approx(low + (v[math.ceil(at) - 1] - low) * (at - math.floor(at)), abs=1e-4)
+        assert disc[name].p99 == v[max(1, math.ceil(len(v) * 0.99)) - 1] and disc[name].p50 == v[max(1, math.ceil(len(v) * 0.5)) - 1]
+
+
+def test_differences_by_hash_tree(spark, tmp_path):
+    from glasslake.operators import difference
+
+    one = spark.range(3000).select("id", F.concat(F.lit("v"), F.col("id") % 10).alias("v"))
+    other = one.where("id not in (5, 77)").withColumn("v", F.when(F.col("id") == 9, None).otherwise(F.col("v"))).unionByName(spark.createDataFrame([(-1, "x"), (8, "v8")], "id long, v string"))
+    leaf = difference.leaf_of("id", 256)
+    a, b = (difference.hash_tree(df.repartition(3), leaf, depth=2).cache() for df in (one, other))
+    assert a.where("level = 0").first()["rows"] == 3000
+    leaves = difference.differing_leaves(a, b, 2)
+    changed = spark.createDataFrame([(k,) for k in (5, 77, 9, -1, 8)], "id long").select(leaf).distinct().count()
+    assert 0 < len(leaves) == changed and difference.differing_leaves(a, a, 2) == []
+    got = {(r.id, r.difference) for r in difference.reconcile_keys(one, other, "id", 2).collect()}
+    assert got == {(5, "MISSING_IN_COPY"), (77, "MISSING_IN_COPY"), (9, "CHANGED"), (-1, "MISSING_IN_PRIMARY"), (8, "COUNT")}
+    first, second = (Lake(spark, str(tmp_path / n), buckets=32) for n in "ab")
+    rows = spark.range(200).select(F.concat(F.lit("c"), "id").alias("customer_id"), F.col("id").alias("v"))
+    first.write("gold.customer_360", rows)
+    second.write("gold.customer_360", rows.withColumn("v", F.when(F.col("v") == 3, -3).otherwise(F.col("v"))))
+    assert [tuple(r) for r in difference.reconcile_lakes(first, second, "gold.customer_360", "customer_id").collect()] == [("c3", "CHANGED")]
+    second.write("gold.customer_360", rows)
+    assert difference.reconcile_lakes(first, second, "gold.customer_360", "customer_id").isEmpty()
+
+
+def test_sql_masks_and_row_filters(spark, tmp_path):
+    from glasslake.plans import sql
+
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.write("silver.customers", spark.createDataFrame([("a", "x@y.zz", False), ("b", None, False), ("c", "plain", True), ("d", "q@y.zz", None)], "customer_id string, email string, restricted boolean"))
+    policy = sql.Policy({"email": "mask_email"}, ("unrestricted", ("restricted",)))
+    assert "mask_email" in sql.define_functions(spark)
+    sql.register_views(lake, ["silver.customers"], policies={"silver.customers": policy})
+    assert {tuple(r) for r in sql.run_sql(spark, "SELECT customer_id, email FROM silver_customers").collect()} == {("a", "<masked>@y.zz"), ("b", None)}
+    assert sql.run_sql(spark, "SELECT * FROM silver_customers WHERE email = :e", {"e": "x@y.zz"}).isEmpty()
+    sql.define_functions(spark, {"pii_reader"})
+    sql.register_views(lake, ["silver.customers"], policies={"silver.customers": policy})
+    assert {r.email for r in sql.run_sql(spark, "SELECT email FROM silver_customers").collect()} == {"x@y.zz", None, "plain", "q@y.zz"}
+    with pytest.raises(ValueError, match="no columns"):
+        sql.policy_view(spark, "x.t", lake.read("silver.customers"), sql.Policy({"mail": "mask_pii"}))
+    with pytest.raises(ValueError):
+        sql.define_functions(spark, {"a') OR ('1'='1"})
+
+
+RESCUED = [
+    ('{"event_id":"e1","occurred_at":5,"amount_eur":1,"marketing_consent":true}', ("e1", 5.0, 1.0, True), None),
+    ('{"event_id":7,"occurred_at":"5","amount_eur":1.5,"extra":[1,2],"order_id":null}', (None, None, 1.5, None), {"event_id": "7", "occurred_at": "5", "extra": "[1,2]"}),
+    ('{"schema_version":1.5,"amount_eur":1e400,"marketing_consent":1}', (None, None, None, None), {"schema_version", "amount_eur", "marketing_consent"}),
+    ('{"schema_version":3000000000,"event_id":"e4"}', ("e4", None, None, None), {"schema_version": "3000000000"}),
+]
+
+
+def test_rescued_fields(spark):
+    rows = [(k, t) for k, (t, _, _) in enumerate(RESCUED)] + [(90, "[1]"), (91, "{broken"), (92, "7")]
+    got = {r.n: r for r in topics.rescue(spark.createDataFrame(rows, "n int, value string"), "order_placed").collect()}
+    for k, (text, fields, odd) in enumerate(RESCUED):
+        r, found = got[k], json.loads(got[k]._rescued_data or "{}")
+        assert (r.event_id, r.occurred_at, r.amount_eur, r.marketing_consent) == fields, text
+        assert set(found) == set(odd or ()) and (not isinstance(odd, dict) or found == odd), text
+        assert r._corrupt_record is None and json.loads(r.raw_payload).keys() == json.loads(text).keys()
+    assert all(got[k]._corrupt_record == t == got[k].raw_payload and got[k]._rescued_data is None for k, t in rows[-3:])
+
+
+def test_budget_without_traffic_is_full(spark):
+    log = spark.createDataFrame([(100.0, 500), (90_000.0, 200), (90_001.0, 503)], "at_s double, status int")
+    r = reports.slo_state(log, 50.0, target=0.5).first()
+    assert (r.window_end, r.requests, r.errors, r.success_ratio, r.burn_rate, r.budget_left) == (90_001.0, 2, 1, 0.5, 1.0, 0.0)
+    for none in (log.limit(0), log):
+        r = reports.slo_state(none, 900_000.0).first()
+        assert (r.requests, r.success_ratio, r.burn_rate, r.budget_left) == (0, 1.0, 0.0, 1.0)
