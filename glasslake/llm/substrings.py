@@ -89,20 +89,22 @@ def _units(unit: str):
     return run
 
 
+def _later(rows: DataFrame) -> DataFrame:
+    """rows(doc_id, d1, d2, again) that are not the first of their digest, with the document that has the first."""
+    seen = rows.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n_rows")).where("n_rows > 1")
+    return join_counted(rows, materialize(seen, "seen"), ["d1", "d2"], "n_rows").where("again OR doc_id <> kept_doc_id")
+
+
 def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, start, end (code points, end exclusive), n_words, kept_doc_id of every span to remove.
 
-    kept_doc_id is the document that keeps the span's first unit (the document itself for a repeat inside it).
-    Repeats inside a document are found where its text is read, so a document joins with one row per digest.
+    kept_doc_id is the document that keeps the span's first unit: the first one that has it anywhere.
+    Repeats inside a document are found where its text is read.
     """
     found = texts(docs).where("doc_id is not null").mapInArrow(_units(unit), _UNITS)
     units = materialize(found, "units")
-    inside = units.where("again").withColumn("kept_doc_id", F.col("doc_id"))
-    first = units.where("NOT again")
-    seen = first.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    across = first.join(seen, ["d1", "d2"]).where("doc_id <> kept_doc_id")
     columns = ["doc_id", "unit", "start", "end", "n_words", "kept_doc_id"]
-    extra = inside.select(columns).unionByName(across.select(columns)).distinct()  # repeated rows are one document
+    extra = _later(units).select(columns).distinct()  # repeated rows are one document
     by_doc = Window.partitionBy("doc_id").orderBy("unit")
     runs = extra.withColumn("run", F.col("unit") - F.dense_rank().over(by_doc))
     spans = runs.groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"), F.min_by("kept_doc_id", "unit").alias("kept_doc_id"))
@@ -215,12 +217,7 @@ def repeated_passages(docs: DataFrame, least_line: int = LEAST_LINE) -> DataFram
     """
     base = texts(docs).where("doc_id is not null")
     rows = materialize(base.mapInArrow(_anchor_rows, _ANCHORS).where((F.col("n") == 0) | (F.col("n") >= least_line)), "anchors")
-    inside = rows.where("again").withColumn("kept_doc_id", F.col("doc_id"))
-    first = rows.where("NOT again")
-    seen = first.groupBy("d1", "d2").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n_docs")).where("n_docs > 1")
-    across = join_counted(first, materialize(seen, "seen"), ["d1", "d2"], "n_docs").where("doc_id <> kept_doc_id")
-    columns = ["doc_id", "at", "n", "d1", "start", "end", "kept_doc_id"]
-    extra = inside.select(columns).unionByName(across.select(columns))
+    extra = _later(rows).select("doc_id", "at", "n", "d1", "start", "end", "kept_doc_id")
     line = extra.where(F.col("n") >= least_line).select("doc_id", F.col("at").alias("first"), (F.col("at") + F.col("n")).alias("behind"), "start", "end", "kept_doc_id").distinct()
     order = Window.partitionBy("doc_id").orderBy("at")
     marked = extra.where("n = 0").withColumn("new", (F.col("at") - F.coalesce(F.lag("at").over(order), F.lit(-ANCHOR - 1)) > ANCHOR).cast("int")).withColumn("run", F.sum("new").over(order))
@@ -235,10 +232,15 @@ def repeated_passages(docs: DataFrame, least_line: int = LEAST_LINE) -> DataFram
     for k, words_of, offsets in (("a", "before", "starts"), ("z", "behind", "ends")):
         theirs = around.where("at < 0").select(F.col("doc_id").alias(f"{k}_kept"), F.col("d1").alias(f"{k}_d1"), F.col(words_of).alias("there"))
         ours = around.where("at >= 0").select("doc_id", F.col("at").alias(f"{k}_at"), F.col(words_of).alias("here"), F.col(offsets).alias("offsets"))
-        out = out.withColumns({f"{k}_kept": F.col(f"{k}.kept_doc_id"), f"{k}_d1": F.col(f"{k}.d1"), f"{k}_at": F.col(f"{k}.at")}).join(theirs, [f"{k}_kept", f"{k}_d1"]).join(ours, ["doc_id", f"{k}_at"])
+        out = out.withColumns({f"{k}_kept": F.col(f"{k}.kept_doc_id"), f"{k}_d1": F.col(f"{k}.d1"), f"{k}_at": F.col(f"{k}.at")})
+        # a passage that very many documents share ends alike in all of them
+        ends_alike = out.groupBy(f"{k}_kept", f"{k}_d1").agg(F.count("*").alias("alike"))
+        theirs = materialize(theirs.join(ends_alike, [f"{k}_kept", f"{k}_d1"]), "passage-theirs")
+        out = join_counted(out, theirs, [f"{k}_kept", f"{k}_d1"], "alike").join(ours, ["doc_id", f"{k}_at"])
         same = F.array_append(F.zip_with("here", "there", lambda x, y: F.coalesce(x == y, F.lit(False))), F.lit(False))
         more = (F.array_position(same, False) - 1).cast("int")
         out = out.withColumn(f"{k}_more", more).withColumn(f"{k}_offset", F.element_at("offsets", F.col(f"{k}_more") + 1)).drop("here", "there", "offsets")
+        out = materialize(out, "passage-ended")
     passages = out.select("doc_id", (F.col("a_at") - F.col("a_more")).alias("first"), (F.col("z_at") + ANCHOR + F.col("z_more")).alias("behind"), F.col("a_offset").alias("start"), F.col("z_offset").alias("end"), F.col("a_kept").alias("kept_doc_id"))
     return _joined(line.unionByName(passages.where(F.col("behind") - F.col("first") >= LEAST_WORDS))).select("doc_id", "start", "end", "n_words", "kept_doc_id")
 

@@ -360,6 +360,18 @@ def test_passages_are_found_in_full(spark, least):
     assert got == want
 
 
+def test_the_first_document_keeps_a_line_for_all(spark):
+    """A document's later copies of a line name the document that keeps it too, and an end that many share is found for each."""
+    line = "one two three four five six seven"
+    rows = [(1, line), (5, f"{line}\nother words stand between these lines here\n{line}"), (7, "only words of its own are in this one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.start, r.kept_doc_id) for r in substrings.repeated_passages(df).collect()) == [(5, 0, 1), (5, 77, 1)]
+    assert {(r.doc_id, r.kept_doc_id) for r in substrings.repeated_spans(df, "paragraph", 1).collect()} == set()
+    passage = " ".join(f"shared{k}" for k in range(30))
+    many = spark.createDataFrame([(k, f"start{k} of this {passage} and end{k} behind") for k in range(300)], "doc_id long, text string")
+    assert {(r.doc_id, r.n_words, r.kept_doc_id) for r in substrings.repeated_passages(many).collect()} == {(k, 33, 0) for k in range(1, 300)}
+
+
 def test_passages_of_edge_rows(spark, edge):
     got = {(r.doc_id, r.n_words, r.kept_doc_id) for r in substrings.repeated_passages(edge).collect()}
     assert {(d, k) for d, _, k in got} == {(6, 6), (7, 6), (8, 8)} and (7, 36, 6) in got
