@@ -278,7 +278,7 @@ def run_pairs(rows: DataFrame, order: list[str], visit: Callable, out: str, name
 
 
 def join_counted(rows: DataFrame, side: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """rows joined with side, which has one row per key and tells how many of rows have it.
+    """rows joined with side, which has few rows per key (mostly one) and tells how many of rows have it.
 
     A key with more rows than a partition's share would put them all in one task. There are at most as many such keys
     as partitions, so these are broadcast, and only the rest is shuffled.

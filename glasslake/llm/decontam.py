@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.llm.common import materialize, slices, texts
+from glasslake.llm.common import join_counted, materialize, slices, texts
 from glasslake.llm.wordhash import STEP, Words, mix, windows, words
 
 #: Words of a window, literal words that it must hold, share of an item's windows that makes a match.
@@ -247,7 +247,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
         known = None
     lengths = [r.n for r in theirs.where("n > 0").select("n").distinct().collect()]
     ours = base.mapInArrow(_window_rows(known, lengths), "id long, pos int, h long").withColumnsRenamed({"id": "doc_id", "pos": "at"})
-    hits = ours.join(theirs.withColumnRenamed("id", "item_id"), "h")
+    # a window of an item may stand in very many documents
+    ours = materialize(ours, "document-windows")
+    standing = ours.groupBy("h").agg(F.count("*").alias("standing"))
+    sought = materialize(theirs.withColumnRenamed("id", "item_id").join(standing, "h"), "item-windows-found")
+    hits = join_counted(ours, sought, ["h"], "standing")
     pairs = hits.groupBy("doc_id", "item_id").agg(F.countDistinct("h").alias("windows"), F.min("at").cast("long").alias("first_word"), F.collect_set(F.struct("at", "pos", "h", "n")).alias("hits"))
     enough = pairs.join(sizes.withColumnRenamed("id", "item_id"), "item_id").withColumn("share", F.col("windows") / F.col("total")).where(F.col("share") >= share)
     enough = materialize(enough.select("doc_id", "item_id", "windows", "share", "first_word", "total", "hits"), "item-hits")

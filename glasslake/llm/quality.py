@@ -26,8 +26,9 @@ from glasslake.llm.common import crc_bucket, slices
 #: Words of a passage, hashed shape features, further ratios, hidden size.
 PASSAGE_WORDS, SHAPES, RATIOS, HIDDEN = 64, 64, 8, 24
 #: Bounds of the training sample: labelled documents, the first by a hash of their id, and passages of each, evenly
-#: spread over its text (so the bound takes effect from 64,000 words on). Scores always see all passages.
-MAX_TRAIN_DOCS, MAX_TRAIN_PASSAGES = 3000, 1000
+#: spread over its text (so the bound takes effect from 7,680 words on, and the driver gets 104 MB at most). Scores always
+#: see all passages.
+MAX_TRAIN_DOCS, MAX_TRAIN_PASSAGES = 3000, 120
 KEPT_WORDS = 150_000
 
 _shape_of: dict[str, tuple[int, int]] = {}
