@@ -266,23 +266,83 @@ def _candidate_visit(plan: Layout):
     return visit
 
 
-def _verify_visit(plan: Layout, similarity: float):
-    def visit(cols, pairs):
-        fp, sets, rep = cols["fp"].view(np.uint64), cols["set"], cols["rep"]
-        label = np.arange(len(rep))
-        links = _Links()
-        for i, j in pairs:
-            near = (label[i] != label[j]) & (np.bitwise_count(fp[i] ^ fp[j]).sum(axis=1) <= plan.whole)
-            for a, b in zip(i[near].tolist(), j[near].tolist(), strict=True):
-                if label[a] == label[b]:  # another pair has joined them already
-                    continue
-                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                if both >= similarity * (len(sets[a]) + len(sets[b]) - both) - 1e-9:
-                    label[label == label[b]] = label[a]
-                    links.add(rep[[a]], rep[[b]])
-        return links.columns()
+def _near_centre(similarity: float):
+    """rep, key and whether the shingle set is near that of its group's smallest class."""
 
-    return visit
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                near = [_alike(_set(part.column("set"), k), _set(part.column("centre"), k), similarity) for k in range(part.num_rows)]
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("rep"), pa.array(near, pa.bool_())], names=["key", "rep", "near"])
+
+    return run
+
+
+def _set(column: pa.Array, k: int) -> np.ndarray:
+    return column[k].values.to_numpy(zero_copy_only=False)
+
+
+def _alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= similarity * (len(x) + len(y) - both) - 1e-9
+
+
+#: Rows on the two sides of a tile, and bytes of shingles that a side may hold (one set at least).
+TILE_FAR, TILE_ALL, TILE_BYTES = 64, 256, 16 << 20
+
+
+def _tile_links(plan: Layout, similarity: float):
+    """Links of a tile: its far classes with all of its other classes."""
+    out = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        far = table.column("far").to_numpy(zero_copy_only=False)
+        rep, fp, sets = table.column("rep").to_numpy(), table.column("fp").combine_chunks(), table.column("set").combine_chunks()
+        marks = fp.flatten().to_numpy().view(np.uint64).reshape(len(rep), plan.words)
+        label, links = np.arange(len(rep)), _Links()
+        for i in np.flatnonzero(far).tolist():
+            close = np.flatnonzero((np.bitwise_count(marks ^ marks[i]).sum(axis=1) <= plan.whole) & (rep != rep[i]))
+            for j in close.tolist():
+                # another link has joined them already, or not
+                if label[i] != label[j] and _alike(_set(sets, i), _set(sets, j), similarity):
+                    label[label == label[j]] = label[i]
+                    links.add(rep[[i]], rep[[j]])
+        found = links.columns()
+        return pa.Table.from_arrays([pa.array(found["u"], pa.int64()), pa.array(found["v"], pa.int64())], schema=out)
+
+    return run
+
+
+def _verified(base: DataFrame, groups: DataFrame, shingle: int, plan: Layout, similarity: float) -> DataFrame:
+    """(u, v) links that connect what all pairs of a candidate group at the similarity connect.
+
+    Each class is compared with its group's smallest one. Those near it are connected by that, whatever links there are
+    among them, so only pairs with a class that is far from it are left. These are compared in tiles of bounded rows and
+    bytes, so that no task holds a group.
+    """
+    sizes = materialize(groups.groupBy("key").agg(F.count("*").alias("n")), "wide-sizes")
+    rows = base.withColumnRenamed("doc_id", "rep").join(groups, "rep").select("key", "rep", "text").mapInArrow(_shingle_sets(shingle, plan, True), "key long, rep long, fp array<long>, set array<long>")
+    rows = materialize(rows.dropDuplicates(["rep"]), "wide-sets")
+    centres = materialize(rows.where("rep = key").select("key", F.col("set").alias("centre")).join(sizes, "key"), "wide-centres")
+    pairs = join_counted(rows.where("rep <> key"), centres, ["key"], "n").select("key", "rep", "set", "centre")
+    near = materialize(pairs.mapInArrow(_near_centre(similarity), "key long, rep long, near boolean"), "wide-near")
+    # groups that have far classes, in blocks of both sides
+    far = F.coalesce(~F.col("near"), F.lit(False))
+    marked = rows.join(near.select("rep", "near"), "rep", "left").withColumn("far", far).withColumn("bytes", 8 * F.size("set"))
+    blocks = lambda rows_of, most, bytes_of: F.greatest(F.ceil(rows_of / most), F.ceil(bytes_of / TILE_BYTES)).cast("int")
+    open_groups = marked.groupBy("key").agg(F.count_if("far").alias("n_far"), F.coalesce(F.sum(F.when(F.col("far"), F.col("bytes"))), F.lit(0)).alias("far_bytes"), F.count("*").alias("n"), F.sum("bytes").alias("all_bytes")).where("n_far > 0")
+    open_groups = materialize(open_groups.select("key", "n", blocks(F.col("n_far"), TILE_FAR, F.col("far_bytes")).alias("far_blocks"), blocks(F.col("n"), TILE_ALL, F.col("all_bytes")).alias("all_blocks")), "wide-open")
+    held = join_counted(marked.select("key", "rep", "fp", "set", "far"), open_groups, ["key"], "n")
+    own = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    each = lambda n: F.sequence(F.lit(0), n - 1)
+    left = held.where("far").select("*", own(F.col("far_blocks")).alias("a"), F.explode(each(F.col("all_blocks"))).alias("b"))
+    right = held.select("*", own(F.col("all_blocks")).alias("b"), F.explode(each(F.col("far_blocks"))).alias("a")).withColumn("far", F.lit(False))
+    tiles = left.unionByName(right).withColumn("tile", F.xxhash64("key", "a", "b")).select("tile", "rep", "fp", "set", "far")
+    links = materialize(tiles.groupBy("tile").applyInArrow(_tile_links(plan, similarity), "u long, v long"), "wide-verified")
+    out = near.where("near").select(F.col("rep").alias("u"), F.col("key").alias("v")).unionByName(links)
+    return materialize(out, "wide-links-verified")
 
 
 def _prefix_rows(similarity: float, most: int):
@@ -342,8 +402,7 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
     keys = classes.select("rep", "fp").mapInArrow(_variants(plan), "key long, rep long, mark long")
     candidates = run_pairs(keys, ["rep"], _candidate_visit(plan), "u long, v long", "wide-links", shift=plan.shift)
     groups = components(candidates, "wide-candidates").select(F.col("node").alias("rep"), F.col("component").alias("key"))
-    sets = base.withColumnRenamed("doc_id", "rep").join(groups, "rep").select("key", "rep", "text").mapInArrow(_shingle_sets(shingle, plan, True), "key long, rep long, fp array<long>, set array<long>")
-    links = run_pairs(sets, ["rep"], _verify_visit(plan, similarity), "u long, v long", "wide-verified")
+    links = _verified(base, groups, shingle, plan, similarity)
     found = components(links.unionByName(exact), "wide-components").select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
     by_class = materialize(classes.select("digest", "rep", "n").join(found, "rep", "left").select("digest", "n", F.coalesce("component_id", "rep").alias("component_id")), "wide-named")
     out = materialize(join_counted(table.select("doc_id", "digest"), by_class, ["digest"], "n").select("doc_id", "component_id"), "similar")

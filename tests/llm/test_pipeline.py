@@ -1,9 +1,11 @@
 import re
 
 import corpus_pipeline
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from glasslake.llm import simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,8 +46,12 @@ def test_stages_on_edge_rows(spark):
     assert corpus_pipeline.packing(spark, docs.limit(0), SF).count() == 0
 
 
-def test_near_duplicates_against_brute_force(spark):
-    """The rows that stay are the smallest of each group that all pairs of shingle sets connect."""
+@pytest.mark.parametrize("tile", [None, (2, 3, 1 << 20), (64, 256, 1)])
+def test_near_duplicates_against_brute_force(spark, tile, monkeypatch):
+    """The rows that stay are the smallest of each group that all pairs of shingle sets connect, however small the tiles are."""
+    if tile is not None:
+        for name, n in zip(("TILE_FAR", "TILE_ALL", "TILE_BYTES"), tile, strict=True):
+            monkeypatch.setattr(simhash, name, n)
     docs = spark.read.parquet(f"{SF}/documents.parquet")
 
     def shingles(text):
