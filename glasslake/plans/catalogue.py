@@ -930,3 +930,87 @@ def export_erased(spark, d):
         proof = tables.verify_export(out, {n: source.read(n) for n in names}, req).collect()  # one row for each table
         found += [(phase, p["table_name"], p["row_count"], p["passed"]) for p in proof]
     return spark.createDataFrame(found, "phase string, table_name string, row_count long, passed boolean")
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'page_click' WHEN event_id % 3 = 1 THEN 'payment_processed' ELSE 'erasure_requested' END AS event_type,
+    CASE WHEN event_id % 3 = 0 THEN CASE WHEN event_id % 5 = 0 THEN 'REQUIRED_FIELD_MISSING' END
+    WHEN event_id % 3 = 1 THEN CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN 'BUSINESS_RULE_FAILED' END
+    ELSE CASE WHEN event_id % 5 = 0 THEN 'REQUIRED_FIELD_MISSING' WHEN event_id % 7 = 0 THEN 'BUSINESS_RULE_FAILED' END END AS reason FROM events""")
+def contract_rules(spark, d):
+    """The rules of clicks, payments and erasure requests: required fields, amounts, statuses and reasons."""
+    e, k = table(spark, d, "events"), F.col("event_id")
+    base = lambda kind: [F.concat(F.lit("e"), k).alias("event_id"), F.lit(kind).alias("event_type"), F.lit(5.0).alias("occurred_at"), F.concat(F.lit("cust_"), "user_id").alias("customer_id")]
+    texts = lambda *names: [F.lit("x").alias(n) for n in names]
+    bodies = {
+        "page_click": [*texts("click_id", "session_id", "ip_address", "country"), F.when(k % 5 != 0, "/home").otherwise(" ").alias("page")],
+        "payment_processed": [*texts("payment_id", "order_id", "iban", "country", "merchant_country"), F.when(k % 5 == 0, -1.0).otherwise(2.0).alias("amount_eur"), F.when(k % 7 == 0, "lost").when(k % 11 == 0, "captured").alias("status")],
+        "erasure_requested": [F.when(k % 5 != 0, "r").alias("request_id"), F.when(k % 7 == 0, "WISH").when(k % 11 == 0, "GDPR_ARTICLE_17").alias("reason")],
+    }
+    from glasslake.sources.topics import flagged
+
+    parts = []
+    for n, (kind, body) in enumerate(bodies.items()):
+        rows = e.where(k % 3 == n).select(F.to_json(F.struct(*base(kind), *body)).alias("value"))
+        parts.append(flagged(contracts.parse(rows, kind), kind, "log").select(F.substring("event_id", 2, 20).cast("long").alias("event_id"), F.lit(kind).alias("event_type"), F.col("quarantine_reason").alias("reason")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("""SELECT event_id FROM s_orders WHERE customer_id NOT IN (SELECT customer_id FROM requests)""")
+def seed_lake(spark, d):
+    """Silver orders of an empty lake that is filled from another one, without customers who have asked for erasure."""
+    o, _, r = _base(spark, d)
+    source, new = _store(spark, "seed-from"), _store(spark, "seed-to")
+    source.write("silver.orders", silver.silver_orders(o, r))
+    tables.seed_from_lake(new, source, ["silver.orders"], _requests(spark, d).select("customer_id"))
+    tables.seed_from_lake(new, source, ["silver.orders"], r)  # not empty any more
+    return new.read("silver.orders").select("event_id")
+
+
+@query("""SELECT 'order_placed' AS table_name, count(*) AS n FROM orders WHERE o_orderkey % 13 NOT BETWEEN 1 AND 6 AND 'cust_' || o_custkey NOT IN (SELECT customer_id FROM registry)
+    UNION ALL SELECT 'quarantine', 3 * count(*) FROM orders WHERE o_orderkey % 13 IN (1, 3, 4, 5, 6) AND 'cust_' || o_custkey NOT IN (SELECT customer_id FROM registry)""")
+def replay_log(spark, d):
+    """Bronze rebuilt from the whole log: valid orders once each, rejected records as often as the log holds them."""
+    from glasslake.sources.topics import replay
+
+    log = _order_log(spark, d).where("get_json_object(value, '$.event_type') IS NULL OR get_json_object(value, '$.event_type') = 'order_placed'")
+    made, _ = replay(spark, log, adapters.suppression_registry(spark, d))
+    return reports.table_counts({n: made[n] for n in ("order_placed", "quarantine")}).select("table_name", F.col("row_count").alias("n"))
+
+
+@query("""SELECT 'orders' AS table_name, count(*) FILTER (customer_id IN (SELECT customer_id FROM requests)) AS held_before, 0 AS held_after, count(*) AS rows_after FROM order_ev
+    UNION ALL SELECT 'silver_orders', count(*) FILTER (customer_id IN (SELECT customer_id FROM requests)), 0, count(*) FILTER (customer_id NOT IN (SELECT customer_id FROM requests)) FROM s_orders""")
+def physical_scan(spark, d):
+    """Rows of erased customers in every data file of two tables, before and after their erasure."""
+    o, _, r = _base(spark, d)
+    store, req, found = _store(spark, "scan"), _requests(spark, d), {}
+    store.append("bronze.orders", o.where(F.col("occurred_at") <= CUT))
+    store.append("bronze.orders", o.where(F.col("occurred_at") > CUT))
+    store.write("silver.orders", silver.silver_orders(o, r))
+    held = lambda name: erasure.physical_scan(store, name, req).agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
+    names = {"bronze.orders": "orders", "silver.orders": "silver_orders"}
+    for name in names:
+        found[name] = [held(name)]
+    erasure.run_erasure(store, req, NOW)
+    rows = [(short, *found[name], held(name), store.read(name).count()) for name, short in names.items()]
+    return spark.createDataFrame(rows, "table_name string, held_before long, held_after int, rows_after long")
+
+
+@query("""SELECT 'erased' AS kind, count(*) AS n FROM requests UNION ALL SELECT 'dead', count(*) FROM customer WHERE c_custkey % 100 = 8
+    UNION ALL SELECT 'kept', count(*) FROM s_orders WHERE customer_id NOT IN (SELECT customer_id FROM requests)""")
+def erasure_stream(spark, d):
+    """The erasure intake as a stream of topic records in two offset ranges: who was erased, and what went to the dead letters."""
+    from glasslake.sources import topics
+    from glasslake.streaming import fraud as stream
+
+    root = f"{work_folder(spark)}/intake-{uuid.uuid4().hex}"
+    o, _, r = _base(spark, d)
+    store, k = _store(spark, "intake"), F.col("c_custkey")
+    store.write("silver.orders", silver.silver_orders(o, r))
+    body = F.to_json(F.struct(F.concat(F.lit("e"), k).alias("event_id"), F.lit("erasure_requested").alias("event_type"), F.lit(5.0).alias("occurred_at"), F.concat(F.lit("req-"), k).alias("request_id"), F.concat(F.lit("cust_"), k).alias("customer_id")))
+    value = F.when(k % 100 == 7, body).otherwise(F.concat(F.lit("{"), body))
+    asked = table(spark, d, "customer").where("c_custkey % 100 IN (7, 8)")
+    asked.select(F.lit("erasures").alias("topic"), value.alias("value"), (k % 2).cast("int").alias("partition"), k.cast("long").alias("offset")).write.json(f"{root}/topic")
+    requests = topics.flagged(topics.read_topic(spark, "erasures", "erasure_requested", path=f"{root}/topic", starting={0: 0, 1: -2}), "erasure_requested", "topic")
+    stream.run_erasures(requests, store, lambda: r, f"{root}/checkpoint", lambda lake, rows: erasure.run_erasure(lake, rows, NOW)).awaitTermination()
+    one = lambda kind, rows: rows.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
+    return one("erased", store.read("governance.erasure_audit_log")).unionByName(one("dead", store.read("governance.dead_letters"))).unionByName(one("kept", store.read("silver.orders")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -21,13 +22,36 @@ def _records(df: DataFrame) -> DataFrame:
     return df.select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("_kafka_ts"), F.col("partition").alias("_kafka_partition"), F.col("offset").alias("_kafka_offset"))
 
 
-def read_topic(spark: SparkSession, topic: str, event_type: str, servers: str | None = None, path: str | None = None, stream: bool = True) -> DataFrame:
-    """Parsed records of a topic: from Kafka, or from a folder of JSON records with the same columns."""
+#: Kafka's names for the ends of a topic.
+EARLIEST, LATEST = "earliest", "latest"
+Offsets = str | dict[int, int]
+
+
+def _kafka_offsets(topic: str, at: Offsets) -> str:
+    return at if isinstance(at, str) else json.dumps({topic: {str(p): n for p, n in at.items()}})
+
+
+def read_topic(spark: SparkSession, topic: str, event_type: str, servers: str | None = None, path: str | None = None, stream: bool = True, starting: Offsets = EARLIEST, ending: Offsets = LATEST) -> DataFrame:
+    """Parsed records of a topic: from Kafka, or from a folder of JSON records with the same columns.
+
+    starting is where a stream without a checkpoint begins, and a batch too; ending is where a batch stops (it is not read).
+    Both are earliest, latest or an offset for each partition; -2 and -1 are a partition's earliest and latest. A folder
+    reads partitions that an offset dict leaves out as a whole, and has no latest to start from.
+    """
     reader = spark.readStream if stream else spark.read
     if servers is not None:
-        raw = reader.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "earliest").option("failOnDataLoss", "false").load()
-    else:
-        raw = reader.schema(RECORD).json(path).where(F.col("topic") == topic)
+        reader = reader.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", _kafka_offsets(topic, starting)).option("failOnDataLoss", "false")
+        return parse(_records((reader if stream else reader.option("endingOffsets", _kafka_offsets(topic, ending))).load()), event_type)
+    if starting == LATEST:
+        raise ValueError("a folder of records has no latest offset to start from")
+    raw = reader.schema(RECORD).json(path).where(F.col("topic") == topic)
+    for at, bound in ((starting, F.col("offset").__ge__), (ending, F.col("offset").__lt__)):
+        if not isinstance(at, str):
+            inside = F.lit(True)
+            for p, n in at.items():
+                if n >= 0:
+                    inside = inside & ((F.col("partition") != p) | bound(F.lit(n)))
+            raw = raw.where(inside)
     return parse(_records(raw), event_type)
 
 

@@ -212,6 +212,18 @@ def test_late_events_go_aside(spark, tmp_path):
     assert [(r.event_id, r.table_name, json.loads(r.event)["page"]) for r in late] == [("b1", "bronze.clicks", "p")]
 
 
+def test_offsets_of_a_topic(spark, tmp_path):
+    folder = tmp_path / "topic"
+    folder.mkdir()
+    lines = [json.dumps({"topic": t, "value": json.dumps({"event_id": f"{t}{p}{n}"}), "partition": p, "offset": n}) for t in ("x", "y") for p in (0, 1, 2) for n in range(4)]
+    (folder / "a.json").write_text("\n".join(lines))
+    read = lambda **how: sorted(r.event_id for r in topics.read_topic(spark, "x", "page_click", path=str(folder), stream=False, **how).collect())
+    assert len(read()) == 12
+    assert read(starting={0: 2, 1: -2, 2: 9}, ending={0: 3, 1: 1}) == ["x02", "x10"]
+    with pytest.raises(ValueError, match="latest"):
+        read(starting="latest")
+
+
 def test_crash_between_write_and_checkpoint(spark, tmp_path):
     """Killed after the tables and the mark were written, the micro-batch is repeated: every row is in exactly one table, and counted once."""
     folder = tmp_path / "topic"
