@@ -16,6 +16,7 @@ Each partition is replaced as one, several partitions or tables one after the ot
 from __future__ import annotations
 
 import hashlib
+import re
 import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -127,6 +128,8 @@ class Lake:
     def _laid_out(self, name: str, df: DataFrame, batch: str | None) -> DataFrame:
         """df with the layout's columns; rows without a customer are spread over the buckets by their content."""
         if batch is not None:
+            if not re.fullmatch(r"[\w.-]+", batch):
+                raise ValueError(f"not a name of a batch: {batch!r}")
             spread = F.coalesce(F.col("customer_id").cast("string"), F.xxhash64(*df.columns).cast("string")) if "customer_id" in df.columns else None
             df = df.withColumns({"_batch": F.lit(batch), "_bucket": self.bucket(spread) if spread is not None else F.lit(0)})
         # one task for each partition, large ones split: a partition gets few files
