@@ -1,8 +1,9 @@
 """PII replacement by surrogates.
 
 Entities are found by pattern: e-mail and IP addresses, phone numbers, card numbers and IBANs, and the given and family
-names of persons named with a title; such a name is also replaced where it stands alone in its text. Each distinct
-entity gets one surrogate drawn from a keyed hash: of the same type, script and format, given names of the same gender,
+names of persons. A person is a capitalised name with evidence beside it: a title, a usual given name before a family
+name, a verb of speech, the head of a letter, a closing line, or words that introduce. A name that has evidence somewhere
+is also replaced where it stands alone in its text. Each distinct entity gets one surrogate drawn from a keyed hash: of the same type, script and format, given names of the same gender,
 cards and IBANs with check digits that fit. All mentions of an entity get its surrogate, written in the mention's own
 format; as given and family names are entities of their own, "Mr. John Smith" and "Mr. Smith" stay one person.
 
@@ -11,7 +12,7 @@ the corpus; whoever loses draws again. Every WIDEN draws the format grows by one
 format that the corpus has used up does not stop the job. Initials are shifted along their alphabet instead: there
 are too few of them to avoid each other.
 
-Limits: persons without a title anywhere in their text, and phone numbers without a prefix or area code, stay.
+Limits: persons without any such evidence in their text, and phone numbers without a prefix or area code, stay.
 
 Defined results: null and empty texts have no entities; offsets are code points, end exclusive; null ids are kept as
 null; repeated rows give equal rows; an empty table gives no rows; other columns are ignored (scan) or kept (replace).
@@ -63,8 +64,58 @@ FAMILY = {
     "cyrillic": ("Бел Вол Гор Дар Зор Кол Лен Мор Нов Пет Род Сав Тар Хол Шар".split(), "анко ев енко ин ич ко ов овский ский ук".split()),
     "greek": ("Αλεξ Βασ Γεωργ Δημ Ζαχ Θεοδ Καρ Λαμπ Μιχ Νικ Παπ Σταυρ".split(), "άκης άκος άτος έλης ίδης όπουλος ούλης ώτης".split()),
 }
+#: Usual given names that are evidence of a person where a family name follows; none is a common word, a month or a town.
+FORENAMES = {
+    "f": """Alice Amelia Andrea Angela Anne Barbara Beatrice Brigitte Camille Caroline Catherine Charlotte Christine Claire Claudia
+        Elizabeth Emily Emma Eva Françoise Hannah Isabel Jane Jennifer Jessica Johanna Karen Katharina Linda Lisa Lucy Margaret Marie
+        Martina Mary Michelle Monika Nancy Nicole Olivia Patricia Rachel Rebecca Ruth Sabine Sandra Sarah Silvia Sofia Sophie Susan Ursula""".split(),
+    "m": """Albert Alexander Andreas Andrew Anthony Antonio Benjamin Charles Christian Christopher David Diego Edward Fernando
+        Francisco François George Hans Harold Henry Jacques James Javier Jean Jeffrey John José Joseph Juan Jürgen Kenneth Klaus Lars Luis
+        Lukas Manuel Matthew Michael Miguel Nicolas Pablo Patrick Pedro Peter Philip Pierre Rafael Richard Robert Samuel Stefan Stephen
+        Thomas Timothy Tobias Walter William Wolfgang""".split(),
+}
+#: Verbs of speech, heads of letters, closing lines and introductions, by language.
+SPEECH = """said says told asked replied wrote writes added explained announced sagte sagt schrieb erklärte fragte antwortete dit déclare
+    déclara écrit répond demanda dijo dice escribió explicó respondió preguntó сказал сказала написал написала ответил ответила είπε έγραψε απάντησε""".split()
+HEADS = "From To Cc Bcc Reply-To Sender Author Von An De Para À От Кому Από Προς".split()
+CLOSINGS = [
+    "best regards", "kind regards", "warm regards", "regards", "best wishes", "sincerely", "yours sincerely", "yours truly", "yours faithfully", "cheers", "many thanks",
+    "mit freundlichen grüßen", "viele grüße", "beste grüße", "liebe grüße", "cordialement", "bien à vous", "amicalement", "saludos", "un saludo", "atentamente",
+    "с уважением", "με εκτίμηση",
+]
+INTRODUCTIONS = [
+    "my name is", "i am called", "ich heiße", "mein name ist", "je m'appelle", "mon nom est", "me llamo", "mi nombre es", "меня зовут", "με λένε", "ονομάζομαι",
+]
+#: Capitalised words that are no given name, that only announce a family name, and that are no family name.
+NO_GIVEN = set("""The A An This That These Those He She It They We You I And But So As In On At For If When While However Then Also Our His Her Their My
+    New Old North South East West San Saint Los Las United Der Die Das Ein Eine Er Sie Es Wir Ihr Und Aber Doch In Am Im Le La Les Un Une Il Elle Nous Vous Et
+    Mais El Los Una Ella Y Pero Он Она Они Мы И Но""".split())
+ROLES = set("""President Minister Chancellor Director Senator Judge Professor Doctor Captain Bundeskanzler Präsident Professorin Ministerin Président
+    Ministre Presidente Ministro Directora""".split())
+NO_FAMILY = set("""Inc Ltd LLC Corp Company GmbH AG Bank University College School Institute Hospital Station Street Road Avenue Square City County Park
+    River Lake Island Islands Church Museum Bridge Airport Prize Award Day Act Department Ministry Committee Team News Times""".split())
 ALPHABETS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшщэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω"}
-_GENDER = {name.lower(): gender for (_, gender), names in GIVEN.items() for name in names}
+_GENDER = {name.lower(): gender for gender, names in [*((g, n) for (_, g), n in GIVEN.items()), *FORENAMES.items()] for name in names}
+
+_WORD = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))*+"
+_INITIALS = r"(?:(?:[^\W\d_]\.)+[ \t]+)?"
+_FULL = rf"({_WORD})[ \t]+{_INITIALS}({_WORD})"
+_SOME = rf"({_WORD})(?:[ \t]+{_INITIALS}({_WORD}))?"
+
+
+def _any(words) -> str:
+    return "(?:" + "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True)) + ")"
+
+
+_SPOKEN = re.compile(rf"(?<!\w){_any(SPEECH)}(?!\w)")
+_SPEAKER = re.compile(rf"(?<!\w){_FULL},?[ \t]+{_any(SPEECH)}(?!\w)")
+_SPEAKER_BEHIND = re.compile(rf"(?<!\w){_any(SPEECH)}[ \t]+{_FULL}")
+_HEAD = re.compile(rf"(?m)^[ \t>]*{_any(HEADS)}[ \t]*:[ \t]*\"?{_SOME}\"?[ \t]*(<|\(|,|;|\r?$)")
+_CLOSING = re.compile(rf"(?mi)^[ \t>]*{_any(CLOSINGS)}[ \t]*[,.!]?[ \t]*\r?\n[ \t\r\n]*+{_SOME}[ \t]*\r?$")
+_INTRODUCED = re.compile(rf"(?i)(?<!\w){_any(INTRODUCTIONS)}[ \t]+{_SOME}")
+_FORENAME = re.compile(rf"(?<!\w)({_any(n for names in [*GIVEN.values(), *FORENAMES.values()] for n in names)})[ \t]+{_INITIALS}({_WORD})")
+_LETTERS = re.compile(r"(?<!\w)[^\W\d_]+")
+_GOES_ON = re.compile(r"[\w-]")
 
 
 def script(text: str) -> str:
@@ -126,9 +177,32 @@ def _numbers(text: str) -> Iterator[tuple[str, int, int, str, str]]:
                 continue
 
 
-def _persons(text: str) -> Iterator[tuple[str, int, int, str, str]]:
-    """Given and family names behind titles, then the same words where they stand alone."""
-    known: dict[str, tuple[str, str]] = {}
+def _untitled(text: str) -> Iterator[tuple[re.Match, bool]]:
+    """Matches of a given name (group 1) and perhaps a family name (group 2) with evidence but no title; whether a given name alone counts."""
+    if _SPOKEN.search(text):
+        yield from ((m, False) for m in _SPEAKER.finditer(text))
+        yield from ((m, False) for m in _SPEAKER_BEHIND.finditer(text))
+    if ":" in text:
+        yield from ((m, m[3] == "<" or m[1].lower() in _GENDER) for m in _HEAD.finditer(text))
+    yield from ((m, True) for m in _CLOSING.finditer(text))
+    yield from ((m, True) for m in _INTRODUCED.finditer(text))
+    yield from ((m, False) for m in _FORENAME.finditer(text))
+
+
+def _evident(text: str) -> Iterator[tuple[str, int, int, str]]:
+    """(kind, start, end, gender) of names of persons who have evidence but no title there."""
+    for m, alone in _untitled(text):
+        given, family = m[1][0].isupper() and m[1] not in NO_GIVEN, m[2] is not None and m[2][0].isupper() and m[2] not in NO_FAMILY
+        if not given or m[1] in TITLES or (m[2] is not None and m[2] in NO_FAMILY) or not (family or alone):
+            continue
+        if m[1] not in ROLES:
+            yield "given", m.start(1), m.end(1), _GENDER.get(m[1].lower(), "n")
+        if family:
+            yield "family", m.start(2), m.end(2), ""
+
+
+def _titled(text: str) -> Iterator[tuple[str, int, int, str]]:
+    """(kind, start, end, gender) of names behind titles."""
     for m in _PERSON.finditer(text):
         if not m[2][0].isupper() and script(m[2]) != "other":
             continue
@@ -138,13 +212,33 @@ def _persons(text: str) -> Iterator[tuple[str, int, int, str, str]]:
             kind = "given" if len(parts) == 2 and k == 2 else "family"
             if kind == "given" and gender == "n":
                 gender = _GENDER.get(m[k].lower(), "n")
-            own = gender if kind == "given" else ""
-            yield kind, m.start(k), m.end(k), m[k].lower(), own
-            if len(m[k]) >= 3:
-                known.setdefault(m[k], (kind, own))
+            yield kind, m.start(k), m.end(k), gender if kind == "given" else ""
+
+
+def _persons(text: str) -> Iterator[tuple[str, int, int, str, str]]:
+    """Names with evidence, those with titles first, then the same words where they stand alone.
+
+    A word is one kind of name in all of its text: the one it has where it is met first.
+    """
+    known: dict[str, tuple[str, str]] = {}
+    for kind, start, end, gender in itertools.chain(_titled(text), _evident(text)):
+        name = text[start:end]
+        if len(name) >= 3:
+            kind, gender = known.setdefault(name, (kind, gender))
+        yield kind, start, end, name.lower(), gender
     if known:
-        for m in re.finditer(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(known, key=len, reverse=True))) + r")(?![\w-])", text):
-            yield known[m[0]][0], m.start(), m.end(), m[0].lower(), known[m[0]][1]
+        # by the first run of letters, so that the work does not grow with the number of names
+        starting: dict[str, list[str]] = {}
+        for name in sorted(known, key=len, reverse=True):
+            starting.setdefault(_LETTERS.match(name)[0], []).append(name)
+        at = 0
+        for m in _LETTERS.finditer(text):
+            for name in starting.get(m[0], ()) if m.start() >= at else ():
+                end = m.start() + len(name)
+                if text.startswith(name, m.start()) and not _GOES_ON.match(text, end):
+                    yield known[name][0], m.start(), end, name.lower(), known[name][1]
+                    at = end
+                    break
 
 
 def mentions(text: str) -> list[tuple[str, int, int, str, str]]:
