@@ -966,6 +966,41 @@ def seed_lake(spark, d):
     return new.read("silver.orders").select("event_id")
 
 
+@query("""SELECT 'run-1' AS run_id, check_name, passed, bool_or(NOT passed) OVER () AS stopped
+    FROM (SELECT 'unique:bronze.orders.event_id' AS check_name, count(*) = count(DISTINCT event_id) AS passed FROM order_ev
+        UNION ALL SELECT 'suppression:bronze.orders', count(*) = 0 FROM order_ev JOIN registry USING (customer_id)
+        UNION ALL SELECT 'suppression:silver.orders', count(*) = 0 FROM s_orders JOIN registry USING (customer_id)
+        UNION ALL SELECT 'unreadable', FALSE)""")
+def quality_run(spark, d):
+    """All results of a run are stored before its gate stops it: a check that cannot be made is a failed one and hides no other."""
+    o, _, r = _base(spark, d)
+    store = _store(spark, "quality-run")
+    checks = {
+        "unreadable": lambda: quality.uniqueness(o, "no_such_column", "bronze.orders"),
+        "unique": lambda: quality.uniqueness(o, "event_id", "bronze.orders"),
+        "suppression": lambda: quality.suppression_enforced({"bronze.orders": o, "silver.orders": silver.silver_orders(o, r)}, r),
+    }
+    store.append("governance.quality_results", quality.run_checks(spark, checks, "run-1", NOW))
+    stored, stopped = store.read("governance.quality_results"), False
+    try:
+        quality.gate(stored)
+    except quality.QualityGateError:
+        stopped = True
+    return stored.select("run_id", "check_name", "passed", F.lit(stopped).alias("stopped"))
+
+
+@query("SELECT 'orders' AS table_name, event_id, customer_id FROM order_ev UNION ALL SELECT 'payments', event_id, customer_id FROM pay_ev")
+def bronze_read(spark, d):
+    """Stored Bronze rows, written in two batches and read whole."""
+    o, p, _ = _base(spark, d)
+    store = _store(spark, "bronze-read")
+    for name, rows in (("orders", o), ("payments", p)):
+        store.append(f"bronze.{name}", rows.where(F.col("occurred_at") <= CUT))
+        store.append(f"bronze.{name}", rows.where(F.col("occurred_at") > CUT))
+    parts = [tables.read_bronze(store, n).select(F.lit(n).alias("table_name"), "event_id", "customer_id") for n in ("orders", "payments")]
+    return parts[0].unionByName(parts[1])
+
+
 @query("""SELECT 'order_placed' AS table_name, count(*) AS n FROM orders WHERE o_orderkey % 13 NOT BETWEEN 1 AND 6 AND 'cust_' || o_custkey NOT IN (SELECT customer_id FROM registry)
     UNION ALL SELECT 'quarantine', 3 * count(*) FROM orders WHERE o_orderkey % 13 IN (1, 3, 4, 5, 6) AND 'cust_' || o_custkey NOT IN (SELECT customer_id FROM registry)""")
 def replay_log(spark, d):

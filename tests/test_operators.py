@@ -573,3 +573,22 @@ def test_budget_without_traffic_is_full(spark):
     for none in (log.limit(0), log):
         r = reports.slo_state(none, 900_000.0).first()
         assert (r.requests, r.success_ratio, r.burn_rate, r.budget_left) == (0, 1.0, 0.0, 1.0)
+
+
+def test_stored_bronze_is_read_by_name(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    lake.append("bronze.orders", orders(spark, [(f"e{k}", f"c{k}", None, None, 1.0, True, float(k)) for k in range(5)]))
+    assert tables.read_bronze(lake, "orders").count() == 5 and tables.read_bronze(lake, "orders", 2).count() == 2 and tables.read_bronze(lake, "orders", 0).count() == 0
+    with pytest.raises(ValueError, match="unknown Bronze table"):
+        tables.read_bronze(lake, "customers")
+
+
+def test_a_broken_check_is_a_failed_one(spark):
+    rows = orders(spark, [("e", "c", None, None, 1.0, True, 1.0)])
+    checks = {"broken": lambda: quality.uniqueness(rows, "nothing", "t"), "good": lambda: quality.uniqueness(rows, "event_id", "t")}
+    found = quality.run_checks(spark, checks, "r", 1.0)
+    got = {r.check_name: r.passed for r in found.collect()}
+    assert got["broken"] is False and got["unique:t.event_id"] is True and len(got) == 2
+    with pytest.raises(quality.QualityGateError, match="broken"):
+        quality.gate(found)
+    assert quality.gate(found.where("passed")) is None
