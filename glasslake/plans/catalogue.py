@@ -189,7 +189,7 @@ def silver_payments(spark, d):
 @query(f"SELECT event_id, payment_id, order_id, customer_id, sha256('{SALT}:' || iban) AS iban_hash, country, merchant_country, round(amount_eur, 4) AS amount_eur, status, occurred_at FROM pay_new WHERE iban_ok AND amount_eur >= 0")
 def silver_payments_pseudonymised(spark, d):
     _, p, r = _base(spark, d)
-    return silver.silver_payments(p, r).withColumn("amount_eur", F.round("amount_eur", 4))
+    return silver.silver_payments(p, r, adapters.PAYMENT_WITHIN).withColumn("amount_eur", F.round("amount_eur", 4))
 
 
 @query("SELECT sha256('event|' || event_id) AS quarantine_id, event_id, customer_id, 'IBAN_MOD97_FAILED' AS quarantine_reason, occurred_at FROM order_new WHERE NOT iban_ok")
@@ -201,7 +201,7 @@ def orders_quarantine(spark, d):
 @query("SELECT sha256('event|' || event_id) AS quarantine_id, event_id, customer_id, 'IBAN_MOD97_FAILED' AS quarantine_reason, occurred_at FROM pay_new WHERE NOT iban_ok")
 def payments_quarantine(spark, d):
     _, p, r = _base(spark, d)
-    return silver.payments_quarantine(p, r)
+    return silver.payments_quarantine(p, r, adapters.PAYMENT_WITHIN)
 
 
 @query("SELECT event_id, order_id, customer_id, country, amount_eur, marketing_consent, occurred_at FROM gap_flag WHERE ok")
@@ -338,7 +338,7 @@ def top_fraud_customers(spark, d):
     FROM (SELECT 'o' AS t, customer_id, count(*) AS n FROM s_orders GROUP BY customer_id UNION ALL SELECT 'p', customer_id, count(*) FROM pay_new WHERE iban_ok GROUP BY customer_id UNION ALL SELECT 'c', customer_id, 1 FROM c360) GROUP BY customer_id""")
 def erasure_impact(spark, d):
     o, p, r = _base(spark, d)
-    t = {"silver.orders": silver.silver_orders(o, r), "silver.payments": silver.silver_payments(p, r), "gold.customer_360": _gold(spark, d)}
+    t = {"silver.orders": silver.silver_orders(o, r), "silver.payments": silver.silver_payments(p, r, adapters.PAYMENT_WITHIN), "gold.customer_360": _gold(spark, d)}
     return reports.erasure_impact(reports.erasure_impact_counts(t), r, list(t))
 
 

@@ -2,28 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glasslake.functions.scalars import epoch_seconds
+from glasslake.operators.suppression import sized
+
+
+#: A column that the event_id of a payment fixes, and by which payments_processed leaves its rows together.
+PAYMENT_WITHIN = "order_id"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer_id, email, iban, country; every eleventh IBAN has a wrong check digit."""
-    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+def _customer_columns() -> dict[str, Column]:
+    """customer_id, email and iban from c_custkey and c_name; every eleventh IBAN has a wrong check digit."""
     bban = F.lpad(F.col("c_custkey").cast("string"), 18, "0")
     check = 98 - F.concat(bban, F.lit("131400")).cast("decimal(38,0)") % 97
     wrong = F.when(F.col("c_custkey") % 11 == 0, 1).otherwise(0)
-    iban = F.concat(F.lit("DE"), F.lpad((check.cast("int") + wrong).cast("string"), 2, "0"), bban)
-    email = F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com"))
+    return {
+        "customer_id": F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")), "email": F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("."))), F.lit("@example.com")),
+        "iban": F.concat(F.lit("DE"), F.lpad((check.cast("int") + wrong).cast("string"), 2, "0"), bban),
+    }
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer_id, email, iban, country; every eleventh IBAN has a wrong check digit."""
+    c, n = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    own = _customer_columns()
     # nation has 25 rows by its specification
-    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
-        "c_custkey", F.concat(F.lit("cust_"), F.col("c_custkey").cast("string")).alias("customer_id"), email.alias("email"), iban.alias("iban"), F.col("n_name").alias("country"), F.col("n_regionkey").alias("region")
-    )
+    return c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select("c_custkey", *[v.alias(k) for k, v in own.items()], F.col("n_name").alias("country"), F.col("n_regionkey").alias("region"))
 
 
 def orders_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,20 +56,26 @@ def orders_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payment events from order lines: billing country of the customer, merchant country of the supplier."""
-    line, o, s, n = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "supplier", "nation"))
-    merchant = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select("s_suppkey", F.col("n_name").alias("merchant_country"), F.col("n_regionkey").alias("merchant_region"))
+    """Payment events from order lines: billing country of the customer, merchant country of the supplier.
+
+    Order lines are shuffled once, by order_id, as keys and numbers; ids, IBANs and names are made behind the joins.
+    """
+    line, o, c, s, n = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "nation"))
+    nation = lambda key, name, region: F.broadcast(n.select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name), F.col("n_regionkey").alias(region)))
+    buyer = o.join(c, o.o_custkey == c.c_custkey).select(F.col("o_orderkey").cast("string").alias("order_id"), "c_custkey", "c_nationkey")
+    lines = line.withColumn("order_id", F.col("l_orderkey").cast("string")).drop("l_orderkey")
+    own = _customer_columns()
     status = F.when(F.col("l_returnflag") == "A", "authorized").when(F.col("l_returnflag") == "R", "declined").otherwise("captured")
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     return (
-        line.join(o, line.l_orderkey == o.o_orderkey)
-        .join(customers(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
-        .join(merchant, F.col("l_suppkey") == F.col("s_suppkey"))
+        lines.join(buyer, "order_id")
+        .join(sized(s.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")), "l_suppkey")
+        .join(nation("c_nationkey", "country", "region"), "c_nationkey")
+        .join(nation("s_nationkey", "merchant_country", "merchant_region"), "s_nationkey")
         .select(
-            F.concat_ws("-", F.lit("pay"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("event_id"),
-            F.concat_ws("-", "l_orderkey", "l_linenumber").alias("payment_id"),
-            F.col("l_orderkey").cast("string").alias("order_id"),
-            "customer_id", "iban", "country", "merchant_country", "region", "merchant_region",
+            F.concat_ws("-", F.lit("pay"), "order_id", "l_linenumber", "l_partkey", "l_suppkey", cents).alias("event_id"),
+            F.concat_ws("-", "order_id", "l_linenumber").alias("payment_id"),
+            "order_id", own["customer_id"].alias("customer_id"), own["iban"].alias("iban"), "country", "merchant_country", "region", "merchant_region",
             (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("amount_eur"),
             status.alias("status"),
             epoch_seconds("l_shipdate").alias("occurred_at"),
