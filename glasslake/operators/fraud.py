@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glasslake.functions.scalars import alert_id, bucket_start
@@ -26,10 +26,15 @@ def velocity(payments: DataFrame, size: int = WINDOW_S, threshold: int = VELOCIT
     return _alerts(hit.withColumn("score", F.col("nth").cast("double")), "VELOCITY", size)
 
 
+def _baseline() -> dict[str, Column]:
+    """Number, mean and spread of the customer's previous 200 amounts."""
+    w = Window.partitionBy("customer_id").orderBy("occurred_at", "event_id").rowsBetween(-HISTORY, -1)
+    return {"n": F.count("amount_eur").over(w), "mean": F.avg("amount_eur").over(w), "sd": F.stddev_samp("amount_eur").over(w)}
+
+
 def zscore(payments: DataFrame, limit: float = Z_LIMIT) -> DataFrame:
     """Payments beyond the limit of the customer's previous 200 payments (three at least, spread above zero)."""
-    w = Window.partitionBy("customer_id").orderBy("occurred_at", "event_id").rowsBetween(-HISTORY, -1)
-    base = payments.select("customer_id", "event_id", "occurred_at", "amount_eur", F.count("amount_eur").over(w).alias("n"), F.avg("amount_eur").over(w).alias("mean"), F.stddev_samp("amount_eur").over(w).alias("sd"))
+    base = payments.select("customer_id", "event_id", "occurred_at", "amount_eur").withColumns(_baseline())
     hit = base.where((F.col("n") >= LEAST_HISTORY) & (F.col("sd") > 0)).withColumn("score", F.abs(F.col("amount_eur") - F.col("mean")) / F.col("sd")).where(F.col("score") > limit)
     return _alerts(hit, "AMOUNT_ZSCORE", None)
 
@@ -43,5 +48,35 @@ def geo_mismatch(payments: DataFrame, scope: str = "event", size: int = WINDOW_S
     return _alerts(hit, "GEO_MISMATCH", size if scope == "window" else None)
 
 
-def all_alerts(payments: DataFrame, size: int = WINDOW_S, scope: str = "event", own: str = "country", other: str = "merchant_country") -> DataFrame:
-    return velocity(payments, size).unionByName(zscore(payments)).unionByName(geo_mismatch(payments, scope, size, own, other))
+#: The rules by name, in the order of their alerts.
+RULES = ("VELOCITY", "AMOUNT_ZSCORE", "GEO_MISMATCH")
+
+
+def all_alerts(payments: DataFrame, size: int = WINDOW_S, scope: str = "event", own: str = "country", other: str = "merchant_country", rules: tuple[str, ...] = RULES) -> DataFrame:
+    """The alerts of velocity, zscore and geo_mismatch from one pass: payments are shuffled once, by customer, with the
+    columns that the rules need, and every window lies inside a customer."""
+    abroad = F.coalesce(F.col(own) != F.col(other), F.lit(False)) if "GEO_MISMATCH" in rules else F.lit(False)
+    seen = payments.select("customer_id", "event_id", "occurred_at", "amount_eur", abroad.alias("abroad"))
+    start, none = bucket_start("occurred_at", size), F.lit(None).cast("long")
+    alert = lambda rule, score, b: F.struct(F.lit(rule).alias("rule"), score.alias("score"), b.alias("window_start"), (b + size).alias("window_end"))
+    found = []
+    # the windows of whole customers come first: those of their buckets then find the rows in place
+    if "AMOUNT_ZSCORE" in rules:
+        seen = seen.withColumns(_baseline())
+        score = F.abs(F.col("amount_eur") - F.col("mean")) / F.col("sd")
+        found.append(F.when((F.col("n") >= LEAST_HISTORY) & (F.col("sd") > 0) & (score > Z_LIMIT), alert("AMOUNT_ZSCORE", score, none)))
+    else:
+        seen = seen.repartition("customer_id")
+    in_bucket = lambda *more: F.row_number().over(Window.partitionBy("customer_id", "bucket", *more).orderBy("occurred_at", "event_id"))
+    seen = seen.withColumn("bucket", start)
+    if "VELOCITY" in rules:
+        seen = seen.withColumn("nth", in_bucket())
+        found.append(F.when(F.col("nth") == VELOCITY + 1, alert("VELOCITY", F.col("nth").cast("double"), F.col("bucket"))))
+    if "GEO_MISMATCH" in rules:
+        hit = F.col("abroad")
+        if scope == "window":
+            seen = seen.withColumn("nth_abroad", in_bucket("abroad"))
+            hit = hit & (F.col("nth_abroad") == 1)
+        found.append(F.when(hit, alert("GEO_MISMATCH", F.lit(1.0), F.col("bucket") if scope == "window" else none)))
+    hits = seen.select("customer_id", "event_id", F.col("occurred_at").alias("alerted_at"), F.explode(F.filter(F.array(*found), lambda a: a.isNotNull())).alias("a")).select("customer_id", "event_id", "alerted_at", "a.*")
+    return hits.withColumn("alert_id", alert_id("rule", "customer_id", "event_id", "window_start", "window_end")).select(*COLUMNS)
