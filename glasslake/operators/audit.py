@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
@@ -28,14 +29,19 @@ def with_payload(audit: DataFrame) -> DataFrame:
     return audit.withColumn("layers_touched", layers).withColumns({c: F.col(c).cast("double") for c in ("requested_at", "completed_at")}).withColumn("payload", canonical_json(FIELDS))
 
 
-def _link(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values(["completed_at", "request_id"])
-    prev, rows = GENESIS, []
-    for seq, (request, payload) in enumerate(zip(pdf.request_id, pdf.payload, strict=True), start=1):
-        own = hashlib.sha256(f"{seq}\n{prev}\n{payload}".encode()).hexdigest()
-        rows.append((int(pdf["shard"].iloc[0]), seq, prev, own, request, payload))
-        prev = own
-    return pd.DataFrame(rows, columns=["shard", "seq", "prev_hash", "hash", "request_id", "payload"])
+def _link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Shards one after the other, each in order; only the last record of a batch is handed to the next batch."""
+    shard, seq, prev = None, 0, GENESIS
+    for pdf in batches:
+        rows = []
+        for own_shard, request, payload in zip(pdf["shard"], pdf.request_id, pdf.payload, strict=True):
+            if own_shard != shard:
+                shard, seq, prev = own_shard, 0, GENESIS
+            seq += 1
+            own = hashlib.sha256(f"{seq}\n{prev}\n{payload}".encode()).hexdigest()
+            rows.append((int(shard), seq, prev, own, request, payload))
+            prev = own
+        yield pd.DataFrame(rows, columns=["shard", "seq", "prev_hash", "hash", "request_id", "payload"])
 
 
 #: Records of a shard; a shard is folded in one task.
@@ -55,7 +61,9 @@ def build_chain(audit: DataFrame, shards: int | None = None) -> DataFrame:
     if shards is None:
         shards = max(1, -(-audit.count() // SHARD_RECORDS))
     rows = with_payload(audit).withColumn("shard", shard_of("request_id", shards)).select("shard", "request_id", "completed_at", "payload")
-    return rows.groupBy("shard").applyInPandas(_link, "shard int, seq long, prev_hash string, hash string, request_id string, payload string")
+    # a worker sees a shard as a stream of sorted batches and never holds it as a whole
+    placed = rows.repartition("shard").sortWithinPartitions("shard", F.asc_nulls_last("completed_at"), F.asc_nulls_last("request_id"))
+    return placed.mapInPandas(_link, "shard int, seq long, prev_hash string, hash string, request_id string, payload string")
 
 
 def verify_chain(chain: DataFrame) -> DataFrame:

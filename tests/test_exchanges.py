@@ -1,9 +1,10 @@
 """What large tables are shuffled by: the number of exchanges in a plan, and equal results by either way."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from glasslake.operators import fraud, silver
+from glasslake.operators import audit, fraud, silver
 from glasslake.sources import adapters
 
 SF = "/root/testdata/sf0.001"
@@ -55,3 +56,13 @@ def test_payments_are_deduplicated_where_they_lie(spark, unbroadcast):
     twice = silver.dedup_events(p.unionByName(p.withColumn("occurred_at", F.col("occurred_at") + 1)), adapters.PAYMENT_WITHIN)
     assert exchanges(silver.dedup_events(p, adapters.PAYMENT_WITHIN)) == exchanges(p) < exchanges(silver.dedup_events(p))
     assert twice.count() == p.count() and twice.exceptAll(p.withColumn("occurred_at", F.col("occurred_at") + 1)).isEmpty()
+
+
+def test_a_shard_is_linked_as_a_stream():
+    records = pd.DataFrame({"shard": [0] * 5 + [1] * 4, "request_id": [f"r{k}" for k in range(9)], "payload": [f"p{k}" for k in range(9)]})
+    whole = pd.concat(audit._link(iter([records])), ignore_index=True)
+    cut = [records.iloc[:3], records.iloc[3:7], records.iloc[7:]]
+    pieces = list(audit._link(iter(cut)))
+    assert [len(p) for p in pieces] == [3, 4, 2]
+    assert pd.concat(pieces, ignore_index=True).equals(whole)
+    assert whole.seq.tolist() == [1, 2, 3, 4, 5, 1, 2, 3, 4] and (whole.prev_hash == audit.GENESIS).sum() == 2
