@@ -170,6 +170,13 @@ class Lake:
         self._drop_left(name, parts, before)
         return self.read(name)
 
+    def copy(self, name: str, source: str) -> DataFrame:
+        """The stored table `source` as the table `name`: rows keep their batches and buckets, so none is shuffled."""
+        parts, before = (self.partitions(name), set(self.files(name))) if self.exists(name) else ([], set())
+        self._insert(name, self.stored(source))
+        self._drop_left(name, parts, before)
+        return self.read(name)
+
     def append(self, name: str, df: DataFrame, batch: str | None = None) -> DataFrame:
         """Rows as a batch; a batch that is written again replaces itself."""
         batch = batch or new_batch()

@@ -66,7 +66,7 @@ def export_lake(tables: dict[str, DataFrame], out: Lake) -> DataFrame:
         if types(back) != types(df) or back.count() != df.count():
             raise SinkMismatch(f"staged copy of {name} differs")
     for name in tables:
-        out.write(name, out.read(staged[name]))
+        out.copy(name, staged[name])
     report = verify_export(out, {name: out.read(staged[name]) for name in tables})
     passed = {r["table_name"]: r["row_count"] for r in report.where("passed").collect()}  # one row for each exported table
     for name in tables:
