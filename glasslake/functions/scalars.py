@@ -29,7 +29,7 @@ def hash_pii(c: Column | str, salt: str = DEFAULT_SALT) -> Column:
 
 
 def iban_compact(c: Column | str, lenient: bool = False) -> Column:
-    return F.regexp_replace(F.upper(col(c)), r"[^A-Z0-9]" if lenient else r"[ \-]", "")
+    return F.regexp_replace(F.upper(col(c)), r"[^A-Z0-9]", "") if lenient else F.translate(F.upper(col(c)), " -", "")
 
 
 def is_valid_iban(c: Column | str, lenient: bool = False) -> Column:

@@ -31,6 +31,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a task of a shuffle by key sorts at most, on average: some 400 bytes a row in sorts, windows and aggregates.
+ROWS_OF_TASK = 500_000
+
+
+def parts_of(df: DataFrame) -> int | None:
+    """Partitions that so many rows need in a shuffle, or None where the session's own number will do. For tables in files:
+    their rows are counted from the footers."""
+    parts = -(-df.count() // ROWS_OF_TASK)
+    return parts if parts > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def by_key(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """df shuffled by key into so many partitions, so that no task outgrows its memory and spills as tables grow."""
+    return df if parts is None else df.repartition(parts, *keys)
+
+
 def ranged(df: DataFrame, order: list[str], name: str = "ranged") -> DataFrame:
     """df with `part` and `place`: partitions follow each other in the order of the columns, and so do the places in them.
 

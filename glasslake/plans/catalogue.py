@@ -114,7 +114,7 @@ def _gold(spark, d):
 
 
 def _alerts(spark, d):
-    return fraud.all_alerts(adapters.payments_processed(spark, d), BUCKET)
+    return fraud.all_alerts(adapters.payments_processed(spark, d), BUCKET, parts=adapters.payment_parts(spark, d))
 
 
 def _fraud_summary(spark, d):
@@ -252,7 +252,7 @@ def customer_360_stored(spark, d):
     LEFT JOIN (SELECT customer_id, count(*) > 0 AS flag FROM zscore GROUP BY customer_id) f USING (customer_id)""")
 def customer_360_local(spark, d):
     o, p, r = _base(spark, d)
-    return gold.customer_360_local(silver.silver_customers_arg_max(o, r), silver.dedup_first(not_suppressed(o, r), "order_id"), fraud.zscore(p), r)
+    return gold.customer_360_local(silver.silver_customers_arg_max(o, r), silver.dedup_first(not_suppressed(o, r), "order_id"), fraud.zscore(p, parts=adapters.payment_parts(spark, d)), r)
 
 
 @query("""SELECT o.order_id, o.customer_id, o.amount_eur, o.country, o.occurred_at, c.consents_marketing FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY occurred_at DESC, event_id DESC) AS rk FROM s_orders) o JOIN c360 c USING (customer_id) WHERE rk = 1""")
@@ -533,7 +533,7 @@ CUT = 883_612_800.0  # 1998-01-01
 @query(f"SELECT customer_id FROM order_ev WHERE occurred_at > {CUT} UNION SELECT customer_id FROM zscore WHERE alerted_at > {CUT}")
 def affected_customers(spark, d):
     o, p, _ = _base(spark, d)
-    return incremental.affected_customers(incremental.changed_since(o, CUT, "occurred_at"), incremental.changed_since(fraud.zscore(p), CUT, "alerted_at"))
+    return incremental.affected_customers(incremental.changed_since(o, CUT, "occurred_at"), incremental.changed_since(fraud.zscore(p, parts=adapters.payment_parts(spark, d)), CUT, "alerted_at"))
 
 
 @query("SELECT customer_id, country, email_hash, iban_hash, marketing_consent FROM s_customers")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glasslake.functions.scalars import epoch_seconds
+from glasslake.operators.ordered import by_key, parts_of
 from glasslake.operators.suppression import sized
 
 
@@ -55,6 +56,11 @@ def orders_placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def payment_parts(spark: SparkSession, sf_dir: str) -> int | None:
+    """Partitions that a shuffle of payments needs, as parts_of."""
+    return parts_of(table(spark, sf_dir, "lineitem"))
+
+
 def payments_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Payment events from order lines: billing country of the customer, merchant country of the supplier.
 
@@ -63,7 +69,7 @@ def payments_processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, o, c, s, n = (table(spark, sf_dir, t) for t in ("lineitem", "orders", "customer", "supplier", "nation"))
     nation = lambda key, name, region: F.broadcast(n.select(F.col("n_nationkey").alias(key), F.col("n_name").alias(name), F.col("n_regionkey").alias(region)))
     buyer = o.join(c, o.o_custkey == c.c_custkey).select(F.col("o_orderkey").cast("string").alias("order_id"), "c_custkey", "c_nationkey")
-    lines = line.withColumn("order_id", F.col("l_orderkey").cast("string")).drop("l_orderkey")
+    lines = by_key(line.withColumn("order_id", F.col("l_orderkey").cast("string")).drop("l_orderkey"), payment_parts(spark, sf_dir), "order_id")
     own = _customer_columns()
     status = F.when(F.col("l_returnflag") == "A", "authorized").when(F.col("l_returnflag") == "R", "declined").otherwise("captured")
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")

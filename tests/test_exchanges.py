@@ -4,7 +4,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from glasslake.operators import audit, fraud, silver
+from glasslake.operators import audit, fraud, ordered, silver
 from glasslake.sources import adapters
 from glasslake.sources.lake import Lake
 
@@ -78,3 +78,19 @@ def test_a_copied_table_keeps_its_layout(spark, tmp_path, monkeypatch):
     store.copy("gold.old", "gold_staged.old")
     assert sorted(r.v for r in store.read("gold.old").collect()) == [1, 2, 3]
     assert store.partitions("gold.old") == store.partitions("gold_staged.old")
+
+
+@pytest.mark.parametrize("scope", ["event", "window"])
+def test_all_rules_share_one_sort(spark, tmp_path, scope):
+    p = stored_payments(spark, tmp_path)
+    plan = fraud.all_alerts(p, 90 * 86_400, scope)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1
+
+
+def test_payments_take_as_many_tasks_as_they_have_rows(spark, unbroadcast, monkeypatch):
+    few = fraud.all_alerts(adapters.payments_processed(spark, SF), parts=adapters.payment_parts(spark, SF))
+    monkeypatch.setattr(ordered, "ROWS_OF_TASK", 500)
+    parts = -(-spark.read.parquet(f"{SF}/lineitem.parquet").count() // 500)
+    many = fraud.all_alerts(adapters.payments_processed(spark, SF), parts=adapters.payment_parts(spark, SF))
+    assert adapters.payment_parts(spark, SF) == many.rdd.getNumPartitions() == parts > few.rdd.getNumPartitions()
+    assert exchanges(many) == exchanges(few) and many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
