@@ -32,7 +32,11 @@ def customer_360(customers: DataFrame, orders: DataFrame, registry: DataFrame) -
 def customer_360_from_orders(orders: DataFrame, registry: DataFrame) -> DataFrame:
     """customer_360 straight from order events: the orders are read, deduplicated and flagged once, then one aggregate
     gives the customer's latest row and the totals that customer_360 joins."""
-    mine = flagged_orders(orders, registry).where("customer_id is not null")
+    return customer_360_of(flagged_orders(orders, registry))
+
+
+def customer_360_of(flagged: DataFrame) -> DataFrame:
+    mine = flagged.where("customer_id is not null")
     ok = lambda c: F.when(F.col("ok"), F.col(c))
     found = mine.groupBy("customer_id").agg(
         latest_order().alias("r"), F.expr(CONSENT).alias("consent"), F.bool_or("ok").alias("any_ok"), F.count_distinct(ok("order_id")).alias("order_count"),

@@ -7,31 +7,34 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glasslake.operators import fraud, gold, incremental, privacy, quality, silver
+from glasslake.operators import fraud, gold, incremental, privacy, quality, silver, suppression
 from glasslake.operators.audit import run_log_row
+from glasslake.operators.ordered import parts_of
 from glasslake.sources.lake import LAYOUT, Lake
 from glasslake.sources.tables import EXPORTABLE, export_lake
 
 
 def _write_quarantine(lake: Lake, name: str, rows: DataFrame) -> None:
     """Quarantined rows without a customer are a batch of their own, so that they can be renewed alone."""
-    lake.write(name, rows.where("customer_id is not null"))
+    lake.write(name, rows.where("customer_id is not null"), placed=True)
     lake.append(name, rows.where("customer_id is null"), NAMELESS)
 
 
 def build_silver(lake: Lake, registry: DataFrame) -> dict[str, DataFrame]:
-    orders, payments = lake.read("bronze.orders"), lake.read("bronze.payments")
-    lake.write("silver.customers", silver.silver_customers(orders, registry))
-    lake.write("silver.orders", silver.silver_orders(orders, registry))
-    lake.write("silver.payments", silver.silver_payments(payments, registry))
-    _write_quarantine(lake, "silver.orders_quarantine", silver.orders_quarantine(orders, registry))
-    _write_quarantine(lake, "silver.payments_quarantine", silver.payments_quarantine(payments, registry))
+    """Bronze lies by buckets of customers, and so do the rows that are made from it: they are written without a shuffle."""
+    orders = silver.flagged_stored(lake.read("bronze.orders"), registry, silver.order_flag)
+    payments = silver.flagged_stored(lake.read("bronze.payments"), registry, silver.payment_flag)
+    lake.write("silver.customers", silver.customers_of(orders))
+    lake.write("silver.orders", silver.orders_of(orders), placed=True)
+    lake.write("silver.payments", silver.payments_of(payments), placed=True)
+    _write_quarantine(lake, "silver.orders_quarantine", silver.bad_orders_of(orders))
+    _write_quarantine(lake, "silver.payments_quarantine", silver.bad_payments_of(payments))
     return {n: lake.read(n) for n in SILVER}
 
 
 def build_gold(lake: Lake, registry: DataFrame) -> dict[str, DataFrame]:
     c, o = lake.read("silver.customers"), lake.read("silver.orders")
-    alerts = lake.read("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(lake.read("bronze.payments"))
+    alerts = lake.read("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(lake.read("bronze.payments"), parts=parts_of(lake.read("bronze.payments")))
     people = gold.customer_360(c, o, registry)
     lake.write("gold.customer_360", people)
     lake.write("gold.order_facts", gold.order_facts(o, people, registry))
@@ -75,7 +78,8 @@ def build_incremental(lake: Lake, registry: DataFrame) -> dict[str, int]:
     """Silver and Gold brought up to date: customers with rows in new batches are recomputed from all their rows.
 
     New rows are read by their batches, the rows of the affected customers by their buckets, and only those buckets of
-    Silver and Gold are written again. Equal to a full build. Returns how many customers were recomputed and how many of
+    Silver and Gold are written again. Customers too many to be broadcast are not picked out of their buckets by shuffles of
+    whole tables: all customers of these buckets are recomputed then, to the same rows. Equal to a full build. Returns how many customers were recomputed and how many of
     them are suppressed.
     """
     fresh = pending(lake)
@@ -84,22 +88,26 @@ def build_incremental(lake: Lake, registry: DataFrame) -> dict[str, int]:
     gone = [lake.of_customers(n, registry).select("customer_id") for n in ("silver.customers", "silver.orders", "silver.payments", *GOLD)]
     # written, as Silver and Gold change below
     affected = lake.write("silver.affected_customers", incremental.affected_customers(*changed, *gone))
-    mine = lambda name: lake.of_customers(name, affected).drop(*LAYOUT)
-    orders, payments = mine("bronze.orders"), mine("bronze.payments")
-    lake.replace_customers("silver.customers", affected, silver.silver_customers(orders, registry))
-    lake.replace_customers("silver.orders", affected, silver.silver_orders(orders, registry))
-    lake.replace_customers("silver.payments", affected, silver.silver_payments(payments, registry))
-    lake.replace_customers("silver.orders_quarantine", affected, silver.orders_quarantine(orders, registry))
-    lake.replace_customers("silver.payments_quarantine", affected, silver.payments_quarantine(payments, registry))
+    whole = affected.limit(suppression.BROADCAST_ROWS + 1).count() > suppression.BROADCAST_ROWS
+    buckets = [r[0] for r in affected.select(lake.bucket().alias("b")).distinct().collect()]  # bounded by the buckets
+    mine = lambda name: (lake.in_buckets(name, buckets) if whole else lake.of_customers(name, affected)).drop(*LAYOUT)
+    renew = lambda name, rows, placed=False: lake.replace_customers(name, affected, rows, placed, whole)
+    payments = mine("bronze.payments")
+    o, p = silver.flagged_stored(mine("bronze.orders"), registry, silver.order_flag), silver.flagged_stored(payments, registry, silver.payment_flag)
+    renew("silver.customers", silver.customers_of(o))
+    renew("silver.orders", silver.orders_of(o), True)
+    renew("silver.payments", silver.payments_of(p), True)
+    renew("silver.orders_quarantine", silver.bad_orders_of(o), True)
+    renew("silver.payments_quarantine", silver.bad_payments_of(p), True)
     for source, target, build in (("bronze.orders", "silver.orders_quarantine", silver.orders_quarantine), ("bronze.payments", "silver.payments_quarantine", silver.payments_quarantine)):
         if not new_rows(lake, source, fresh[source]).where("customer_id is null").isEmpty():
             lake.append(target, build(lake.read(source).where("customer_id is null"), registry), NAMELESS)
     c, o = mine("silver.customers"), mine("silver.orders")
     people = gold.customer_360(c, o, registry)
-    lake.replace_customers("gold.customer_360", affected, people)
-    lake.replace_customers("gold.order_facts", affected, gold.order_facts(o, people, registry))
-    alerts = mine("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(payments)
-    lake.replace_customers("gold.fraud_summary", affected, gold.fraud_summary(alerts, registry))
+    renew("gold.customer_360", people)
+    renew("gold.order_facts", gold.order_facts(o, people, registry))
+    alerts = mine("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(payments, parts=parts_of(payments) if whole else None)
+    renew("gold.fraud_summary", gold.fraud_summary(alerts, registry))
     mark_processed(lake, fresh)
     out = {"affected": affected.count(), "suppressed": incremental.suppressed_skipped(affected, registry)}
     lake.drop("silver.affected_customers")

@@ -36,7 +36,7 @@ LAYOUT = ["_batch", "_bucket"]
 WHOLE = "0"
 #: Customers up to which a set is pushed into the scan as values, for row groups to be skipped by statistics and Bloom filters.
 PUSHED_IDS = 1000
-_BLOOM = {"parquet.bloom.filter.enabled#customer_id": "true", "maxRecordsPerFile": "500000"}
+_BLOOM = {"parquet.bloom.filter.enabled#customer_id": "true", "parquet.bloom.filter.adaptive.enabled": "true", "maxRecordsPerFile": "500000"}
 _REQUIRED = "glasslake.required"
 
 Partition = tuple[str, int]
@@ -125,13 +125,20 @@ class Lake:
 
     # ---- writes
 
-    def _laid_out(self, name: str, df: DataFrame, batch: str | None) -> DataFrame:
-        """df with the layout's columns; rows without a customer are spread over the buckets by their content."""
+    def _laid_out(self, name: str, df: DataFrame, batch: str | None, placed: bool = False) -> DataFrame:
+        """df with the layout's columns; rows without a customer are spread over the buckets by their content.
+
+        placed: each task's rows are many, or lie together by bucket as those of a stored table do: they are written from
+        where they are, without a shuffle.
+        """
         if batch is not None:
             if not re.fullmatch(r"[\w.-]+", batch):
                 raise ValueError(f"not a name of a batch: {batch!r}")
             spread = F.coalesce(F.col("customer_id").cast("string"), F.xxhash64(*df.columns).cast("string")) if "customer_id" in df.columns else None
             df = df.withColumns({"_batch": F.lit(batch), "_bucket": self.bucket(spread) if spread is not None else F.lit(0)})
+        if placed:
+            # the write sorts by partition anyway; a customer's values then stand together and take less room
+            return df.sortWithinPartitions(*LAYOUT, "customer_id") if "customer_id" in df.columns else df
         # one task for each partition, large ones split: a partition gets few files
         return df.hint("rebalance", *map(F.col, LAYOUT))
 
@@ -163,10 +170,10 @@ class Lake:
             if f"_batch={b}/_bucket={k}" in ends:
                 self.spark.sql(f"ALTER TABLE {self.table(name)} DROP IF EXISTS PARTITION (_batch = '{b}', _bucket = {k})")
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        """The table as a whole."""
+    def write(self, name: str, df: DataFrame, placed: bool = False) -> DataFrame:
+        """The table as a whole; placed as in _laid_out."""
         parts, before = (self.partitions(name), set(self.files(name))) if self.exists(name) else ([], set())
-        self._insert(name, self._laid_out(name, df, WHOLE))
+        self._insert(name, self._laid_out(name, df, WHOLE, placed))
         self._drop_left(name, parts, before)
         return self.read(name)
 
@@ -177,12 +184,12 @@ class Lake:
         self._drop_left(name, parts, before)
         return self.read(name)
 
-    def append(self, name: str, df: DataFrame, batch: str | None = None) -> DataFrame:
-        """Rows as a batch; a batch that is written again replaces itself."""
+    def append(self, name: str, df: DataFrame, batch: str | None = None, placed: bool = False) -> DataFrame:
+        """Rows as a batch; a batch that is written again replaces itself. placed as in _laid_out."""
         batch = batch or new_batch()
         parts = [p for p in self.partitions(name) if p[0] == batch] if self.exists(name) else []
         before = set(self.files(name)) if parts else set()
-        self._insert(name, self._laid_out(name, df, batch))
+        self._insert(name, self._laid_out(name, df, batch, placed))
         self._drop_left(name, parts, before)
         return self.read(name)
 
@@ -221,15 +228,22 @@ class Lake:
             self._insert(name, change(self.only(self.stored(name), parts)).hint("rebalance", *map(F.col, LAYOUT)))
             self._drop_left(name, parts, before)
 
-    def replace_customers(self, name: str, ids: DataFrame, fresh: DataFrame) -> DataFrame:
-        """The rows of customers replaced by fresh ones, in a table built as a whole: the other buckets stay as they are."""
+    def in_buckets(self, name: str, buckets: list[int]) -> DataFrame:
+        """Stored rows of all customers of some buckets."""
+        return self.stored(name).where(F.col("_bucket").isin(buckets) & F.col("customer_id").isNotNull())
+
+    def replace_customers(self, name: str, ids: DataFrame, fresh: DataFrame, placed: bool = False, whole: bool = False) -> DataFrame:
+        """The rows of customers replaced by fresh ones, in a table built as a whole: the other buckets stay as they are.
+
+        placed as in _laid_out. whole: fresh holds the rows of all customers of the ids' buckets, and not of the ids alone.
+        """
         if not self.exists(name):
-            return self.write(name, fresh)
+            return self.write(name, fresh, placed)
         wanted = [r[0] for r in ids.select(self.bucket(F.col("customer_id")).alias("b")).distinct().collect()]  # bounded by the buckets
         old = self.stored(name).where(F.col("_bucket").isin(wanted))
-        kept = old.join(sized(ids.select("customer_id").distinct()), "customer_id", "left_anti").select(*old.columns)
+        kept = old.where("customer_id is null") if whole else old.join(sized(ids.select("customer_id").distinct()), "customer_id", "left_anti").select(*old.columns)
         parts, before = [p for p in self.partitions(name) if p[1] in wanted], set(self.files(name))
-        self._insert(name, kept.unionByName(self._laid_out(name, fresh, WHOLE), allowMissingColumns=True))
+        self._insert(name, kept.unionByName(self._laid_out(name, fresh, WHOLE, placed), allowMissingColumns=True))
         self._drop_left(name, parts, before)
         return self.read(name)
 

@@ -94,3 +94,60 @@ def test_payments_take_as_many_tasks_as_they_have_rows(spark, unbroadcast, monke
     many = fraud.all_alerts(adapters.payments_processed(spark, SF), parts=adapters.payment_parts(spark, SF))
     assert adapters.payment_parts(spark, SF) == many.rdd.getNumPartitions() == parts > few.rdd.getNumPartitions()
     assert exchanges(many) == exchanges(few) and many.exceptAll(few).isEmpty() and few.exceptAll(many).isEmpty()
+
+
+def test_stored_rows_are_deduplicated_where_they_lie(spark, tmp_path, unbroadcast, monkeypatch):
+    p = stored_payments(spark, tmp_path)
+    later = p.where("amount_eur > 60000").withColumn("occurred_at", F.col("occurred_at") + 1)
+    nameless = p.limit(7).withColumn("event_id", F.lit(None).cast("string"))
+    p.unionByName(later).unionByName(nameless).unionByName(nameless).write.parquet(f"{tmp_path}/twice")
+    twice = spark.read.parquet(f"{tmp_path}/twice")
+    want, found = silver.dedup_events(twice), silver.dedup_stored(twice)
+    assert later.count() > 0 and found.count() == want.count() == p.count() + 14
+    assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+    shuffled = found._jdf.queryExecution().executedPlan().toString()
+    assert shuffled.count("Exchange hashpartitioning") == 1 and "LeftSemi" in shuffled  # of the repeated rows alone
+    monkeypatch.setattr(silver, "REPEATED_IDS", 0)
+    assert silver.dedup_stored(twice).exceptAll(want).isEmpty()
+
+
+def test_placed_rows_are_written_without_a_shuffle(spark, tmp_path):
+    store = Lake(spark, f"{tmp_path}/placed")
+    rows = spark.createDataFrame([(f"c{k}", k) for k in range(40)], "customer_id string, v int")
+    dealt, placed = store._laid_out("x.t", rows, "0"), store._laid_out("x.t", rows, "0", placed=True)
+    assert "Exchange" in dealt._jdf.queryExecution().executedPlan().toString() and "Exchange" not in placed._jdf.queryExecution().executedPlan().toString()
+    store.write("x.t", rows, placed=True)
+    assert sorted(r.v for r in store.read("x.t").collect()) == list(range(40))
+    assert store.stored("x.t").where(F.col("_bucket") != store.bucket()).isEmpty()
+
+
+def test_a_small_file_has_a_small_bloom_filter(spark, tmp_path):
+    import os
+
+    store = Lake(spark, f"{tmp_path}/bloom")
+    store.write("x.t", spark.createDataFrame([(f"c{k}", k) for k in range(40)], "customer_id string, v int"))
+    assert max(os.path.getsize(f.removeprefix("file:")) for f in store.files("x.t")) < 100_000
+
+
+def test_customers_too_many_to_be_broadcast_are_recomputed_by_buckets(spark, tmp_path, monkeypatch):
+    from glasslake.operators import suppression
+    from glasslake.plans import jobs
+
+    o, p, r = adapters.orders_placed(spark, SF), adapters.payments_processed(spark, SF), adapters.suppression_registry(spark, SF)
+    cut, whole, parts = F.col("occurred_at") <= 883_612_800.0, Lake(spark, f"{tmp_path}/whole", 2), Lake(spark, f"{tmp_path}/parts", 2)
+    whole.write("bronze.orders", o)
+    whole.write("bronze.payments", p)
+    parts.write("bronze.orders", o.where(cut))
+    parts.write("bronze.payments", p.where(cut))
+    for store in (whole, parts):
+        jobs.build_silver(store, r)
+        jobs.build_gold(store, r)
+    jobs.mark_processed(parts, jobs.pending(parts))
+    parts.append("bronze.orders", o.where(~cut))
+    parts.append("bronze.payments", p.where(~cut))
+    monkeypatch.setattr(suppression, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(Lake, "of_customers", lambda self, name, ids: self.stored(name).join(ids, "customer_id", "left_semi") if ids is r else pytest.fail("picked out of whole tables"))
+    jobs.build_incremental(parts, r)
+    for name in jobs.SILVER + jobs.GOLD:
+        a, b = whole.read(name), parts.read(name)
+        assert a.count() == b.count() and a.exceptAll(b.select(*a.columns)).isEmpty(), name
