@@ -795,12 +795,12 @@ def incremental_job(spark, d):
     o, p, r = _base(spark, d)
     store = _store(spark, "job")
     store.write("bronze.orders", o.where(F.col("occurred_at") <= CUT))
-    store.write("bronze.payments", p.where(F.col("occurred_at") <= CUT))
+    store.write("bronze.payments", p.where(F.col("occurred_at") <= CUT), placed=True)
     jobs.build_silver(store, r)
     jobs.build_gold(store, r)
     jobs.mark_processed(store, jobs.pending(store))
     store.append("bronze.orders", o.where(F.col("occurred_at") > CUT))
-    store.append("bronze.payments", p.where(F.col("occurred_at") > CUT))
+    store.append("bronze.payments", p.where(F.col("occurred_at") > CUT), placed=True)
     jobs.build_incremental(store, r)
     return store.read("gold.customer_360").select("customer_id", "country", "order_count", "lifetime_spend_eur", "consents_marketing")
 
@@ -811,10 +811,11 @@ def erasure_job(spark, d):
     o, _, r = _base(spark, d)
     req, store = _requests(spark, d), _store(spark, "erase")
     store.write("governance.suppression_registry", r)
-    store.write("bronze.orders", o)
-    store.write("silver.orders", silver.silver_orders(o, r))
-    store.write("silver.orders_quarantine", silver.orders_quarantine(o, r))
-    store.write("gold.customer_360", _gold(spark, d))
+    store.write("bronze.orders", o, placed=True)
+    flagged = silver.flagged_stored(store.read("bronze.orders"), r, silver.order_flag)
+    store.write("silver.orders", silver.orders_of(flagged), placed=True)
+    store.write("silver.orders_quarantine", silver.bad_orders_of(flagged), placed=True)
+    store.write("gold.customer_360", gold.customer_360_of(flagged))
     log = erasure.run_erasure(store, req, NOW)
     names = ["bronze.orders", "silver.orders", "silver.orders_quarantine", "gold.customer_360"]
     return erasure.verify_erasure(req, store.read("governance.suppression_registry"), {n: store.read(n) for n in names}, log)
@@ -997,8 +998,8 @@ def bronze_read(spark, d):
     o, p, _ = _base(spark, d)
     store = _store(spark, "bronze-read")
     for name, rows in (("orders", o), ("payments", p)):
-        store.append(f"bronze.{name}", rows.where(F.col("occurred_at") <= CUT))
-        store.append(f"bronze.{name}", rows.where(F.col("occurred_at") > CUT))
+        store.append(f"bronze.{name}", rows.where(F.col("occurred_at") <= CUT), placed=True)
+        store.append(f"bronze.{name}", rows.where(F.col("occurred_at") > CUT), placed=True)
     parts = [tables.read_bronze(store, n).select(F.lit(n).alias("table_name"), "event_id", "customer_id") for n in ("orders", "payments")]
     return parts[0].unionByName(parts[1])
 
@@ -1020,9 +1021,9 @@ def physical_scan(spark, d):
     """Rows of erased customers in every data file of two tables, before and after their erasure."""
     o, _, r = _base(spark, d)
     store, req, found = _store(spark, "scan"), _requests(spark, d), {}
-    store.append("bronze.orders", o.where(F.col("occurred_at") <= CUT))
-    store.append("bronze.orders", o.where(F.col("occurred_at") > CUT))
-    store.write("silver.orders", silver.silver_orders(o, r))
+    store.append("bronze.orders", o.where(F.col("occurred_at") <= CUT), placed=True)
+    store.append("bronze.orders", o.where(F.col("occurred_at") > CUT), placed=True)
+    store.write("silver.orders", silver.orders_of(silver.flagged_stored(store.read("bronze.orders"), r, silver.order_flag)), placed=True)
     held = lambda name: erasure.physical_scan(store, name, req).agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
     names = {"bronze.orders": "orders", "silver.orders": "silver_orders"}
     for name in names:
