@@ -91,32 +91,40 @@ def mine(sample: DataFrame) -> list[str]:
     evidence = 2 * (part("toxic", 1) + part("harmless", 0))
     strong = totals.withColumn("evidence", evidence).where(F.col("evidence") >= LEAST_EVIDENCE).where(F.col("toxic") * ratio >= LEAST_LIFT * (F.col("harmless") + 0.5))
     kept: list[str] = []
-    # of entries with about the same evidence the longest, most special one comes first
-    for r in strong.orderBy(F.desc(F.round(F.log2("evidence") * 8)), F.desc(F.length("entry")), F.desc("entry")).limit(MAX_CANDIDATES).collect():
+    # of entries with about the same evidence the longest, most special one comes first; a beginning that one word
+    # proves comes before the same beginning with two, which misses texts with a single word of it
+    kind = F.when(F.col("entry").startswith("2:"), 1).otherwise(0)
+    for r in strong.orderBy(F.desc(F.round(F.log2("evidence") * 8)), F.desc(F.length("entry")), kind, F.desc("entry")).limit(MAX_CANDIDATES).collect():
         stem = r.entry[2:]
         if len(kept) < MAX_ENTRIES and not any(stem.startswith(k[2:]) or k[2:].startswith(stem) for k in kept):
             kept.append(r.entry)
     return kept
 
 
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 class LabelModel:
     """P(toxic | votes) from voters of unknown accuracy: votes are -1, 0 (silent, no evidence) or 1."""
 
     def __init__(self, votes: np.ndarray, prior: float, rounds: int = 50) -> None:
         n, m = votes.shape
-        # the voters' majority starts the model; the class balance is given, as most voters only ever vote one way
+        # the voters' majority starts the model; the class balance is given, as most voters only ever vote one way, and
+        # is held in every round: else correlated voters, counting less and less, bring all posteriors down to it
         q = np.where(votes.sum(axis=1) > 0, 0.95, 0.02)
-        self.weight, self.prior = np.ones(m), float(np.clip(prior, 0.01, 0.99))
+        self.weight, self.prior, self.shift = np.ones(m), float(np.clip(prior, 0.01, 0.99)), 0.0
         for _ in range(rounds):
             self.tables = np.stack([np.stack([((votes == v) * w[:, None]).sum(axis=0) + 0.5 for v in (-1, 0, 1)]) for w in (1 - q, q)])
             self.tables /= self.tables.sum(axis=1, keepdims=True)
-            # residual correlation within the classes: correlated voters count less
+            # residual correlation within the classes: voters that vote alike count less, voters of other texts do not
             expected = np.stack([(self.tables[k] * np.array([-1, 0, 1])[:, None]).sum(axis=0) for k in (0, 1)])
             rest = votes - (expected[0][None, :] * (1 - q)[:, None] + expected[1][None, :] * q[:, None])
             scale = np.sqrt((rest**2).mean(axis=0)) + 1e-6
-            self.correlation = np.abs((rest / scale).T @ (rest / scale)) / n
+            self.correlation = np.maximum((rest / scale).T @ (rest / scale) / n, 0)
             np.fill_diagonal(self.correlation, 0)
             self.weight = 1 / (1 + self.correlation.sum(axis=1))
+            self.shift = self._balance(self._evidence(votes))
             new = self.posterior(votes)
             done = np.abs(new - q).max() < 1e-4
             q = new
@@ -130,11 +138,21 @@ class LabelModel:
         wrong = self.prior * self.tables[1][0] + (1 - self.prior) * self.tables[0][2]
         return right / (right + wrong)
 
-    def posterior(self, votes: np.ndarray) -> np.ndarray:
+    def _evidence(self, votes: np.ndarray) -> np.ndarray:
         ratio = np.log(self.tables[1]) - np.log(self.tables[0])
         ratio[1] = 0
-        logit = np.log(self.prior / (1 - self.prior)) + (ratio[votes + 1, np.arange(votes.shape[1])] * self.weight).sum(axis=1)
-        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
+        return (ratio[votes + 1, np.arange(votes.shape[1])] * self.weight).sum(axis=1)
+
+    def _balance(self, evidence: np.ndarray) -> float:
+        """The shift at which the posteriors' mean is the class balance."""
+        low, high = -60.0, 60.0
+        for _ in range(50):
+            mid = (low + high) / 2
+            low, high = (low, mid) if _sigmoid(evidence + mid).mean() > self.prior else (mid, high)
+        return (low + high) / 2
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        return _sigmoid(self._evidence(votes) + self.shift)
 
 
 class Lexicon:
@@ -164,26 +182,26 @@ class Lexicon:
             if len(known) > KEPT_WORDS:
                 known.clear()
             seen: Counter = Counter()
-            hits = 0
+            of: list[tuple[int, ...]] = []
             for w in own:
                 ks = known.get(w)
                 if ks is None:
                     ks = known[w] = self.of_word(w)
                 if ks:
                     seen.update(ks)
-                    hits += 1
-            for k, n in seen.items():
-                out[i, k] = k >= m or n >= 1 + self.twice[k]
+                    of.append(ks)
+            met = {k for k, n in seen.items() if k >= m or n >= 1 + self.twice[k]}
+            if met:
+                out[i, list(met)] = 1
+            hits = sum(not met.isdisjoint(ks) for ks in of)  # a lone word of an entry that needs two is no hit
             out[i, wide : wide + len(LEAST_HITS)] = [hits >= n for n in LEAST_HITS]
             out[i, wide + len(LEAST_HITS) : -1] = [hits >= 2 and hits >= d * len(own) for d in DENSE]
             out[i, -1] = not hits
         return out
 
     def votes(self, features: np.ndarray) -> np.ndarray:
-        """1 for an entry that is met, else silent; a single hit and no hit speak against."""
+        """1 for what is met, else silent; no hit at all speaks against."""
         out = features.astype(np.int64)
-        one, several = features.shape[1] - 1 - len(DENSE) - len(LEAST_HITS), features.shape[1] - len(DENSE) - len(LEAST_HITS)
-        out[:, one] = np.where((features[:, one] > 0) & (features[:, several] == 0), -1, 0)
         out[:, -1] *= -1
         return out
 
@@ -197,13 +215,13 @@ class ToxicModel:
 
     def score(self, words: list[set[str]], known: dict[str, tuple[int, ...]]) -> np.ndarray:
         logit = self.lexicon.features(words, known) @ self.weights + self.bias
-        return 1 / (1 + np.exp(-np.clip(logit.astype(float), -30, 30)))
+        return _sigmoid(logit.astype(float))
 
 
 def _logistic(x: np.ndarray, target: np.ndarray, steps: int = 400) -> tuple[np.ndarray, float]:
     w, b, m, v = np.zeros(x.shape[1]), 0.0, np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for step in range(1, steps + 1):
-        d = (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - target) / len(x)
+        d = (_sigmoid(x @ w + b) - target) / len(x)
         g = np.append(x.T @ d + 1e-4 * w, d.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)

@@ -237,6 +237,27 @@ def test_label_model_finds_accuracies_and_correlations():
     assert n.correlation[5, 6] > 0.9 > 0.3 > n.correlation[0, 1] and n.weight[6] < 0.5 < n.weight[0]
 
 
+def test_label_model_holds_with_many_correlated_voters():
+    """Texts of four languages with 0 to 4 of a language's words: posteriors stay apart, single hits included."""
+    rng = np.random.default_rng(5)
+    words = {lang: [f"{lang}word{k}" for k in range(5)] for lang in ("aa", "bb", "cc", "dd")}
+    y = rng.random(3000) < 0.33
+    texts = [{"some", *(rng.choice(words[lang], rng.integers(1, 5), replace=False) if toxic else ())} for toxic, lang in zip(y, rng.choice(list(words), 3000), strict=True)]
+    lexicon = toxicity.Lexicon([f"w:{w}" for own in words.values() for w in own])
+    votes = lexicon.votes(lexicon.features(texts, {}))
+    q = toxicity.LabelModel(votes, y.mean()).posterior(votes)
+    assert ((q > 0.5) == y).all() and abs(q.mean() - y.mean()) < 0.01
+
+
+def test_toxic_beginnings_with_a_single_word(spark):
+    """A beginning that harmless texts never hold is proof by one word; where an entry needs two, one is no hit."""
+    ends = [a + b for a in "bdfgk" for b in "aeiou"]
+    rows = [(k, int(k < 60), f"plain text {k % 6} " + (" ".join(f"zorq{ends[(k * 7 + j) % 25]}" for j in range(1 + (k % 10 > 0))) if k < 60 else "")) for k in range(400)]
+    assert toxicity.mine(spark.createDataFrame(rows, "doc_id long, y int, text string")) == ["1:zorq"]
+    x = toxicity.Lexicon(["2:zorq"]).features([{"zorqba"}, {"zorqba", "zorqda"}, set()], {})
+    assert (x[0] == x[2]).all() and x[1, 0] == 1
+
+
 def test_toxicity_held_out(spark):
     """Recall of held-out toxic rows 0.9, precision 0.9; ten of the 144 hold no toxic word at all."""
     d, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
