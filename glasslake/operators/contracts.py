@@ -57,18 +57,18 @@ def with_lineage(df: DataFrame, source: str, now: Column | None = None) -> DataF
     return df.withColumns({c: made.get(c, F.lit(None)).cast(t) for c, t in LINEAGE.items() if c not in df.columns})
 
 
-def contract_status(df: DataFrame, event_type: str) -> DataFrame:
-    """_is_malformed and the first reason that holds; every condition is null-safe."""
+def reason_of(event_type: str, amount: bool) -> Column:
+    """The first reason that holds against a record of the type, or NULL; every condition is null-safe."""
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() | (F.trim(F.col(c).cast("string")) == "") for c in EVENTS[event_type]["required"]])
     broken = F.lit(False)
-    if "amount_eur" in df.columns:
+    if amount:
         broken = broken | ~F.coalesce((F.col("amount_eur") >= 0) & ~F.isnan("amount_eur"), F.lit(False))
     if event_type == "payment_processed":
         broken = broken | ~F.coalesce(F.col("status").isin("authorized", "declined", "captured"), F.lit(True))
     if event_type == "erasure_requested":
         broken = broken | ~F.coalesce(F.col("reason") == "GDPR_ARTICLE_17", F.lit(True))
     bad_time = ~F.coalesce((F.col("occurred_at") > 0) & ~F.isnan("occurred_at"), F.lit(False))
-    reason = (
+    return (
         F.when(F.col(CORRUPT).isNotNull(), "JSON_PARSE_ERROR")
         .when(F.col("event_id").isNull() | (F.trim("event_id") == ""), "EVENT_ID_MISSING")
         .when(~F.col("event_type").eqNullSafe(F.lit(event_type)), "EVENT_TYPE_MISMATCH")
@@ -76,7 +76,33 @@ def contract_status(df: DataFrame, event_type: str) -> DataFrame:
         .when(broken, "BUSINESS_RULE_FAILED")
         .when(bad_time, "INVALID_OCCURRED_AT")
     )
-    return df.withColumn("quarantine_reason", reason).withColumn("_is_malformed", reason.isNotNull())
+
+
+def with_status(df: DataFrame, reason: Column) -> DataFrame:
+    """quarantine_reason and _is_malformed.
+
+    The reason comes out of a generator of one row: a filter on a plain column would be pushed below the parsing, and
+    each of its many fields would parse the record again.
+    """
+    return df.select("*", F.explode(F.array(reason)).alias("quarantine_reason")).withColumn("_is_malformed", F.col("quarantine_reason").isNotNull())
+
+
+def contract_status(df: DataFrame, event_type: str) -> DataFrame:
+    """_is_malformed and the first reason that holds."""
+    return with_status(df, reason_of(event_type, "amount_eur" in df.columns))
+
+
+def parse_kinds(df: DataFrame, kind: str, other: str, value: str = "value") -> DataFrame:
+    """JSON text to the columns of all event types, each record by the contract that its kind names, else by other's.
+
+    A record is parsed once; fields that its own contract does not know are NULL.
+    """
+    text, own = F.col(value).cast("string"), F.when(F.col(kind).isin(*EVENTS), F.col(kind)).otherwise(other)
+    schemas = {t: event_schema(t) for t in EVENTS}
+    read = {t: F.when(own == t, F.from_json(text, s, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})) for t, s in schemas.items()}
+    names = list(dict.fromkeys(n for s in schemas.values() for n in s.names))
+    made = [F.coalesce(*[F.col(f"__{t}.{n}") for t, s in schemas.items() if n in s.names]).alias(n) for n in names]
+    return df.withColumn("raw_payload", text).withColumns({f"__{t}": c for t, c in read.items()}).select("raw_payload", *[c for c in df.columns if c != value], *made)
 
 
 def project_event(df: DataFrame, event_type: str) -> DataFrame:

@@ -1010,7 +1010,7 @@ def replay_log(spark, d):
     """Bronze rebuilt from the whole log: valid orders once each, rejected records as often as the log holds them."""
     from glasslake.sources.topics import replay
 
-    log = _order_log(spark, d).where("get_json_object(value, '$.event_type') IS NULL OR get_json_object(value, '$.event_type') = 'order_placed'")
+    log = _order_log(spark, d).where("coalesce(get_json_object(value, '$.event_type'), 'order_placed') = 'order_placed'")
     made, _ = replay(spark, log, adapters.suppression_registry(spark, d))
     return reports.table_counts({n: made[n] for n in ("order_placed", "quarantine")}).select("table_name", F.col("row_count").alias("n"))
 

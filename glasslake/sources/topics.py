@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from glasslake.operators.contracts import CORRUPT, EVENTS, contract_status, event_schema, normalise, parse, project_event, quarantine_projection, recover_ids, with_lineage
+from glasslake.operators.contracts import CORRUPT, EVENTS, contract_status, event_schema, normalise, parse, parse_kinds, project_event, quarantine_projection, reason_of, recover_ids, with_lineage, with_status
 from glasslake.operators.audit import run_log_row
 from glasslake.operators.incremental import get_watermark
 from glasslake.operators.suppression import not_suppressed
@@ -167,25 +167,22 @@ def ingest_stream(parsed: DataFrame, event_type: str, source: str, registry, lak
     return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")).start()
 
 
-def quarantine_union(*parts: DataFrame) -> DataFrame:
-    first, *rest = parts
-    for p in rest:
-        first = first.unionByName(p, allowMissingColumns=True)
-    return first
-
-
 def load_bronze(spark: SparkSession, records: DataFrame, registry: DataFrame) -> dict[str, DataFrame]:
-    """A batch of topic records to one table per event type, first row per event_id, and the quarantine of all."""
-    out, bad = {}, []
+    """A batch of topic records to one table per event type, first row per event_id, and the quarantine of all.
+
+    A table reads the log once: records of all types are parsed, flagged and freed of suppressed customers in one pass.
+    """
+    kind = F.get_json_object(F.col("value").cast("string"), "$.event_type")
+    parsed = parse_kinds(_records(records).withColumn("_kind", kind), "_kind", "page_click")
+    reason = F.when(~F.coalesce(F.col("_kind").isin(*EVENTS), F.lit(False)), F.coalesce(reason_of("page_click", False), F.lit("EVENT_TYPE_MISMATCH")))
+    for event_type, contract in EVENTS.items():
+        reason = reason.when(F.col("_kind") == event_type, reason_of(event_type, "amount_eur" in dict(contract["fields"])))
+    rows = not_suppressed(with_status(with_lineage(recover_ids(normalise(parsed)), "log"), reason), registry)
+    out = {}
     for event_type in EVENTS:
-        kind = F.get_json_object(F.col("value").cast("string"), "$.event_type")
-        own = records.where(kind == event_type)
-        valid, rejected = ingest(parse(_records(own), event_type), event_type, "log", registry)
-        out[event_type] = first_per_key(valid, "event_id", [F.col(c).asc_nulls_last() for c in ("_kafka_partition", "_kafka_offset", "occurred_at", "raw_payload") if c in valid.columns])
-        bad.append(rejected)
-    unknown = records.where(~F.coalesce(F.get_json_object(F.col("value").cast("string"), "$.event_type").isin(*EVENTS), F.lit(False)))
-    bad.append(ingest(parse(_records(unknown), "page_click"), "page_click", "log", registry)[1])
-    out["quarantine"] = quarantine_union(*bad)
+        valid = project_event(rows.where((F.col("_kind") == event_type) & ~F.col("_is_malformed")), event_type)
+        out[event_type] = first_per_key(valid, "event_id", [F.col(c).asc_nulls_last() for c in ("_kafka_partition", "_kafka_offset", "occurred_at")])
+    out["quarantine"] = quarantine_projection(rows.where("_is_malformed"))
     return out
 
 

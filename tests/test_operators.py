@@ -420,6 +420,26 @@ def test_first_record_of_a_key_wins(spark):
     assert erasure.append_audit(a.limit(0), a).first().completed_at == 7.0
 
 
+def test_log_is_parsed_once_by_each_records_own_contract(spark):
+    """One scan and one parse a type, however many fields the reasons ask for; no record is lost between the types."""
+    click = {"click_id": "c", "customer_id": "a", "session_id": "s", "ip_address": "1.1.1.1", "page": "p", "country": "DE"}
+    order = {"order_id": "o", "customer_id": "a", "email": "e", "iban": "i", "country": "DE", "marketing_consent": True}
+    values = [
+        record("page_click", **click, amount_eur="x"), record("order_placed", **order, amount_eur="x"), record("order_placed", **order, amount_eur=-1.0),
+        record("erasure_requested", request_id="r", customer_id="a", reason="x"), record(" page_click ", **click), record("order_placed", **(order | {"customer_id": "gone"}), amount_eur="x"),
+    ]
+    log = spark.createDataFrame([("t", v, 0, n) for n, v in enumerate(values)], "topic string, value string, partition int, offset long").withColumn("timestamp", F.lit(None).cast("timestamp"))
+    made = topics.load_bronze(spark, log, registry(spark, "gone"))
+    assert made["page_click"].count() == 1 and made["order_placed"].count() == 0
+    reasons = {r.source_offset: r.quarantine_reason for r in made["quarantine"].collect()}
+    assert reasons == {1: "JSON_PARSE_ERROR", 2: "BUSINESS_RULE_FAILED", 3: "BUSINESS_RULE_FAILED", 4: "EVENT_TYPE_MISMATCH"}
+    for name in ("order_placed", "quarantine"):
+        plan = made[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") <= len(contracts.EVENTS), name
+    bad = topics.ingest(contracts.parse(log.select("value"), "order_placed"), "order_placed", "log", registry(spark, "gone"))[1]
+    assert bad._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
 def test_replay_twice_is_once(spark):
     full = {"click_id": "c", "customer_id": "a", "session_id": "s", "ip_address": "1.1.1.1", "page": "p", "country": "DE"}
     rows = [("clicks", "k", v, 0, n) for n, v in enumerate([record("page_click", **full), record("page_click", **full), "not json", record("other")])]
