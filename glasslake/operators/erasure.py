@@ -19,7 +19,7 @@ from glasslake.operators.suppression import suppress
 #: Personal columns of each Bronze table.
 PII = {"bronze.orders": ["email", "iban"], "bronze.payments": ["iban"], "bronze.clicks": ["ip_address"]}
 DELETED = (
-    "silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine", "silver.affected_customers", "gold.customer_360", "gold.order_facts", "gold.fraud_summary",
+    "silver.customers", "silver.orders", "silver.payments", "silver.orders_quarantine", "silver.payments_quarantine", "silver.affected_customers", "silver.flagged_orders", "gold.customer_360", "gold.order_facts", "gold.fraud_summary",
     "bronze.fraud_alerts", "bronze.late_events", "bronze.erasure_requests",
 )
 #: Tables whose payload is kept as it came: rows of a customer are found by id or inside the payload.

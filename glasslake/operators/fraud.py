@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from glasslake.functions.scalars import alert_id, bucket_start
+from glasslake.functions.scalars import alert_id, alert_key, bucket_start
 from glasslake.operators.ordered import by_key
 
 #: Velocity threshold and window, z limit, baseline rows.
@@ -57,10 +57,11 @@ def geo_mismatch(payments: DataFrame, scope: str = "event", size: int = WINDOW_S
 RULES = ("VELOCITY", "AMOUNT_ZSCORE", "GEO_MISMATCH")
 
 
-def all_alerts(payments: DataFrame, size: int = WINDOW_S, scope: str = "event", own: str = "country", other: str = "merchant_country", rules: tuple[str, ...] = RULES, parts: int | None = None) -> DataFrame:
+def all_alerts(payments: DataFrame, size: int = WINDOW_S, scope: str = "event", own: str = "country", other: str = "merchant_country", rules: tuple[str, ...] = RULES, parts: int | None = None, hashed: bool = True) -> DataFrame:
     """The alerts of velocity, zscore and geo_mismatch from one pass: payments are shuffled once, by customer, with the
     columns that the rules need, and sorted once. In the order of time a customer's rows of one bucket follow each other, so
     places in a bucket are read off the rows before, and no window by bucket sorts the rows again. parts as in by_key.
+    hashed: without it alert_id is the key itself, which tells alerts apart as well where they are only counted.
     """
     abroad = F.coalesce(F.col(own) != F.col(other), F.lit(False)) if "GEO_MISMATCH" in rules else F.lit(False)
     seen = by_key(payments.select("customer_id", "event_id", "occurred_at", "amount_eur", abroad.alias("abroad")), parts, "customer_id")
@@ -83,5 +84,6 @@ def all_alerts(payments: DataFrame, size: int = WINDOW_S, scope: str = "event",
             hit = hit & ~here("abroad_before")
         found.append(F.when(hit, alert("GEO_MISMATCH", F.lit(1.0), F.col("bucket") if scope == "window" else none)))
     seen = seen.withColumns(made)
-    hits = seen.select("customer_id", "event_id", F.col("occurred_at").alias("alerted_at"), F.explode(F.filter(F.array(*found), lambda a: a.isNotNull())).alias("a")).select("customer_id", "event_id", "alerted_at", "a.*")
-    return hits.withColumn("alert_id", alert_id("rule", "customer_id", "event_id", "window_start", "window_end")).select(*COLUMNS)
+    # a filter of the array by a lambda would be interpreted: all are laid out, and those that are none go
+    hits = seen.select("customer_id", "event_id", F.col("occurred_at").alias("alerted_at"), F.explode(F.array(*found)).alias("a")).where("a is not null").select("customer_id", "event_id", "alerted_at", "a.*")
+    return hits.withColumn("alert_id", (alert_id if hashed else alert_key)("rule", "customer_id", "event_id", "window_start", "window_end")).select(*COLUMNS)

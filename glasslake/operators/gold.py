@@ -12,7 +12,9 @@ from glasslake.operators.suppression import not_suppressed
 
 def customer_360(customers: DataFrame, orders: DataFrame, registry: DataFrame) -> DataFrame:
     """A row per customer with order totals. Consent fails closed: the customer's flag and that of all orders."""
-    totals = orders.groupBy("customer_id").agg(
+    # shuffled once as narrow rows, by customer: distinct orders would be shuffled by order too, with the states of all aggregates
+    mine = orders.select("customer_id", "order_id", "amount_eur", "occurred_at", "marketing_consent", "country", "email_hash", "event_id").repartition("customer_id")
+    totals = mine.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("order_count"), F.sum("amount_eur").alias("spend"), F.min("occurred_at").alias("first_order_at"),
         F.max("occurred_at").alias("last_order_at"), F.expr(CONSENT).alias("gate"),
         F.min_by("country", F.struct("occurred_at", "event_id")).alias("order_country"), F.min_by("email_hash", F.struct("occurred_at", "event_id")).alias("order_email"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,21 +22,31 @@ def _write_quarantine(lake: Lake, name: str, rows: DataFrame) -> None:
     lake.append(name, rows.where("customer_id is null"), NAMELESS)
 
 
+@contextmanager
+def _flagged_orders(lake: Lake, orders: DataFrame, registry: DataFrame) -> Iterator[DataFrame]:
+    """Orders deduplicated and flagged once, as a table of the lake, for the three tables that are made from them; it is
+    dropped behind them, as it holds what Silver hides."""
+    try:
+        yield lake.write("silver.flagged_orders", silver.flagged_stored(orders, registry, silver.order_flag), placed=True)
+    finally:
+        lake.drop("silver.flagged_orders")
+
+
 def build_silver(lake: Lake, registry: DataFrame) -> dict[str, DataFrame]:
     """Bronze lies by buckets of customers, and so do the rows that are made from it: they are written without a shuffle."""
-    orders = silver.flagged_stored(lake.read("bronze.orders"), registry, silver.order_flag)
     payments = silver.flagged_stored(lake.read("bronze.payments"), registry, silver.payment_flag)
-    lake.write("silver.customers", silver.customers_of(orders))
-    lake.write("silver.orders", silver.orders_of(orders), placed=True)
+    with _flagged_orders(lake, lake.read("bronze.orders"), registry) as orders:
+        lake.write("silver.customers", silver.customers_of(orders))
+        lake.write("silver.orders", silver.orders_of(orders), placed=True)
+        _write_quarantine(lake, "silver.orders_quarantine", silver.bad_orders_of(orders))
     lake.write("silver.payments", silver.payments_of(payments), placed=True)
-    _write_quarantine(lake, "silver.orders_quarantine", silver.bad_orders_of(orders))
     _write_quarantine(lake, "silver.payments_quarantine", silver.bad_payments_of(payments))
     return {n: lake.read(n) for n in SILVER}
 
 
 def build_gold(lake: Lake, registry: DataFrame) -> dict[str, DataFrame]:
     c, o = lake.read("silver.customers"), lake.read("silver.orders")
-    alerts = lake.read("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(lake.read("bronze.payments"), parts=parts_of(lake.read("bronze.payments")))
+    alerts = lake.read("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(lake.read("bronze.payments"), parts=parts_of(lake.read("bronze.payments")), hashed=False)
     people = gold.customer_360(c, o, registry)
     lake.write("gold.customer_360", people)
     lake.write("gold.order_facts", gold.order_facts(o, people, registry))
@@ -93,11 +105,12 @@ def build_incremental(lake: Lake, registry: DataFrame) -> dict[str, int]:
     mine = lambda name: (lake.in_buckets(name, buckets) if whole else lake.of_customers(name, affected)).drop(*LAYOUT)
     renew = lambda name, rows, placed=False: lake.replace_customers(name, affected, rows, placed, whole)
     payments = mine("bronze.payments")
-    o, p = silver.flagged_stored(mine("bronze.orders"), registry, silver.order_flag), silver.flagged_stored(payments, registry, silver.payment_flag)
-    renew("silver.customers", silver.customers_of(o))
-    renew("silver.orders", silver.orders_of(o), True)
+    p = silver.flagged_stored(payments, registry, silver.payment_flag)
+    with _flagged_orders(lake, mine("bronze.orders"), registry) as o:
+        renew("silver.customers", silver.customers_of(o))
+        renew("silver.orders", silver.orders_of(o), True)
+        renew("silver.orders_quarantine", silver.bad_orders_of(o), True)
     renew("silver.payments", silver.payments_of(p), True)
-    renew("silver.orders_quarantine", silver.bad_orders_of(o), True)
     renew("silver.payments_quarantine", silver.bad_payments_of(p), True)
     for source, target, build in (("bronze.orders", "silver.orders_quarantine", silver.orders_quarantine), ("bronze.payments", "silver.payments_quarantine", silver.payments_quarantine)):
         if not new_rows(lake, source, fresh[source]).where("customer_id is null").isEmpty():
@@ -106,7 +119,7 @@ def build_incremental(lake: Lake, registry: DataFrame) -> dict[str, int]:
     people = gold.customer_360(c, o, registry)
     renew("gold.customer_360", people)
     renew("gold.order_facts", gold.order_facts(o, people, registry))
-    alerts = mine("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(payments, parts=parts_of(payments) if whole else None)
+    alerts = mine("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(payments, parts=parts_of(payments) if whole else None, hashed=False)
     renew("gold.fraud_summary", gold.fraud_summary(alerts, registry))
     mark_processed(lake, fresh)
     out = {"affected": affected.count(), "suppressed": incremental.suppressed_skipped(affected, registry)}

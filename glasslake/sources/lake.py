@@ -36,7 +36,9 @@ LAYOUT = ["_batch", "_bucket"]
 WHOLE = "0"
 #: Customers up to which a set is pushed into the scan as values, for row groups to be skipped by statistics and Bloom filters.
 PUSHED_IDS = 1000
-_BLOOM = {"parquet.bloom.filter.enabled#customer_id": "true", "parquet.bloom.filter.adaptive.enabled": "true", "maxRecordsPerFile": "500000"}
+#: Ids of single rows repeat too seldom for a dictionary: building one and giving it up takes a quarter of a write.
+_FILES = {"maxRecordsPerFile": "500000"} | {f"parquet.enable.dictionary#{c}": "false" for c in ("event_id", "payment_id", "order_id", "quarantine_id")}
+_BLOOM = {"parquet.bloom.filter.enabled#customer_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 _REQUIRED = "glasslake.required"
 
 Partition = tuple[str, int]
@@ -146,7 +148,7 @@ class Lake:
         """Replace the partitions that df has rows of; a new table or new columns are made first."""
         if not self.exists(name):
             required = ",".join(f.name for f in df.schema.fields if not f.nullable and f.name not in LAYOUT)
-            writer = df.write.format("parquet").partitionBy(*LAYOUT).options(**(_BLOOM if "customer_id" in df.columns else {"maxRecordsPerFile": "500000"}))
+            writer = df.write.format("parquet").partitionBy(*LAYOUT).options(**_FILES, **(_BLOOM if "customer_id" in df.columns else {}))
             writer.saveAsTable(self.table(name))
             self.spark.sql(f"ALTER TABLE {self.table(name)} SET TBLPROPERTIES ('{_REQUIRED}' = '{required}')")
             return
