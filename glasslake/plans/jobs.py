@@ -47,8 +47,7 @@ def build_silver(lake: Lake, registry: DataFrame) -> dict[str, DataFrame]:
 def build_gold(lake: Lake, registry: DataFrame) -> dict[str, DataFrame]:
     c, o = lake.read("silver.customers"), lake.read("silver.orders")
     alerts = lake.read("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(lake.read("bronze.payments"), parts=parts_of(lake.read("bronze.payments")), hashed=False)
-    people = gold.customer_360(c, o, registry)
-    lake.write("gold.customer_360", people)
+    people = lake.write("gold.customer_360", gold.customer_360(c, o, registry))  # read again: orders are not summed up twice
     lake.write("gold.order_facts", gold.order_facts(o, people, registry))
     lake.write("gold.fraud_summary", gold.fraud_summary(alerts, registry))
     return {n: lake.read(n) for n in GOLD}
@@ -116,8 +115,7 @@ def build_incremental(lake: Lake, registry: DataFrame) -> dict[str, int]:
         if not new_rows(lake, source, fresh[source]).where("customer_id is null").isEmpty():
             lake.append(target, build(lake.read(source).where("customer_id is null"), registry), NAMELESS)
     c, o = mine("silver.customers"), mine("silver.orders")
-    people = gold.customer_360(c, o, registry)
-    renew("gold.customer_360", people)
+    people = renew("gold.customer_360", gold.customer_360(c, o, registry))
     renew("gold.order_facts", gold.order_facts(o, people, registry))
     alerts = mine("bronze.fraud_alerts") if lake.exists("bronze.fraud_alerts") else fraud.all_alerts(payments, parts=parts_of(payments) if whole else None, hashed=False)
     renew("gold.fraud_summary", gold.fraud_summary(alerts, registry))

@@ -83,6 +83,7 @@ def test_orders_are_flagged_once_for_all_of_silver(spark, tmp_path, monkeypatch)
     jobs.build_incremental(store, r)
     for name in ("silver.customers", "silver.orders", "silver.orders_quarantine"):
         assert len(plans[name]) >= 2 and not any("bronze__orders" in found for found in plans[name]), name
+    assert len(plans["gold.order_facts"]) == 2 and all("gold__customer_360" in found and "silver__customers" not in found for found in plans["gold.order_facts"])
     assert len(plans["silver.flagged_orders"]) == 2 and not store.exists("silver.flagged_orders")
 
 
